@@ -1 +1,10 @@
 """placeholder"""
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+DRIVER_ROOM_TYPE_CODES = {"1-URGENT": 3, "2-HIGH": 2, "3-MEDIUM": 1, "4-NOT SPECIFIED": 0}
+
+
+def map_lookup(c: Column, mapping: dict) -> Column:
+    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return m[c]

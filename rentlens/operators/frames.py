@@ -29,27 +29,21 @@ DASHBOARD_COLUMNS = ["listing_id", "price", "room_type", "accommodates", "neighb
 
 
 def listing_perf(wh: Warehouse) -> DataFrame:
-    """fact ⋈ dim_listing ⋈ demand view (three-way, on listing_id)."""
-    f = wh.fact_listing_performance
-    lst = wh.dim_listing
-    v = wh.listing_demand.select("listing_id", "demand_segment")
-    return f.join(lst, "listing_id").join(v, "listing_id")
+    """fact ⋈ dim_listing ⋈ demand view (three-way, on listing_id): all three
+    have the listing grain, so this is one projection (``listing_wide``)."""
+    return wh.listing_wide
 
 
 def fact_listing(wh: Warehouse) -> DataFrame:
-    """fact ⋈ dim_listing (two-way)."""
-    return wh.fact_listing_performance.join(wh.dim_listing, "listing_id")
+    """fact ⋈ dim_listing (two-way), same grain: the wide projection."""
+    return wh.listing_wide.drop("demand_segment")
 
 
 def _five_way(wh: Warehouse) -> DataFrame:
     n = F.broadcast(wh.dim_neighbourhood)  # one row per area: bounded
     h = wh.dim_host.drop("host_name", "host_identity_verified", "host_has_profile_pic",
                          "hosts_time_as_user_years", "host_location")
-    return (wh.fact_listing_performance
-            .join(wh.dim_listing, "listing_id")
-            .join(n, "neighbourhood_name")
-            .join(h, "host_id")
-            .join(wh.listing_demand.select("listing_id", "demand_segment"), "listing_id"))
+    return wh.listing_wide.join(n, "neighbourhood_name").join(h, "host_id")
 
 
 def model_frame(wh: Warehouse) -> DataFrame:

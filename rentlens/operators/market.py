@@ -52,12 +52,15 @@ def _superhost_join(wh: Warehouse) -> DataFrame:
             .where(F.col("host_is_superhost").isin("t", "f")))
 
 
-def superhost_compare(wh: Warehouse, distinct: bool = False) -> DataFrame:
+def superhost_compare(wh: Warehouse, distinct: bool = False, digits: int | None = None) -> DataFrame:
+    """Per superhost flag: listings (COUNT(*) or COUNT(DISTINCT)), average
+    price / rating / reviews rounded to 2 / 3 / 1 digits unless ``digits``."""
     n = F.count_distinct("listing_id") if distinct else F.count(F.lit(1))
+    d1, d2, d3 = (digits, digits, digits) if digits is not None else (2, 3, 1)
     return (_superhost_join(wh).groupBy("host_is_superhost")
-            .agg(n.alias("listings"), F.round(F.avg("price"), 2).alias("avg_price"),
-                 F.round(F.avg("review_scores_rating"), 3).alias("avg_rating"),
-                 F.round(F.avg("number_of_reviews"), 1).alias("avg_reviews")))
+            .agg(n.alias("listings"), F.round(F.avg("price"), d1).alias("avg_price"),
+                 F.round(F.avg("review_scores_rating"), d2).alias("avg_rating"),
+                 F.round(F.avg("number_of_reviews"), d3).alias("avg_reviews")))
 
 
 def demand_breakdown(wh: Warehouse, digits: int = 1) -> DataFrame:

@@ -77,6 +77,12 @@ def listing_demand(fact: DataFrame) -> DataFrame:
                                         F.col("estimated_occupancy_l365d")).alias("demand_segment"))
 
 
+def listing_wide(stg_listings: DataFrame) -> DataFrame:
+    cols = [F.col(k).alias(v) for k, v in LISTING_COLUMNS.items()] + [F.col(c) for c in PERFORMANCE_COLUMNS]
+    seg = C.demand_segment(F.col("number_of_reviews"), F.col("estimated_occupancy_l365d")).alias("demand_segment")
+    return stg_listings.where(F.col("id").isNotNull()).select(*cols, seg)
+
+
 def fact_calendar(stg_calendar: DataFrame, dim_l: DataFrame) -> DataFrame:
     """Calendar rows of known listings (inner join in the reference; listing
     ids are unique in ``dim_listing`` so a semi join is the same rows without
@@ -174,6 +180,16 @@ class Warehouse:
     def listing_demand(self) -> DataFrame:
         return self._get("listing_demand", lambda: listing_demand(self.fact_listing_performance))
 
+    @property
+    def listing_wide(self) -> DataFrame:
+        """fact ⋈ dim_listing ⋈ demand view as one projection.
+
+        The three are projections of the same deduplicated staging frame, one
+        row per non-null listing id, so their inner join on ``listing_id`` is
+        exactly this select; it avoids recomputing and self-joining the
+        listing grain three times."""
+        return self._get("listing_wide", lambda: listing_wide(self.stg_listings))
+
     @property
     def fact_calendar(self) -> DataFrame:
         return self._get("fact_calendar", lambda: fact_calendar(self.stg_calendar, self.dim_listing))
