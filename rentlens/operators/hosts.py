@@ -62,9 +62,9 @@ def concentration_curve(wh: Warehouse) -> DataFrame:
     (the full curve), with a distributed running sum."""
     p = host_portfolio(wh)
     total = p.agg(F.sum("listing_count")).scalar()
-    order = [F.desc("listing_count"), F.asc("host_id"), F.asc("host_is_superhost")]
-    c = ranking.prefix_sum(p, order, "listing_count", "cumulative_listings")
-    c = ranking.row_rank(c, order, "rank")
+    ties = [F.asc("host_id"), F.asc("host_is_superhost")]
+    c = ranking.prefix_sum(p, "listing_count", "listing_count", "cumulative_listings", descending=True, ties=ties)
+    c = ranking.row_rank(c, "listing_count", "rank", descending=True, ties=ties)
     return c.withColumn("cumulative_pct", (F.col("cumulative_listings") * 100.0 / total).cast("double"))
 
 

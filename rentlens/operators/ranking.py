@@ -3,18 +3,24 @@
 A window with an ORDER BY but no PARTITION BY moves every row to one task.
 The helpers here compute the same running sum in two steps:
 
-1. range-partition the rows on the sort key (Spark samples the bounds) and
-   take the running sum inside each range;
-2. sum each range (one row per range), turn those into offsets with a window
-   over that tiny table, and add the offset back with a broadcast join whose
-   size is the number of ranges.
-
-Callers first aggregate to distinct sort values (ranks, shares), so even the
-input here is already much smaller than the data.
+1. cut the sort key into ranges at approximate quantiles (computed once, so
+   the ranges are literals and every re-evaluation - a second branch of the
+   plan or a recomputed task after an executor loss - assigns rows to the same
+   range), and take the running sum inside each range with a window
+   partitioned by the range;
+2. sum each range (one row per range), turn those sums into offsets with a
+   window over that tiny table, and add the offset back with a broadcast
+   join whose size is the number of ranges.
+
+Ties of the sort key always fall in one range, so a total order inside the
+range (tie-breaker columns) gives a total order overall.  Callers aggregate
+to distinct sort values first, so the input is already far smaller than the
+data.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,23 +29,30 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-def prefix_sum(df: DataFrame, order: list[Column], value: str, out: str, buckets: int | None = None) -> DataFrame:
-    """Add ``out`` = inclusive running sum of ``value`` in ``order``.
-
-    ``order`` must be a total order (add a key as the last tie-breaker).
-    """
+def prefix_sum(df: DataFrame, key: str, value: str, out: str, descending: bool = False,
+               ties: list[Column] | None = None, buckets: int | None = None) -> DataFrame:
+    """Add ``out`` = inclusive running sum of ``value`` ordered by the numeric
+    column ``key`` (descending if asked), then by ``ties``."""
     n = buckets or _default_buckets(df)
-    ranged = df.repartitionByRange(n, *order).withColumn("_b", F.spark_partition_id())
+    k = F.col(key).cast("double")
+    d = df.withColumn("_k", -k if descending else k)
+    probs = [i / n for i in range(1, n)]
+    cuts = sorted({c for c in d.approxQuantile("_k", probs, 0.001) if c is not None}) if probs else []
+    splits = [float("-inf")] + cuts + [float("inf")]
+    d = Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep").transform(d)
+    order = [F.col("_k").asc()] + list(ties or [])
     w_local = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_local", F.sum(value).over(w_local))
-    totals = local.groupBy("_b").agg(F.sum(value).alias("_tot"))
+    local = d.withColumn("_local", F.sum(value).over(w_local))
+    totals = d.groupBy("_b").agg(F.sum(value).alias("_tot"))
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("_b", F.coalesce(F.sum("_tot").over(w_off), F.lit(0)).alias("_off"))
     return (local.join(F.broadcast(offsets), "_b")
             .withColumn(out, F.col("_local") + F.col("_off"))
-            .drop("_b", "_local", "_off"))
+            .drop("_b", "_k", "_local", "_off"))
 
 
-def row_rank(df: DataFrame, order: list[Column], out: str = "rank", buckets: int | None = None) -> DataFrame:
-    """1-based position of each row in ``order`` (a distributed row_number)."""
-    return prefix_sum(df.withColumn("_one", F.lit(1).cast("bigint")), order, "_one", out, buckets).drop("_one")
+def row_rank(df: DataFrame, key: str, out: str = "rank", descending: bool = False,
+             ties: list[Column] | None = None, buckets: int | None = None) -> DataFrame:
+    """1-based position of each row in the order (a distributed row_number)."""
+    return prefix_sum(df.withColumn("_one", F.lit(1).cast("bigint")), key, "_one", out, descending, ties,
+                      buckets).drop("_one")
