@@ -9,7 +9,7 @@ document is scored where it is read: no explode, no shuffle, whole texts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
@@ -113,32 +113,39 @@ def _lit_map(d: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in sorted(d.items()) for x in kv])
 
 
-def sentiment(c: Column) -> Column:
-    """Struct(neg, neu, pos, compound) from the word-weight table.
+def add_sentiment(df: DataFrame, text_col: str) -> DataFrame:
+    """Add neg, neu, pos, compound from the word-weight table.
 
     A word right after a negation word has its weight scaled by
     NEGATION_SCALE.  neg/neu/pos are the shares of (weight - 1), 1 and
     (weight + 1) over words, the compound score is s / sqrt(s^2 + ALPHA).
-    NULL or empty text scores zeros."""
+    NULL or empty text scores zeros.  The token and weight arrays are
+    columns of their own, computed once per row (an array expression
+    referenced inside a lambda would be re-evaluated per element)."""
     lex = _lit_map(SENTIMENT_WEIGHTS)
     neg = F.array(*[F.lit(w) for w in NEGATIONS])
-    toks = tokens(F.coalesce(c, F.lit("")))
+    toks = F.col("_toks")
 
     def weight(t, i):
         base = F.coalesce(F.element_at(lex, t), F.lit(0.0))
         negated = (i > 0) & F.array_contains(neg, F.element_at(toks, i))  # element_at is 1-based: previous token
         return F.when(negated, base * F.lit(NEGATION_SCALE)).otherwise(base)
 
-    v = F.transform(toks, weight)
-    s = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
-    pos_sum = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.when(x > 0, x + 1).otherwise(F.lit(0.0)))
-    neg_sum = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.when(x < 0, x - 1).otherwise(F.lit(0.0)))
-    neu = F.size(F.filter(v, lambda x: x == 0)).cast("double")
-    total = pos_sum + F.abs(neg_sum) + neu
+    d = df.withColumn("_toks", tokens(F.coalesce(F.col(text_col), F.lit(""))))
+    d = d.withColumn("_v", F.transform(toks, weight))
+    v = F.col("_v")
+    d = d.withColumn("_sums", F.aggregate(
+        v, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ps"), F.lit(0.0).alias("ns"), F.lit(0.0).alias("nu")),
+        lambda acc, x: F.struct((acc["s"] + x).alias("s"),
+                                (acc["ps"] + F.when(x > 0, x + 1).otherwise(F.lit(0.0))).alias("ps"),
+                                (acc["ns"] + F.when(x < 0, x - 1).otherwise(F.lit(0.0))).alias("ns"),
+                                (acc["nu"] + F.when(x == 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("nu"))))
+    s, ps, ns, nu = (F.col("_sums")[k] for k in ("s", "ps", "ns", "nu"))
+    total = ps + F.abs(ns) + nu
     share = lambda x: F.when(total > 0, F.abs(x / total)).otherwise(F.lit(0.0))
     compound = F.when(s == 0, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(ALPHA)))
-    return F.struct(share(neg_sum).alias("neg"), share(neu).alias("neu"), share(pos_sum).alias("pos"),
-                    compound.alias("compound"))
+    return (d.withColumn("neg", share(ns)).withColumn("neu", share(nu)).withColumn("pos", share(ps))
+            .withColumn("compound", compound).drop("_toks", "_v", "_sums"))
 
 
 def sentiment_label(compound: Column) -> Column:
@@ -146,16 +153,24 @@ def sentiment_label(compound: Column) -> Column:
             .otherwise("neutral"))
 
 
-def detect_language(c: Column) -> Column:
+def add_language(df: DataFrame, text_col: str, out: str = "language") -> DataFrame:
     """Most-voted language by function words; ties by LANGUAGE_ORDER;
     short text (after removing line breaks and edge spaces) or no votes ->
     'unknown'."""
-    clean = F.regexp_replace(strip_breaks(F.coalesce(c, F.lit(""))), r"^\s+|\s+$", "")
-    toks = tokens(clean)
-    votes = [F.size(F.filter(toks, lambda x, ws=LANGUAGE_WORDS[lang]: F.array_contains(
-        F.array(*[F.lit(w) for w in ws]), x))).alias(lang) for lang in LANGUAGE_ORDER]
+    clean = F.regexp_replace(strip_breaks(F.coalesce(F.col(text_col), F.lit(""))), r"^\s+|\s+$", "")
+    d = df.withColumn("_clean_len", F.length(clean)).withColumn("_ltoks", tokens(clean))
+    toks = F.col("_ltoks")
+
+    def vote(words):
+        arr = F.array(*[F.lit(w) for w in words])
+        return F.size(F.filter(toks, lambda x: F.array_contains(arr, x)))
+
+    for lang in LANGUAGE_ORDER:
+        d = d.withColumn(f"_v_{lang}", vote(LANGUAGE_WORDS[lang]))
+    votes = [F.col(f"_v_{lang}") for lang in LANGUAGE_ORDER]
     best = F.greatest(*votes)
     pick = F.lit(UNKNOWN)
     for lang, v in reversed(list(zip(LANGUAGE_ORDER, votes))):
         pick = F.when(v == best, F.lit(lang)).otherwise(pick)
-    return F.when((F.length(clean) < MIN_LANG_CHARS) | (best == 0), F.lit(UNKNOWN)).otherwise(pick)
+    lang_col = F.when((F.col("_clean_len") < MIN_LANG_CHARS) | (best == 0), F.lit(UNKNOWN)).otherwise(pick)
+    return d.withColumn(out, lang_col).drop("_clean_len", "_ltoks", *[f"_v_{lang}" for lang in LANGUAGE_ORDER])

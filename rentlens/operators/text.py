@@ -1 +1,139 @@
-"""placeholder"""
+"""Review text jobs: sentiment, language, buckets and the briefing facts.
+
+Scoring is a projection over whole texts (``functions.text``): no sampling,
+no explode, no shuffle; grouping happens only on the scored rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from rentlens.functions import text as TX
+from rentlens.operators import frames, market
+from rentlens.operators.warehouse import Warehouse
+
+SCORE_COLS = ["review_scores_rating", "review_scores_cleanliness", "review_scores_location", "review_scores_value"]
+# Rating buckets, right-closed as ``pd.cut``: (0, 4.0], (4.0, 4.5], (4.5, 4.8], (4.8, 5.01]
+RATING_BINS = [0.0, 4.0, 4.5, 4.8, 5.01]
+RATING_LABELS = ["<4.0", "4.0-4.5", "4.5-4.8", "4.8-5.0"]
+
+
+def rated_reviews(wh: Warehouse) -> DataFrame:
+    """Reviews of rated listings with their listing scores (the reference's
+    sample frame, here over every review)."""
+    r = wh.fact_reviews.join(wh.fact_listing_performance, "listing_id").where(
+        F.col("review_scores_rating").isNotNull())
+    return r.select("review_id", "listing_id", "comment_length", *SCORE_COLS, "price")
+
+
+def semi_join_ids(stg_reviews: DataFrame, ids: DataFrame) -> DataFrame:
+    """Review rows whose id is in ``ids`` (a semi join, not a text IN list)."""
+    return stg_reviews.join(ids.select(F.col("review_id").alias("id")).distinct(), "id", "left_semi")
+
+
+def merge_text(reviews: DataFrame, stg_reviews: DataFrame) -> DataFrame:
+    """Attach the review text by review id."""
+    t = stg_reviews.select(F.col("id").alias("review_id"), "comments")
+    return reviews.join(t, "review_id")
+
+
+def review_texts(wh: Warehouse) -> DataFrame:
+    return merge_text(rated_reviews(wh), wh.stg_reviews)
+
+
+def score_reviews(df: DataFrame, text_col: str = "comments") -> DataFrame:
+    """Add neg, neu, pos, compound and language to every row."""
+    return TX.add_language(TX.add_sentiment(df, text_col), text_col)
+
+
+def sentiment_distribution(scored: DataFrame) -> DataFrame:
+    c = F.col("compound")
+    n = F.count(F.lit(1))
+    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    return scored.agg(n.alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
+                      q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), F.max(c).alias("max"),
+                      F.count_if(c > TX.POSITIVE_CUT).alias("n_positive"),
+                      F.count_if((c >= TX.NEGATIVE_CUT) & (c <= TX.POSITIVE_CUT)).alias("n_neutral"),
+                      F.count_if(c < TX.NEGATIVE_CUT).alias("n_negative"),
+                      (F.count_if(c > TX.POSITIVE_CUT) * 100.0 / n).cast("double").alias("pct_positive"),
+                      (F.count_if(c < TX.NEGATIVE_CUT) * 100.0 / n).cast("double").alias("pct_negative"))
+
+
+def zero_sentiment_sample(scored: DataFrame, n: int = 10, width: int = 200) -> DataFrame:
+    return (scored.where(F.col("compound") == 0).orderBy("review_id").limit(n)
+            .select("review_id", F.substring("comments", 1, width).alias("comments")))
+
+
+def language_mix(scored: DataFrame, top: int = 15) -> DataFrame:
+    """Top languages with count and share of all scored reviews."""
+    g = scored.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(Window.partitionBy())  # one row per language
+    return (g.select("language", "n", (F.col("n") * 100.0 / total).cast("double").alias("pct"))
+            .orderBy(F.desc("n"), F.asc("language")).limit(top))
+
+
+def sentiment_vs_scores(scored: DataFrame, language: str = "en") -> DataFrame:
+    """Correlation of the compound score with each rating and text length."""
+    e = scored.where(F.col("language") == language)
+    cols = SCORE_COLS + ["comment_length"]
+    row = e.agg(F.count(F.lit(1)).alias("n"), *[F.corr("compound", F.col(c).cast("double")).alias(c) for c in cols])
+    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
+    return row.selectExpr("n", f"stack({len(cols)}, {stack}) AS (metric, r)")
+
+
+def rating_bucket(c) -> F.Column:
+    """Right-closed rating buckets; values outside (0, 5.01] get no bucket."""
+    out = None
+    for lo, hi, lab in zip(RATING_BINS[:-1], RATING_BINS[1:], RATING_LABELS):
+        cond = (c > lo) & (c <= hi)
+        out = F.when(cond, lab) if out is None else out.when(cond, lab)
+    return out
+
+
+def sentiment_by_bucket(scored: DataFrame, language: str = "en") -> DataFrame:
+    e = scored.where(F.col("language") == language)
+    b = rating_bucket(F.col("review_scores_rating"))
+    return (e.where(b.isNotNull()).groupBy(b.alias("score_bucket"))
+            .agg(F.count(F.lit(1)).alias("n"), F.median("compound").alias("median_compound")))
+
+
+def sentiment_trend(scored: DataFrame, language: str = "en") -> DataFrame:
+    """Least-squares line of rating on the compound score."""
+    e = scored.where(F.col("language") == language)
+    return e.agg(F.regr_slope("review_scores_rating", "compound").alias("slope"),
+                 F.regr_intercept("review_scores_rating", "compound").alias("intercept"))
+
+
+def language_accuracy(texts: DataFrame) -> DataFrame:
+    """Detected vs known language of ``texts`` (comments, language_true)."""
+    d = TX.add_language(texts.select("language_true", "comments"), "comments")
+    return d.groupBy("language_true").agg(F.count(F.lit(1)).alias("n"),
+                                          F.count_if(F.col("language") == F.col("language_true")).alias("n_correct"),
+                                          F.count_if(F.col("language") == TX.UNKNOWN).alias("n_unknown"))
+
+
+def briefing_facts(wh: Warehouse) -> DataFrame:
+    """The numbers a written market briefing quotes, computed (section, metric, value)."""
+    lp = frames.listing_perf(wh)
+    active_valid = lp.where((F.col("demand_segment") == "active") & F.col("price_is_valid"))
+    parts = [
+        lp.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("market").alias("section"), F.lit("listings").alias("metric"), "value"),
+        active_valid.agg(F.median("price").alias("value")).select(
+            F.lit("market").alias("section"), F.lit("median_price_active").alias("metric"), "value"),
+        lp.agg((F.count_if(F.col("demand_segment") == "active") * 100.0 / F.count(F.lit(1))).cast("double")
+               .alias("value")).select(F.lit("demand").alias("section"), F.lit("pct_active").alias("metric"), "value"),
+        lp.agg((F.count_if(F.col("demand_segment") == "never_active") * 100.0 / F.count(F.lit(1))).cast("double")
+               .alias("value")).select(F.lit("demand").alias("section"), F.lit("pct_never_active").alias("metric"),
+                                       "value"),
+        market.top_neighbourhoods(wh, digits=4).limit(1).select(
+            F.lit("areas").alias("section"), F.concat(F.lit("top_area_median:"), F.col("neighbourhood_name")).alias("metric"),
+            F.col("median_price").alias("value")),
+        wh.fact_reviews.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("reviews").alias("section"), F.lit("reviews").alias("metric"), "value"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("value", F.round("value", 4))

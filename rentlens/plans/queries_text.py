@@ -1,2 +1,261 @@
-"""Registered queries."""
-from rentlens.plans.registry import register, warehouse  # noqa: F401
+"""Registered text queries (§2.9) and licence text rules."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rentlens.functions import text as TX
+from rentlens.operators import hosts, text
+from rentlens.plans.oracle import q
+from rentlens.plans.registry import register, warehouse
+from rentlens.sources import roles
+
+D = 4
+
+
+def _r(df, cols):
+    return df.select(*[F.round(c, D).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def _scored(spark, sf_dir):
+    return text.score_reviews(text.review_texts(warehouse(spark, sf_dir)))
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_LEX = ", ".join(f"({_sql_str(w)}, CAST({v} AS DOUBLE))" for w, v in sorted(TX.SENTIMENT_WEIGHTS.items()))
+_NEG = ", ".join(f"({_sql_str(w)})" for w in TX.NEGATIONS)
+_LANG_VOTES = ", ".join(
+    f"len(list_filter(toks, lambda x: list_contains([{', '.join(_sql_str(w) for w in TX.LANGUAGE_WORDS[lang])}], x))) AS v_{lang}"
+    for lang in TX.LANGUAGE_ORDER)
+_BEST = "greatest(" + ", ".join(f"v_{lang}" for lang in TX.LANGUAGE_ORDER) + ")"
+_PICK = "CASE " + " ".join(f"WHEN v_{lang} = {_BEST} THEN '{lang}'" for lang in TX.LANGUAGE_ORDER) + " END"
+
+# Review text -> tokens -> weights (unnest + join + window), an independent
+# formulation of the per-row higher-order-function plan.
+SCORED_SQL = f"""
+, rr AS (SELECT r.review_id, r.listing_id, r.comment_length, f.review_scores_rating, f.review_scores_cleanliness,
+                f.review_scores_location, f.review_scores_value, f.price
+         FROM fact_reviews r JOIN fact_listing_performance f ON r.listing_id = f.listing_id
+         WHERE f.review_scores_rating IS NOT NULL),
+rt AS (SELECT rr.*, s.comments FROM rr JOIN (SELECT id AS review_id, comments FROM stg_reviews) s USING (review_id)),
+tk AS (SELECT review_id, comments,
+              regexp_replace(replace(replace(coalesce(comments, ''), '<br/>', ' '), '<br>', ' '), '^\\s+|\\s+$', '', 'g') AS clean,
+              list_filter(regexp_split_to_array(lower(replace(replace(replace(coalesce(comments, ''), '<br/>', ' '), '<br>', ' '),
+                                                              '’', '''')), '[^\\p{{L}}'']+'), lambda x: x <> '') AS toks
+       FROM rt),
+ut AS (SELECT review_id, unnest(toks) AS t, generate_subscripts(toks, 1) AS i FROM tk),
+lex(w, v) AS (VALUES {_LEX}),
+neg(w) AS (VALUES {_NEG}),
+wt AS (SELECT ut.review_id, coalesce(lex.v, 0.0::DOUBLE)
+              * CASE WHEN lag(ut.t) OVER (PARTITION BY ut.review_id ORDER BY ut.i) IN (SELECT w FROM neg)
+                     THEN CAST({TX.NEGATION_SCALE} AS DOUBLE) ELSE 1.0::DOUBLE END AS v
+       FROM ut LEFT JOIN lex ON ut.t = lex.w),
+ag AS (SELECT review_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS ps,
+              sum(CASE WHEN v < 0 THEN v - 1 ELSE 0 END) AS ns, count(*) FILTER (WHERE v = 0) AS nu
+       FROM wt GROUP BY review_id),
+sc AS (SELECT tk.review_id, coalesce(s, 0.0) AS s, coalesce(ps, 0.0) AS ps, coalesce(ns, 0.0) AS ns,
+              CAST(coalesce(nu, 0) AS DOUBLE) AS nu, clean, {_LANG_VOTES}
+       FROM tk LEFT JOIN ag USING (review_id)),
+scored AS (
+  SELECT rt.*,
+         CASE WHEN ps + abs(ns) + nu > 0 THEN abs(ns / (ps + abs(ns) + nu)) ELSE 0.0 END AS neg,
+         CASE WHEN ps + abs(ns) + nu > 0 THEN abs(nu / (ps + abs(ns) + nu)) ELSE 0.0 END AS neu,
+         CASE WHEN ps + abs(ns) + nu > 0 THEN abs(ps / (ps + abs(ns) + nu)) ELSE 0.0 END AS pos,
+         CASE WHEN s = 0 THEN 0.0 ELSE s / sqrt(s * s + {TX.ALPHA}) END AS compound,
+         CASE WHEN length(clean) < {TX.MIN_LANG_CHARS} OR {_BEST} = 0 THEN 'unknown' ELSE {_PICK} END AS language
+  FROM rt JOIN sc USING (review_id))
+"""
+
+
+@register("semi_join_ids", q("""
+, ids AS (SELECT r.review_id FROM fact_reviews r JOIN fact_listing_performance f ON r.listing_id = f.listing_id
+          WHERE f.review_scores_rating IS NOT NULL)
+SELECT id, listing_id, reviewer_id, comment_length FROM stg_reviews WHERE id IN (SELECT review_id FROM ids)
+"""))
+def semi_join_ids(spark, sf_dir):
+    """Review rows whose id is among the rated-listing reviews (left semi join)."""
+    wh = warehouse(spark, sf_dir)
+    return text.semi_join_ids(wh.stg_reviews, text.rated_reviews(wh)).select(
+        "id", "listing_id", "reviewer_id", "comment_length")
+
+
+@register("merge_text", q(SCORED_SQL + "SELECT review_id, listing_id, comment_length, comments FROM rt"))
+def merge_text(spark, sf_dir):
+    """Rated-listing reviews joined to their text by review id."""
+    return text.review_texts(warehouse(spark, sf_dir)).select("review_id", "listing_id", "comment_length", "comments")
+
+
+@register("review_sentiment", q(SCORED_SQL + f"""
+SELECT review_id, listing_id, round(neg, {D}) AS neg, round(neu, {D}) AS neu, round(pos, {D}) AS pos,
+       round(compound, {D}) AS compound FROM scored
+"""))
+def review_sentiment(spark, sf_dir):
+    """Per-review neg / neu / pos / compound from the word-weight table (whole texts)."""
+    s = _scored(spark, sf_dir).select("review_id", "listing_id", "neg", "neu", "pos", "compound")
+    return _r(s, ("neg", "neu", "pos", "compound"))
+
+
+@register("sentiment_distribution", q(SCORED_SQL + f"""
+SELECT count(*) AS n, round(avg(compound), {D}) AS mean, round(stddev_samp(compound), {D}) AS std,
+       round(min(compound), {D}) AS min, round(quantile_cont(compound, 0.25), {D}) AS p25,
+       round(quantile_cont(compound, 0.5), {D}) AS p50, round(quantile_cont(compound, 0.75), {D}) AS p75,
+       round(max(compound), {D}) AS max,
+       count(*) FILTER (WHERE compound > {TX.POSITIVE_CUT}) AS n_positive,
+       count(*) FILTER (WHERE compound >= {TX.NEGATIVE_CUT} AND compound <= {TX.POSITIVE_CUT}) AS n_neutral,
+       count(*) FILTER (WHERE compound < {TX.NEGATIVE_CUT}) AS n_negative,
+       round(CAST(count(*) FILTER (WHERE compound > {TX.POSITIVE_CUT}) AS DOUBLE) * 100 / count(*), {D}) AS pct_positive,
+       round(CAST(count(*) FILTER (WHERE compound < {TX.NEGATIVE_CUT}) AS DOUBLE) * 100 / count(*), {D}) AS pct_negative
+FROM scored
+"""))
+def sentiment_distribution(spark, sf_dir):
+    """Describe of the compound score; counts and shares positive / neutral / negative."""
+    d = text.sentiment_distribution(_scored(spark, sf_dir))
+    return _r(d, ("mean", "std", "min", "p25", "p50", "p75", "max", "pct_positive", "pct_negative"))
+
+
+@register("zero_sentiment_sample", q(SCORED_SQL + """
+SELECT review_id, substr(comments, 1, 200) AS comments FROM scored WHERE compound = 0 ORDER BY review_id LIMIT 10
+"""))
+def zero_sentiment_sample(spark, sf_dir):
+    """Ten reviews (by id) whose compound score is exactly 0."""
+    return text.zero_sentiment_sample(_scored(spark, sf_dir))
+
+
+@register("detect_language", q(SCORED_SQL + "SELECT review_id, language FROM scored"))
+def detect_language(spark, sf_dir):
+    """Language of every review by function-word votes ('unknown' when short or no votes)."""
+    return _scored(spark, sf_dir).select("review_id", "language")
+
+
+@register("language_mix", q(SCORED_SQL + f"""
+SELECT language, count(*) AS n, round(CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER (), {D}) AS pct
+FROM scored GROUP BY language ORDER BY n DESC, language LIMIT 15
+"""))
+def language_mix(spark, sf_dir):
+    """Top 15 languages with share of reviews."""
+    return _r(text.language_mix(_scored(spark, sf_dir)), ("pct",))
+
+
+@register("language_other_bucket", q(SCORED_SQL + """
+, g AS (SELECT language AS value, count(*) AS n FROM scored GROUP BY 1),
+r AS (SELECT *, row_number() OVER (ORDER BY n DESC, value) AS rk FROM g)
+SELECT CASE WHEN rk <= 6 THEN value ELSE 'other' END AS value, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY 1
+"""))
+def language_other_bucket(spark, sf_dir):
+    """Six most common languages, the rest as 'other'."""
+    from rentlens.operators.market import other_bucket
+    return other_bucket(_scored(spark, sf_dir), "language", keep=6)
+
+
+@register("language_accuracy", q(f"""
+, tk AS (SELECT lang AS language_true,
+                regexp_replace(replace(replace(coalesce(text, ''), '<br/>', ' '), '<br>', ' '), '^\\s+|\\s+$', '', 'g') AS clean,
+                list_filter(regexp_split_to_array(lower(replace(replace(replace(coalesce(text, ''), '<br/>', ' '), '<br>', ' '),
+                                                                '’', '''')), '[^\\p{{L}}'']+'), lambda x: x <> '') AS toks
+         FROM documents),
+v AS (SELECT language_true, clean, {_LANG_VOTES} FROM tk),
+d AS (SELECT language_true, CASE WHEN length(clean) < {TX.MIN_LANG_CHARS} OR {_BEST} = 0 THEN 'unknown' ELSE {_PICK} END AS language
+      FROM v)
+SELECT language_true, count(*) AS n, count(*) FILTER (WHERE language = language_true) AS n_correct,
+       count(*) FILTER (WHERE language = 'unknown') AS n_unknown
+FROM d GROUP BY language_true
+"""))
+def language_accuracy(spark, sf_dir):
+    """Detected language against the known language of every document (whole texts)."""
+    return text.language_accuracy(roles.review_text(roles.DriverTables(spark, sf_dir)))
+
+
+@register("sentiment_vs_scores", q(SCORED_SQL + f"""
+, e AS (SELECT * FROM scored WHERE language = 'en')
+SELECT * FROM (
+  SELECT (SELECT count(*) FROM e) AS n, 'review_scores_rating' AS metric, round(corr(compound, review_scores_rating), {D}) AS r FROM e
+  UNION ALL SELECT (SELECT count(*) FROM e), 'review_scores_cleanliness', round(corr(compound, review_scores_cleanliness), {D}) FROM e
+  UNION ALL SELECT (SELECT count(*) FROM e), 'review_scores_location', round(corr(compound, review_scores_location), {D}) FROM e
+  UNION ALL SELECT (SELECT count(*) FROM e), 'review_scores_value', round(corr(compound, review_scores_value), {D}) FROM e
+  UNION ALL SELECT (SELECT count(*) FROM e), 'comment_length', round(corr(compound, CAST(comment_length AS DOUBLE)), {D}) FROM e)
+"""))
+def sentiment_vs_scores(spark, sf_dir):
+    """English reviews: correlation of compound score with ratings and length."""
+    return _r(text.sentiment_vs_scores(_scored(spark, sf_dir)), ("r",))
+
+
+@register("sentiment_by_bucket", q(SCORED_SQL + f"""
+, b AS (SELECT *, CASE WHEN review_scores_rating > 0 AND review_scores_rating <= 4.0 THEN '<4.0'
+                       WHEN review_scores_rating > 4.0 AND review_scores_rating <= 4.5 THEN '4.0-4.5'
+                       WHEN review_scores_rating > 4.5 AND review_scores_rating <= 4.8 THEN '4.5-4.8'
+                       WHEN review_scores_rating > 4.8 AND review_scores_rating <= 5.01 THEN '4.8-5.0' END AS score_bucket
+        FROM scored WHERE language = 'en')
+SELECT score_bucket, count(*) AS n, round(median(compound), {D}) AS median_compound
+FROM b WHERE score_bucket IS NOT NULL GROUP BY score_bucket
+"""))
+def sentiment_by_bucket(spark, sf_dir):
+    """English reviews: median compound per right-closed rating bucket."""
+    return _r(text.sentiment_by_bucket(_scored(spark, sf_dir)), ("median_compound",))
+
+
+@register("sentiment_trend", q(SCORED_SQL + f"""
+SELECT round(regr_slope(review_scores_rating, compound), {D}) AS slope,
+       round(regr_intercept(review_scores_rating, compound), {D}) AS intercept
+FROM scored WHERE language = 'en'
+"""))
+def sentiment_trend(spark, sf_dir):
+    """English reviews: least-squares line of rating on compound score."""
+    return _r(text.sentiment_trend(_scored(spark, sf_dir)), ("slope", "intercept"))
+
+
+@register("briefing_facts")
+def briefing_facts(spark, sf_dir):
+    """Numbers quoted by the market briefing, computed: (section, metric, value)."""
+    return text.briefing_facts(warehouse(spark, sf_dir))
+
+
+# --- licence text -------------------------------------------------------------------
+
+def _lic_case(version: int) -> str:
+    rules = TX.LICENSE_RULES_V1 if version == 1 else TX.LICENSE_RULES_V2
+    parts = ["CASE WHEN license IS NULL OR license = '' THEN 'no_license'"]
+    for label, kind, pat in rules:
+        cond = f"regexp_matches(license, {_sql_str(pat)})" if kind == "rlike" else f"contains(license, {_sql_str(pat)})"
+        parts.append(f"WHEN {cond} THEN '{label}'")
+    return " ".join(parts) + " ELSE 'other' END"
+
+
+@register("license_category", q(f"SELECT {_lic_case(2)} AS license_category, count(*) AS n FROM stg_listings GROUP BY 1"))
+def license_category(spark, sf_dir):
+    """Licence status by priority rules (v2: dash allowed in the number)."""
+    return hosts.license_category(warehouse(spark, sf_dir).stg_listings, 2)
+
+
+@register("license_category_v1", q(f"SELECT {_lic_case(1)} AS license_category, count(*) AS n FROM stg_listings GROUP BY 1"))
+def license_category_v1(spark, sf_dir):
+    """Licence status by the first rule set."""
+    return hosts.license_category(warehouse(spark, sf_dir).stg_listings, 1)
+
+
+@register("license_number", q(f"""
+, h AS (SELECT nullif(replace(regexp_extract(license, {_sql_str(TX.LICENSE_NUMBER_PATTERN)}, 0), '-', ''), '') AS hutb_number
+        FROM stg_listings)
+SELECT count(hutb_number) AS listings_with_number, count(DISTINCT hutb_number) AS unique_numbers FROM h
+"""))
+def license_number(spark, sf_dir):
+    """Listings with an extracted, normalised licence number; distinct numbers."""
+    return hosts.license_number(warehouse(spark, sf_dir).stg_listings)
+
+
+@register("license_genuine_v1", q(f"""
+SELECT count(DISTINCT license) AS unique_genuine_texts FROM stg_listings WHERE {_lic_case(1)} = 'genuine_hut_number'
+"""))
+def license_genuine_v1(spark, sf_dir):
+    return hosts.license_genuine_v1(warehouse(spark, sf_dir).stg_listings)
+
+
+@register("license_residual", q(f"""
+SELECT id, substr(license, 1, 150) AS license FROM stg_listings
+WHERE {_lic_case(2)} = 'other' AND license IS NOT NULL ORDER BY id LIMIT 10
+"""))
+def license_residual(spark, sf_dir):
+    """First ten unclassified licence texts."""
+    return hosts.license_residual(warehouse(spark, sf_dir).stg_listings)
