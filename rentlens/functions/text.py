@@ -125,14 +125,17 @@ def add_sentiment(df: DataFrame, text_col: str) -> DataFrame:
     lex = _lit_map(SENTIMENT_WEIGHTS)
     neg = F.array(*[F.lit(w) for w in NEGATIONS])
     toks = F.col("_toks")
+    # previous token of each position, as an aligned array: no lambda below
+    # refers to an outer array, so a pushed-down copy of this expression
+    # stays linear in the text length
+    prev = F.concat(F.array(F.lit("")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
 
-    def weight(t, i):
+    def weight(t, p):
         base = F.coalesce(F.element_at(lex, t), F.lit(0.0))
-        negated = (i > 0) & F.array_contains(neg, F.element_at(toks, i))  # element_at is 1-based: previous token
-        return F.when(negated, base * F.lit(NEGATION_SCALE)).otherwise(base)
+        return F.when(F.array_contains(neg, p), base * F.lit(NEGATION_SCALE)).otherwise(base)
 
     d = df.withColumn("_toks", tokens(F.coalesce(F.col(text_col), F.lit(""))))
-    d = d.withColumn("_v", F.transform(toks, weight))
+    d = d.withColumn("_v", F.zip_with(toks, prev, weight))
     v = F.col("_v")
     d = d.withColumn("_sums", F.aggregate(
         v, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ps"), F.lit(0.0).alias("ns"), F.lit(0.0).alias("nu")),
