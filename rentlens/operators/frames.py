@@ -74,3 +74,8 @@ def join_date_dim(wh: Warehouse) -> DataFrame:
 
 def join_reviews_listing(wh: Warehouse) -> DataFrame:
     return wh.fact_reviews.join(wh.fact_listing_performance, "listing_id")
+
+
+def listing_frame_all(wh: Warehouse) -> DataFrame:
+    """The five-way frame for every listing (no filter): the batch advisor input."""
+    return _five_way(wh).select(*MODEL_COLUMNS)
