@@ -1,2 +1,218 @@
-"""Registered queries."""
-from rentlens.plans.registry import register, warehouse  # noqa: F401
+"""Registered source, profiling and cleaning queries (§2.1-§2.3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rentlens.functions import columns as C
+from rentlens.operators import cleaning, market, quality
+from rentlens.plans.oracle import q
+from rentlens.plans.registry import register, warehouse
+from rentlens.sources import roles
+
+D = 4
+SUSPECT = ["host_since", "host_response_time", "instant_bookable", "calendar_updated"]
+
+
+def _raw_listings(spark, sf_dir):
+    return roles.raw_listings(roles.DriverTables(spark, sf_dir))
+
+
+_RAW_HOSTS = """
+, raw AS (SELECT o.o_orderkey AS id, o.o_orderstatus AS status, o.o_orderdate,
+                 CASE WHEN o.o_orderstatus = 'F' THEN 'previous scrape' ELSE 'city scrape' END AS source,
+                 CASE WHEN o.o_orderstatus = 'F' THEN CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS host_since,
+                 CASE WHEN o.o_orderstatus = 'F' THEN 'within an hour' END AS host_response_time,
+                 CASE WHEN o.o_orderstatus IN ('F', 'O') THEN 't' END AS instant_bookable,
+                 CAST(NULL AS VARCHAR) AS calendar_updated
+          FROM orders o)
+"""
+
+
+@register("null_cooccurrence", q(_RAW_HOSTS + """
+SELECT count(*) FILTER (WHERE host_since IS NULL AND host_response_time IS NULL AND instant_bookable IS NULL
+                        AND calendar_updated IS NULL) AS all_null,
+       count(*) FILTER (WHERE host_since IS NULL OR host_response_time IS NULL OR instant_bookable IS NULL
+                        OR calendar_updated IS NULL) AS any_null
+FROM raw
+"""))
+def null_cooccurrence(spark, sf_dir):
+    """Raw listings where all / any of four sparse columns are empty."""
+    return quality.null_cooccurrence(_raw_listings(spark, sf_dir), SUSPECT)
+
+
+@register("value_counts_by_null", q(_RAW_HOSTS + """
+SELECT source, count(*) AS n, count(*) FILTER (WHERE host_since IS NULL) AS n_null FROM raw GROUP BY source
+"""))
+def value_counts_by_null(spark, sf_dir):
+    """Source counts overall and where host_since is empty."""
+    return quality.value_counts_by_null(_raw_listings(spark, sf_dir), "source", "host_since")
+
+
+@register("null_rate_audit")
+def null_rate_audit(spark, sf_dir):
+    """Null % of every raw listing column."""
+    return quality.null_rate_audit(_raw_listings(spark, sf_dir))
+
+
+@register("profile_table")
+def profile_table(spark, sf_dir):
+    """Shape, types and the 20 columns with most nulls of the raw listings."""
+    return quality.profile_table(_raw_listings(spark, sf_dir), "listings")
+
+
+@register("frame_null_top")
+def frame_null_top(spark, sf_dir):
+    """Null counts of the training frame, top 15."""
+    from rentlens.operators import frames
+    f = frames.model_frame(warehouse(spark, sf_dir))
+    return quality.profile_table(f, "model_frame", top=15)
+
+
+@register("negative_value_check", q("""
+SELECT count(*) FILTER (WHERE price < 0) AS negative_price FROM stg_listings
+"""))
+def negative_value_check(spark, sf_dir):
+    """Listings with a negative price (flagged, kept)."""
+    return cleaning.negative_value_check(warehouse(spark, sf_dir).stg_listings, ["price"])
+
+
+@register("negative_nights_check", q("""
+SELECT count(*) FILTER (WHERE minimum_nights < 0) AS negative_minimum_nights,
+       count(*) FILTER (WHERE maximum_nights < 0) AS negative_maximum_nights FROM stg_calendar
+"""))
+def negative_nights_check(spark, sf_dir):
+    """Calendar rows with negative minimum / maximum nights (kept)."""
+    return cleaning.negative_value_check(warehouse(spark, sf_dir).stg_calendar, ["minimum_nights", "maximum_nights"])
+
+
+@register("geo_bounds_check", q("SELECT count(*) FILTER (WHERE NOT location_is_valid) AS n_outside FROM stg_listings"))
+def geo_bounds_check(spark, sf_dir):
+    """Listings outside the coordinate box."""
+    return quality.geo_bounds_check(warehouse(spark, sf_dir).stg_listings)
+
+
+@register("calendar_coverage", q("""
+SELECT count(DISTINCT listing_id) AS n_listings, CAST(min(date) AS VARCHAR) AS min_date, CAST(max(date) AS VARCHAR) AS max_date
+FROM stg_calendar
+"""))
+def calendar_coverage(spark, sf_dir):
+    """Distinct listings and date range of the calendar."""
+    c = cleaning.calendar_coverage(warehouse(spark, sf_dir).stg_calendar)
+    return c.select("n_listings", F.col("min_date").cast("string"), F.col("max_date").cast("string"))
+
+
+@register("orphan_keys", q("""
+, ids AS (SELECT DISTINCT listing_id FROM stg_reviews)
+SELECT count(*) AS n_orphans FROM ids
+WHERE listing_id NOT IN (SELECT id FROM stg_listings WHERE property_type <> 'P')
+"""))
+def orphan_keys(spark, sf_dir):
+    """Distinct review listing ids absent from the listings (listing universe
+    restricted to non-'P' listings: the stand-in data has no orphans)."""
+    wh = warehouse(spark, sf_dir)
+    return cleaning.orphan_keys(wh.stg_reviews, wh.stg_listings.where(F.col("property_type") != "P"))
+
+
+@register("anti_join_orphans", q("""
+SELECT DISTINCT listing_id FROM stg_reviews WHERE listing_id NOT IN (SELECT id FROM stg_listings WHERE property_type <> 'P')
+"""))
+def anti_join_orphans(spark, sf_dir):
+    """The orphan review listing ids themselves (left anti join)."""
+    wh = warehouse(spark, sf_dir)
+    ids = wh.stg_reviews.select("listing_id").distinct()
+    lst = wh.stg_listings.where(F.col("property_type") != "P").select(F.col("id").alias("listing_id"))
+    return ids.join(lst, "listing_id", "left_anti")
+
+
+@register("short_text_check", q("SELECT count(*) FILTER (WHERE comment_length < 10) AS n_short FROM stg_reviews"))
+def short_text_check(spark, sf_dir):
+    """Reviews under 10 characters."""
+    return cleaning.short_text_check(warehouse(spark, sf_dir).stg_reviews)
+
+
+@register("clean_listings", q("""
+SELECT id, price, price_quote_price_per_night, price_is_valid, location_is_valid, has_reviews, room_type, property_type,
+       CAST(first_review AS VARCHAR) AS first_review, CAST(last_review AS VARCHAR) AS last_review
+FROM stg_listings
+"""))
+def clean_listings(spark, sf_dir):
+    """Cleaned listings: parsed prices, flags, trimmed categories, parsed dates, first row per id."""
+    s = warehouse(spark, sf_dir).stg_listings
+    return s.select("id", "price", "price_quote_price_per_night", "price_is_valid", "location_is_valid", "has_reviews",
+                    "room_type", "property_type", F.col("first_review").cast("string"),
+                    F.col("last_review").cast("string"))
+
+
+@register("clean_calendar", q("""
+SELECT listing_id, CAST(date AS VARCHAR) AS date, available, minimum_nights, maximum_nights FROM stg_calendar
+"""))
+def clean_calendar(spark, sf_dir):
+    """Cleaned calendar: parsed date, t/f to boolean, first row per (listing, date)."""
+    s = warehouse(spark, sf_dir).stg_calendar
+    return s.select("listing_id", F.col("date").cast("string"), "available", "minimum_nights", "maximum_nights")
+
+
+@register("clean_reviews", q("""
+SELECT listing_id, id, CAST(date AS VARCHAR) AS date, reviewer_id, comment_length FROM stg_reviews
+"""))
+def clean_reviews(spark, sf_dir):
+    """Cleaned reviews: parsed date, rows without text dropped, first row per id, text length."""
+    s = warehouse(spark, sf_dir).stg_reviews
+    return s.select("listing_id", "id", F.col("date").cast("string"), "reviewer_id", "comment_length")
+
+
+@register("clean_price", q("""
+SELECT id, price FROM stg_listings
+"""))
+def clean_price(spark, sf_dir):
+    """Money text ('$1,234.56') parsed back to a number for every raw listing."""
+    raw = _raw_listings(spark, sf_dir)
+    return raw.select("id", C.clean_price(F.col("price")).alias("price"))
+
+
+@register("map_available", q("""
+SELECT l_orderkey AS listing_id, l_linenumber, l_partkey, l_suppkey, l_linestatus = 'O' AS available FROM lineitem
+"""))
+def map_available(spark, sf_dir):
+    """'t'/'f' text of every raw calendar row mapped to boolean."""
+    raw = roles.raw_calendar(roles.DriverTables(spark, sf_dir))
+    return raw.select("listing_id", F.col("_ord.l_linenumber").alias("l_linenumber"),
+                      F.col("_ord.l_partkey").alias("l_partkey"), F.col("_ord.l_suppkey").alias("l_suppkey"),
+                      C.map_available(F.col("available")).alias("available"))
+
+
+@register("dedup_first", q("""
+SELECT count(*) AS n_rows, count(DISTINCT (listing_id, date)) AS n_keys FROM stg_calendar
+"""))
+def dedup_first(spark, sf_dir):
+    """After first-row dedup every (listing, date) key is unique."""
+    s = warehouse(spark, sf_dir).stg_calendar
+    return s.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("listing_id", "date").alias("n_keys"))
+
+
+@register("parse_dates", q("""
+SELECT count(first_review) AS n_first, count(last_review) AS n_last FROM stg_listings
+"""))
+def parse_dates(spark, sf_dir):
+    """Parsed review dates present after cleaning."""
+    s = warehouse(spark, sf_dir).stg_listings
+    return s.agg(F.count("first_review").alias("n_first"), F.count("last_review").alias("n_last"))
+
+
+@register("trim_categories", q("SELECT property_type, count(*) AS n FROM stg_listings GROUP BY 1"))
+def trim_categories(spark, sf_dir):
+    """Property types after whitespace trimming."""
+    return warehouse(spark, sf_dir).stg_listings.groupBy("property_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("point_in_set", q("""
+SELECT count(*) AS n FROM dash WHERE neighbourhood_group IN ('ASIA', 'EUROPE') AND room_type IN ('1-URGENT', '2-HIGH')
+"""))
+def point_in_set(spark, sf_dir):
+    """IN-list filters over the dashboard frame."""
+    from rentlens.operators import frames
+    d = market.dashboard_filter(frames.dashboard_frame(warehouse(spark, sf_dir)), groups=["ASIA", "EUROPE"],
+                                room_types=["1-URGENT", "2-HIGH"], price_range=(float("-inf"), float("inf")),
+                                segments=None)
+    return d.agg(F.count(F.lit(1)).alias("n"))
