@@ -128,7 +128,7 @@ def add_sentiment(df: DataFrame, text_col: str) -> DataFrame:
     # previous token of each position, as an aligned array: no lambda below
     # refers to an outer array, so a pushed-down copy of this expression
     # stays linear in the text length
-    prev = F.concat(F.array(F.lit("")), F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
+    prev = F.slice(F.concat(F.array(F.lit("")), toks), 1, F.size(toks))  # same length as toks
 
     def weight(t, p):
         base = F.coalesce(F.element_at(lex, t), F.lit(0.0))
