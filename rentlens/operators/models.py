@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from rentlens.operators import features as FT
 from rentlens.operators import stats
+from rentlens.session import checkpoint_dir
 
 # --- fixed values -----------------------------------------------------------
 RIDGE_ALPHA = 10.0
@@ -111,7 +112,10 @@ def cross_validate(frame: DataFrame, kind: str, k: int = N_FOLDS, seed: int = SE
     part), predict the fold.  Returns (out-of-fold predictions, per-fold
     metrics rows)."""
     spark = frame.sparkSession
-    data = with_folds(frame, k, seed)
+    checkpoint_dir(spark)
+    # every fold reads the frame twice (fit, metrics): cut its lineage once,
+    # in the shared checkpoint folder (survives executor loss)
+    data = with_folds(frame, k, seed).checkpoint(eager=True)
     preds, rows = [], []
     for f in range(k):
         tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
