@@ -74,6 +74,16 @@ def with_locator(df: DataFrame, columns: list[str], name: str) -> DataFrame:
         return saved(df.select(*columns), name).select(*columns, *place)
 
 
+def located_whole(docs: DataFrame, name: str) -> DataFrame:
+    """Every row as one struct ``whole`` with its place; see ``with_locator``."""
+    return with_locator(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")), ["whole"], name)
+
+
+def without_places(located: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``located_whole`` that are not at ``places`` (a saved table), as they were."""
+    return join_small(located, places, ["loc_file", "loc_row"], "left_anti").select("whole.*")
+
+
 # --- Arrow columns as byte buffers ------------------------------------------------------------
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import LOWER, join_small, saved, shared_path, text_slices, with_locator
+from .common import LOWER, join_small, located_whole, saved, shared_path, text_slices, with_locator, without_places
 
 #: Files of the digest table in one micro-batch.
 FILES_PER_BATCH = 4096
@@ -42,12 +42,11 @@ _STATE_CONF = {
 }
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 32) -> DataFrame:
-    """id, loc_file, loc_row, n_bytes, digest, sha of every row's normalised text.
+def digests(located: DataFrame, digest_bytes: int = 32) -> DataFrame:
+    """id, loc_file, loc_row, n_bytes, digest, sha of rows (id, body, loc_file, loc_row), over the normalised text.
 
     ``digest`` is the first ``digest_bytes`` of the SHA-256; fewer make collisions for tests.
     """
-    located = with_locator(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")), ["id", "body"], "dedup-rows")
     fields = located.drop("body").schema.fields
     schema = StructType(fields).add("n_bytes", "long").add("digest", "binary").add("sha", "binary")
 
@@ -92,8 +91,20 @@ def keyed_state(table_path: str, schema: StructType, spark, state_dir: str, file
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 32,
                 state_dir: str | None = None) -> DataFrame:
     """id, loc_file, loc_row, n_bytes, sha, keep (struct of the row that stays), group_size, kept: one row per row."""
-    spark = docs.sparkSession
-    table = digests(docs, id_col, text_col, digest_bytes)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"))
+    return _dedup(with_locator(rows, ["id", "body"], "dedup-rows"), digest_bytes, state_dir)
+
+
+def keep_last(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents of which one per normalised text stays (its largest id), with all their columns."""
+    located = located_whole(docs, "dedup-docs")
+    found = _dedup(located.select(F.col(f"whole.`{id_col}`").alias("id"), F.col(f"whole.`{text_col}`").alias("body"), "loc_file", "loc_row"))
+    return without_places(located, saved(found.filter("not kept").select("loc_file", "loc_row"), "dedup-dropped"))
+
+
+def _dedup(located: DataFrame, digest_bytes: int = 32, state_dir: str | None = None) -> DataFrame:
+    spark = located.sparkSession
+    table = digests(located, digest_bytes)
     path, schema = shared_path(spark, "dedup-digests"), table.schema
     table.write.parquet(path)
     slim = spark.read.schema(schema).parquet(path)
@@ -101,7 +112,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     state = keyed_state(path, schema, spark, state_dir) if slim.limit(1).count() else _empty_state(slim)
     several = saved(state.filter("n > 1"), "dedup-several")
     hits = saved(join_small(slim, several, "digest"), "dedup-hits")
-    odd = _differing(docs, text_col, hits)
+    odd = _differing(located, hits)
     me = F.struct("id", "loc_file", "loc_row")
     single = (join_small(slim, several, "digest", "left_anti")
               .select("id", "loc_file", "loc_row", "n_bytes", "sha", me.alias("keep"), F.lit(1).cast("long").alias("group_size")))
@@ -117,10 +128,10 @@ def _empty_state(slim: DataFrame) -> DataFrame:
     return slim.select("digest", F.lit(0).cast("long").alias("n"), F.struct("id", "loc_file", "loc_row").alias("keep"))
 
 
-def _differing(docs: DataFrame, text_col: str, hits: DataFrame) -> DataFrame | None:
+def _differing(located: DataFrame, hits: DataFrame) -> DataFrame | None:
     """Compares every hit with the kept text, byte for byte; the classes of digests that hold different texts, or None."""
     lower = F.translate(F.coalesce(F.col("body"), F.lit("")), _UPPER, _SMALL)
-    located = with_locator(docs.select(F.col(text_col).alias("body")), ["body"], "dedup-bodies")
+    located = located.select("body", "loc_file", "loc_row")
     places = hits.select("loc_file", "loc_row", "digest", "id", "sha", "n_bytes", F.col("keep").alias("keep_"))
     text = saved(join_small(located, places, ["loc_file", "loc_row"]).withColumn("body", lower), "dedup-text")
     first = (text.filter((F.col("loc_file") == F.col("keep_.loc_file")) & (F.col("loc_row") == F.col("keep_.loc_row")))

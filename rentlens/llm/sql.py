@@ -4,6 +4,7 @@ from __future__ import annotations
 
 #: Fixed values of the contracts.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
+ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -58,8 +59,48 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY body)"""
 
 
+def jaccard(docs: str = "documents") -> str:
+    low = LOWERED.format("coalesce(text, '')")
+    return rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({low}, '{SPACED_WORD}') AS w FROM {docs}),
+g AS (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                            ELSE [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)] END) AS s FROM d),
+n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+pairs AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM g x JOIN g y ON x.s = y.s AND x.r < y.r GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON edges.a = reach.b),
+least_ AS (SELECT a, min(doc_id) AS m FROM reach JOIN d ON d.r = b GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.r = d.r LEFT JOIN least_ ON least_.a = d.r"""
+
+
+def contamination(docs: str = "documents", bench: str = "benchmark") -> str:
+    words = f"regexp_extract_all({LOWERED.format('text')}, '{ALNUM_WORD}')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce({words}, []) AS w FROM {docs}),
+b AS (SELECT item_id, {words} AS w FROM {bench}),
+test AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 13 THEN [w] ELSE [w[i:i + 12] FOR i IN range(1, len(w) - 11)] END) AS g
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(g) AS m FROM test),
+places AS (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d CROSS JOIN sizes WHERE len(w) >= m),
+hits AS (SELECT doc_id, i, m, item_id FROM places JOIN test ON m = len(g) AND w[i:i + m - 1] = g),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "op3_jaccard_join": jaccard(),
         "op5_mix_to_weights": mixing(),
         "op9_exact_dedup": exact(),
+        "op10_decontaminate": contamination(),
     }
