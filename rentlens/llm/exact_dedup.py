@@ -39,6 +39,8 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # small states: no file space is reserved ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
