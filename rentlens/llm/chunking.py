@@ -98,7 +98,8 @@ def chunk_table(located: DataFrame, low: int = MIN_BYTES, bits: int = BITS, high
     return located.select("body", "id", "loc_file", "loc_row").mapInArrow(run, schema)
 
 
-def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: int = MIN_BYTES, bits: int = BITS, high: int = MAX_BYTES) -> DataFrame:
+def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: int = MIN_BYTES, bits: int = BITS, high: int = MAX_BYTES,
+                with_kept: bool = True) -> DataFrame:
     """id, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes), kept_sha: one row per document."""
     rows = docs.select(F.col(text_col).alias("body"), F.col(id_col).alias("id"))
     located = with_locator(rows, ["body", "id"], "chunk-rows")
@@ -108,11 +109,11 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = join_small(table.select("digest", "id", "loc_file", "loc_row", "start", "size"), several, "digest").where(me != F.col("first"))
     removed = saved(copies.groupBy("loc_file", "loc_row").agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans")), "chunk-removed")
     few = removed.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0] <= BROADCAST_CHUNKS
-    return _rebuilt(join_small(located, removed, ["loc_file", "loc_row"], "left", max_rows=BROADCAST_CHUNKS if few else 0))
+    return rebuilt(join_small(located, removed, ["loc_file", "loc_row"], "left", max_rows=BROADCAST_CHUNKS if few else 0), with_kept)
 
 
-def _rebuilt(marked: DataFrame) -> DataFrame:
-    """Texts less their spans, from rows (body, id, spans)."""
+def rebuilt(marked: DataFrame, with_kept: bool = True) -> DataFrame:
+    """Texts less their spans, from rows (body, id, spans); without ``with_kept`` only their digests."""
     source = marked.select("body", "id", F.col("spans.start").alias("starts"), F.col("spans.size").alias("sizes"))
     schema = StructType([source.schema["id"]]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary").add("kept_sha", "binary")
 
@@ -132,7 +133,7 @@ def _rebuilt(marked: DataFrame) -> DataFrame:
                         gone = int(lost.sum())
                         runs = int(lost[0]) + int((lost[1:] & ~lost[:-1]).sum())
                         kept = np.frombuffer(kept, np.uint8)[~lost].tobytes()
-                    for column, value in zip(out, (b - a, gone, runs, kept, hashlib.sha256(kept).digest()), strict=True):
+                    for column, value in zip(out, (b - a, gone, runs, kept if with_kept else None, hashlib.sha256(kept).digest()), strict=True):
                         column.append(value)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=schema.names)

@@ -124,20 +124,6 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tupl
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for k, base in enumerate((int(_P), pow(int(_P), -1, 1 << 64))):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0], _powers[1]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (splitmix64)."""
     x = x.copy()
@@ -149,19 +135,46 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+class Roller:
+    """64-bit hashes of byte ranges from running polynomial sums modulo 2**64, for an odd base."""
+
+    def __init__(self, base: int):
+        self.bases = base, pow(base, -1, 1 << 64)
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def __reduce__(self):  # the tables are made where they are used
+        return Roller, (self.bases[0],)
+
+    def _tables(self, n: int) -> list[np.ndarray]:
+        if len(self.powers[0]) < n:
+            for k, base in enumerate(self.bases):
+                steps = np.full(max(n, 1 << 16), base, np.uint64)
+                steps[0] = 1
+                self.powers[k] = np.multiply.accumulate(steps)
+        return self.powers
+
+    def sums(self, raw: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * self._tables(len(raw) + 1)[0][:len(raw)], out=out[1:])
+        return out
+
+    def hashes(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The hash of each byte range [start, end), from its bytes and length alone."""
+        h = (sums[ends] - sums[starts]) * self._tables(len(sums))[1][starts]
+        return mix64(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
+_WORDS = Roller(0x9E3779B97F4A7C15)
+
+
 def prefix_sums(raw: np.ndarray) -> np.ndarray:
-    """Running polynomial sums of bytes, modulo 2**64; see ``range_hash``."""
-    up, _ = _power_tables(len(raw) + 1)
-    out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=out[1:])
-    return out
+    """Running sums of bytes; see ``range_hash``."""
+    return _WORDS.sums(raw)
 
 
 def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range [start, end), from its bytes and length alone."""
-    _, down = _power_tables(len(sums))
-    h = (sums[ends] - sums[starts]) * down[starts]
-    return mix64(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    """64-bit hash of each byte range [start, end)."""
+    return _WORDS.hashes(sums, starts, ends)
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

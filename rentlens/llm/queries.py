@@ -17,6 +17,7 @@ from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
 from .mixing import mix
+from .suffix_dedup import suffix_dedup
 from .warc import round_trip
 
 
@@ -56,8 +57,13 @@ def op5_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"), with_kept=False).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept_sha")).alias("kept_sha256"))
+
+
 def op7_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_dedup(table(spark, sf_dir, "documents")).select(
+    return chunk_dedup(table(spark, sf_dir, "documents"), with_kept=False).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept_sha")).alias("kept_sha256"))
 
 
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_toxicity_pu": op4_toxicity_pu,
     "op5_mix_to_weights": op5_mix_to_weights,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_gear_chunks": op7_gear_chunks,
     "op8_warc_chunks": op8_warc_chunks,
     "op9_exact_dedup": op9_exact_dedup,
