@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import join_small, mix64, saved, text_slices, with_locator
+from .common import in_arrow, join_small, mix64, saved, text_slices, with_locator
 
 MIN_BYTES, BITS, MAX_BYTES = 32, 6, 512
 #: Repeated digests and documents are broadcast only up to so many removed chunks in all.
@@ -95,7 +95,7 @@ def chunk_table(located: DataFrame, low: int = MIN_BYTES, bits: int = BITS, high
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).take(at) for k in (1, 2, 3)), pa.array(start, pa.int32()), pa.array(size, pa.int32()),
                                                   pa.array(digest, pa.binary())], names=schema.names)
 
-    return located.select("body", "id", "loc_file", "loc_row").mapInArrow(run, schema)
+    return located.select("body", "id", "loc_file", "loc_row").transform(in_arrow, run, schema)
 
 
 def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: int = MIN_BYTES, bits: int = BITS, high: int = MAX_BYTES,
@@ -138,4 +138,4 @@ def rebuilt(marked: DataFrame, with_kept: bool = True) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(1), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.transform(in_arrow, run, schema)

@@ -23,7 +23,9 @@ from rentlens.session import checkpoint_dir
 #: A side of a join is broadcast only if it has been counted to have no more rows.
 BROADCAST_ROWS = 200_000
 #: Bytes of text that the vectorised steps hold at once (one longer document is held alone).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
+#: Bytes of an Arrow batch, so that long texts do not add up (Spark counts rows only up to 64 MB).
+BATCH_BYTES = 8 << 20
 
 #: Fixed values of the contracts, as byte classes: white space that splits words.
 SPACE = np.zeros(256, bool)
@@ -61,6 +63,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_row
     return big.join(F.broadcast(small) if fits else small, on, how)
 
 
+def in_arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``mapInArrow`` with batches of at most ``BATCH_BYTES``, unless the session has a limit of its own."""
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(key) == "67108864b":  # Spark's default
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def with_locator(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     """``columns`` of ``df`` with ``loc_file`` and ``loc_row``, the place of each row in its file.
 

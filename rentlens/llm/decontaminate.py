@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from .common import WORD_CHAR, located_whole, lowered, saved, text_slices, with_locator, without_places, word_hashes, word_spans
+from .common import WORD_CHAR, in_arrow, located_whole, lowered, saved, text_slices, with_locator, without_places, word_hashes, word_spans
 
 #: Fixed values of the contract: words in a window; hit words times this at least the words of a contaminated document.
 WINDOW = 13
@@ -198,7 +198,7 @@ def _search(located: DataFrame, block, keys: list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()),
                                               pa.array(items, pa.list_(pa.string()))], names=schema.names)
 
-    return located.mapInArrow(run, schema)
+    return located.transform(in_arrow, run, schema)
 
 
 def _found(located: DataFrame, bench: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> DataFrame:
@@ -259,7 +259,7 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
                         yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(doc + i)), pa.array(word), pa.array(list(b.names[item]), pa.string()),
                                                           pa.array(there), pa.array(n)], names=schema.names)
 
-        part = source.mapInArrow(run, schema)
+        part = source.transform(in_arrow, run, schema)
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], schema)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import LOWER, join_small, located_whole, saved, shared_path, text_slices, with_locator, without_places
+from .common import LOWER, in_arrow, join_small, located_whole, saved, shared_path, text_slices, with_locator, without_places
 
 #: Files of the digest table in one micro-batch.
 FILES_PER_BATCH = 4096
@@ -65,7 +65,7 @@ def digests(located: DataFrame, digest_bytes: int = 32) -> DataFrame:
                  pa.array([s[:digest_bytes] for s in shas], pa.binary()), pa.array(shas, pa.binary())],
                 names=schema.names)
 
-    return located.mapInArrow(run, schema)
+    return located.transform(in_arrow, run, schema)
 
 
 def keyed_state(table_path: str, schema: StructType, spark, state_dir: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:

@@ -41,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from .common import NOT_SPACE, join_small, located_whole, lowered, mix64, saved, text_slices, with_locator, without_places, word_hashes, word_spans
+from .common import NOT_SPACE, in_arrow, join_small, located_whole, lowered, mix64, saved, text_slices, with_locator, without_places, word_hashes, word_spans
 
 #: Fixed values of the contract.
 WORDS, PART, WHOLE = 4, 85, 100
 #: An index list beyond this many entries makes its token a frequent one; so many frequent tokens are kept (8 bytes each).
-LONG_LIST, MOST_FREQUENT = 256, 200_000
+LONG_LIST, MOST_FREQUENT = 100, 200_000
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -108,7 +108,7 @@ def shapes(located: DataFrame, words: int, part: int, whole: int) -> DataFrame:
                 [pa.array(nodes), *batch.columns[1:], pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))], names=schema.names)
 
-    return located.mapInArrow(run, schema)
+    return located.transform(in_arrow, run, schema)
 
 
 def full_sets(located: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -125,7 +125,7 @@ def full_sets(located: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                     [batch.column(1).slice(i, j - i), pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(sets)))],
                     names=["node", "tokens"])
 
-    return rows.mapInArrow(run, "node long, tokens array<long>")
+    return rows.transform(in_arrow, run, "node long, tokens array<long>")
 
 
 def prefixes(reps: DataFrame, located: DataFrame, frequent: np.ndarray, words: int, part: int, whole: int) -> tuple[DataFrame, DataFrame | None]:
@@ -157,12 +157,12 @@ def prefixes(reps: DataFrame, located: DataFrame, frequent: np.ndarray, words: i
             yield lists(batch, np.diff(np.asarray(batch.column(1).offsets)).tolist(), batch.column(1), True)
 
     schema = "node long, n int, prefix array<long>"
-    headed = saved(reps.select("node", "n", "head").mapInArrow(from_head, schema), "jaccard-prefix")
+    headed = saved(reps.select("node", "n", "head").transform(in_arrow, from_head, schema), "jaccard-prefix")
     short = saved(headed.filter("prefix is null").select("node"), "jaccard-short")
     if not short.limit(1).count():
         return headed, None
     places = saved(join_small(reps.select("node", "loc_file", "loc_row"), short, "node"), "jaccard-short-places")
-    return headed.filter("prefix is not null"), saved(full_sets(located, places, words).mapInArrow(from_set, schema), "jaccard-reread")
+    return headed.filter("prefix is not null"), saved(full_sets(located, places, words).transform(in_arrow, from_set, schema), "jaccard-reread")
 
 
 def _postings(prefix: DataFrame) -> DataFrame:
@@ -196,13 +196,27 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 class _Verifier:
-    """Exact intersections of pairs of nodes; full sets are made once for every node that is asked for."""
+    """Exact intersections of the pairs of nodes that may be near enough.
 
-    def __init__(self, located: DataFrame, reps: DataFrame, words: int):
-        self.located, self.reps, self.words, self.sets, self.known = located, reps, words, None, None
+    Heads settle most pairs: if two sets share ``need`` tokens, then the first
+    ``n - need + k`` tokens of both share ``k``. Full sets are made only for
+    what is left, once for every node that is asked for.
+    """
+
+    def __init__(self, located: DataFrame, reps: DataFrame, words: int, part: int, whole: int):
+        self.located, self.reps, self.words, self.least, self.sets, self.known = located, reps, words, part / whole, None, None
+
+    def _possible(self, pairs: DataFrame) -> DataFrame:
+        head = lambda c: self.reps.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("head").alias(f"h{c}"))
+        t = F.lit(self.least) - F.col("slack") - 1e-9
+        need = F.ceil(t / (t + 1) * (F.col("na") + F.col("nb")))
+        k = F.least(F.size("ha") - F.col("na"), F.size("hb") - F.col("nb")) + need
+        return saved(pairs.join(head("a"), "a").join(head("b"), "b").where((k <= 0) | (F.size(F.array_intersect("ha", "hb")) >= k))
+                     .select("a", "b"), "jaccard-possible")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
-        """a, b, both (intersection size), na, nb of the distinct pairs (a, b)."""
+        """a, b, both (intersection size), na, nb of those of the distinct pairs (a, b, slack) whose distance may be within the limit plus slack."""
+        pairs = self._possible(pairs)
         asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         if self.known is not None:
             asked = asked.join(self.known, "node", "left_anti")
@@ -281,8 +295,8 @@ def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int,
     star = (own.unionByName(next_).where(F.col("node") != F.col("lead.node"))
             .where(_may_link(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), part, whole)))
     tested = saved(star.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct(), "jaccard-star")
-    verify = _Verifier(located, reps, words)
-    checked = verify(tested)
+    verify = _Verifier(located, reps, words, part, whole)
+    checked = verify(tested.withColumn("slack", F.lit(0.0)))
     links = checked.filter(_linked(part, whole))
     root = components(links)
 
@@ -304,19 +318,22 @@ def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int,
                 & (F.least(F.col("e.hi") - F.col("e.pos"), F.col("f.hi") - F.col("f.pos")) * (whole + part) >= (F.col("e.lo") + F.col("f.lo")) * part))
     pairs = saved(e.join(f, (F.col("e.token") == F.col("f.token")) & (F.col("e.x") < F.col("f.x")) & (F.col("e.c") != F.col("f.c")) & possible)
                   .select(F.col("e.x").alias("a"), F.col("f.x").alias("b")).distinct(), "jaccard-anchor-pairs")
-    fresh = saved(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-fresh")
-    of_pairs = checked.join(pairs, ["a", "b"], "left_semi").unionByName(verify(fresh)) if fresh.limit(1).count() else checked.join(pairs, ["a", "b"], "left_semi")
-    more = of_pairs.filter(_linked(part, whole)).select("a", "b")
-
+    # an anchor's radius: its farthest member. Members of a are sets anchored at a, and a itself
     member = anchor.select("node", F.col("anchor").alias("x"), "d", F.col("root").alias("c"))
     member = saved(member.unionByName(anchor.select("node", F.col("node").alias("x"), F.lit(0.0).alias("d"), F.col("root").alias("c"))), "jaccard-members")
-    # members of x: sets anchored at x, and x itself
     reach = member.groupBy("x").agg(F.max("d").alias("r"))
+    pairs = saved(pairs.join(reach.select(F.col("x").alias("a"), F.col("r").alias("ra")), "a", "left").join(
+        reach.select(F.col("x").alias("b"), F.col("r").alias("rb")), "b", "left").select(
+            "a", "b", (F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0))).alias("slack")), "jaccard-slack")
+    fresh = pairs.join(checked, ["a", "b"], "left_anti")
+    fresh = saved(fresh.filter("slack > 0").unionByName(fresh.filter("slack = 0").join(tested, ["a", "b"], "left_anti")), "jaccard-fresh")
+    of_pairs = checked.select("a", "b", "both", "na", "nb")
+    if fresh.limit(1).count():
+        of_pairs = of_pairs.unionByName(verify(fresh))
+    of_pairs = of_pairs.join(pairs, ["a", "b"])
+    more = of_pairs.filter(_linked(part, whole)).select("a", "b")
     limit = 1 - part / whole
-    near = (of_pairs.withColumn("far", _distance())
-            .join(reach.select(F.col("x").alias("a"), F.col("r").alias("ra")), "a", "left").join(reach.select(F.col("x").alias("b"), F.col("r").alias("rb")), "b", "left")
-            .where((F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)) > 0)
-                   & (F.col("far") <= limit + F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)) + 1e-9)).select("a", "b", "far"))
+    near = of_pairs.withColumn("far", _distance()).where((F.col("slack") > 0) & (F.col("far") <= limit + F.col("slack") + 1e-9)).select("a", "b", "far")
     near = saved(near, "jaccard-near")
     if near.limit(1).count():
         sizes = reps.select("node", "n")
@@ -329,7 +346,7 @@ def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int,
                  .where((F.col("cx") != F.col("cy")) & (F.col("far") <= limit + F.col("dx") + F.col("dy") + 1e-9)
                         & (F.least("nx", "ny") * whole >= F.greatest("nx", "ny") * part))
                  .select(F.least("x_", "y_").alias("a"), F.greatest("x_", "y_").alias("b")).distinct())
-        cross = saved(cross.join(tested, ["a", "b"], "left_anti").join(fresh, ["a", "b"], "left_anti"), "jaccard-cross")
+        cross = saved(cross.join(tested, ["a", "b"], "left_anti").join(fresh, ["a", "b"], "left_anti").withColumn("slack", F.lit(0.0)), "jaccard-cross")
         if cross.limit(1).count():
             more = more.unionByName(verify(cross).filter(_linked(part, whole)).select("a", "b"))
     if not more.limit(1).count():

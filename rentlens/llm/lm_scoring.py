@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import NOT_SPACE, join_small, lowered, saved, text_slices, word_hashes, word_spans
+from .common import NOT_SPACE, in_arrow, join_small, lowered, saved, text_slices, word_hashes, word_spans
 
 V_WORDS, V_CLASSES, MIX = 65_536, 1024, 0.7
 #: Distinct words that a task holds before it hands them on.
@@ -78,7 +78,7 @@ def count_words(marked: DataFrame, flush: int = FLUSH) -> DataFrame:
         if held:
             yield _rows(*summed())
 
-    return marked.mapInArrow(run, _COUNTS).groupBy("key").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus"))
+    return marked.transform(in_arrow, run, _COUNTS).groupBy("key").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus"))
 
 
 @dataclass
@@ -121,7 +121,7 @@ def count_pairs(marked: DataFrame, vocabulary, classes: int) -> DataFrame:
         if len(at):
             yield _rows(at, target[at].astype(np.int64), corpus[at])
 
-    return marked.mapInArrow(run, _COUNTS).groupBy("key").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus"))
+    return marked.transform(in_arrow, run, _COUNTS).groupBy("key").agg(F.sum("target").alias("target"), F.sum("corpus").alias("corpus"))
 
 
 @dataclass
@@ -193,4 +193,4 @@ def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n.astype(np.int64)), pa.array(t / some), pa.array(b / some),
                                               pa.array((t - b) / some)], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.transform(in_arrow, run, schema)

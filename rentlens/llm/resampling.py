@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import NOT_SPACE, join_small, lowered, mix64, saved, text_slices, word_hashes, word_spans
+from .common import NOT_SPACE, in_arrow, join_small, lowered, mix64, saved, text_slices, word_hashes, word_spans
 
 BUCKETS = 10_000
 #: Share of the rows that are drawn.
@@ -68,7 +68,7 @@ def fit(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(target[at]), pa.array(raw[at])], names=["bucket", "target", "raw"])
 
-    sums = marked.mapInArrow(run, "bucket long, target long, raw long").groupBy("bucket").agg(
+    sums = marked.transform(in_arrow, run, "bucket long, target long, raw long").groupBy("bucket").agg(
         F.sum("target").alias("target"), F.sum("raw").alias("raw")).toPandas()  # at most ``buckets`` rows
     out = []
     for name in ("target", "raw"):
@@ -104,7 +104,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col:
             key = w - np.log(-np.log((u + 0.5) / 2.0**53))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(n.astype(np.int64)), pa.array(w), pa.array(key), pa.array(_ordered(key))], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.transform(in_arrow, run, schema)
 
 
 def kth_largest(keys: DataFrame, k: int) -> int | None:

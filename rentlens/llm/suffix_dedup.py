@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
 
 from .chunking import rebuilt
-from .common import BROADCAST_ROWS, Roller, join_small, saved, text_slices, with_locator
+from .common import BROADCAST_ROWS, Roller, in_arrow, join_small, saved, text_slices, with_locator
 
 #: Fixed value of the contract.
 LENGTH = 200
@@ -144,7 +144,7 @@ def segment_table(located: DataFrame, length: int = LENGTH, block: int = 1 << 21
                                                  names=schema.names)
                 node += j - i
 
-    return located.select("body", "loc_file", "loc_row").mapInArrow(run, schema)
+    return located.select("body", "loc_file", "loc_row").transform(in_arrow, run, schema)
 
 
 def halves(located: DataFrame, lists: DataFrame, width: int, length: int) -> DataFrame:
@@ -172,7 +172,7 @@ def halves(located: DataFrame, lists: DataFrame, width: int, length: int) -> Dat
                          pa.array(key.view(np.int64)), *(pa.array(x) for x in digest(raw, a, e, sums)), pa.array(n)], names=names)
 
     return (_with_lists(located, lists, ["first"]).select("body", "node", "first", "size", "d", "n")
-            .mapInArrow(run, "node long, first int, size int, d int, key long, h1 long, h2 long, n long"))
+            .transform(in_arrow, run, "node long, first int, size int, d int, key long, h1 long, h2 long, n long"))
 
 
 def _with_lists(located: DataFrame, lists: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
@@ -196,7 +196,7 @@ def fetch(located: DataFrame, lists: DataFrame, length: int) -> DataFrame:
                                                  names=["key", "node", "first", "n", "piece"])
 
     return (_with_lists(located, lists, ["first"]).select("body", "node", "first", "size", "key", "n")
-            .mapInArrow(run, "key long, node long, first int, n long, piece binary"))
+            .transform(in_arrow, run, "key long, node long, first int, n long, piece binary"))
 
 
 # --- sorting within a task ---------------------------------------------------------------------
@@ -298,7 +298,7 @@ def sort_pieces(pieces: DataFrame, length: int, batch_bytes: int = 4 << 20) -> D
     def _columns(table):
         return (*(table.column(c).to_numpy() for c in range(4)), table.column(4).to_pylist())
 
-    return pieces.repartition("key").sortWithinPartitions("key").mapInArrow(run, "node long, first int, size int")
+    return pieces.repartition("key").sortWithinPartitions("key").transform(in_arrow, run, "node long, first int, size int")
 
 
 # --- the job -----------------------------------------------------------------------------------
@@ -349,7 +349,7 @@ def _merged(lists: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())])))],
                                              names=["node", "spans"])
 
-    return lists.select("node", "first", "size").mapInArrow(run, schema)
+    return lists.select("node", "first", "size").transform(in_arrow, run, schema)
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, hot: int = HOT,

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import WORD_CHAR, lowered, prefix_sums, range_hash, saved, text_slices, word_spans
+from .common import WORD_CHAR, in_arrow, lowered, prefix_sums, range_hash, saved, text_slices, word_spans
 
 #: Fixed values of the contract.
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 3, 1, 0.7
@@ -100,7 +100,7 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, n_pos
             if out:
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.concat_arrays(out)], names=["positive", "features"])
 
-    return texts.mapInArrow(run, "positive int, features array<int>"), prior
+    return texts.transform(in_arrow, run, "positive int, features array<int>"), prior
 
 
 def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 200, rate: float = 0.05, decay: float = 1e-4,
@@ -176,7 +176,7 @@ def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: li
             s = scores(shared.value, batch.column(0))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return source.transform(in_arrow, run, schema)
 
 
 def drop_toxic(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -187,4 +187,4 @@ def drop_toxic(docs: DataFrame, model: Model | None, text_col: str = "text", thr
         for batch in batches:
             yield batch.filter(pa.array(scores(shared.value, batch.column(at)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_arrow, run, docs.schema)

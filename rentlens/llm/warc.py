@@ -35,7 +35,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_small, saved, shared_path, text_slices, with_locator
+from .common import in_arrow, join_small, saved, shared_path, text_slices, with_locator
 
 CHUNK_BYTES = 1 << 20
 #: Fixed values of the format.
@@ -60,7 +60,7 @@ def payload_digests(located: DataFrame) -> DataFrame:
                 n += np.diff(off).tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n, pa.int64()), pa.array(sha, pa.binary())], names=schema.names)
 
-    return located.select("body", "id", "loc_file", "loc_row").mapInArrow(run, schema)
+    return located.select("body", "id", "loc_file", "loc_row").transform(in_arrow, run, schema)
 
 
 def revisits(slim: DataFrame, min_revisit_bytes: int) -> DataFrame:
@@ -128,7 +128,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", paylo
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([n])], names=["path", "records"])
 
-    return saved(rows.mapInArrow(run, "path string, records long"), "warc-manifest")
+    return saved(rows.transform(in_arrow, run, "path string, records long"), "warc-manifest")
 
 
 def read_members(stream, chunk_bytes: int = CHUNK_BYTES):
@@ -231,7 +231,7 @@ def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES, with_data
 
     # the paths are dealt out one per row, so archives are read side by side
     paths = manifest.select("path")
-    return paths.repartition(max(1, min(manifest.count(), 10_000)), F.xxhash64("path")).mapInArrow(run, schema)
+    return paths.repartition(max(1, min(manifest.count(), 10_000)), F.xxhash64("path")).transform(in_arrow, run, schema)
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str = "url",
