@@ -8,7 +8,7 @@ operators/  cleaning, warehouse, market / host / season queries, statistics,
             text jobs, amenity similarity, features and models
 plans/      the query registry used by ``__spark_entry__`` and the DuckDB
             oracle SQL that checks it
-streaming/  incremental (Structured Streaming) form of the month cut-off
+jobs/       submit modules: the pipeline and model training
 """
 
 from rentlens.session import get_spark, checkpoint_dir  # noqa: F401

@@ -73,13 +73,13 @@ def flag_has_reviews(n: Column) -> Column:
 def parse_date(c: Column) -> Column:
     """Text to date; unparsable text becomes NULL (``errors='coerce'``)."""
     s = strip_ws(c.cast("string"))
-    ts = F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(s, F.lit("yyyy/MM/dd")),
-    )
-    return ts.cast(T.DateType())
+    # the form of the text picks one format, so a row is parsed once
+    forms = [(r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"), (r"^\d{4}-\d{2}-\d{2} ", "yyyy-MM-dd HH:mm:ss"),
+             (r"^\d{4}-\d{2}-\d{2}T", "yyyy-MM-dd'T'HH:mm:ss"), (r"^\d{4}/\d{2}/\d{2}$", "yyyy/MM/dd")]
+    out = F.lit(None).cast(T.DateType())
+    for pattern, fmt in reversed(forms):
+        out = F.when(s.rlike(pattern), F.try_to_timestamp(s, F.lit(fmt)).cast(T.DateType())).otherwise(out)
+    return out
 
 
 def map_available(c: Column) -> Column:

@@ -1,14 +1,15 @@
-"""Text rules as column expressions (no Python UDFs).
+"""Text rules as column expressions, and the text scorer.
 
-Licence classification and number extraction, amenity list parsing,
-tokenising, and two small word-table scorers that stand in for the
-reference's per-row libraries (a sentiment lexicon and a language detector).
-The scorers run as higher-order functions inside one projection, so a
-document is scored where it is read: no explode, no shuffle, whole texts.
+Licence classification and number extraction, amenity list parsing, and a
+scorer for sentiment and language that stands in for the reference's per-row
+libraries.  The scorer is one Arrow-batched pass over whole texts with hash
+look-ups of each word: a document is scored where it is read, without explode
+or shuffle.  Its word tables are arguments.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,30 +25,25 @@ NO_LICENSE, OTHER = "no_license", "other"
 # HTML line breaks in review text.
 BREAKS = ["<br/>", "<br>"]
 
-# Sentiment word weights on a -4..+4 scale (this project's own small table,
-# not a published lexicon), the negation words, the scale applied to a word
-# right after a negation word, and the normalisation constant of the
-# compound score s / sqrt(s^2 + ALPHA).
-SENTIMENT_WEIGHTS = {
-    "amazing": 2.8, "awesome": 3.1, "beautiful": 2.9, "best": 3.2, "charming": 2.3, "clean": 1.7,
-    "comfortable": 2.0, "convenient": 1.6, "cosy": 1.9, "cozy": 1.9, "delightful": 2.8, "easy": 1.4,
-    "enjoy": 2.1, "enjoyed": 2.2, "excellent": 3.0, "fabulous": 3.0, "fantastic": 2.9, "friendly": 2.1,
-    "good": 1.9, "great": 3.1, "happy": 2.7, "helpful": 1.8, "highly": 1.2, "ideal": 2.2, "impeccable": 2.6,
-    "love": 3.2, "loved": 2.9, "lovely": 2.8, "nice": 1.8, "peaceful": 2.0, "perfect": 2.7, "perfectly": 2.6,
-    "pleasant": 2.3, "quiet": 1.0, "recommend": 1.6, "recommended": 1.5, "relaxing": 2.0, "spacious": 1.5,
-    "spotless": 2.2, "stunning": 2.9, "super": 2.9, "thank": 1.5, "thanks": 1.9, "welcoming": 2.1,
-    "wonderful": 2.7, "warm": 0.9, "bad": -2.5, "broken": -1.9, "dirty": -1.9, "disappointed": -1.9,
-    "disappointing": -2.2, "disgusting": -2.9, "awful": -2.0, "horrible": -2.5, "terrible": -2.1, "worst": -3.1,
-    "noisy": -1.0, "noise": -0.8, "rude": -2.0, "smelly": -1.6, "smell": -0.5, "uncomfortable": -1.6,
-    "unfortunately": -1.4, "problem": -1.7, "problems": -1.7, "issue": -0.9, "issues": -0.9, "poor": -2.1,
-    "small": -0.2, "cold": -0.4, "expensive": -0.9, "avoid": -1.2, "scam": -2.6, "complaint": -1.5,
-    "mess": -1.5, "hate": -2.7, "sad": -2.1, "wrong": -2.1, "ugly": -2.3, "unsafe": -2.0, "cockroaches": -1.8,
+# Sentiment words by strength: a hand-made table of words that reviews use, each
+# graded from 1 (mild) to 3 (strong) for this project; no published lexicon
+# was used.  Words right after a negation word count with the opposite sign and
+# half the strength; compound score s / sqrt(s^2 + ALPHA).
+SENTIMENT_GRADES = {
+    3: "amazing awesome best excellent fabulous fantastic love loved perfect perfectly stunning wonderful",
+    2: ("beautiful charming delightful enjoy enjoyed friendly good great happy helpful ideal impeccable lovely nice "
+        "pleasant relaxing spotless super welcoming"),
+    1: "clean comfortable convenient cosy cozy easy highly peaceful quiet recommend recommended spacious thank thanks warm",
+    -1: "cold expensive issue issues noise noisy small smell unfortunately",
+    -2: "avoid bad broken complaint dirty disappointed disappointing mess poor problem problems rude sad smelly ugly uncomfortable wrong",
+    -3: "awful cockroaches disgusting hate horrible scam terrible unsafe worst",
 }
+SENTIMENT_WEIGHTS = {w: float(grade) for grade, words in SENTIMENT_GRADES.items() for w in words.split()}
 NEGATIONS = ["not", "no", "never", "nothing", "nowhere", "neither", "nor", "none", "hardly", "without",
              "don't", "doesn't", "didn't", "isn't", "wasn't", "aren't", "weren't", "won't", "can't", "cannot",
              "couldn't", "wouldn't", "shouldn't"]
-NEGATION_SCALE = -0.74
-ALPHA = 15.0
+NEGATION_SCALE = -0.5
+ALPHA = 20.0
 POSITIVE_CUT, NEGATIVE_CUT = 0.05, -0.05
 
 # Function words used to vote for a language (this project's own short
@@ -61,15 +57,18 @@ LANGUAGE_WORDS = {
            "dans", "pas", "au", "aux", "était", "sur", "mais", "ce", "cette", "tout", "il", "elle"],
     "de": ["der", "die", "das", "und", "ist", "sehr", "mit", "für", "ein", "eine", "wir", "nicht", "auf",
            "den", "dem", "zu", "war", "sich", "auch", "es", "von", "wie", "aber", "im", "bei"],
+    "it": ["il", "gli", "della", "che", "è", "molto", "con", "per", "una", "di", "non", "sono", "anche",
+           "ci", "nel", "alla", "stato", "questo", "più", "ma", "tutto", "noi", "dal", "ed", "era"],
+    "pt": ["o", "os", "as", "e", "é", "muito", "com", "para", "uma", "não", "que", "do", "da", "nos",
+           "mas", "foi", "em", "no", "na", "mais", "tudo", "este", "são", "ao", "bem"],
+    "nl": ["het", "een", "en", "is", "zeer", "met", "voor", "van", "niet", "wij", "dat", "op", "aan",
+           "te", "ook", "naar", "heel", "maar", "bij", "was", "zijn", "uit", "om", "deze", "onze"],
 }
-LANGUAGE_ORDER = ["en", "es", "fr", "de"]  # tie-break order of the votes
+LANGUAGE_ORDER = ["en", "es", "fr", "de", "it", "pt", "nl"]  # tie-break order of the votes
 MIN_LANG_CHARS = 10
 UNKNOWN = "unknown"
 # -----------------------------------------------------------------------------
 
-TOKEN_SPLIT = r"[^\p{L}']+"
-
-
 def license_category(c: Column, version: int = 2, rules=None) -> Column:
     """Priority classification: first matching rule wins; empty -> no_license."""
     rules = rules or (LICENSE_RULES_V1 if version == 1 else LICENSE_RULES_V2)
@@ -96,59 +95,57 @@ def parse_amenities(c: Column) -> Column:
                                                         "[^a-z0-9 ]", ""))
 
 
-def strip_breaks(c: Column) -> Column:
-    out = c
-    for b in BREAKS:
-        out = F.replace(out, F.lit(b), F.lit(" "))
-    return out
-
-
-def tokens(c: Column) -> Column:
-    """Lower-cased word tokens (letters and apostrophes) of the whole text."""
-    t = F.split(F.lower(F.replace(strip_breaks(c), F.lit("’"), F.lit("'"))), TOKEN_SPLIT)
-    return F.filter(t, lambda x: x != "")
-
-
-def _lit_map(d: dict) -> Column:
-    return F.create_map(*[F.lit(x) for kv in sorted(d.items()) for x in kv])
-
-
-def add_sentiment(df: DataFrame, text_col: str) -> DataFrame:
-    """Add neg, neu, pos, compound from the word-weight table.
-
-    A word right after a negation word has its weight scaled by
-    NEGATION_SCALE.  neg/neu/pos are the shares of (weight - 1), 1 and
-    (weight + 1) over words, the compound score is s / sqrt(s^2 + ALPHA).
-    NULL or empty text scores zeros.  The token and weight arrays are
-    columns of their own, computed once per row (an array expression
-    referenced inside a lambda would be re-evaluated per element)."""
-    lex = _lit_map(SENTIMENT_WEIGHTS)
-    neg = F.array(*[F.lit(w) for w in NEGATIONS])
-    toks = F.col("_toks")
-    # previous token of each position, as an aligned array: no lambda below
-    # refers to an outer array, so a pushed-down copy of this expression
-    # stays linear in the text length
-    prev = F.slice(F.concat(F.array(F.lit("")), toks), 1, F.size(toks))  # same length as toks
-
-    def weight(t, p):
-        base = F.coalesce(F.element_at(lex, t), F.lit(0.0))
-        return F.when(F.array_contains(neg, p), base * F.lit(NEGATION_SCALE)).otherwise(base)
-
-    d = df.withColumn("_toks", tokens(F.coalesce(F.col(text_col), F.lit(""))))
-    d = d.withColumn("_v", F.zip_with(toks, prev, weight))
-    v = F.col("_v")
-    d = d.withColumn("_sums", F.aggregate(
-        v, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("ps"), F.lit(0.0).alias("ns"), F.lit(0.0).alias("nu")),
-        lambda acc, x: F.struct((acc["s"] + x).alias("s"),
-                                (acc["ps"] + F.when(x > 0, x + 1).otherwise(F.lit(0.0))).alias("ps"),
-                                (acc["ns"] + F.when(x < 0, x - 1).otherwise(F.lit(0.0))).alias("ns"),
-                                (acc["nu"] + F.when(x == 0, F.lit(1.0)).otherwise(F.lit(0.0))).alias("nu"))))
-    s, ps, ns, nu = (F.col("_sums")[k] for k in ("s", "ps", "ns", "nu"))
-    total = ps + F.abs(ns) + nu
-    share = lambda x: F.when(total > 0, F.abs(x / total)).otherwise(F.lit(0.0))
-    compound = F.when(s == 0, F.lit(0.0)).otherwise(s / F.sqrt(s * s + F.lit(ALPHA)))
-    return (d.withColumn("neg", share(ns)).withColumn("neu", share(nu)).withColumn("pos", share(ps))
-            .withColumn("compound", compound).drop("_toks", "_v", "_sums"))
+def scores(c: Column, weights: dict = SENTIMENT_WEIGHTS, negations: list = NEGATIONS,
+           languages: dict = LANGUAGE_WORDS, order: list = LANGUAGE_ORDER) -> Column:
+    """struct(neg, neu, pos, compound, language) of a text.
+
+    Words are runs of letters and apostrophes in lower case.  neg/neu/pos are
+    the shares of (weight - 1), 1 and (weight + 1) over words; the compound
+    score is s / sqrt(s^2 + ALPHA) of the summed weights.  The language is the
+    one with most function words, ties by ``order``; short texts (without line
+    breaks and edge spaces) and texts without votes are 'unknown'.  NULL or
+    empty text scores zeros."""
+    # plain values, so that workers need nothing but the function
+    breaks, scale, alpha, shortest, unknown = list(BREAKS), NEGATION_SCALE, ALPHA, MIN_LANG_CHARS, UNKNOWN
+    negative, position = set(negations), {lang: i for i, lang in enumerate(order)}
+    votes_of = {}
+    for lang in order:
+        for w in languages[lang]:
+            votes_of.setdefault(w, []).append(position[lang])
+    schema = "neg double, neu double, pos double, compound double, language string"
+
+    @F.pandas_udf(schema)
+    def score(texts: pd.Series) -> pd.DataFrame:
+        import regex
+        word, rows = regex.compile(r"[\p{L}']+"), []
+        for text in texts:
+            text = text or ""
+            for b in breaks:
+                text = text.replace(b, " ")
+            words = word.findall(text.lower().replace("\u2019", "'"))
+            s = ps = ns = 0.0
+            nu, votes = len(words), [0] * len(position)
+            for i, w in enumerate(words):
+                if w in weights:
+                    v = weights[w] * scale if i and words[i - 1] in negative else weights[w]
+                    s, nu = s + v, nu - 1
+                    ps, ns = (ps + v + 1, ns) if v > 0 else (ps, ns + v - 1)
+                for k in votes_of.get(w, ()):
+                    votes[k] += 1
+            total = ps - ns + nu
+            best = max(votes)
+            language = unknown if len(text.strip()) < shortest or not best else order[votes.index(best)]
+            rows.append((-ns / total if total else 0.0, nu / total if total else 0.0, ps / total if total else 0.0,
+                         s / (s * s + alpha) ** 0.5 if s else 0.0, language))
+        return pd.DataFrame(rows, columns=["neg", "neu", "pos", "compound", "language"])
+
+    return score(c)
+
+
+def add_sentiment(df: DataFrame, text_col: str, **tables) -> DataFrame:
+    """Add neg, neu, pos and compound; see ``scores``."""
+    d = df.withColumn("_scores", scores(F.col(text_col), **tables))
+    return d.withColumns({k: F.col(f"_scores.{k}") for k in ("neg", "neu", "pos", "compound")}).drop("_scores")
 
 
 def sentiment_label(compound: Column) -> Column:
@@ -156,24 +153,6 @@ def sentiment_label(compound: Column) -> Column:
             .otherwise("neutral"))
 
 
-def add_language(df: DataFrame, text_col: str, out: str = "language") -> DataFrame:
-    """Most-voted language by function words; ties by LANGUAGE_ORDER;
-    short text (after removing line breaks and edge spaces) or no votes ->
-    'unknown'."""
-    clean = F.regexp_replace(strip_breaks(F.coalesce(F.col(text_col), F.lit(""))), r"^\s+|\s+$", "")
-    d = df.withColumn("_clean_len", F.length(clean)).withColumn("_ltoks", tokens(clean))
-    toks = F.col("_ltoks")
-
-    def vote(words):
-        arr = F.array(*[F.lit(w) for w in words])
-        return F.size(F.filter(toks, lambda x: F.array_contains(arr, x)))
-
-    for lang in LANGUAGE_ORDER:
-        d = d.withColumn(f"_v_{lang}", vote(LANGUAGE_WORDS[lang]))
-    votes = [F.col(f"_v_{lang}") for lang in LANGUAGE_ORDER]
-    best = F.greatest(*votes)
-    pick = F.lit(UNKNOWN)
-    for lang, v in reversed(list(zip(LANGUAGE_ORDER, votes))):
-        pick = F.when(v == best, F.lit(lang)).otherwise(pick)
-    lang_col = F.when((F.col("_clean_len") < MIN_LANG_CHARS) | (best == 0), F.lit(UNKNOWN)).otherwise(pick)
-    return d.withColumn(out, lang_col).drop("_clean_len", "_ltoks", *[f"_v_{lang}" for lang in LANGUAGE_ORDER])
+def add_language(df: DataFrame, text_col: str, out: str = "language", **tables) -> DataFrame:
+    """Add the most-voted language; see ``scores``."""
+    return df.withColumn(out, scores(F.col(text_col), **tables)["language"])

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rentlens.functions import columns as C
 from rentlens.sources import io
 
+log = logging.getLogger(__name__)
+
 
 def drop_dead_columns(df: DataFrame, dead: list[str] = C.DEAD_COLUMNS) -> DataFrame:
     return df.drop(*[c for c in dead if c in df.columns])
@@ -19,8 +23,11 @@ def dedup_first(df: DataFrame, keys: list[str], order: str = "_ord") -> DataFram
     ``dropDuplicates`` keeps an arbitrary row; here the kept row is the one
     with the smallest ordinal.  One shuffle on the key; a NULL key is one
     group, as in pandas.  A hot key only lengthens one sort run, the window
-    keeps no per-group buffer beyond the current row.
+    keeps no per-group buffer beyond the current row.  Without an ordinal the
+    kept row would be arbitrary, so that is an error.
     """
+    if order not in df.columns:
+        raise ValueError(f"first-row dedup needs the file-order column {order!r}")
     w = Window.partitionBy(*keys).orderBy(F.col(order).asc())
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
@@ -40,23 +47,20 @@ def clean_listings(raw: DataFrame) -> DataFrame:
         if c in df.columns:
             df = df.withColumn(c, C.parse_date(F.col(c)))
     df = df.withColumn("has_reviews", C.flag_has_reviews(F.col("number_of_reviews")))
-    order = "_ord" if "_ord" in df.columns else "id"
-    return dedup_first(df, ["id"], order).drop("_ord")
+    return dedup_first(df, ["id"]).drop("_ord")
 
 
 def clean_calendar(raw: DataFrame) -> DataFrame:
     df = (raw.withColumn("date", C.parse_date(F.col("date")))
           .withColumn("available", C.map_available(F.col("available"))))
-    order = "_ord" if "_ord" in df.columns else "listing_id"
-    return dedup_first(df, ["listing_id", "date"], order).drop("_ord")
+    return dedup_first(df, ["listing_id", "date"]).drop("_ord")
 
 
 def clean_reviews(raw: DataFrame) -> DataFrame:
     df = (raw.withColumn("date", C.parse_date(F.col("date")))
           .withColumn("comments", C.na_to_null(F.col("comments")))
           .na.drop(subset=["comments"]))
-    order = "_ord" if "_ord" in df.columns else "id"
-    df = dedup_first(df, ["id"], order).drop("_ord")
+    df = dedup_first(df, ["id"]).drop("_ord")
     return df.withColumn("comment_length", F.length("comments").cast("bigint"))
 
 
@@ -98,6 +102,11 @@ def clean_calendar_job(spark: SparkSession, input_path: str, output_path: str, f
 
 def clean_reviews_job(spark: SparkSession, input_path: str, output_path: str, listings_path: str | None = None,
                       force: bool = False) -> DataFrame:
-    return io.skip_if_exists(spark, output_path, force,
-                             lambda: clean_reviews(io.read_raw_csv(spark, input_path, io.REVIEWS_SCHEMA,
-                                                                   header_only_schema=True)))
+    """Cleans the reviews; with ``listings_path`` (the cleaned listings) it also
+    reports the review listing ids that no listing has."""
+    out = io.skip_if_exists(spark, output_path, force,
+                            lambda: clean_reviews(io.read_raw_csv(spark, input_path, io.REVIEWS_SCHEMA,
+                                                                  header_only_schema=True)))
+    if listings_path and io.exists(spark, listings_path):
+        log.info("review listing ids without a listing: %d", orphan_keys(out, spark.read.parquet(listings_path)).first()[0])
+    return out

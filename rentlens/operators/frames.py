@@ -3,10 +3,9 @@
 Fact, listing dimension and demand view are all keyed by ``listing_id`` and
 come from the same deduplicated staging frame, whose output is already hash
 partitioned by that key, so their joins need no further exchange.  Host and
-neighbourhood dimensions are joined by size: the neighbourhood dimension is
-bounded by the number of areas and is broadcast; the host dimension grows
-with the data and is left to adaptive execution (broadcast only when its
-measured size is under the threshold).
+neighbourhood dimensions are joined by size: one has a row per area, the host
+dimension grows with the data.  Both are left to adaptive execution, which broadcasts a side
+only when its measured size is under the threshold.
 """
 
 from __future__ import annotations
@@ -40,7 +39,7 @@ def fact_listing(wh: Warehouse) -> DataFrame:
 
 
 def _five_way(wh: Warehouse) -> DataFrame:
-    n = F.broadcast(wh.dim_neighbourhood)  # one row per area: bounded
+    n = wh.dim_neighbourhood
     h = wh.dim_host.drop("host_name", "host_identity_verified", "host_has_profile_pic",
                          "hosts_time_as_user_years", "host_location")
     return wh.listing_wide.join(n, "neighbourhood_name").join(h, "host_id")

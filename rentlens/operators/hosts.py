@@ -60,12 +60,11 @@ def market_concentration(wh: Warehouse, ns=(10, 50, 100, 500)) -> DataFrame:
 def concentration_curve(wh: Warehouse) -> DataFrame:
     """Cumulative share of listings for every host by descending portfolio
     (the full curve), with a distributed running sum."""
-    p = host_portfolio(wh)
-    total = p.agg(F.sum("listing_count")).scalar()
+    p = host_portfolio(wh).withColumn("_one", F.lit(1).cast("bigint"))
     ties = [F.asc("host_id"), F.asc("host_is_superhost")]
-    c = ranking.prefix_sum(p, "listing_count", "listing_count", "cumulative_listings", descending=True, ties=ties)
-    c = ranking.row_rank(c, "listing_count", "rank", descending=True, ties=ties)
-    return c.withColumn("cumulative_pct", (F.col("cumulative_listings") * 100.0 / total).cast("double"))
+    c = ranking.prefix_sums(p, "listing_count", {"cumulative_listings": "listing_count", "rank": "_one"}, descending=True,
+                            ties=ties, total="_total")
+    return c.withColumn("cumulative_pct", (F.col("cumulative_listings") * 100.0 / F.col("_total")).cast("double")).drop("_one", "_total")
 
 
 def host_split(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentlens.functions import columns as C
+from rentlens.operators.ranking import quantiles
 from rentlens.operators import frames
 from rentlens.operators.warehouse import Warehouse
 
@@ -120,7 +121,7 @@ def activity_overlap(wh: Warehouse) -> DataFrame:
 
 
 def neighbourhood_summary(wh: Warehouse, digits: int = 2) -> DataFrame:
-    df = _active_valid(wh).join(F.broadcast(wh.dim_neighbourhood), "neighbourhood_name")
+    df = _active_valid(wh).join(wh.dim_neighbourhood, "neighbourhood_name")
     return (df.groupBy("neighbourhood_name", "neighbourhood_group")
             .agg(F.count(F.lit(1)).alias("listing_count"), F.round(F.avg("price"), digits).alias("avg_price"),
                  F.round(F.median("price"), digits).alias("median_price"),
@@ -155,7 +156,7 @@ def high_volume_low_score(wh: Warehouse, min_reviews: int = 50, max_rating: floa
 def group_price_rows(wh: Warehouse) -> DataFrame:
     """(group, price) of active valid listings, one row per listing: the
     reference groups by (group, price, listing_id) to undo join fan-out."""
-    df = _active_valid(wh).join(F.broadcast(wh.dim_neighbourhood), "neighbourhood_name")
+    df = _active_valid(wh).join(wh.dim_neighbourhood, "neighbourhood_name")
     return df.select("neighbourhood_group", "price", "listing_id").dropDuplicates()
 
 
@@ -255,13 +256,10 @@ def price_histogram(df: DataFrame, col: str = "price", bins: int = 40) -> DataFr
 
 def price_boxplot(df: DataFrame, by: str, col: str = "price", digits: int = 4) -> DataFrame:
     """Quartiles and 1.5 IQR whiskers (extreme points inside the fences)."""
-    q = (df.where(F.col(col).isNotNull() & F.col(by).isNotNull()).groupBy(by)
-         .agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")))
-    q = q.select(by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = quantiles(df.where(F.col(by).isNotNull()), col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     q = q.withColumn("lo_fence", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
          .withColumn("hi_fence", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    # one row per group: broadcast is bounded by the number of groups
-    j = df.select(by, col).join(F.broadcast(q), by)
+    j = df.select(by, col).join(q, by)
     inside = F.col(col).between(F.col("lo_fence"), F.col("hi_fence"))
     out = j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_lo"), F.max(F.when(inside, F.col(col))).alias("whisker_hi"),
@@ -272,8 +270,8 @@ def price_boxplot(df: DataFrame, by: str, col: str = "price", digits: int = 4) -
 
 def price_density(df: DataFrame, col: str = "price", grid: int = 64) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max]; bandwidth by
-    Scott's rule (n^(-1/5) times the sample sd).  Each row contributes its
-    kernel at the ``grid`` points (a generator), summed per grid point."""
+    Scott's rule (n^(-1/5) times the sample sd); one sum per grid point in a
+    single aggregate."""
     x = df.where(F.col(col).isNotNull()).select(F.col(col).alias("x"))
     b = _bounds(x)
     n = int(b["n"])
@@ -281,21 +279,19 @@ def price_density(df: DataFrame, col: str = "price", grid: int = 64) -> DataFram
         return x.select(F.lit(0.0).alias("price"), F.lit(0.0).alias("density")).limit(0)
     lo, hi, bw = float(b["lo"]), float(b["hi"]), float(b["sd"]) * n ** -0.2
     step = (hi - lo) / max(grid - 1, 1)
-    pts = F.sequence(F.lit(0), F.lit(grid - 1))
-    k = x.select(F.posexplode(F.transform(pts, lambda i: F.exp(-0.5 * F.pow((F.col("x") - (F.lit(lo) + i * F.lit(step)))
-                                                                           / F.lit(bw), 2)))).alias("gi", "k"))
-    dens = k.groupBy("gi").agg(F.sum("k").alias("s"))
     norm = n * bw * (2 * 3.141592653589793) ** 0.5
-    return dens.select((F.lit(lo) + F.col("gi") * F.lit(step)).alias("price"), (F.col("s") / F.lit(norm)).alias("density"))
+    at = [lo + i * step for i in range(grid)]
+    row = x.agg(*[F.sum(F.exp(-0.5 * F.pow((F.col("x") - F.lit(p)) / F.lit(bw), 2))).alias(f"g{i}") for i, p in enumerate(at)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(p).alias("price"), (F.col(f"g{i}") / F.lit(norm)).alias("density"))
+                                         for i, p in enumerate(at)])))
 
 
 def other_bucket(df: DataFrame, col: str, keep: int = 6) -> DataFrame:
     """Counts of the ``keep`` most frequent values, the rest summed as 'other'."""
     g = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    # one row per distinct category; ordered by count then value
-    r = g.withColumn("_r", F.row_number().over(Window.orderBy(F.desc("n"), F.asc("value"))))
-    lab = F.when(F.col("_r") <= keep, F.col("value")).otherwise(F.lit("other"))
-    return r.groupBy(lab.alias("value")).agg(F.sum("n").cast("bigint").alias("n"))
+    top = g.orderBy(F.desc("n"), F.asc("value")).limit(keep)  # a distributed top-k; the others are what it leaves of all rows
+    rest = g.agg(F.sum("n").alias("n")).select("n", top.agg(F.sum("n")).scalar().alias("_top"))
+    return top.unionByName(rest.select(F.lit("other").alias("value"), (F.col("n") - F.col("_top")).cast("bigint").alias("n")).where("n > 0"))
 
 
 def random_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:

@@ -16,12 +16,13 @@ import time
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.operators import features as FT
 from rentlens.operators import stats
 from rentlens.session import checkpoint_dir
+from rentlens.sources import io
 
 # --- fixed values -----------------------------------------------------------
 RIDGE_ALPHA = 10.0
@@ -151,7 +152,7 @@ def compare_models(frame: DataFrame, kinds=("ridge", "forest", "boosted"), **kw)
     m = parts[0]
     for p in parts[1:]:
         m = m.unionByName(p)
-    return m.groupBy("model").agg(F.avg("r2").alias("r2_mean"), F.stddev_samp("r2").alias("r2_std"),
+    return m.groupBy("model").agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"),
                                   F.avg("r2_train").alias("r2_train"), F.avg("mae").alias("mae"),
                                   F.avg("rmse").alias("rmse"), F.sum("fit_seconds").alias("fit_seconds"))
 
@@ -165,7 +166,8 @@ def residual_analysis(oof: DataFrame) -> DataFrame:
         return (d.groupBy(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value"))
                 .agg(F.count(F.lit(1)).alias("n"), F.median("residual").alias("median_residual"),
                      F.avg("residual").alias("mean_residual"), F.stddev_samp("residual").alias("std_residual"),
-                     F.median("pct_error").alias("median_pct_error")))
+                     F.median("pct_error").alias("median_pct_error"),
+                     F.avg("pct_error").alias("mean_pct_error"), F.stddev_samp("pct_error").alias("std_pct_error")))
     return by("room_type").unionByName(by("neighbourhood_group"))
 
 
@@ -194,10 +196,9 @@ def save_model(spark: SparkSession, model, meta: FT.FeatureMeta, path: str, kind
 def load_model(spark: SparkSession, path: str):
     """(model, meta) or (None, None) when nothing is saved at ``path``."""
     from pyspark.ml.regression import LinearRegressionModel
-    try:
-        row = spark.read.json(os.path.join(path, "meta")).first()
-    except Exception:  # noqa: BLE001 - absent model: nothing, as the reference
+    if not io.exists(spark, os.path.join(path, "meta")):
         return None, None
+    row = spark.read.json(os.path.join(path, "meta")).first()
     m = json.loads(row["meta"])
     meta = FT.FeatureMeta(m["medians"], m["groups"], m["room_type_codes"], m["dummy_cols"])
     if m["kind"] == "ridge":
@@ -219,23 +220,25 @@ def linear_contributions(model: RidgeModel, feats: DataFrame) -> DataFrame:
         z = F.when(z.isNull() | F.isnan(z), F.lit(0.0)).otherwise(z)
         cols.append(F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
                              (F.lit(coefs[c]) * z).alias("contribution")))
-    return feats.select("listing_id", F.explode(F.array(*cols)).alias("c")).select("listing_id", "c.*")
+    return feats.select("listing_id", F.array(*cols).alias("contributions"))
 
 
 def importance_ranking(model: RidgeModel, feats: DataFrame) -> DataFrame:
-    """Mean absolute contribution per feature, largest first."""
-    c = linear_contributions(model, feats)
-    return (c.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_contribution"))
-            .orderBy(F.desc("mean_abs_contribution"), F.asc("feature")))
+    """Mean absolute contribution per feature, largest first (one aggregate row, turned on its side)."""
+    names = model.meta.feature_cols
+    row = linear_contributions(model, feats).agg(*[F.avg(F.abs(F.col("contributions")[i]["contribution"])).alias(f"f{i}") for i in range(len(names))])
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"f{i}").alias("mean_abs_contribution")) for i, c in enumerate(names)])
+    return row.select(F.inline(pairs)).orderBy(F.desc("mean_abs_contribution"), F.asc("feature"))
 
 
 def top_drivers(model: RidgeModel, feats: DataFrame, n: int = 5) -> DataFrame:
     """The n largest contributions of each listing, with direction text."""
-    c = linear_contributions(model, feats)
-    w = Window.partitionBy("listing_id").orderBy(F.desc(F.abs("contribution")), F.asc("feature"))  # ~20 rows/listing
-    r = c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    largest = F.slice(F.array_sort(F.transform("contributions", lambda c: F.struct(
+        (-F.abs(c["contribution"])).alias("_order"), c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution")))), 1, n)
+    r = (linear_contributions(model, feats).select("listing_id", F.posexplode(largest).alias("rank", "c"))
+         .select("listing_id", "c.feature", "c.value", "c.contribution", (F.col("rank") + 1).alias("rank")))
     direction = F.when(F.col("contribution") > 0, "increases").otherwise("decreases")
-    return r.withColumn("text", F.format_string("%s (value: %.1f) %s price by %.2f log-euros", F.col("feature"),
+    return r.withColumn("text", F.format_string("%s = %.1f %s the log price by %.2f", F.col("feature"),
                                                 F.col("value"), direction, F.abs("contribution")))
 
 
@@ -247,7 +250,7 @@ def predict_price(model, meta: FT.FeatureMeta, frame: DataFrame, peers: DataFram
     p = model.transform(feats).withColumn("predicted_price", F.expm1("prediction"))
     keys = ["neighbourhood_group", "room_type"]
     med = stats.peer_medians(peers, keys)
-    pct = stats.percentile_of_score(peers, p.select(*keys, "listing_id", F.col("predicted_price").alias("score")),
-                                    keys, "listing_id")
-    return (p.select("listing_id", *keys, F.col("price").alias("current_price"), "predicted_price")
-            .join(med, keys, "left").join(pct.select("listing_id", "percentile"), "listing_id", "left"))
+    advice = p.select("listing_id", *keys, F.col("price").alias("current_price"), "predicted_price")
+    # each row keeps its columns, so a listing with several host versions stays that many rows
+    return stats.percentile_of_score(peers, advice, keys, score="predicted_price").join(med, keys, "left").select(
+        *keys, "listing_id", "current_price", "predicted_price", "peer_median", "peer_n", "percentile")

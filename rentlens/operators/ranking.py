@@ -1,54 +1,68 @@
-"""Distributed running sums and ranks.
-
-A window with an ORDER BY but no PARTITION BY moves every row to one task.
-The helpers here compute the same running sum in two steps:
-
-1. cut the sort key into ranges at approximate quantiles (computed once, so
-   the ranges are literals and every re-evaluation - a second branch of the
-   plan or a recomputed task after an executor loss - assigns rows to the same
-   range), and take the running sum inside each range with a window
-   partitioned by the range;
-2. sum each range (one row per range), turn those sums into offsets with a
-   window over that tiny table, and add the offset back with a broadcast
-   join whose size is the number of ranges.
-
-Ties of the sort key always fall in one range, so a total order inside the
-range (tie-breaker columns) gives a total order overall.  Callers aggregate
-to distinct sort values first, so the input is already far smaller than the
-data.
+"""Distributed running sums, ranks and exact quantiles.
+
+A window with an ORDER BY but no PARTITION BY moves every row to one task, and
+one that is partitioned by a hot key moves that key's rows to one task.  The
+helpers here compute the same running sum in two steps:
+
+1. the rows are dealt by ranges of the whole order (group, sort key and
+   tie-breakers, so neither a hot group nor a heavy tie ends up in one range),
+   the range numbers are written to the shared folder once, so that every later
+   evaluation sees the same ranges, and the running sum is taken inside each
+   range;
+2. each (range, group) is summed, these sums - one row per range and group in
+   it - become offsets, and the offsets are joined back.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rentlens.session import scratch_path
+
 
 def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
+def _ranged(df: DataFrame, order: list[Column], buckets: int) -> DataFrame:
+    spark = df.sparkSession
+    d = df.repartitionByRange(buckets, *order).withColumn("_b", F.spark_partition_id())
+    path = scratch_path(spark, f"ranges-{uuid.uuid4().hex}")
+    d.write.parquet(path)
+    return spark.read.schema(d.schema).parquet(path)
+
+
+def prefix_sums(df: DataFrame, key: str, sums: dict[str, str], descending: bool = False, ties: list[Column] | None = None,
+                buckets: int | None = None, by: list[str] | None = None, total: str | None = None) -> DataFrame:
+    """Add inclusive running sums (result column -> summed column) ordered by
+    ``key`` (descending if asked), then by ``ties``, within each group of
+    ``by`` (columns without nulls); ``total`` names a column for the group's
+    sum of the first of them."""
+    by = list(by or [])
+    order = [F.col(key).desc() if descending else F.col(key).asc(), *(ties or [])]
+    d = _ranged(df, [F.col(c).asc() for c in by] + order, buckets or _default_buckets(df))
+    w_local = Window.partitionBy("_b", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_off = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    w_all = Window.partitionBy(*by)
+    totals = d.groupBy("_b", *by).agg(*[F.sum(v).alias(f"_tot_{k}") for k, v in sums.items()])
+    cols = {f"_off_{k}": F.coalesce(F.sum(f"_tot_{k}").over(w_off), F.lit(0)) for k in sums}
+    if total:
+        cols[total] = F.sum(f"_tot_{next(iter(sums))}").over(w_all)
+    offsets = totals.withColumns(cols).select("_b", *by, *cols)
+    local = d.withColumns({f"_local_{k}": F.sum(v).over(w_local) for k, v in sums.items()})
+    return (local.join(offsets, ["_b", *by])
+            .withColumns({k: F.col(f"_local_{k}") + F.col(f"_off_{k}") for k in sums})
+            .drop("_b", *[f"_local_{k}" for k in sums], *[f"_off_{k}" for k in sums]))
+
+
 def prefix_sum(df: DataFrame, key: str, value: str, out: str, descending: bool = False,
-               ties: list[Column] | None = None, buckets: int | None = None) -> DataFrame:
-    """Add ``out`` = inclusive running sum of ``value`` ordered by the numeric
-    column ``key`` (descending if asked), then by ``ties``."""
-    n = buckets or _default_buckets(df)
-    k = F.col(key).cast("double")
-    d = df.withColumn("_k", -k if descending else k)
-    probs = [i / n for i in range(1, n)]
-    cuts = sorted({c for c in d.approxQuantile("_k", probs, 0.001) if c is not None}) if probs else []
-    splits = [float("-inf")] + cuts + [float("inf")]
-    d = Bucketizer(splits=splits, inputCol="_k", outputCol="_b", handleInvalid="keep").transform(d)
-    order = [F.col("_k").asc()] + list(ties or [])
-    w_local = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = d.withColumn("_local", F.sum(value).over(w_local))
-    totals = d.groupBy("_b").agg(F.sum(value).alias("_tot"))
-    w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
-    offsets = totals.select("_b", F.coalesce(F.sum("_tot").over(w_off), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_b")
-            .withColumn(out, F.col("_local") + F.col("_off"))
-            .drop("_b", "_k", "_local", "_off"))
+               ties: list[Column] | None = None, buckets: int | None = None, by: list[str] | None = None,
+               total: str | None = None) -> DataFrame:
+    """One running sum; see ``prefix_sums``."""
+    return prefix_sums(df, key, {out: value}, descending, ties, buckets, by, total)
 
 
 def row_rank(df: DataFrame, key: str, out: str = "rank", descending: bool = False,
@@ -56,3 +70,21 @@ def row_rank(df: DataFrame, key: str, out: str = "rank", descending: bool = Fals
     """1-based position of each row in the order (a distributed row_number)."""
     return prefix_sum(df.withColumn("_one", F.lit(1).cast("bigint")), key, "_one", out, descending, ties,
                       buckets).drop("_one")
+
+
+def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None) -> DataFrame:
+    """Exact interpolated quantiles, a column per entry of ``probs``, per group
+    of ``by`` (or one row).  Values are counted first and the positions found
+    from running sums, so no task holds a group's values."""
+    by = list(by or [])
+    x = F.col(value).cast("double")
+    vc = df.where(x.isNotNull()).groupBy(*by, x.alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    cum = prefix_sum(vc, "_x", "_n", "_cum", by=by, total="_total")
+    aggs = []
+    for name, p in probs.items():
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        first = F.min(F.when(F.col("_cum") > F.floor(at), F.col("_x")))
+        second = F.min(F.when(F.col("_cum") > F.ceil(at), F.col("_x")))
+        part = F.max(at - F.floor(at))
+        aggs.append((first + (second - first) * part).alias(name))
+    return (cum.groupBy(*by) if by else cum).agg(*aggs)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from rentlens.functions import distributions as DIST
 from rentlens.operators import ranking
+from rentlens.operators.ranking import prefix_sum, quantiles
 
 
 def _d(c) -> Column:
@@ -100,26 +101,17 @@ def pairwise_mann_whitney(df: DataFrame, value: str, group: str, alpha: float =
                           with_p: bool = True) -> DataFrame:
     """Two-sided Mann-Whitney for every unordered pair of groups (g1 < g2),
     Bonferroni-corrected.  Each group's value counts are copied once per pair
-    it is in (k - 1 copies) and ranked per pair with a window partitioned by
-    the pair, so no pair's ranks depend on another's."""
+    it is in (k - 1 copies) and ranked per pair by running sums whose ranges
+    split a pair like any other group of values."""
     d = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
     gv = d.groupBy(F.col(group).alias("g"), F.col(value).alias("x")).agg(F.count(F.lit(1)).alias("c"))
-    # the group list is small (one entry per group): fetched to build the pair table
-    names = sorted(r[0] for r in gv.select("g").distinct().collect())
-    spark = df.sparkSession
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
-    m = len(pairs)
-    if m == 0:
-        return spark.createDataFrame([], "group1 string, group2 string, n1 double, n2 double, u1 double, "
-                                         "median1 double, median2 double")
-    member = spark.createDataFrame([(a, b, a, 0) for a, b in pairs] + [(a, b, b, 1) for a, b in pairs],
-                                   "group1 string, group2 string, g string, side int")
-    rep = gv.join(F.broadcast(member), "g")  # bounded: 2 rows per pair
-    pv = rep.groupBy("group1", "group2", "x").agg(F.sum(F.when(F.col("side") == 0, F.col("c")).otherwise(0)).alias("c1"),
-                                                   F.sum(F.when(F.col("side") == 1, F.col("c")).otherwise(0)).alias("c2"))
-    pv = pv.withColumn("t", F.col("c1") + F.col("c2"))
-    w = Window.partitionBy("group1", "group2").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    pv = pv.withColumn("rank", F.coalesce(F.sum("t").over(w), F.lit(0)).cast("double") + (F.col("t") + 1) / 2.0)
+    names = gv.agg(F.array_sort(F.collect_set("g"))).scalar()  # one entry per group
+    rep = gv.withColumn("_names", names).select("g", "x", "c", F.explode(F.array_remove("_names", F.col("g"))).alias("other"))
+    own, other = F.col("g") < F.col("other"), F.col("c")
+    pv = rep.groupBy(F.least("g", "other").alias("group1"), F.greatest("g", "other").alias("group2"), "x").agg(
+        F.sum(F.when(own, other).otherwise(0)).alias("c1"), F.sum(F.when(own, 0).otherwise(other)).alias("c2"))
+    pv = prefix_sum(pv.withColumn("t", F.col("c1") + F.col("c2")), "x", "t", "cum", by=["group1", "group2"])
+    pv = pv.withColumn("rank", (F.col("cum") - F.col("t")).cast("double") + (F.col("t") + 1) / 2.0)
     s = pv.groupBy("group1", "group2").agg(
         F.sum("c1").cast("double").alias("n1"), F.sum("c2").cast("double").alias("n2"),
         F.sum(F.col("c1") * F.col("rank")).alias("r1"),
@@ -129,13 +121,15 @@ def pairwise_mann_whitney(df: DataFrame, value: str, group: str, alpha: float =
     n = n1 + n2
     sd = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("tie_term") / (n * (n - 1))))
     s = s.withColumn("z", (F.greatest("u1", "u2") - n1 * n2 / 2.0 - 0.5) / F.nullif(sd, F.lit(0.0)))
-    med = d.groupBy(F.col(group).alias("g")).agg(F.median(value).alias("med"))
-    s = (s.join(F.broadcast(med.select(F.col("g").alias("group1"), F.col("med").alias("median1"))), "group1")
-         .join(F.broadcast(med.select(F.col("g").alias("group2"), F.col("med").alias("median2"))), "group2"))
+    med = quantiles(d.select(F.col(group).alias("g"), F.col(value).alias("x")), "x", {"med": 0.5}, ["g"])
+    s = (s.join(med.select(F.col("g").alias("group1"), F.col("med").alias("median1")), "group1")
+         .join(med.select(F.col("g").alias("group2"), F.col("med").alias("median2")), "group2"))
     cols = ["group1", "group2", "n1", "n2", "u1", "z", "median1", "median2"]
     if with_p:
         p = F.least(F.greatest(DIST.normal_sf_col(F.col("z")) * 2.0, F.lit(0.0)), F.lit(1.0))
-        s = (s.withColumn("p_raw", p).withColumn("p_bonferroni", F.least(F.col("p_raw") * m, F.lit(1.0)))
+        pairs = F.size("_names") * (F.size("_names") - 1) / 2
+        s = (s.withColumn("p_raw", p).withColumn("_names", names)
+             .withColumn("p_bonferroni", F.least(F.col("p_raw") * pairs, F.lit(1.0)))
              .withColumn("significant", F.col("p_bonferroni") < alpha))
         cols += ["p_raw", "p_bonferroni", "significant"]
     return s.select(*cols)
@@ -147,10 +141,10 @@ def levene(df: DataFrame, value: str, group: str, groups: list | None = None, wi
     if groups is not None:
         d = d.where(F.col(group).isin(list(groups)))
     d = d.select(F.col(group).alias("g"), F.col(value).cast("double").alias("x"))
-    med = d.groupBy("g").agg(F.median("x").alias("med"))  # one row per group
-    z = d.join(F.broadcast(med), "g").withColumn("z", F.abs(F.col("x") - F.col("med")))
+    med = quantiles(d, "x", {"med": 0.5}, ["g"])  # one row per group
+    z = d.join(med, "g").withColumn("z", F.abs(F.col("x") - F.col("med")))
     gs = z.groupBy("g").agg(F.count(F.lit(1)).cast("double").alias("ni"), F.avg("z").alias("zi"))
-    within = z.join(F.broadcast(gs), "g").agg(F.sum(F.pow(F.col("z") - F.col("zi"), 2)).alias("sw"))
+    within = z.join(gs, "g").agg(F.sum(F.pow(F.col("z") - F.col("zi"), 2)).alias("sw"))
     s = gs.agg(F.sum("ni").alias("n"), F.count(F.lit(1)).cast("double").alias("k"),
                (F.sum(F.col("ni") * F.col("zi")) / F.sum("ni")).alias("zbar"),
                F.collect_list(F.struct("ni", "zi")).alias("gl"))  # k entries
@@ -212,28 +206,30 @@ def linear_trend(df: DataFrame, y: str, x: str) -> DataFrame:
 
 def peer_medians(df: DataFrame, keys: list[str], value: str = "price") -> DataFrame:
     """Median of ``value`` > 0 per peer group."""
-    return df.where(F.col(value) > 0).groupBy(*keys).agg(F.median(value).alias("peer_median"),
-                                                          F.count(F.lit(1)).alias("peer_n"))
+    d = df.where(F.col(value) > 0).dropna(subset=keys)
+    return quantiles(d, value, {"peer_median": 0.5}, keys).join(d.groupBy(*keys).agg(F.count(F.lit(1)).alias("peer_n")), keys)
 
 
-def percentile_of_score(peers: DataFrame, scores: DataFrame, keys: list[str], id_col: str,
-                        value: str = "price", score: str = "score") -> DataFrame:
-    """For each row of ``scores`` (keys, id, score): % of peer values (> 0,
-    same keys) that are <= its score (``kind='weak'``).
+def percentile_of_score(peers: DataFrame, scores: DataFrame, keys: list[str], value: str = "price",
+                        score: str = "score") -> DataFrame:
+    """The rows of ``scores`` (keys, score and any other columns) with
+    ``percentile``, the % of peer values (> 0, same keys) that are <= the
+    row's score (``kind='weak'``).
 
     Peer values (counted per distinct value) and scores go into one stream per
     key, ordered by value with scores after equal peer values; a running sum
-    of peer counts is the number of peers at or below each score.  The window
-    is partitioned by the peer key, and holds distinct values, not rows."""
-    p = (peers.where(F.col(value) > 0).groupBy(*keys, F.col(value).cast("double").alias("v"))
-         .agg(F.count(F.lit(1)).alias("w"))
-         .select(*keys, "v", "w", F.lit(1).alias("is_score"), F.lit(None).cast("long").alias("_sid")))
-    s = scores.select(*keys, F.col(score).cast("double").alias("v"), F.lit(0).cast("bigint").alias("w"),
-                      F.lit(2).alias("is_score"), F.col(id_col).cast("long").alias("_sid"))
-    u = p.unionByName(s)
-    w = Window.partitionBy(*keys).orderBy("v", "is_score", "_sid").rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*keys)
-    u = u.withColumn("below", F.sum("w").over(w)).withColumn("total", F.sum("w").over(tot))
-    return (u.where(F.col("is_score") == 2)
-            .select(*keys, F.col("_sid").alias(id_col), F.col("v").alias(score),
-                    (F.col("below") * 100.0 / F.nullif(F.col("total"), F.lit(0))).cast("double").alias("percentile")))
+    of peer counts is the number of peers at or below each score.  Ranges of
+    that order split a key of any size, and each row carries its columns with
+    it, so nothing is joined back."""
+    carried = [c for c in scores.columns if c not in (*keys, score)]
+    p = (peers.where(F.col(value) > 0).dropna(subset=keys).groupBy(*keys, F.col(value).cast("double").alias("_v"))
+         .agg(F.count(F.lit(1)).alias("_w")).withColumn("_is_score", F.lit(0)))
+    s = scores.withColumn("_v", F.col(score).cast("double")).withColumn("_w", F.lit(0).cast("bigint")).withColumn("_is_score", F.lit(1)).drop(score)
+    known = s.dropna(subset=keys)
+    u = prefix_sum(known.unionByName(p, allowMissingColumns=True), "_v", "_w", "_below", by=keys, ties=[F.col("_is_score").asc()])
+    total = p.groupBy(*keys).agg(F.sum("_w").alias("_total"))  # one row per key
+    out = u.where("_is_score = 1").join(total, keys, "left").withColumn(
+        "percentile", (F.col("_below") * 100.0 / F.nullif(F.col("_total"), F.lit(0))).cast("double"))
+    cols = [*keys, *carried, F.col("_v").alias(score)]
+    without = s.where(" OR ".join(f"`{k}` IS NULL" for k in keys)).select(*cols, F.lit(None).cast("double").alias("percentile"))
+    return out.select(*cols, "percentile").unionByName(without)

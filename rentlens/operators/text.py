@@ -1,7 +1,7 @@
 """Review text jobs: sentiment, language, buckets and the briefing facts.
 
-Scoring is a projection over whole texts (``functions.text``): no sampling,
-no explode, no shuffle; grouping happens only on the scored rows.
+Scoring is one Arrow-batched pass over whole texts (``functions.text``): no
+sampling, no explode, no shuffle; grouping happens only on the scored rows.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rentlens.functions import text as TX
 from rentlens.operators import frames, market
+from rentlens.operators.ranking import quantiles
 from rentlens.operators.warehouse import Warehouse
 
 SCORE_COLS = ["review_scores_rating", "review_scores_cleanliness", "review_scores_location", "review_scores_value"]
@@ -43,21 +44,24 @@ def review_texts(wh: Warehouse) -> DataFrame:
 
 
 def score_reviews(df: DataFrame, text_col: str = "comments") -> DataFrame:
-    """Add neg, neu, pos, compound and language to every row."""
-    return TX.add_language(TX.add_sentiment(df, text_col), text_col)
+    """Add neg, neu, pos, compound and language to every row, in one pass."""
+    d = df.withColumn("_scores", TX.scores(F.col(text_col)))
+    return d.withColumns({k: F.col(f"_scores.{k}") for k in ("neg", "neu", "pos", "compound", "language")}).drop("_scores")
 
 
 def sentiment_distribution(scored: DataFrame) -> DataFrame:
     c = F.col("compound")
     n = F.count(F.lit(1))
-    q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return scored.agg(n.alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
-                      q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), F.max(c).alias("max"),
+    scored = scored.select("compound")
+    q = quantiles(scored, "compound", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    row = scored.agg(n.alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
+                      F.max(c).alias("max"),
                       F.count_if(c > TX.POSITIVE_CUT).alias("n_positive"),
                       F.count_if((c >= TX.NEGATIVE_CUT) & (c <= TX.POSITIVE_CUT)).alias("n_neutral"),
                       F.count_if(c < TX.NEGATIVE_CUT).alias("n_negative"),
                       (F.count_if(c > TX.POSITIVE_CUT) * 100.0 / n).cast("double").alias("pct_positive"),
                       (F.count_if(c < TX.NEGATIVE_CUT) * 100.0 / n).cast("double").alias("pct_negative"))
+    return row.withColumn("_one", F.lit(1)).join(q.withColumn("_one", F.lit(1)), "_one").drop("_one")  # one row each
 
 
 def zero_sentiment_sample(scored: DataFrame, n: int = 10, width: int = 200) -> DataFrame:
@@ -94,8 +98,9 @@ def rating_bucket(c) -> F.Column:
 def sentiment_by_bucket(scored: DataFrame, language: str = "en") -> DataFrame:
     e = scored.where(F.col("language") == language)
     b = rating_bucket(F.col("review_scores_rating"))
-    return (e.where(b.isNotNull()).groupBy(b.alias("score_bucket"))
-            .agg(F.count(F.lit(1)).alias("n"), F.median("compound").alias("median_compound")))
+    e = e.where(b.isNotNull()).select(b.alias("score_bucket"), "compound")
+    return e.groupBy("score_bucket").agg(F.count(F.lit(1)).alias("n")).join(
+        quantiles(e, "compound", {"median_compound": 0.5}, ["score_bucket"]), "score_bucket")
 
 
 def sentiment_trend(scored: DataFrame, language: str = "en") -> DataFrame:

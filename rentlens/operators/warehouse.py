@@ -1,11 +1,11 @@
 """Star schema: dimensions, facts and the demand-segment view.
 
 ``Warehouse`` holds the cleaned staging frames and derives every table
-lazily, so one query plan runs from the source scan to the answer and
-Catalyst prunes what the query does not use.  ``Warehouse.persist`` writes the
-tables once as Parquet (``fact_calendar`` partitioned by month,
-``fact_reviews`` by year) and ``Warehouse.from_path`` reads them back, which is
-how a cluster job would share them between queries.
+lazily.  ``Warehouse.persist`` writes staging and tables once as Parquet
+(``fact_calendar`` partitioned by month, ``fact_reviews`` by year) and
+``Warehouse.from_path`` reads them back; ``plans.registry`` keeps one stored
+warehouse per source, so queries scan pruned tables and do not repeat the
+cleaning jobs.
 """
 
 from __future__ import annotations
@@ -35,10 +35,16 @@ PERFORMANCE_COLUMNS = [
     "estimated_revenue_l365d", "availability_365", "minimum_nights", "maximum_nights",
     "calculated_host_listings_count",
 ]
+PARTITION_COLUMNS = ("cal_month", "review_year")
 TABLES = ["dim_host", "dim_neighbourhood", "dim_listing", "dim_date", "fact_listing_performance",
           "fact_calendar", "fact_reviews"]
 
 
+def write_by(df: DataFrame, path: str, column: str) -> None:
+    """Parquet partitioned by ``column``; adaptive rebalancing keeps the files few and splits a large value."""
+    df.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(path)
+
+
 def dim_host(stg_listings: DataFrame, one_row: bool = False) -> DataFrame:
     """Host dimension.  Default: DISTINCT over the nine host columns, so a
     host whose attributes differ between listings has several rows (joins fan
@@ -124,31 +130,30 @@ class Warehouse:
                  spark.read.parquet(os.path.join(path, "stg_calendar")),
                  spark.read.parquet(os.path.join(path, "stg_reviews")))
         for name in TABLES:
-            wh._cache[name] = spark.read.parquet(os.path.join(path, name))
+            wh._cache[name] = spark.read.parquet(os.path.join(path, name)).drop(*PARTITION_COLUMNS)
+        wh.stg_calendar = wh.stg_calendar.drop(*PARTITION_COLUMNS)
         return wh
 
     def persist(self, path: str) -> "Warehouse":
         """Write staging and star tables as Parquet and return a reader of them."""
         spark = self.stg_listings.sparkSession
-        self.stg_listings.write.mode("overwrite").parquet(os.path.join(path, "stg_listings"))
-        (self.stg_calendar.withColumn("cal_month", F.date_format("date", "yyyy-MM"))
-         .write.mode("overwrite").partitionBy("cal_month").parquet(os.path.join(path, "stg_calendar")))
-        self.stg_reviews.write.mode("overwrite").parquet(os.path.join(path, "stg_reviews"))
+        month, year = F.date_format("date", "yyyy-MM").alias("cal_month"), F.year("date").alias("review_year")
+        at = lambda name: os.path.join(path, name)
+        # staging first: the star tables are projections of it and are built from what has been stored
+        self.stg_listings.write.mode("overwrite").parquet(at("stg_listings"))
+        write_by(self.stg_calendar.select("*", month), at("stg_calendar"), "cal_month")
+        self.stg_reviews.write.mode("overwrite").parquet(at("stg_reviews"))
+        stored = Warehouse(*(spark.read.parquet(at(x)).drop(*PARTITION_COLUMNS) for x in ("stg_listings", "stg_calendar", "stg_reviews")),
+                           host_one_row=self.host_one_row)
         for name in TABLES:
-            df = getattr(self, name)
-            w = df.write.mode("overwrite")
+            df = getattr(stored, name)
             if name == "fact_calendar":
-                df = df.withColumn("cal_month", F.date_format("date", "yyyy-MM"))
-                w = df.write.mode("overwrite").partitionBy("cal_month")
+                write_by(df.select("*", month), at(name), "cal_month")
             elif name == "fact_reviews":
-                df = df.withColumn("review_year", F.year("date"))
-                w = df.write.mode("overwrite").partitionBy("review_year")
-            w.parquet(os.path.join(path, name))
-        out = Warehouse.from_path(spark, path)
-        out._cache["fact_calendar"] = out._cache["fact_calendar"].drop("cal_month")
-        out._cache["fact_reviews"] = out._cache["fact_reviews"].drop("review_year")
-        out.stg_calendar = out.stg_calendar.drop("cal_month")
-        return out
+                write_by(df.select("*", year), at(name), "review_year")
+            else:
+                df.write.mode("overwrite").parquet(at(name))
+        return Warehouse.from_path(spark, path)
 
     def _get(self, name, build):
         if name not in self._cache:

@@ -6,6 +6,8 @@ mapping, the parsers, the dedup rule and every query on top.  Each oracle
 query is ``WAREHOUSE_CTES`` followed by its own SELECT.
 """
 
+from rentlens.sources.roles import NO_TEXT, NO_TEXT_EVERY, REVIEW_DAYS, REVIEW_STEP
+
 NA_LIST = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
            "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
 
@@ -89,12 +91,15 @@ cal_raw AS (
 ),
 stg_calendar AS (SELECT listing_id, date, available, minimum_nights, maximum_nights FROM cal_raw WHERE rn = 1),
 rv_map AS (SELECT o_custkey, max(o_orderkey) AS listing_id FROM orders GROUP BY o_custkey),
+numbered AS (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS nth FROM documents),
 stg_reviews AS (
-  SELECT m.listing_id, e.event_id AS id, CAST(e.ts AS DATE) AS date, e.user_id AS reviewer_id,
-         d.text AS comments, CAST(length(d.text) AS BIGINT) AS comment_length
+  SELECT m.listing_id, e.event_id AS id,
+         CAST(e.ts AS DATE) - CAST((e.event_id * {REVIEW_STEP}) % {REVIEW_DAYS} AS INTEGER) AS date,
+         e.user_id AS reviewer_id, d.text AS comments, CAST(length(d.text) AS BIGINT) AS comment_length
   FROM events e JOIN rv_map m ON e.user_id = m.o_custkey
-  JOIN documents d ON d.doc_id = e.event_id
-  WHERE d.text IS NOT NULL AND d.text NOT IN ({NA_LIST})
+  JOIN numbered d ON d.nth = e.event_id % (SELECT count(*) FROM documents)
+  WHERE e.event_id % {NO_TEXT_EVERY} NOT IN ({NO_TEXT["N/A"]}, {NO_TEXT[None]})
+    AND d.text IS NOT NULL AND d.text NOT IN ({NA_LIST})
 ),
 dim_host AS (
   SELECT DISTINCT host_id, host_name, host_is_superhost, host_identity_verified, host_has_profile_pic,

@@ -353,5 +353,5 @@ def percentile_of_score(spark, sf_dir):
         F.col("id").alias("listing_id"), F.col("neighbourhood_group_cleansed").alias("neighbourhood_group"),
         "room_type", "price")
     scores = s.where(F.col("price") > 0).withColumnRenamed("price", "score")
-    r = stats.percentile_of_score(s, scores, ["neighbourhood_group", "room_type"], "listing_id")
+    r = stats.percentile_of_score(s, scores, ["neighbourhood_group", "room_type"])
     return _r(r, ("percentile",))

@@ -8,12 +8,16 @@ that exist in the driver data; the rule each query implements is unchanged.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rentlens.operators.warehouse import Warehouse
+from rentlens.operators.warehouse import TABLES, Warehouse
+from rentlens.session import scratch_path
+from rentlens.sources import io, roles
 
 
 @dataclass
@@ -34,22 +38,33 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def _version(spark: SparkSession, sf_dir: str) -> str:
+    """Names the state of the source tables: folder, newest file and bytes of each."""
+    parts = [sf_dir]
+    for name in roles.WAREHOUSE_TABLES:
+        files = spark.read.parquet(f"{sf_dir}/{name}.parquet").select("_metadata.file_path", "_metadata.file_modification_time",
+                                                                      "_metadata.file_size").distinct()
+        parts.append(str(tuple(files.agg(F.max("file_modification_time"), F.sum("file_size")).first())))
+    return hashlib.sha1("|".join(parts).encode()).hexdigest()
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The lazy warehouse over ``sf_dir`` (one per session and folder)."""
+    """The warehouse over ``sf_dir``, stored once in the shared folder per state of the source tables."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WH_CACHE:
-        _WH_CACHE[key] = Warehouse.from_driver(spark, sf_dir)
+        path = scratch_path(spark, f"warehouse-{_version(spark, sf_dir)}")
+        if all(io.exists(spark, f"{path}/{name}") for name in ("stg_listings", "stg_calendar", "stg_reviews", *TABLES)):
+            _WH_CACHE[key] = Warehouse.from_path(spark, path)
+        else:
+            _WH_CACHE[key] = Warehouse.from_driver(spark, sf_dir).persist(path)
     return _WH_CACHE[key]
 
 
 def _load_all():
     # importing the query modules fills REGISTRY
-    from rentlens.plans import queries_market, queries_quality, queries_stats, queries_text  # noqa: F401
-    try:
-        from rentlens.plans import queries_models, queries_similarity  # noqa: F401
-    except ImportError:
-        pass
+    from rentlens.plans import (queries_gates, queries_market, queries_models, queries_quality, queries_similarity,  # noqa: F401
+                                queries_stats, queries_text)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

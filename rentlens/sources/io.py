@@ -6,7 +6,6 @@ import datetime as _dt
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,12 +125,9 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when a completed Parquet output is at ``path``."""
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the file listing only
-        return True
-    except AnalysisException:
-        return False
+    """True when a completed Parquet output is at ``path``: its writer has left ``_SUCCESS``."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def write_clean(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

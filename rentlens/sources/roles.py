@@ -11,9 +11,11 @@ listing         ``orders`` left join per-order ``lineitem`` aggregates, host fro
                 ``customer``, neighbourhood = host's ``nation``, group = ``region``
 calendar        ``lineitem``: listing = ``l_orderkey``, date = ``l_shipdate``,
                 available = open line; file order = (linenumber, part, supp, qty)
-review          ``events``: id = ``event_id``, reviewer = ``user_id``, date = ``ts``,
-                listing = the reviewer's latest order; text = ``documents.text``
-                for ``doc_id = event_id`` (events without a document have no text)
+review          ``events``: id = ``event_id``, reviewer = ``user_id``, listing = the
+                reviewer's latest order; date = ``ts`` less 0 to 599 days by
+                ``event_id`` (all events lie in one month); text = that of document
+                number ``event_id`` modulo the number of documents, but for two
+                small classes of events without a text (see ``NO_TEXT``)
 boundaries      ``nation`` names and ``region`` names
 ==============  ==================================================================
 
@@ -30,13 +32,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rentlens.operators.ranking import row_rank
+
 DRIVER_TABLES = ("region nation customer supplier part orders lineitem events documents "
                  "embeddings pages benchmark labels conversations").split()
 
+#: The tables that the warehouse is derived from.
+WAREHOUSE_TABLES = ("region", "nation", "customer", "orders", "lineitem", "events", "documents")
+
 # --- fixed values -----------------------------------------------------------
 SUPERHOST_SEGMENTS = ("AUTOMOBILE", "BUILDING")
 REGULAR_SEGMENTS = ("FURNITURE", "HOUSEHOLD")
 SCRAPE_DATE = "2024-02-01"
+# event ids whose remainder by NO_TEXT_EVERY is one of these have no review text: an N/A token, and a null
+NO_TEXT_EVERY, NO_TEXT = 50, {"N/A": 7, None: 13}
+REVIEW_DAYS, REVIEW_STEP = 600, 7919
 # -----------------------------------------------------------------------------
 
 
@@ -151,6 +161,7 @@ def raw_listings(t: DriverTables) -> DataFrame:
         F.when(status.isin("F", "O"), F.lit("t")).alias("instant_bookable"),
         F.lit(None).cast("string").alias("calendar_updated"),
         F.lit(None).cast("string").alias("neighborhood_overview"),
+        F.struct(F.col("o_orderkey")).alias("_ord"),
     )
 
 
@@ -177,17 +188,22 @@ def review_listing_map(t: DriverTables) -> DataFrame:
 
 def raw_reviews(t: DriverTables) -> DataFrame:
     """Reviews export stand-in (one row per event)."""
-    e = t.events.select("event_id", "ts", "user_id")
     m = review_listing_map(t)
-    d = t.documents.select("doc_id", "text")
+    # documents numbered from 0 in the order of their ids (a distributed rank)
+    d = row_rank(t.documents.select("doc_id"), "doc_id", "nth").join(t.documents.select("doc_id", "text"), "doc_id")
+    n_docs = F.lit(max(1, t.documents.count()))
+    e = t.events.select("event_id", "ts", "user_id", (F.pmod(F.col("event_id"), n_docs) + 1).alias("nth"))
+    rest = F.pmod(F.col("event_id"), F.lit(NO_TEXT_EVERY))
+    text = F.when(rest == NO_TEXT[None], F.lit(None)).when(rest == NO_TEXT["N/A"], F.lit("N/A")).otherwise(F.col("text"))
+    back = F.pmod(F.col("event_id") * REVIEW_STEP, F.lit(REVIEW_DAYS)).cast("int")
     return (e.join(m, e.user_id == m.o_custkey, "inner")
-            .join(d, e.event_id == d.doc_id, "left")
+            .join(d.select("nth", "text"), "nth", "left")
             .select(
                 F.col("listing_id"),
                 F.col("event_id").alias("id"),
-                F.date_format("ts", "yyyy-MM-dd").alias("date"),
+                F.date_format(F.date_sub(F.col("ts"), back), "yyyy-MM-dd").alias("date"),
                 F.col("user_id").alias("reviewer_id"),
-                F.col("text").alias("comments"),
+                text.alias("comments"),
                 F.struct(F.col("event_id")).alias("_ord"),
             ))
 
