@@ -11,9 +11,10 @@ The prior is the share of toxic rows among the labelled training rows.
 
 Features are the distinct words of the text (lower case, digits, letters and
 non-ASCII characters) and their first 4, 5 and 6 bytes, hashed into 2**20
-buckets; of these, the ``n_features`` whose presence differs most between P and
-U are kept. Each feature counts once per document, so a long document is not
-judged by its length.
+buckets. A feature is kept if its share among P is above that among U by
+``SIGNIFICANT`` standard errors and the prior makes it a sign of toxicity in
+``PURE`` of the documents that have it, the ``n_features`` clearest at most.
+Each counts once per document, so a long document is not judged by its length.
 
 Only the fit is made from a bounded sample, ``n_positive`` and ``n_unlabelled``
 documents of the training rows, dealt by a hash of the id; every whole text is
@@ -43,6 +44,7 @@ from .common import WORD_CHAR, in_arrow, lowered, prefix_sums, range_hash, saved
 FOLDS, HELD_OUT_FOLD, THRESHOLD = 3, 1, 0.7
 #: Bounds of the training sample, and the size of the model.
 N_POSITIVE, N_UNLABELLED, N_FEATURES = 4000, 10_000, 4096
+SIGNIFICANT, PURE, FEWEST = 6.0, 0.7, 3
 BUCKET_BITS = 20
 STEMS = (4, 5, 6)
 
@@ -103,25 +105,26 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, n_pos
     return texts.transform(in_arrow, run, "positive int, features array<int>"), prior
 
 
-def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 200, rate: float = 0.05, decay: float = 1e-4,
-          shrink: float = 2e-4) -> Model:
-    """Fits the classifier with full-batch Adam; ``shrink`` is a soft threshold that keeps unneeded weights at zero."""
+def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 300, rate: float = 0.05, decay: float = 3e-5) -> Model:
+    """Fits the classifier with full-batch Adam on the non-negative risk."""
     positive = rows.column("positive").combine_chunks().to_numpy()
     lists = rows.column("features").combine_chunks()
     cut = np.asarray(lists.offsets)
     bucket, row = np.asarray(lists.values)[cut[0]:cut[-1]], np.repeat(np.arange(len(positive)), np.diff(cut))
     size = 1 << BUCKET_BITS
     n_p, n_u = int(positive.sum()), int((1 - positive).sum())
-    in_p = np.bincount(bucket[positive[row] == 1], minlength=size) / max(n_p, 1)
-    in_u = np.bincount(bucket[positive[row] == 0], minlength=size) / max(n_u, 1)
-    spread = np.sqrt((in_p * (1 - in_p) + 1e-3) / max(n_p, 1) + (in_u * (1 - in_u) + 1e-3) / max(n_u, 1))
-    best = np.argsort(-np.abs(in_p - in_u) / spread, kind="stable")[:n_features]
+    k_p = np.bincount(bucket[positive[row] == 1], minlength=size)
+    k_u = np.bincount(bucket[positive[row] == 0], minlength=size)
+    in_p, in_u, pooled = k_p / max(n_p, 1), k_u / max(n_u, 1), (k_p + k_u + 1) / (n_p + n_u + 2)
+    clear = (in_p - in_u) / np.sqrt(pooled * (1 - pooled) * (1 / max(n_p, 1) + 1 / max(n_u, 1)))
+    best = np.flatnonzero((clear >= SIGNIFICANT) & (k_p >= FEWEST) & (prior * in_p >= PURE * in_u))
+    best = best[np.argsort(-clear[best], kind="stable")][:n_features]
     slot = np.full(size, -1, np.int32)
     slot[best] = np.arange(len(best), dtype=np.int32)
     feature = slot[bucket]
     row, feature = row[feature >= 0], feature[feature >= 0]
     is_p = positive == 1
-    w, b = np.zeros(len(best) + 1), 0.0
+    w = np.zeros(len(best) + 1)
     m, v = np.zeros(len(w)), np.zeros(len(w))
     for t in range(1, rounds + 1):
         z = np.bincount(row, weights=w[feature], minlength=len(positive)) + w[-1]
@@ -134,9 +137,7 @@ def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: in
         grad[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - shrink, 0)
-    b = float(w[-1])
-    return Model(slot, w[:-1].astype(np.float64), b)
+    return Model(slot, w[:-1], float(w[-1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_positive: int = N_POSITIVE,
@@ -158,8 +159,9 @@ def scores(model: Model | None, column: pa.Array) -> np.ndarray:
         doc, bucket = _buckets(data, off)
         feature = model.slot[bucket]
         doc, feature = doc[feature >= 0], feature[feature >= 0].astype(np.int64)
-        key = np.unique(doc * len(model.weight) + feature)
-        z = np.bincount(key // len(model.weight), weights=model.weight[key % len(model.weight)], minlength=j - i) + model.bias
+        n = max(1, len(model.weight))
+        key = np.unique(doc * n + feature)
+        z = np.bincount(key // n, weights=model.weight[key % n], minlength=j - i) + model.bias
         out.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
     return np.concatenate(out)
 
