@@ -14,7 +14,8 @@ non-ASCII characters) and their first 4, 5 and 6 bytes, hashed into 2**20
 buckets. A feature is kept if its share among P is above that among U by
 ``SIGNIFICANT`` standard errors and the prior makes it a sign of toxicity in
 ``PURE`` of the documents that have it, the ``n_features`` clearest at most.
-Each counts once per document, so a long document is not judged by its length.
+Each counts once per document. The logarithm of the number of words is a feature
+too: among many words some signs turn up by chance.
 
 Only the fit is made from a bounded sample, ``n_positive`` and ``n_unlabelled``
 documents of the training rows, dealt by a hash of the id; every whole text is
@@ -53,6 +54,7 @@ STEMS = (4, 5, 6)
 class Model:
     slot: np.ndarray  # bucket -> feature, or -1
     weight: np.ndarray
+    length: float  # weight of the logarithm of the words
     bias: float
 
 
@@ -60,12 +62,12 @@ def held_out(doc_id: Column, folds: int = FOLDS, fold: int = HELD_OUT_FOLD) -> C
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
 
 
-def _buckets(data: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(document, bucket) of every word and stem, repeats included."""
+def _buckets(data: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, bucket) of every word and stem, repeats included; words of each document."""
     raw = lowered(data)
     s, e, upto = word_spans(raw, off, WORD_CHAR)
     if not len(s):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.diff(upto)
     sums = prefix_sums(raw)
     doc = np.repeat(np.arange(len(off) - 1), np.diff(upto))
     docs, hashes = [doc], [range_hash(sums, s, e)]
@@ -73,11 +75,15 @@ def _buckets(data: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         longer = e - s > k
         docs.append(doc[longer])
         hashes.append(range_hash(sums, s[longer], s[longer] + k) ^ np.uint64(k))
-    return np.concatenate(docs), (np.concatenate(hashes) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
+    return np.concatenate(docs), (np.concatenate(hashes) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64), np.diff(upto)
+
+
+def _size(words: np.ndarray) -> np.ndarray:
+    return np.log1p(words) / 5
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, n_positive: int, n_unlabelled: int) -> tuple[DataFrame, float]:
-    """(positive, features) of the bounded training sample, and the class prior."""
+    """(positive, features, words) of the bounded training sample, and the class prior."""
     marks = (labels.select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic")).dropna().filter(~held_out(F.col("id")))
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
     prior = marks.agg(F.avg("toxic")).first()[0]
@@ -92,20 +98,21 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, n_pos
 
     def run(batches):
         for batch in batches:
-            out = []
+            out, words = [], []
             for i, j, data, off in text_slices(batch.column(0)):
-                doc, bucket = _buckets(data, off)
+                doc, bucket, n = _buckets(data, off)
+                words.append(n)
                 key = np.unique(doc << BUCKET_BITS | bucket)
                 cut = np.searchsorted(key, np.arange(j - i + 1) << BUCKET_BITS)
                 value = (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
                 out.append(pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(value)))
             if out:
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.concat_arrays(out)], names=["positive", "features"])
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.concat_arrays(out), pa.array(np.concatenate(words))], names=["positive", "features", "words"])
 
-    return texts.transform(in_arrow, run, "positive int, features array<int>"), prior
+    return texts.transform(in_arrow, run, "positive int, features array<int>, words long"), prior
 
 
-def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 300, rate: float = 0.05, decay: float = 3e-5) -> Model:
+def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 300, rate: float = 0.05, decay: float = 1e-5) -> Model:
     """Fits the classifier with full-batch Adam on the non-negative risk."""
     positive = rows.column("positive").combine_chunks().to_numpy()
     lists = rows.column("features").combine_chunks()
@@ -123,21 +130,21 @@ def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: in
     slot[best] = np.arange(len(best), dtype=np.int32)
     feature = slot[bucket]
     row, feature = row[feature >= 0], feature[feature >= 0]
-    is_p = positive == 1
-    w = np.zeros(len(best) + 1)
+    is_p, size = positive == 1, _size(rows.column("words").to_numpy())
+    w = np.zeros(len(best) + 2)  # features, length, bias
     m, v = np.zeros(len(w)), np.zeros(len(w))
     for t in range(1, rounds + 1):
-        z = np.bincount(row, weights=w[feature], minlength=len(positive)) + w[-1]
+        z = np.bincount(row, weights=w[feature], minlength=len(positive)) + w[-2] * size + w[-1]
         s = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
         negative_part = np.logaddexp(0, z[~is_p]).mean() - prior * np.logaddexp(0, z[is_p]).mean()
         g = np.where(is_p, -prior * (1 - s) / n_p, 0.0)  # p E_P[l(z)]
         back = np.where(is_p, -prior * s / n_p, s / max(n_u, 1))  # E_U[l(-z)] - p E_P[l(-z)]
         g = g + back if negative_part >= 0 else -back
-        grad = np.append(np.bincount(feature, weights=g[row], minlength=len(best)), g.sum())
+        grad = np.append(np.bincount(feature, weights=g[row], minlength=len(best)), [(g * size).sum(), g.sum()])
         grad[:-1] += decay * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return Model(slot, w[:-1], float(w[-1]))
+    return Model(slot, w[:-2], float(w[-2]), float(w[-1]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_positive: int = N_POSITIVE,
@@ -156,12 +163,12 @@ def scores(model: Model | None, column: pa.Array) -> np.ndarray:
         if model is None:
             out.append(np.zeros(j - i))
             continue
-        doc, bucket = _buckets(data, off)
+        doc, bucket, words = _buckets(data, off)
         feature = model.slot[bucket]
         doc, feature = doc[feature >= 0], feature[feature >= 0].astype(np.int64)
         n = max(1, len(model.weight))
         key = np.unique(doc * n + feature)
-        z = np.bincount(key // n, weights=model.weight[key % n], minlength=j - i) + model.bias
+        z = np.bincount(key // n, weights=model.weight[key % n], minlength=j - i) + model.length * _size(words) + model.bias
         out.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
     return np.concatenate(out)
 

@@ -212,7 +212,7 @@ def test_non_negative_risk():
     """With many positives among few unlabelled rows the negative part would go below zero."""
     import pyarrow as pa
     feature = [[1, 2]] * 40 + [[1, 3]] * 6 + [[4, 5]] * 30
-    rows = pa.table({"positive": pa.array([1] * 40 + [0] * 36, pa.int32()), "features": pa.array(feature, pa.list_(pa.int32()))})
+    rows = pa.table({"positive": pa.array([1] * 40 + [0] * 36, pa.int32()), "features": pa.array(feature, pa.list_(pa.int32())), "words": pa.array([9] * 76, pa.int64())})
     model = toxicity.train(rows, prior=0.5)
     assert np.isfinite(model.weight).all() and abs(model.bias) < 50
 
