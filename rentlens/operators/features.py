@@ -25,6 +25,7 @@ BASE_FEATURES = ["accommodates", "bathrooms", "bedrooms", "beds", "room_type_enc
                  "review_scores_location", "review_scores_value", "estimated_occupancy_l365d",
                  "host_listings_count", "hosts_time_as_host_years", "is_superhost", "has_rating", "beds_per_person"]
 DUMMY_PREFIX = "ng_"
+MISSING = -1.0
 # -----------------------------------------------------------------------------
 # Room-type codes for the driver stand-in data (same ordinal idea: most
 # private / largest first).
@@ -66,8 +67,8 @@ def fit_feature_meta(train: DataFrame, room_type_codes: dict = ROOM_TYPE_CODES)
 
 def build_features(df: DataFrame, meta: FeatureMeta, assemble: bool = True) -> DataFrame:
     """Target, flags, fills, ratios, codes, dummies and (optionally) the
-    feature vector.  A room type outside the code table stays NULL (the
-    assembler keeps it as NaN); a group unseen in training gets all zeros."""
+    feature vector.  A room type outside the code table stays NULL (``MISSING``
+    in the vector); a group unseen in training gets all zeros."""
     d = df.withColumn("log_price", F.log1p("price"))
     d = d.withColumn("is_superhost", C.to_flag_int(F.col("host_is_superhost") == "t"))
     d = d.withColumn("has_rating", F.col("review_scores_rating").isNotNull().cast("int"))
@@ -83,7 +84,10 @@ def build_features(df: DataFrame, meta: FeatureMeta, assemble: bool = True) -> D
     for c in meta.feature_cols:
         d = d.withColumn(c, F.col(c).cast("double"))
     if assemble:
-        d = VectorAssembler(inputCols=meta.feature_cols, outputCol="features", handleInvalid="keep").transform(d)
+        # Spark's trees take no NaN: for them a missing value is a value of its own, below all others
+        names = [f"_f{i}" for i in range(len(meta.feature_cols))]
+        d = d.withColumns({n: F.coalesce(F.nanvl(F.col(c), F.lit(MISSING)), F.lit(MISSING)) for n, c in zip(names, meta.feature_cols)})
+        d = VectorAssembler(inputCols=names, outputCol="features").transform(d).drop(*names)
     return d
 
 

@@ -119,13 +119,13 @@ def describe_listing(tokens: DataFrame, listing_id: int) -> DataFrame:
     r = tokens.where(F.col("listing_id") == listing_id)
     return r.select(
         "listing_id",
-        F.format_string("Listing %d: %s", F.col("listing_id"), F.substring(F.col("name").cast("string"), 1, 70))
+        F.format_string("#%d %s", F.col("listing_id"), F.substring(F.col("name").cast("string"), 1, 70))
         .alias("title"),
-        F.format_string("Neighbourhood: %s (%s)", "neighbourhood", "neighbourhood_group").alias("area"),
-        F.format_string("Room type: %s  |  Accommodates: %d", "room_type", "accommodates").alias("room"),
-        F.format_string("Price: EUR %.2f/night  |  Rating: %s", "price",
-                        F.coalesce(F.col("review_scores_rating").cast("string"), F.lit("nan"))).alias("price_line"),
-        F.format_string("Amenities (%d): %s", "n_amenities",
+        F.format_string("%s, %s", "neighbourhood", "neighbourhood_group").alias("area"),
+        F.format_string("%s for %d", "room_type", "accommodates").alias("room"),
+        F.format_string("%.2f a night, rated %s", "price",
+                        F.coalesce(F.col("review_scores_rating").cast("string"), F.lit("-"))).alias("price_line"),
+        F.format_string("%d amenities, such as %s", "n_amenities",
                         F.substring(F.array_join("amenity_list", ", "), 1, 120)).alias("amenities_line"))
 
 

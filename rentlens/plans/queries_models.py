@@ -2,7 +2,7 @@
 
 Model outputs depend on floating-point training details and have no SQL
 form; they are registered without oracle SQL (row-count check) and tested
-in ``tests/test_models.py``.  The feature table itself is oracle-checked.
+in ``tests/test_models_jobs.py``.  The feature table itself is oracle-checked.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def _fitted(spark, sf_dir, kind="ridge"):
 
 
 _GROUPS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]  # region names of the driver data, sorted
-_FEAT_SQL = q(f"""
+_FT_SQL = q(f"""
 , mf AS (
   SELECT f.listing_id, f.price, l.room_type, l.accommodates, l.bathrooms, l.bedrooms, l.beds, n.neighbourhood_group,
          h.host_is_superhost, h.host_listings_count, h.hosts_time_as_host_years, f.number_of_reviews,
@@ -69,6 +69,10 @@ ft AS (
          coalesce(CAST(mf.beds AS DOUBLE), md.beds) / greatest(CAST(mf.accommodates AS DOUBLE), 1.0) AS beds_per_person,
          {", ".join(f'CAST(coalesce(mf.neighbourhood_group = {chr(39)}{g}{chr(39)}, false) AS DOUBLE) AS "ng_{g}"' for g in _GROUPS[1:])}
   FROM mf, md)
+"""
+                          )
+_FEATURES = FT.BASE_FEATURES + [f"ng_{g}" for g in _GROUPS[1:]]
+_FEAT_SQL = _FT_SQL + (f"""
 SELECT listing_id, {", ".join(f'round(log_price, {D}) AS log_price' if c == 'log_price' else f'round("{c}", {D}) AS "{c}"'
                              for c in ['log_price'] + FT.BASE_FEATURES + [f'ng_{g}' for g in _GROUPS[1:]])}
 FROM ft
@@ -84,7 +88,8 @@ def feature_vector(spark, sf_dir):
     return f.select("listing_id", *[F.round(c, D).alias(c) for c in ["log_price"] + meta.feature_cols])
 
 
-@register("feature_null_check")
+@register("feature_null_check", _FT_SQL + " UNION ALL ".join(
+    f"""SELECT count(*) AS n_rows, '{c}' AS feature, count(*) FILTER (WHERE "{c}" IS NULL) AS n_null FROM ft""" for c in _FEATURES))
 def feature_null_check(spark, sf_dir):
     """Rows and remaining NULLs per feature of the training matrix."""
     fr = _frame(spark, sf_dir)

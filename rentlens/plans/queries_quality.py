@@ -15,7 +15,7 @@ SUSPECT = ["host_since", "host_response_time", "instant_bookable", "calendar_upd
 
 
 def _raw_listings(spark, sf_dir):
-    return roles.raw_listings(roles.DriverTables(spark, sf_dir))
+    return roles.raw_listings(roles.DriverTables(spark, sf_dir)).drop("_ord")
 
 
 _RAW_HOSTS = """
@@ -49,19 +49,72 @@ def value_counts_by_null(spark, sf_dir):
     return quality.value_counts_by_null(_raw_listings(spark, sf_dir), "source", "host_since")
 
 
-@register("null_rate_audit")
+# Raw listing columns in order: type, and when the stand-in leaves them empty.
+_NO_LINES, _NEVER = "NOT has_lines", "false"
+RAW_COLUMNS = {
+    "id": ("bigint", _NEVER), "name": ("string", _NEVER), "host_id": ("bigint", _NEVER), "host_name": ("string", _NEVER),
+    "host_is_superhost": ("string", "c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')"),
+    "host_identity_verified": ("string", _NEVER), "host_has_profile_pic": ("string", _NEVER), "host_listings_count": ("double", _NEVER),
+    "hosts_time_as_host_years": ("double", "c_acctbal < 0"), "hosts_time_as_user_years": ("double", _NEVER),
+    "host_location": ("string", _NEVER), "neighbourhood_cleansed": ("string", _NEVER), "neighbourhood_group_cleansed": ("string", _NEVER),
+    "latitude": ("double", _NEVER), "longitude": ("double", _NEVER), "property_type": ("string", _NEVER), "room_type": ("string", _NEVER),
+    "accommodates": ("int", _NEVER), "bathrooms": ("double", _NO_LINES), "bedrooms": ("double", "o_orderstatus = 'P'"),
+    "beds": ("double", "c_acctbal < 0"), "amenities": ("string", _NO_LINES), "price": ("string", _NEVER),
+    "price_quote_price_per_night": ("string", "o_orderstatus <> 'O'"), "price_quote_total_price": ("string", "true"),
+    "minimum_nights": ("int", _NO_LINES), "maximum_nights": ("int", _NEVER), "availability_365": ("int", _NEVER),
+    "number_of_reviews": ("int", _NEVER), "number_of_reviews_ltm": ("int", _NEVER), "reviews_per_month": ("double", _NO_LINES),
+    "review_scores_rating": ("double", _NO_LINES), "review_scores_cleanliness": ("double", _NO_LINES),
+    "review_scores_location": ("double", _NO_LINES), "review_scores_value": ("double", _NO_LINES),
+    "estimated_occupancy_l365d": ("int", _NEVER), "estimated_revenue_l365d": ("double", _NEVER),
+    "calculated_host_listings_count": ("int", _NEVER),
+    "license": ("string", "o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED') AND o_orderstatus NOT IN ('F', 'O')"),
+    "source": ("string", _NEVER), "last_scraped": ("string", _NEVER), "first_review": ("string", _NO_LINES), "last_review": ("string", _NO_LINES),
+    "calendar_last_scraped": ("string", _NEVER), "host_since": ("string", "o_orderstatus <> 'F'"),
+    "host_response_time": ("string", "o_orderstatus <> 'F'"), "instant_bookable": ("string", "o_orderstatus NOT IN ('F', 'O')"),
+    "calendar_updated": ("string", "true"), "neighborhood_overview": ("string", "true"),
+}
+_NULLS = ", nulls AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS dtype, count(*) AS n_rows, count(*) FILTER (WHERE {null}) AS n_null FROM base"
+    for c, (t, null) in RAW_COLUMNS.items()) + ")"
+
+
+@register("null_rate_audit", q(_NULLS + "SELECT column_name, n_null * 100.0::DOUBLE / n_rows AS null_pct FROM nulls"))
 def null_rate_audit(spark, sf_dir):
     """Null % of every raw listing column."""
     return quality.null_rate_audit(_raw_listings(spark, sf_dir))
 
 
-@register("profile_table")
+@register("profile_table", q(_NULLS + f"""
+SELECT n_rows, column_name, dtype, n_null, 'listings' AS table_name, {len(RAW_COLUMNS)} AS n_columns
+FROM nulls ORDER BY n_null DESC, column_name LIMIT 20
+"""))
 def profile_table(spark, sf_dir):
     """Shape, types and the 20 columns with most nulls of the raw listings."""
     return quality.profile_table(_raw_listings(spark, sf_dir), "listings")
 
 
-@register("frame_null_top")
+_FRAME_TYPES = {"listing_id": "bigint", "price": "double", "room_type": "string", "property_type": "string", "accommodates": "int",
+                "bathrooms": "double", "bedrooms": "double", "beds": "double", "neighbourhood_name": "string", "neighbourhood_group": "string",
+                "host_is_superhost": "string", "host_listings_count": "double", "hosts_time_as_host_years": "double", "number_of_reviews": "int",
+                "review_scores_rating": "double", "review_scores_cleanliness": "double", "review_scores_location": "double",
+                "review_scores_value": "double", "availability_365": "int", "minimum_nights": "int", "estimated_occupancy_l365d": "int",
+                "demand_segment": "string"}
+_FRAME_NULLS = """
+, fr AS (
+  SELECT f.*, l.room_type, l.property_type, l.accommodates, l.bathrooms, l.bedrooms, l.beds, l.neighbourhood_name, n.neighbourhood_group,
+         h.host_is_superhost, h.host_listings_count, h.hosts_time_as_host_years, v.demand_segment
+  FROM fact_listing_performance f JOIN dim_listing l ON f.listing_id = l.listing_id
+  JOIN dim_neighbourhood n ON l.neighbourhood_name = n.neighbourhood_name
+  JOIN dim_host h ON l.host_id = h.host_id JOIN v_listing_demand v ON f.listing_id = v.listing_id
+  WHERE f.price IS NOT NULL AND l.price_is_valid AND v.demand_segment = 'active'),
+nulls AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS dtype, count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM fr"
+                                   for c, t in _FRAME_TYPES.items()) + ")"
+
+
+@register("frame_null_top", q(_FRAME_NULLS + f"""
+SELECT n_rows, column_name, dtype, n_null, 'model_frame' AS table_name, {len(_FRAME_TYPES)} AS n_columns
+FROM nulls ORDER BY n_null DESC, column_name LIMIT 15
+"""))
 def frame_null_top(spark, sf_dir):
     """Null counts of the training frame, top 15."""
     from rentlens.operators import frames
