@@ -22,10 +22,11 @@ from rentlens.session import checkpoint_dir
 
 #: A side of a join is broadcast only if it has been counted to have no more rows.
 BROADCAST_ROWS = 200_000
+ROWS_PER_FILE = 50_000
 #: Bytes of text that the vectorised steps hold at once (one longer document is held alone).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 #: Bytes of an Arrow batch, so that long texts do not add up (Spark counts rows only up to 64 MB).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: Fixed values of the contracts, as byte classes: white space that splits words.
 SPACE = np.zeros(256, bool)
@@ -45,10 +46,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again (cuts the lineage)."""
+def saved(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again (cuts the lineage).
+
+    ``rows``, about how many there are if that is known, keeps small results in
+    few files: a task for every ``ROWS_PER_FILE``.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

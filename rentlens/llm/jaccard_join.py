@@ -15,13 +15,15 @@ component under these links.
 3. Index-level skipping: an index list is split into blocks by set size, and an
    entry is paired with its own and the next smaller block's first entry only,
    if sizes and positions in the prefix still allow a link. These pairs are
-   verified on the full sets and give components.
+   verified on the full sets and give components. Long lists that still hold
+   several components get other leaders and go again.
 4. Answer-level skipping: every linked set x has an anchor a, a verified partner
-   at distance d(x, a) = 1 - Jaccard. What is left are pairs of different
+   at distance d(x, a) = 1 - Jaccard, if that is one of many members. What is left are pairs of different
    components that share a token. They are first compared by anchor: since
    Jaccard distance is a metric, x and y cannot link if
    d(a, b) > 0.15 + d(x, a) + d(y, b), so the answer of a highly similar set
-   settles its neighbours. Pairs of members are verified only where that bound
+   settles its neighbours; 256 parities of each set bound d(a, b) from below
+   within the join, before any pair is made. Pairs of members are verified only where that bound
    leaves the question open. No list or group is paired with itself in full.
 
 Defined results: null and empty texts have an empty set (size 0) and link with
@@ -45,8 +47,12 @@ from .common import NOT_SPACE, in_arrow, join_small, located_whole, lowered, mix
 
 #: Fixed values of the contract.
 WORDS, PART, WHOLE = 4, 85, 100
-#: An index list beyond this many entries makes its token a frequent one; so many frequent tokens are kept (8 bytes each).
+#: A token in more sets than this is a frequent one; so many of them are fetched at a time (8 bytes each).
 LONG_LIST, MOST_FREQUENT = 100, 200_000
+#: An anchor speaks for its members if it has so many.
+GROUP = 16
+#: So often the entries of long lists are paired with a leader, another one each time.
+ROUNDS = 3
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -74,6 +80,12 @@ def shingle_sets(data: bytes, off: np.ndarray, words: int = WORDS) -> list[np.nd
     return out
 
 
+def parity_bits(x: np.ndarray) -> np.ndarray:
+    """Parities of a set's tokens in 256 classes, as four longs: two sets differ in as many tokens as in parities, or more."""
+    odd = np.bincount(x >> 8 & 255, minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_length(n, part: int = PART, whole: int = WHOLE):
     """Tokens of which linked sets share one: n - ceil(part n / whole) + 1."""
     return n - -(-n * part // whole) + 1
@@ -85,28 +97,31 @@ def _head_length(n: int, part: int, whole: int) -> int:
 
 
 def shapes(located: DataFrame, words: int, part: int, whole: int) -> DataFrame:
-    """node, id, loc_file, loc_row, n, digest, head of rows (body, id, loc_file, loc_row)."""
+    """node, id, loc_file, loc_row, n, digest, head, bits of rows (body, id, loc_file, loc_row)."""
     schema = StructType().add("node", "long")
     for f in located.drop("body").schema.fields:
         schema = schema.add(f)
-    schema = schema.add("n", "integer").add("digest", "binary").add("head", ArrayType(LongType()))
+    schema = schema.add("n", "integer").add("digest", "binary").add("head", ArrayType(LongType())).add("bits", ArrayType(LongType()))
 
     def run(batches):
         node = TaskContext.get().partitionId() << 40
         for batch in batches:
-            n, digest, head = [], [], []
+            n, digest, head, bits = [], [], [], []
             for _, _, data, off in text_slices(batch.column(0)):
                 for x in shingle_sets(data, off, words):
                     n.append(len(x))
                     digest.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest())
                     head.append(x[:_head_length(len(x), part, whole)])
+                    bits.append(parity_bits(x))
             nodes = np.arange(node, node + len(n))
             node += len(n)
             cut = np.concatenate([[0], np.cumsum([len(x) for x in head])]).astype(np.int32)
             flat = np.concatenate([*head, np.zeros(0, np.int64)])
+            four = pa.array(np.arange(0, 4 * len(n) + 1, 4, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes), *batch.columns[1:], pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(cut), pa.array(flat))], names=schema.names)
+                 pa.ListArray.from_arrays(pa.array(cut), pa.array(flat)),
+                 pa.ListArray.from_arrays(four, pa.array(np.concatenate([*bits, np.zeros(0, np.int64)])))], names=schema.names)
 
     return located.transform(in_arrow, run, schema)
 
@@ -128,41 +143,60 @@ def full_sets(located: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return rows.transform(in_arrow, run, "node long, tokens array<long>")
 
 
-def prefixes(reps: DataFrame, located: DataFrame, frequent: np.ndarray, words: int, part: int, whole: int) -> tuple[DataFrame, DataFrame | None]:
-    """(node, n, prefix) of sets whose head suffices; and of those that were read again, if any."""
-    if not len(frequent):
-        return reps.select("node", "n", F.slice("head", 1, F.least(F.size("head"), (F.col("n") - F.ceil(F.col("n") * part / whole) + 1).cast("int"))).alias("prefix")), None
-    shared = reps.sparkSession.sparkContext.broadcast(frequent)
+def _ordered_prefix(frequent, part: int, whole: int):
+    """The Arrow step (node, n, sorted tokens) -> (node, n, prefix): by hash, frequent tokens last.
+
+    A head without enough other tokens has no prefix (null), unless it is the whole set.
+    """
 
-    def ordered(x: np.ndarray, n: int, is_whole: bool) -> np.ndarray | None:
-        f = shared.value
-        p = prefix_length(n, part, whole)
-        last = f[np.minimum(np.searchsorted(f, x), len(f) - 1)] == x
+    def prefix(x: np.ndarray, n: int) -> np.ndarray | None:
+        f, p = frequent.value, prefix_length(n, part, whole)
+        last = f[np.minimum(np.searchsorted(f, x), len(f) - 1)] == x if len(f) else np.zeros(len(x), bool)
         first = x[~last]
         if len(first) >= p:
             return first[:p]
-        return np.concatenate([first, x[last]])[:p] if is_whole else None
+        return np.concatenate([first, x[last]])[:p] if len(x) == n else None
 
-    def lists(batch, sizes, column, is_whole):
-        cut, flat = np.asarray(column.offsets), np.asarray(column.values)
-        found = [ordered(flat[a:b], n, is_whole or b - a == n) for a, b, n in zip(cut[:-1].tolist(), cut[1:].tolist(), sizes, strict=True)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "prefix"])
-
-    def from_head(batches):
+    def run(batches):
         for batch in batches:
-            yield lists(batch, batch.column(1).to_pylist(), batch.column(2), False)
+            sizes, cut, flat = batch.column(1).to_pylist(), np.asarray(batch.column(2).offsets), np.asarray(batch.column(2).values)
+            found = [prefix(flat[i:j], n) for i, j, n in zip(cut[:-1].tolist(), cut[1:].tolist(), sizes, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["node", "n", "prefix"])
 
-    def from_set(batches):
-        for batch in batches:
-            yield lists(batch, np.diff(np.asarray(batch.column(1).offsets)).tolist(), batch.column(1), True)
+    return run
 
-    schema = "node long, n int, prefix array<long>"
-    headed = saved(reps.select("node", "n", "head").transform(in_arrow, from_head, schema), "jaccard-prefix")
-    short = saved(headed.filter("prefix is null").select("node"), "jaccard-short")
-    if not short.limit(1).count():
-        return headed, None
-    places = saved(join_small(reps.select("node", "loc_file", "loc_row"), short, "node"), "jaccard-short-places")
-    return headed.filter("prefix is not null"), saved(full_sets(located, places, words).transform(in_arrow, from_set, schema), "jaccard-reread")
+
+def _frequent(counts: DataFrame, long_list: int) -> np.ndarray:
+    """The most frequent tokens of (token, size) beyond ``long_list``: at most ``MOST_FREQUENT`` are fetched."""
+    rows = counts.filter(F.col("size") > long_list).orderBy(F.desc("size"), "token").limit(MOST_FREQUENT).select("token").collect()
+    return np.array([r[0] for r in rows], np.int64)
+
+
+def prefixes(reps: DataFrame, counts: DataFrame, located: DataFrame, words: int, part: int, whole: int, long_list: int) -> tuple[DataFrame, DataFrame | None]:
+    """(node, n, prefix) of all sets, in one order for all; those that were read again in full apart.
+
+    Frequent tokens are found by their counts in all heads. Sets that hold
+    little else in their head are read again and counted in full, so that the
+    frequent tokens behind their heads are known as well.
+    """
+    cast, schema = reps.sparkSession.sparkContext.broadcast, "node long, n int, prefix array<long>"
+    frequent, full = np.sort(_frequent(counts, long_list)), None
+    for again in range(2):
+        headed = saved(reps.select("node", "n", "head").transform(in_arrow, _ordered_prefix(cast(frequent), part, whole), schema), "jaccard-prefix")
+        short = saved(headed.filter("prefix is null").select("node"), "jaccard-short")
+        if not short.limit(1).count():
+            return headed, None
+        places = saved(join_small(reps.select("node", "loc_file", "loc_row"), short, "node"), "jaccard-short-places")
+        full = saved(full_sets(located, places, words), "jaccard-short-sets")
+        if again:
+            break
+        more = full.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+        more = np.union1d(frequent, _frequent(more, long_list))
+        if len(more) == len(frequent):
+            break
+        frequent = more
+    reread = full.select("node", F.size("tokens").alias("n"), "tokens").transform(in_arrow, _ordered_prefix(cast(frequent), part, whole), schema)
+    return headed.filter("prefix is not null"), saved(reread, "jaccard-reread")
 
 
 def _postings(prefix: DataFrame) -> DataFrame:
@@ -175,23 +209,38 @@ def _may_link(n1, pos1, n2, pos2, part: int, whole: int):
     return (F.least(n1, n2) * whole >= F.greatest(n1, n2) * part) & (left * (whole + part) >= (n1 + n2) * part)
 
 
+def _stars(index: DataFrame, leads: DataFrame, part: int, whole: int) -> DataFrame:
+    """Distinct pairs (a, b) of entries with the first of their own and of the next smaller block, if of another component."""
+    own = index.join(leads.filter("size > 1").select("token", "block", "lead"), ["token", "block"])
+    next_ = index.join(leads.select("token", (F.col("block") + 1).alias("block"), "lead"), ["token", "block"])
+    return (own.unionByName(next_).where((F.col("node") != F.col("lead.node")) & (F.col("c") != F.col("lead.c")))
+            .where(_may_link(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), part, whole))
+            .select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root: components of the edges (a, b) by contraction; a constant part of the labels goes in each round."""
-    now = saved(edges.select("a", "b").where("a <> b").distinct(), "components-edges")
-    label = None
+    edges = edges.select("a", "b").where("a <> b")
+    now = saved(edges.distinct(), "components-edges", edges.count())
+    label, n = None, now.count()
     for round_ in range(200):
+        if not n:
+            break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = lambda c: F.struct(F.xxhash64(c, F.lit(round_)).alias("h"), F.col(c).alias("v"))
         best = both.groupBy("a").agg(F.least(F.min(rank("b")), F.first(rank("a"))).alias("m")).select(F.col("a").alias("v"), F.col("m.v").alias("to"))
-        best = saved(best, "components-step")
-        label = best if label is None else label.join(best.withColumnRenamed("to", "to2").withColumnRenamed("v", "to"), "to", "left").select(
-            "v", F.coalesce("to2", "to").alias("to"))
-        label = saved(label, "components-labels")
-        step = best.withColumnRenamed("v", "a").withColumnRenamed("to", "a2")
+        best = saved(best, "components-step", 2 * n)
+        if label is None:
+            label, nodes = best, 2 * n
+        else:
+            label = saved(label.join(best.select(F.col("to").alias("to2"), F.col("v").alias("to")), "to", "left")
+                          .select("v", F.coalesce("to2", "to").alias("to")), "components-labels", nodes)
+        step = best.select(F.col("v").alias("a"), F.col("to").alias("a2"))
         now = saved(now.join(step, "a").join(step.select(F.col("a").alias("b"), F.col("a2").alias("b2")), "b")
-                    .where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "components-edges")
-        if not now.limit(1).count():
-            return label.select(F.col("v").alias("node"), F.col("to").alias("root"))
+                    .where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "components-edges", n)
+        n = now.count()
+    if not n:
+        return (now.select("a", "b") if label is None else label.select("v", "to")).toDF("node", "root")
     raise RuntimeError("components did not converge")
 
 
@@ -212,15 +261,16 @@ class _Verifier:
         need = F.ceil(t / (t + 1) * (F.col("na") + F.col("nb")))
         k = F.least(F.size("ha") - F.col("na"), F.size("hb") - F.col("nb")) + need
         return saved(pairs.join(head("a"), "a").join(head("b"), "b").where((k <= 0) | (F.size(F.array_intersect("ha", "hb")) >= k))
-                     .select("a", "b"), "jaccard-possible")
+                     .select("a", "b"), "jaccard-possible", 4 * pairs.count())
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         """a, b, both (intersection size), na, nb of those of the distinct pairs (a, b, slack) whose distance may be within the limit plus slack."""
         pairs = self._possible(pairs)
+        n = pairs.count()
         asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         if self.known is not None:
             asked = asked.join(self.known, "node", "left_anti")
-        asked = saved(asked, "jaccard-asked")
+        asked = saved(asked, "jaccard-asked", 2 * n)
         places = saved(join_small(self.reps.select("node", "loc_file", "loc_row"), asked, "node"), "jaccard-places")
         new = saved(full_sets(self.located, places, self.words), "jaccard-sets")
         self.sets = new if self.sets is None else self.sets.unionByName(new)
@@ -228,38 +278,44 @@ class _Verifier:
         sa = self.sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
         sb = self.sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
         return saved(pairs.join(sa, "a").join(sb, "b").select(
-            "a", "b", F.size(F.array_intersect("ta", "tb")).alias("both"), F.size("ta").alias("na"), F.size("tb").alias("nb")), "jaccard-verified")
+            "a", "b", F.size(F.array_intersect("ta", "tb")).alias("both"), F.size("ta").alias("na"), F.size("tb").alias("nb")), "jaccard-verified", 10 * n)
 
 
 def _linked(part: int, whole: int):
     return F.col("both") * whole >= (F.col("na") + F.col("nb") - F.col("both")) * part
 
 
+def _at_least(bits1: str, bits2: str, n1: str, n2: str):
+    """A lower bound of the distance of two sets, from their parities and sizes."""
+    differ = sum(F.bit_count(F.col(bits1)[i].bitwiseXOR(F.col(bits2)[i])) for i in range(4))
+    return differ * 2 / (F.col(n1) + F.col(n2) + differ)
+
+
 def _distance():
     return 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, part: int = PART,
-                       whole: int = WHOLE, long_list: int = LONG_LIST) -> DataFrame:
+                       whole: int = WHOLE, long_list: int = LONG_LIST, group: int = GROUP) -> DataFrame:
     """id, loc_file, loc_row, n (set size), class_id (smallest id with this set), component_id, component, grouped.
 
     One row per document. ``component`` tells components apart where ids repeat
     or are null; ``grouped`` says that the component has other documents.
     """
     rows = docs.select(F.col(text_col).alias("body"), F.col(id_col).alias("id"))
-    return _joined(with_locator(rows, ["body", "id"], "jaccard-rows"), words, part, whole, long_list)
+    return _joined(with_locator(rows, ["body", "id"], "jaccard-rows"), words, part, whole, long_list, group)
 
 
-def _joined(located: DataFrame, words: int = WORDS, part: int = PART, whole: int = WHOLE, long_list: int = LONG_LIST) -> DataFrame:
+def _joined(located: DataFrame, words: int = WORDS, part: int = PART, whole: int = WHOLE, long_list: int = LONG_LIST, group: int = GROUP) -> DataFrame:
     shape = saved(shapes(located, words, part, whole), "jaccard-shapes")
     slim = shape.filter("n > 0").select("id", "loc_file", "loc_row", "node", "digest")
 
     classes = saved(slim.groupBy("digest").agg(F.min("id").alias("class_id"), F.min("node").alias("rep"), F.count(F.lit(1)).alias("size")), "jaccard-classes")
     several = saved(classes.filter("size > 1").select("digest", "rep"), "jaccard-several")
     copies = saved(join_small(slim, several, "digest").filter("node <> rep").select("node"), "jaccard-copies")
-    reps = join_small(shape.filter("n > 0").select("node", "loc_file", "loc_row", "n", "head"), copies, "node", "left_anti")
+    reps = join_small(shape.filter("n > 0").select("node", "loc_file", "loc_row", "n", "head", "bits"), copies, "node", "left_anti")
 
-    root = _component_roots(located, reps, words, part, whole, long_list)
+    root = _component_roots(located, reps, words, part, whole, long_list, group)
     linked = classes.join(root.withColumnRenamed("node", "rep"), "rep").select("digest", "class_id", "root")
     smallest = linked.groupBy("root").agg(F.min("class_id").alias("component_id"))
     named = linked.join(smallest, "root")
@@ -274,77 +330,95 @@ def _joined(located: DataFrame, words: int = WORDS, part: int = PART, whole: int
                       F.col("component").isNotNull().alias("grouped"))
 
 
-def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int, whole: int, long_list: int) -> DataFrame:
+def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int, whole: int, long_list: int, group: int) -> DataFrame:
     """node, root of every representative that is linked with another one."""
     counts = saved(reps.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-counts")
-    frequent = np.sort(np.array([r[0] for r in counts.filter(F.col("size") > long_list).orderBy(F.desc("size"), "token").limit(MOST_FREQUENT)
-                                 .select("token").collect()], np.int64))
-    normal, reread = prefixes(reps, located, frequent, words, part, whole)
+    normal, reread = prefixes(reps, counts, located, words, part, whole, long_list)
     shared = counts.select("token")
     index = _postings(normal)
     if reread is not None:  # their later tokens have not been counted
         shared = saved(shared.unionByName(_postings(reread).select("token")).distinct(), "jaccard-tokens")
         index = index.unionByName(_postings(reread))
     index = saved(index.join(shared, "token", "left_semi"), "jaccard-index")
+    n_index = index.count()
 
-    block = F.floor(F.log(F.col("n").cast("double")) / np.log(whole / part)).cast("int")
-    blocked = index.withColumn("block", block)
-    first = saved(blocked.groupBy("token", "block").agg(F.min(F.struct("node", "n", "pos")).alias("lead"), F.count(F.lit(1)).alias("size")), "jaccard-leads")
-    own = blocked.join(first.filter("size > 1").drop("size"), ["token", "block"])
-    next_ = blocked.join(first.select("token", (F.col("block") + 1).alias("block"), "lead"), ["token", "block"])
-    star = (own.unionByName(next_).where(F.col("node") != F.col("lead.node"))
-            .where(_may_link(F.col("n"), F.col("pos"), F.col("lead.n"), F.col("lead.pos"), part, whole)))
-    tested = saved(star.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct(), "jaccard-star")
     verify = _Verifier(located, reps, words, part, whole)
+    block = F.floor(F.log(F.col("n").cast("double")) / np.log(whole / part)).cast("int")
+    index = index.withColumn("block", block)
+    first = saved(index.groupBy("token", "block").agg(F.min(F.struct("node", "n", "pos", F.col("node").alias("c"))).alias("lead"), F.count(F.lit(1)).alias("size")),
+                  "jaccard-leads", n_index)
+    tested = saved(_stars(index.withColumn("c", F.col("node")), first, part, whole), "jaccard-star", n_index)
     checked = verify(tested.withColumn("slack", F.lit(0.0)))
     links = checked.filter(_linked(part, whole))
     root = components(links)
+    for again in range(1, ROUNDS):  # long lists of several components: other entries lead
+        named = index.join(root, "node", "left").withColumn("c", F.coalesce("root", "node")).drop("root")
+        busy = named.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("size")).where(
+            (F.col("c1") != F.col("c2")) & (F.col("size") >= group)).select("token")
+        rest = saved(named.join(saved(busy, "jaccard-busy", n_index), "token", "left_semi"), "jaccard-rest", n_index)
+        lead = rest.groupBy("token", "block").agg(F.min(F.struct(F.xxhash64("node", F.lit(again)).alias("h"), "node", "n", "pos", "c")).alias("lead"), F.count(F.lit(1)).alias("size"))
+        new = saved(_stars(rest, saved(lead, "jaccard-leads", n_index), part, whole).join(tested, ["a", "b"], "left_anti"), "jaccard-star", n_index)
+        if not new.limit(1).count():
+            break
+        got = verify(new.withColumn("slack", F.lit(0.0)))
+        tested, checked = tested.unionByName(new), checked.unionByName(got)
+        more = got.filter(_linked(part, whole))
+        if not more.limit(1).count():
+            break
+        links = links.unionByName(more)
+        root = components(links)
+    n_links = links.count()
 
     # anchor: the nearest verified partner; a set without one is its own anchor
     ends = links.select(F.col("a").alias("node"), F.col("b").alias("to"), _distance().alias("d")).unionByName(
         links.select(F.col("b").alias("node"), F.col("a").alias("to"), _distance().alias("d")))
     lead = first.select(F.col("lead.node").alias("to")).distinct().withColumn("leads", F.lit(0))
     anchor = saved(ends.join(lead, "to", "left").groupBy("node").agg(F.min(F.struct(F.coalesce("leads", F.lit(1)), "d", "to")).alias("m"))
-                   .select("node", F.col("m.to").alias("anchor"), F.col("m.d").alias("d")).join(root, "node"), "jaccard-anchors")
+                   .select("node", F.col("m.to").alias("anchor"), F.col("m.d").alias("d")).join(root, "node"), "jaccard-anchored", 2 * n_links)
+    large = anchor.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= group).select("anchor", F.lit(True).alias("large"))
+    # the members of a small group are compared themselves: their own distances are sharper than an anchor's radius
+    anchor = saved(anchor.join(large, "anchor", "left").select(
+        "node", F.when(F.col("large"), F.col("anchor")).otherwise(F.col("node")).alias("anchor"),
+        F.when(F.col("large"), F.col("d")).otherwise(0.0).alias("d"), "root"), "jaccard-anchors", 2 * n_links)
     entry = (index.join(anchor, "node", "left")
              .groupBy("token", F.coalesce("anchor", "node").alias("x"), F.coalesce("root", "node").alias("c"))
              .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("pos").alias("pos")))
-    open_ = saved(entry, "jaccard-entries")
+    open_ = saved(entry, "jaccard-entries", n_index)
     mixed = open_.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("token")
-    open_ = saved(open_.join(mixed, "token", "left_semi"), "jaccard-open")
-    e, f = open_.alias("e"), open_.alias("f")
-    # with sizes lo..hi, the least that both groups must share against the most tokens that are left
-    possible = ((F.col("e.hi") * whole >= F.col("f.lo") * part) & (F.col("f.hi") * whole >= F.col("e.lo") * part)
-                & (F.least(F.col("e.hi") - F.col("e.pos"), F.col("f.hi") - F.col("f.pos")) * (whole + part) >= (F.col("e.lo") + F.col("f.lo")) * part))
-    pairs = saved(e.join(f, (F.col("e.token") == F.col("f.token")) & (F.col("e.x") < F.col("f.x")) & (F.col("e.c") != F.col("f.c")) & possible)
-                  .select(F.col("e.x").alias("a"), F.col("f.x").alias("b")).distinct(), "jaccard-anchor-pairs")
     # an anchor's radius: its farthest member. Members of a are sets anchored at a, and a itself
     member = anchor.select("node", F.col("anchor").alias("x"), "d", F.col("root").alias("c"))
-    member = saved(member.unionByName(anchor.select("node", F.col("node").alias("x"), F.lit(0.0).alias("d"), F.col("root").alias("c"))), "jaccard-members")
+    member = saved(member.unionByName(anchor.select("node", F.col("node").alias("x"), F.lit(0.0).alias("d"), F.col("root").alias("c"))), "jaccard-members", 4 * n_links)
     reach = member.groupBy("x").agg(F.max("d").alias("r"))
-    pairs = saved(pairs.join(reach.select(F.col("x").alias("a"), F.col("r").alias("ra")), "a", "left").join(
-        reach.select(F.col("x").alias("b"), F.col("r").alias("rb")), "b", "left").select(
-            "a", "b", (F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0))).alias("slack")), "jaccard-slack")
+    about = reps.select(F.col("node").alias("x"), F.col("n").alias("nx"), "bits").join(reach, "x", "left").withColumn("r", F.coalesce("r", F.lit(0.0)))
+    open_ = saved(open_.join(mixed, "token", "left_semi").join(about, "x"), "jaccard-open", n_index)
+    e, f, limit = open_.alias("e"), open_.alias("f"), 1 - part / whole
+    # with sizes lo..hi, the least that both groups must share against the most tokens that are left
+    possible = ((F.col("e.hi") * whole >= F.col("f.lo") * part) & (F.col("f.hi") * whole >= F.col("e.lo") * part)
+                & (F.least(F.col("e.hi") - F.col("e.pos"), F.col("f.hi") - F.col("f.pos")) * (whole + part) >= (F.col("e.lo") + F.col("f.lo")) * part))
+    # anchors that differ in many parities are too far apart for any of their members
+    near_enough = _at_least("e.bits", "f.bits", "e.nx", "f.nx") <= limit + F.col("e.r") + F.col("f.r") + 1e-9
+    pairs = saved(e.join(f, (F.col("e.token") == F.col("f.token")) & (F.col("e.x") < F.col("f.x")) & (F.col("e.c") != F.col("f.c")) & possible & near_enough)
+                  .select(F.col("e.x").alias("a"), F.col("f.x").alias("b"), (F.col("e.r") + F.col("f.r")).alias("slack")).distinct(), "jaccard-anchor-pairs", n_index)
     fresh = pairs.join(checked, ["a", "b"], "left_anti")
-    fresh = saved(fresh.filter("slack > 0").unionByName(fresh.filter("slack = 0").join(tested, ["a", "b"], "left_anti")), "jaccard-fresh")
+    fresh = saved(fresh.filter("slack > 0").unionByName(fresh.filter("slack = 0").join(tested, ["a", "b"], "left_anti")), "jaccard-fresh", pairs.count())
     of_pairs = checked.select("a", "b", "both", "na", "nb")
     if fresh.limit(1).count():
         of_pairs = of_pairs.unionByName(verify(fresh))
     of_pairs = of_pairs.join(pairs, ["a", "b"])
     more = of_pairs.filter(_linked(part, whole)).select("a", "b")
-    limit = 1 - part / whole
     near = of_pairs.withColumn("far", _distance()).where((F.col("slack") > 0) & (F.col("far") <= limit + F.col("slack") + 1e-9)).select("a", "b", "far")
-    near = saved(near, "jaccard-near")
+    near = saved(near, "jaccard-near", pairs.count())
     if near.limit(1).count():
-        sizes = reps.select("node", "n")
-        member = saved(member.join(sizes, "node"), "jaccard-member-sizes")
+        sizes = reps.select("node", "n", "bits")
+        member = saved(member.join(sizes, "node"), "jaccard-member-sizes", 4 * n_links)
         lone = saved(near.select(F.col("a").alias("x")).unionByName(near.select(F.col("b").alias("x"))).distinct().join(member, "x", "left_anti"), "jaccard-lone")
         member = member.unionByName(lone.select(F.col("x").alias("node"), "x", F.lit(0.0).alias("d"), F.col("x").alias("c")).join(sizes, "node"))
-        ma = member.select(F.col("x").alias("a"), F.col("node").alias("x_"), F.col("d").alias("dx"), F.col("c").alias("cx"), F.col("n").alias("nx"))
-        mb = member.select(F.col("x").alias("b"), F.col("node").alias("y_"), F.col("d").alias("dy"), F.col("c").alias("cy"), F.col("n").alias("ny"))
+        ma = member.select(F.col("x").alias("a"), F.col("node").alias("x_"), F.col("d").alias("dx"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
+        mb = member.select(F.col("x").alias("b"), F.col("node").alias("y_"), F.col("d").alias("dy"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("bits").alias("by"))
         cross = (near.join(ma, "a").join(mb, "b")
                  .where((F.col("cx") != F.col("cy")) & (F.col("far") <= limit + F.col("dx") + F.col("dy") + 1e-9)
-                        & (F.least("nx", "ny") * whole >= F.greatest("nx", "ny") * part))
+                        & (F.least("nx", "ny") * whole >= F.greatest("nx", "ny") * part)
+                        & (_at_least("bx", "by", "nx", "ny") <= limit + 1e-9))
                  .select(F.least("x_", "y_").alias("a"), F.greatest("x_", "y_").alias("b")).distinct())
         cross = saved(cross.join(tested, ["a", "b"], "left_anti").join(fresh, ["a", "b"], "left_anti").withColumn("slack", F.lit(0.0)), "jaccard-cross")
         if cross.limit(1).count():

@@ -97,10 +97,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
 
+def archive(pages: str = "pages") -> str:
+    """Base32 by hand: the SHA-1's 160 bits in 32 groups of five."""
+    nibbles = "".join(f"{i:04b}" for i in range(16))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM {pages}),
+h AS (
+  SELECT *, array_to_string(list_transform(string_split(sha1(body), ''),
+                lambda c: substr('{nibbles}', 4 * (strpos('0123456789abcdef', c) - 1) + 1, 4)), '') AS bits FROM p),
+d AS (
+  SELECT page_id, body, strlen(body)::BIGINT AS payload_bytes, max(page_id) OVER (PARTITION BY body) AS first_id,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+             list_sum(list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::INTEGER * (16 >> j)))::INTEGER, 1)), '') AS payload_digest
+  FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM d"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op3_jaccard_join": jaccard(),
         "op5_mix_to_weights": mixing(),
+        "op8_warc_chunks": archive(),
         "op9_exact_dedup": exact(),
         "op10_decontaminate": contamination(),
     }

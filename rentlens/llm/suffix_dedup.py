@@ -311,7 +311,8 @@ def repeated_spans(located: DataFrame, length: int = LENGTH, hot: int = HOT) ->
     rows = table.select("node", F.explode(F.arrays_zip(*_LISTS)).alias("s")).select("node", *[f"s.{c}" for c in _LISTS], F.lit(1).cast("long").alias("n"))
     covered, width = [], 1 << 8  # more than the distances that there are
     while True:
-        live = rows.groupBy("key").agg(F.sum("n").alias("m")).filter("m > 1").select("key")
+        # saved, so that the join's two sides are shuffles that adaptive execution can split at a hot key
+        live = saved(rows.groupBy("key").agg(F.sum("n").alias("m")).filter("m > 1").select("key"), "suffix-live-keys")
         rows = saved(rows.join(live, "key", "left_semi"), "suffix-live")
         sets = saved(rows.groupBy("key", "h1", "h2").agg(F.sum("n").alias("n"), F.min(F.struct("node", "first", "size", "d")).alias("rep")), "suffix-sets")
         covered.append(rows.join(sets.filter("n > 1").select("key", "h1", "h2"), ["key", "h1", "h2"], "left_semi").select("node", "first", "size"))

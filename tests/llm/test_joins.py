@@ -72,8 +72,8 @@ def test_chains_and_rims(spark):
     rng.shuffle(rows)
     rows = [(int(a), str(b)) for a, b in rows]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for long_list in (256, 4):
-        check_components(rows, df, long_list=long_list)
+    for long_list, group in ((256, 2), (4, 2), (4, 100)):
+        check_components(rows, df, long_list=long_list, group=group)
 
 
 def test_components_empty(nothing):

@@ -319,7 +319,7 @@ def test_pipeline(spark, tmp_path):
     from rentlens.llm import exact_dedup, jaccard_join
     rows, df, labels = toxic_corpus(spark)
     near = [(6000 + i, words(3, 120) + f" end{i}") for i in range(5)]
-    dirty = [(7000, "intro " + words(4242, 30)), (7001, words(3, 120).upper() + " END0")]
+    dirty = [(7000, "intro " + words(4242, 30)), (7001, "".join(c.upper() if c.isascii() else c for c in words(3, 120)) + " END0")]
     docs = spark.createDataFrame([(i, t, "en", f"s{(i or 0) % 4}", len(t or "")) for i, t in rows + near + dirty],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
