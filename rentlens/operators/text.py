@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentlens.functions import text as TX
-from rentlens.operators import frames, market
+from rentlens.operators import frames, hosts, market, seasons
 from rentlens.operators.ranking import quantiles
 from rentlens.operators.warehouse import Warehouse
 
@@ -118,27 +118,38 @@ def language_accuracy(texts: DataFrame) -> DataFrame:
                                           F.count_if(F.col("language") == TX.UNKNOWN).alias("n_unknown"))
 
 
-def briefing_facts(wh: Warehouse) -> DataFrame:
-    """The numbers a written market briefing quotes, computed (section, metric, value)."""
+def briefing_facts(wh: Warehouse, cutoff: tuple[int, int], digits: int = 4) -> DataFrame:
+    """The numbers a written market briefing quotes, computed (section, metric,
+    value): size and demand, prices, concentration, licences, season, weekend,
+    reviews and their sentiment.  Each is one aggregate row turned on its side."""
+    def facts(row: DataFrame, section: str, *metrics: str) -> DataFrame:
+        return row.select(F.inline(F.array(*[F.struct(F.lit(section).alias("section"), F.lit(m).alias("metric"),
+                                                      F.col(m).cast("double").alias("value")) for m in metrics])))
+
     lp = frames.listing_perf(wh)
-    active_valid = lp.where((F.col("demand_segment") == "active") & F.col("price_is_valid"))
-    parts = [
-        lp.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-            F.lit("market").alias("section"), F.lit("listings").alias("metric"), "value"),
-        active_valid.agg(F.median("price").alias("value")).select(
-            F.lit("market").alias("section"), F.lit("median_price_active").alias("metric"), "value"),
-        lp.agg((F.count_if(F.col("demand_segment") == "active") * 100.0 / F.count(F.lit(1))).cast("double")
-               .alias("value")).select(F.lit("demand").alias("section"), F.lit("pct_active").alias("metric"), "value"),
-        lp.agg((F.count_if(F.col("demand_segment") == "never_active") * 100.0 / F.count(F.lit(1))).cast("double")
-               .alias("value")).select(F.lit("demand").alias("section"), F.lit("pct_never_active").alias("metric"),
-                                       "value"),
-        market.top_neighbourhoods(wh, digits=4).limit(1).select(
-            F.lit("areas").alias("section"), F.concat(F.lit("top_area_median:"), F.col("neighbourhood_name")).alias("metric"),
-            F.col("median_price").alias("value")),
-        wh.fact_reviews.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-            F.lit("reviews").alias("section"), F.lit("reviews").alias("metric"), "value"),
-    ]
+    pct = lambda cond: F.count_if(cond) * 100.0 / F.count(F.lit(1))
+    segment = F.col("demand_segment")
+    demand = lp.agg(F.count(F.lit(1)).alias("listings"), pct(segment == "active").alias("pct_active"),
+                    pct(segment == "never_active").alias("pct_never_active"), pct(segment == "dormant_with_history").alias("pct_dormant"))
+    prices = quantiles(lp.where((segment == "active") & F.col("price_is_valid")), "price",
+                       {"price_p25_active": 0.25, "median_price_active": 0.5, "price_p75_active": 0.75})
+    area = market.top_neighbourhoods(wh, digits=digits).limit(1).select(
+        F.lit("areas").alias("section"), F.concat(F.lit("top_area_median:"), F.col("neighbourhood_name")).alias("metric"),
+        F.col("median_price").cast("double").alias("value"))
+    conc = hosts.market_concentration(wh, (10,)).select(F.col("pct_of_listings").alias("top_10_hosts_pct"), F.col("single_listing_share").alias("single_hosts_pct"))
+    lic = wh.stg_listings.agg(pct(F.col("license").isNull() | (F.col("license") == "")).alias("without_licence_pct"))
+    peak = seasons.review_seasonality(wh, *cutoff).orderBy(F.desc("avg_reviews"), F.asc("month")).limit(1).select(F.col("month").alias("peak_month"))
+    weekend = seasons.weekend_availability(wh).agg(F.max(F.when(F.col("is_weekend"), F.col("pct_available")) * 100).alias("weekend_available_pct"),
+                                                   F.max(F.when(~F.col("is_weekend"), F.col("pct_available")) * 100).alias("weekday_available_pct"))
+    mood = score_reviews(review_texts(wh)).agg(F.avg("compound").alias("mean_compound"), pct(F.col("compound") > TX.POSITIVE_CUT).alias("positive_pct"),
+                                               pct(F.col("compound") < TX.NEGATIVE_CUT).alias("negative_pct"))
+    parts = [facts(demand, "demand", "listings", "pct_active", "pct_never_active", "pct_dormant"),
+             facts(prices, "prices", "price_p25_active", "median_price_active", "price_p75_active"), area,
+             facts(conc, "hosts", "top_10_hosts_pct", "single_hosts_pct"), facts(lic, "licences", "without_licence_pct"),
+             facts(peak, "season", "peak_month"), facts(weekend, "season", "weekend_available_pct", "weekday_available_pct"),
+             facts(wh.fact_reviews.agg(F.count(F.lit(1)).alias("reviews")), "reviews", "reviews"),
+             facts(mood, "reviews", "mean_compound", "positive_pct", "negative_pct")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("value", F.round("value", 4))
+    return out.withColumn("value", F.round("value", digits))

@@ -206,10 +206,42 @@ def sentiment_trend(spark, sf_dir):
     return _r(text.sentiment_trend(_scored(spark, sf_dir)), ("slope", "intercept"))
 
 
-@register("briefing_facts")
+CUTOFF = (2024, 1)  # last complete month of the review stand-in
+_PCT = lambda cond: f"CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE) * 100 / count(*)"
+_FACTS = {
+    ("demand", "listings"): "SELECT count(*) FROM lp", ("demand", "pct_active"): f"SELECT {_PCT('demand_segment = ' + _sql_str('active'))} FROM lp",
+    ("demand", "pct_never_active"): f"SELECT {_PCT('demand_segment = ' + _sql_str('never_active'))} FROM lp",
+    ("demand", "pct_dormant"): f"SELECT {_PCT('demand_segment = ' + _sql_str('dormant_with_history'))} FROM lp",
+    **{("prices", m): f"SELECT quantile_cont(price, {p}) FROM lp WHERE demand_segment = 'active' AND price_is_valid"
+       for m, p in (("price_p25_active", 0.25), ("median_price_active", 0.5), ("price_p75_active", 0.75))},
+    ("hosts", "top_10_hosts_pct"): "SELECT (SELECT sum(n) FROM (SELECT n FROM hp ORDER BY n DESC LIMIT 10)) * 100.0 / sum(n) FROM hp",
+    ("hosts", "single_hosts_pct"): "SELECT count(*) FILTER (WHERE n = 1) * 100.0 / sum(n) FROM hp",
+    ("licences", "without_licence_pct"): f"SELECT {_PCT('license IS NULL OR license = ' + _sql_str(''))} FROM stg_listings",
+    ("season", "peak_month"): "SELECT month FROM se ORDER BY v DESC, month LIMIT 1",
+    ("season", "weekend_available_pct"): f"SELECT {_PCT('available')} FROM fact_calendar WHERE dayofweek(date) IN (0, 6)",
+    ("season", "weekday_available_pct"): f"SELECT {_PCT('available')} FROM fact_calendar WHERE dayofweek(date) NOT IN (0, 6)",
+    ("reviews", "reviews"): "SELECT count(*) FROM fact_reviews", ("reviews", "mean_compound"): "SELECT avg(compound) FROM scored",
+    ("reviews", "positive_pct"): f"SELECT {_PCT(f'compound > {TX.POSITIVE_CUT}')} FROM scored",
+    ("reviews", "negative_pct"): f"SELECT {_PCT(f'compound < {TX.NEGATIVE_CUT}')} FROM scored",
+}
+
+
+@register("briefing_facts", q(SCORED_SQL + f"""
+, lp AS (SELECT f.listing_id, f.price, l.price_is_valid, v.demand_segment, l.neighbourhood_name FROM fact_listing_performance f
+         JOIN dim_listing l ON f.listing_id = l.listing_id JOIN v_listing_demand v ON f.listing_id = v.listing_id),
+hp AS (SELECT h.host_id, h.host_is_superhost, count(*) AS n FROM dim_host h JOIN dim_listing l ON h.host_id = l.host_id GROUP BY 1, 2),
+mo AS (SELECT year(date) AS y, month(date) AS month, count(*) AS n FROM fact_reviews GROUP BY 1, 2),
+se AS (SELECT month, round_even(avg(n), 0) AS v FROM mo WHERE y < {CUTOFF[0]} OR (y = {CUTOFF[0]} AND month <= {CUTOFF[1]}) GROUP BY month),
+facts AS (""" + " UNION ALL ".join(f"SELECT '{a}' AS section, '{b}' AS metric, CAST(({sql}) AS DOUBLE) AS value" for (a, b), sql in _FACTS.items()) + f"""
+  UNION ALL SELECT section, metric, value FROM (
+    SELECT 'areas' AS section, 'top_area_median:' || neighbourhood_name AS metric, median(price) AS value
+    FROM lp WHERE demand_segment = 'active' AND price_is_valid AND neighbourhood_name IS NOT NULL
+    GROUP BY neighbourhood_name ORDER BY median(price) DESC LIMIT 1))
+SELECT section, metric, round(value, {D}) AS value FROM facts
+"""))
 def briefing_facts(spark, sf_dir):
     """Numbers quoted by the market briefing, computed: (section, metric, value)."""
-    return text.briefing_facts(warehouse(spark, sf_dir))
+    return text.briefing_facts(warehouse(spark, sf_dir), CUTOFF, D)
 
 
 # --- licence text -------------------------------------------------------------------
