@@ -9,8 +9,8 @@ are removed.
 
 The chunk table is written once. Digests are counted with a partial sum before
 the shuffle, so a chunk that a third of the documents share costs a row per
-task. Only repeated chunks are joined back, and only documents that lose
-something are rebuilt from their texts.
+task. Only repeated chunks are joined back. Joins are left to adaptive
+execution, which broadcasts a side by its measured size or splits hot keys.
 
 Defined results: null and empty texts have no chunks; a text shorter than
 ``MIN_BYTES`` is one chunk; a last piece is a chunk whatever its length; rows
@@ -30,11 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import in_arrow, join_small, mix64, saved, text_slices, with_locator
+from .common import in_arrow, mix64, saved, text_slices, with_locator
 
 MIN_BYTES, BITS, MAX_BYTES = 32, 6, 512
-#: Repeated digests and documents are broadcast only up to so many removed chunks in all.
-BROADCAST_CHUNKS = 500_000
 GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -106,10 +104,9 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table = saved(chunk_table(located, low, bits, high), "chunk-table")
     me = F.struct("id", "loc_file", "loc_row", "start")
     several = saved(table.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")).filter("n > 1").drop("n"), "chunk-several")
-    copies = join_small(table.select("digest", "id", "loc_file", "loc_row", "start", "size"), several, "digest").where(me != F.col("first"))
+    copies = table.join(several, "digest").where(me != F.col("first"))
     removed = saved(copies.groupBy("loc_file", "loc_row").agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans")), "chunk-removed")
-    few = removed.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0] <= BROADCAST_CHUNKS
-    return rebuilt(join_small(located, removed, ["loc_file", "loc_row"], "left", max_rows=BROADCAST_CHUNKS if few else 0), with_kept)
+    return rebuilt(located.join(removed, ["loc_file", "loc_row"], "left"), with_kept)
 
 
 def rebuilt(marked: DataFrame, with_kept: bool = True) -> DataFrame:
