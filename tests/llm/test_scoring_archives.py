@@ -337,3 +337,33 @@ def test_pipeline(spark, tmp_path):
         assert after.columns == docs.columns and after.count() <= step.count()
         step = after
     assert exact_dedup.exact_dedup(step).filter("not kept").count() == 0 and jaccard_join.jaccard_components(step).filter("grouped").count() == 0
+
+
+def test_pipeline_near_copies(spark):
+    """Copies between the rules (four words, 0.85) and (five words, 0.8) go; less similar ones stay."""
+    import corpus_pipeline
+
+    def grams(text, n):
+        w = spaced(text)
+        return {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+
+    def similarity(a, b, n):
+        a, b = grams(a, n), grams(b, n)
+        return len(a & b) / len(a | b)
+
+    def replaced(text, places):
+        w = text.split()
+        for k in places:
+            w[k] = f"changed{k}"
+        return " ".join(w)
+
+    base = [words(800 + i, n) for i, n in enumerate((100, 200, 600, 100, 100))]
+    between = [replaced(base[0], (30, 60)), replaced(base[1], (30, 70, 110, 150)), replaced(base[2], range(20, 580, 45)),
+               base[3] + " " + words(900, 22)]
+    apart = replaced(base[4], (20, 50, 80))
+    for a, b in zip(base, between, strict=False):
+        assert similarity(a, b, 5) >= 0.8 and similarity(a, b, 4) < 0.85
+    assert similarity(base[4], apart, 5) < 0.8
+    rows = list(enumerate(base)) + [(100 + i, t) for i, t in enumerate(between)] + [(104, apart)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [0, 1, 2, 3, 4, 104]
