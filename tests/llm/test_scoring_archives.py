@@ -89,6 +89,30 @@ def test_lm(spark, corpus):
         assert r["score"] == pytest.approx(r["target_loss"] - r["background_loss"], abs=1e-9)
 
 
+@pytest.mark.parametrize("hot", [0, 50])
+def test_lm_counts_every_word_and_pair(spark, corpus, monkeypatch, hot):
+    """More words than the former 1,023 classes: a full bigram model of every word, with hot pairs looked up apart or not."""
+    monkeypatch.setattr(lm_scoring, "HOT", hot)
+    monkeypatch.setattr(lm_scoring, "HOT_LEAST", 2)
+    rows, df = corpus
+    n = len({w for r in rows for w in spaced(r[1])})
+    assert n > 1023
+    want = brute_losses([(r[0], r[1]) for r in rows], {*range(20), 308}, n + 1, n + 1, lm_scoring.MIX)
+    targets = spark.createDataFrame([(i,) for i in (*range(20), 308, None)], "doc_id long")
+    got = lm_scoring.score(df, lm_scoring.fit(df, targets)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert any(r["n_words"] == k and r["target_loss"] == pytest.approx(t, rel=1e-9) and r["background_loss"] == pytest.approx(b, rel=1e-9)
+                   for k, t, b in want[r["id"]])
+
+
+def test_lm_pairs_flush(spark, corpus):
+    marked = corpus[1].select(F.col("text").alias("body"), F.lit(True).alias("is_target"))
+    whole = {(r["v"], r["w"]): r["corpus"] for r in lm_scoring.count_word_pairs(marked).collect()}
+    assert {(r["v"], r["w"]): r["corpus"] for r in lm_scoring.count_word_pairs(marked, flush=5).collect()} == whole
+    assert sum(whole.values()) == sum(len(spaced(r[1])) for r in corpus[0])
+
+
 def test_lm_prefers_the_target(spark):
     rows = [(i, words(i, 200) if i % 2 else " ".join(f"{w}x" for w in words(i, 200).split())) for i in range(40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
