@@ -167,3 +167,20 @@ def test_gates(spark, stored):
     assert gates.psi_drift(x, x, "v").first()["psi"] == pytest.approx(0.0) and gates.psi_drift(x, x.select((F.col("v") + 120).alias("v")), "v").first()["drifted"]
     top = gates.popularity_fallback(wh, 2).collect()
     assert len(top) == 8 and all(r["rank"] in (1, 2) for r in top)
+
+
+def test_registered_model_kinds(spark, monkeypatch):
+    """compare_models has a row for each of the three models; the advice and out-of-fold queries use the boosted trees."""
+    from rentlens.plans import queries_models as Q
+    monkeypatch.setattr(M, "FOREST", {"numTrees": 2, "maxDepth": 2})
+    monkeypatch.setattr(M, "BOOSTED", {"maxIter": 2, "maxDepth": 2})
+    kinds, fit, validate, small = [], M.fit, M.cross_validate, "/root/testdata/sf0.001"
+    monkeypatch.setattr(M, "fit", lambda kind, *a, **kw: (kinds.append(kind), fit(kind, *a, **kw))[1])
+    monkeypatch.setattr(M, "cross_validate", lambda *a, **kw: validate(*a, k=2, **kw))
+    assert sorted(r["model"] for r in Q.compare_models(spark, small).collect()) == ["boosted", "forest", "ridge"]
+    kinds.clear()
+    n = Q._frame(spark, small).count()
+    assert Q.oof_predictions(spark, small).count() == n and Q.train_metrics(spark, small).first()["n"] == n
+    assert Q.residual_analysis(spark, small).filter("dimension = 'room_type'").agg(F.sum("n")).first()[0] == n
+    assert Q.predict_price(spark, small).filter("predicted_price is null").count() == 0
+    assert kinds == ["boosted"] * 6
