@@ -124,6 +124,18 @@ def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tupl
         i = j
 
 
+def text_views(column: pa.Array) -> Iterator[memoryview]:
+    """The bytes of each value of a string or binary column, as views of its buffer; null counts as empty."""
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    if not len(column):
+        return
+    at = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+    data = column.buffers()[2]
+    view = memoryview(data) if data is not None else memoryview(b"")
+    for a, b, there in zip(at[:-1], at[1:], column.is_valid().to_pylist(), strict=True):
+        yield view[a:b] if there else view[:0]
+
+
 def word_spans(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the words before each document (length: documents + 1)."""
     m = inside[raw]

@@ -4,8 +4,8 @@ Writing: a slim pass takes the SHA-1 of every payload; of records with equal
 payloads the one with the largest id is the response and the others are
 revisits that refer to it. Each task then streams its rows into one gzip'd
 archive (a gzip member per record) in a shared folder. A payload is fed to the
-compressor in pieces of ``CHUNK_BYTES`` as views of the Arrow buffer, so no
-whole record is put together in memory. An archive has a name of its own for
+compressor in pieces of ``CHUNK_BYTES``, views of the Arrow buffer that Spark
+handed over (which holds whole payloads); nothing more of a record is copied. An archive has a name of its own for
 each task attempt; only those that the written manifest names count, so what a
 lost executor left behind is ignored.
 
@@ -29,13 +29,12 @@ import urllib.parse
 import uuid
 import zlib
 
-import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, join_small, saved, shared_path, text_slices, with_locator
+from .common import in_arrow, join_small, saved, shared_path, text_views, with_locator
 
 CHUNK_BYTES = 1 << 20
 #: Fixed values of the format.
@@ -54,10 +53,9 @@ def payload_digests(located: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             n, sha = [], []
-            for _, _, data, off in text_slices(batch.column(0)):
-                view = memoryview(data)
-                sha += [hashlib.sha1(view[a:b]).digest() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-                n += np.diff(off).tolist()
+            for view in text_views(batch.column(0)):
+                sha.append(hashlib.sha1(view).digest())
+                n.append(len(view))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n, pa.int64()), pa.array(sha, pa.binary())], names=schema.names)
 
     return located.select("body", "id", "loc_file", "loc_row").transform(in_arrow, run, schema)
@@ -103,25 +101,20 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", paylo
         try:
             for batch in batches:
                 ids, urls, agains, refers = (batch.column(k).to_pylist() for k in (1, 2, 3, 4))
-                for i, _, data, off in text_slices(batch.column(0)):
-                    view = memoryview(data)
-                    for k, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True), i):
-                        if out is None:
-                            store.create_dir(base, recursive=True)
-                            out = store.open_output_stream(f"{base}/{name}", compression=None)
-                        sha = hashlib.sha1()
-                        for at in range(a, b, chunk_bytes):
-                            sha.update(view[at:min(b, at + chunk_bytes)])
-                        extra = [("WARC-Payload-Digest", f"sha1:{_digest(sha.digest())}")]
-                        if agains[k]:
-                            extra += [("WARC-Refers-To", f"<urn:record:{refers[k]}>"), ("WARC-Profile", IDENTICAL)]
-                            b = a
-                        pack = zlib.compressobj(1, zlib.DEFLATED, 31)
-                        out.write(pack.compress(_headers("revisit" if agains[k] else "response", ids[k], urls[k], extra, b - a)))
-                        for at in range(a, b, chunk_bytes):
-                            out.write(pack.compress(view[at:min(b, at + chunk_bytes)]))
-                        out.write(pack.compress((CRLF * 2).encode()) + pack.flush())
-                        n += 1
+                for k, view in enumerate(text_views(batch.column(0))):
+                    if out is None:
+                        store.create_dir(base, recursive=True)
+                        out = store.open_output_stream(f"{base}/{name}", compression=None)
+                    extra = [("WARC-Payload-Digest", f"sha1:{_digest(hashlib.sha1(view).digest())}")]
+                    if agains[k]:
+                        extra += [("WARC-Refers-To", f"<urn:record:{refers[k]}>"), ("WARC-Profile", IDENTICAL)]
+                        view = view[:0]
+                    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+                    out.write(pack.compress(_headers("revisit" if agains[k] else "response", ids[k], urls[k], extra, len(view))))
+                    for at in range(0, len(view), chunk_bytes):
+                        out.write(pack.compress(view[at:at + chunk_bytes]))
+                    out.write(pack.compress((CRLF * 2).encode()) + pack.flush())
+                    n += 1
         finally:
             if out is not None:
                 out.close()
@@ -192,12 +185,8 @@ def read_records(stream, chunk_bytes: int = CHUNK_BYTES):
         raise ValueError("archive ends within a record")
 
 
-def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES, with_data: bool = True, last_only: bool = False) -> DataFrame:
-    """The chunk table of the archives: record_id, chunk, data, bytes_so_far, sha1_so_far, is_last, and the record's headers.
-
-    ``with_data=False`` leaves the data out (the digests are taken all the
-    same); ``last_only`` keeps the rows that have a record's whole digest.
-    """
+def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """The chunk table of the archives: record_id, chunk, data, bytes_so_far, sha1_so_far, is_last, and the record's headers."""
     schema = ("record_id string, chunk int, data binary, bytes_so_far long, sha1_so_far binary, is_last boolean, "
               "record_type string, url string, declared_digest string, refers_to string")
 
@@ -217,12 +206,10 @@ def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES, with_data
                 rows, size = [], 0
                 with store.open_input_stream(inner, compression=None) as stream:
                     for meta, k, data, so_far, sha, last in read_records(stream, chunk_bytes):
-                        if last_only and not last:
-                            continue
-                        rows.append((name(meta["WARC-Record-ID"]), k, data if with_data else None, so_far, sha, last, meta["WARC-Type"],
+                        rows.append((name(meta["WARC-Record-ID"]), k, data, so_far, sha, last, meta["WARC-Type"],
                                      urllib.parse.unquote(meta["WARC-Target-URI"]), meta["WARC-Payload-Digest"].removeprefix("sha1:"),
                                      name(meta.get("WARC-Refers-To"))))
-                        size += len(data) if with_data else 100
+                        size += len(data) + 100
                         if size >= 4 * chunk_bytes or len(rows) >= 10_000:
                             yield batch_of(rows)
                             rows, size = [], 0
@@ -239,7 +226,7 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "ht
     """Writes the archives and reads them back: id, payload_bytes, payload_digest, record_type, refers_to of every record."""
     folder = shared_path(pages.sparkSession, "warc")
     manifest = write_archives(pages, folder, id_col, payload_col, url_col, min_revisit_bytes, chunk_bytes)
-    records = saved(read_archives(manifest, chunk_bytes, with_data=False, last_only=True), "warc-records")
+    records = saved(read_archives(manifest, chunk_bytes).filter("is_last").drop("data"), "warc-records")  # one chunk row of each record has it all
     kind = pages.schema[id_col].dataType
     own = records.filter("record_type = 'response'").select(
         "record_id", "bytes_so_far", "sha1_so_far", "declared_digest", F.lit(None).cast("string").alias("refers_to"), F.lit("response").alias("record_type"))

@@ -311,6 +311,25 @@ def test_chunk_table(pages, tmp_path):
             assert bytes(c["sha1_so_far"]) == hashlib.sha1(so_far).digest() and c["is_last"] == (len(so_far) == len(p))
 
 
+def test_round_trip_reads_the_chunk_table(pages, monkeypatch):
+    """The records are made from the whole chunk table, with its data."""
+    tables, read = [], warc.read_archives
+    monkeypatch.setattr(warc, "read_archives", lambda *a, **kw: tables.append(read(*a, **kw)) or tables[-1])
+    assert warc.round_trip(pages[1], chunk_bytes=1000).count() == len(pages[0])
+    (table,) = tables
+    assert table.filter("not is_last").count() > 0 and table.filter("data is null").count() == 0
+    assert table.agg(F.sum(F.length("data"))).first()[0] == sum(len(p.encode()) for p in want_records(pages[0]))
+
+
+def test_text_views():
+    import pyarrow as pa
+    from rentlens.llm.common import text_views
+    for kind in (pa.string(), pa.large_string(), pa.binary()):
+        column = pa.array(["skipped", "été", None, "", "end"], pa.string()).cast(kind).slice(1)
+        assert [bytes(v) for v in text_views(column)] == ["été".encode(), b"", b"", b"end"]
+        assert all(v.obj is not None for v in text_views(column)) and list(text_views(column[:0])) == []
+
+
 def test_broken_archives():
     pack = gzip.compress(b"WARC/1.0\r\nContent-Length: 9\r\n\r\nshort")
     for data in (pack, pack[:-12], gzip.compress(b"HTTP/1.0\r\n\r\n")):
