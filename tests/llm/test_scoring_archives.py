@@ -410,3 +410,64 @@ def test_pipeline_near_copies(spark):
     rows = list(enumerate(base)) + [(100 + i, t) for i, t in enumerate(between)] + [(104, apart)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [0, 1, 2, 3, 4, 104]
+
+
+def brute_pipeline(rows, items):
+    """Rows (id, text, lang, source, n_chars) that are not toxic -> the rows of the mix, in plain Python."""
+    from .test_joins import brute_contamination
+    from .test_mixing_dedup import brute_targets
+    last = {}
+    for r in rows:
+        text = (r[1] or "").translate(LOWER)
+        if text not in last or (last[text][0] is None) or (r[0] is not None and r[0] > last[text][0]):
+            last[text] = r
+    rows, sets = sorted(last.values(), key=lambda r: (r[0] is None, r[0] or 0)), []
+    for r in rows:
+        w = spaced(r[1])
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 10 * both >= 8 * len(sets[i] | sets[j]):
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    rows = [r for k, r in enumerate(rows) if root[k] == k]  # in order of id, so a component's first stays
+    rows = [r for r, c in zip(rows, brute_contamination([r[1] for r in rows], items), strict=True) if not c[-1]]
+    size = lambda r: len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or ""))
+    sizes = {s: sum(size(r) for r in rows if r[3] == s) for s in {r[3] for r in rows}}
+    target, out = brute_targets(sizes), []
+    for s, total in sizes.items():
+        base, upto, bound = int(target[s] >= total), 0, None
+        keyed = sorted((int(hashlib.md5(str(r[1] if r[0] is None else r[0]).encode()).hexdigest()[:9], 16), r) for r in rows if r[3] == s)
+        for key, r in keyed:
+            budget = target[s] - base * total - upto
+            upto += size(r)
+            if bound is None and (size(r) >= budget or (key, r) == keyed[-1]):
+                bound = key + (2 * budget >= size(r))
+        for key, r in keyed:
+            copies = base + (key < bound)
+            if copies:
+                out.append((*r, size(r), total, round(target[s], 6), copies, copies * size(r)))
+    return sorted(out, key=str)
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    import corpus_pipeline
+    rows, _, labels = toxic_corpus(spark)
+    near = [(6000 + i, words(3, 120) + f" end{i}") for i in range(5)]
+    between = words(810, 100).split()
+    near += [(6100, " ".join(between)), (6101, " ".join("changed" if k in (30, 60) else w for k, w in enumerate(between)))]
+    copies = [(7001, "".join(c.upper() if c.isascii() else c for c in words(3, 120)) + " END0"), (7002, words(7, 47).upper()), (7003, words(7, 47).upper())]
+    dirty, items = [(7000, "intro " + words(4242, 30)), (7004, words(5, 700) + " " + words(4242, 13))], [(1, words(4242, 30))]
+    rows = [(i, t, "en", f"s{(i or 0) % 4}", len(t or "")) for i, t in rows + near + copies + dirty]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    clean = toxicity.score(docs, toxicity.fit(docs, labels), keep=docs.columns).filter("predicted = 0").select(*docs.columns)
+    want = brute_pipeline([tuple(r) for r in clean.collect()], items)
+    got = corpus_pipeline.run(spark, str(tmp_path)).select(*docs.columns, "size", "source_size", "target", "copies", "taken").collect()
+    assert sorted(((*r[:-3], round(r["target"], 6), *r[-2:]) for r in got), key=str) == want
+    assert len(want) > 400
