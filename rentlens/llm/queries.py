@@ -16,8 +16,11 @@ from .chunking import chunk_dedup
 from .decontaminate import contamination
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
+from .merkle import merkle_manifest
 from .mixing import mix
+from .prefix_trie import placed_turns, prefix_trie, with_shared_starts
 from .suffix_dedup import suffix_dedup
+from .token_files import token_round_trip
 from .warc import round_trip
 
 
@@ -84,6 +87,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_merkle_midstates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, n = table(spark, sf_dir, "documents"), F.col("n_chars")
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & n.isNotNull()
+    return merkle_manifest(docs, "doc_id", ["doc_id", "source", "lang", "n_chars", "text"], "lang", tampered,
+                           {"n_chars": n.cast("decimal(20,0)") + 1}).withColumnRenamed("id", "doc_id")
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(with_shared_starts(placed_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_cross_entropy": op1_lm_cross_entropy,
     "op2_importance_resampling": op2_importance_resampling,
@@ -95,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_chunks": op8_warc_chunks,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_merkle_midstates": op11_merkle_midstates,
+    "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 

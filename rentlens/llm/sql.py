@@ -115,6 +115,70 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN
 FROM d"""
 
 
+def crc32(expr: str) -> str:
+    """Unsigned CRC-32 of an ASCII text, bit by bit (3988292384 is its polynomial)."""
+    return f"""xor(4294967295, list_reduce(list_transform(range(1, len({expr}) + 1), lambda i: ascii(substr({expr}, i, 1))::BIGINT),
+      lambda c, b: list_reduce(range(8)::BIGINT[], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)), 4294967295))"""
+
+
+def merkle(docs: str = "documents") -> str:
+    """Levels as lists of nodes; a level's node i has the children 2 i and 2 i + 1."""
+    def leaf(n_chars: str) -> str:
+        fields = ("doc_id::VARCHAR", "source", "lang", n_chars, "text")
+        return "sha256(" + " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
+    grown = "list_transform(range(1, len(hs) + 1, 2), lambda i: sha256(hs[i] || coalesce(hs[i + 1], '')))"
+    sibling = "coalesce(hs[xor(at, 1) + 1], '')"
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS grp, {leaf("n_chars::VARCHAR")} AS leaf,
+         CASE WHEN {crc32("doc_id::VARCHAR")} % 7 = 0 THEN {leaf("(n_chars + 1)::VARCHAR")} ELSE {leaf("n_chars::VARCHAR")} END AS changed FROM {docs}),
+p AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS pos FROM d),
+low AS (
+  SELECT grp, 0 AS lvl, list(leaf ORDER BY pos) AS hs FROM p GROUP BY grp
+  UNION ALL SELECT grp, lvl + 1, {grown} FROM low WHERE len(hs) > 1),
+sub AS (SELECT grp, hs[1] AS subroot, lvl AS depth, row_number() OVER (ORDER BY grp) - 1 AS nth FROM low WHERE len(hs) = 1),
+top AS (
+  SELECT 0 AS lvl, list(subroot ORDER BY nth) AS hs FROM sub
+  UNION ALL SELECT lvl + 1, {grown} FROM top WHERE len(hs) > 1),
+root AS (SELECT hs[1] AS root, lvl AS height FROM top WHERE len(hs) = 1),
+steps AS (
+  SELECT pos_of.doc_id, low.lvl, pos_of.pos >> low.lvl AS at, low.hs FROM p AS pos_of JOIN low USING (grp) WHERE len(low.hs) > 1
+  UNION ALL SELECT p.doc_id, sub.depth + top.lvl, sub.nth >> top.lvl, top.hs FROM p JOIN sub USING (grp) CROSS JOIN top WHERE len(top.hs) > 1),
+paths AS (
+  SELECT doc_id, list({{'left': CASE WHEN at & 1 = 1 THEN {sibling} ELSE '' END, 'right': CASE WHEN at & 1 = 0 THEN {sibling} ELSE '' END}} ORDER BY lvl) AS path
+  FROM steps GROUP BY doc_id)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(path, lambda x: x.left || x.right), ''), '')) AS proof_sha256,
+       list_reduce(list_prepend(changed, coalesce(list_transform(path, lambda x: x.left || '|' || x.right), [])),
+                   lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2))) AS folded_root, folded_root = root AS verified
+FROM p JOIN sub USING (grp) CROSS JOIN root LEFT JOIN paths USING (doc_id)"""
+
+
+def trie(conversations: str = "conversations") -> str:
+    """Prefixes as lists of texts (role and text, with the role's length)."""
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM {conversations} WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, list(strlen(r)::VARCHAR || ':' || r || x ORDER BY turn NULLS FIRST, sha256(strlen(r)::VARCHAR || ':' || r || x)) AS own,
+         list(strlen(x) ORDER BY turn NULLS FIRST, sha256(strlen(r)::VARCHAR || ':' || r || x)) AS own_bytes FROM t GROUP BY conv_id),
+h AS (SELECT *, {crc32("conv_id::VARCHAR")} % 9 AS h FROM turns),
+built AS (
+  SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h + 1:]) AS path,
+         list_concat(coalesce(b.own_bytes, [])[1:h.h], h.own_bytes[h.h + 1:]) AS bytes
+  FROM h LEFT JOIN turns b ON b.conv_id = h.conv_id - h.conv_id % 5),
+rows AS (SELECT conv_id, path, bytes, unnest(range(len(path) + 1)) AS depth FROM built),
+nodes AS (
+  SELECT path[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(bytes[depth], 0)) AS n_bytes,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(path) = depth), '')) AS ends_sha256
+  FROM rows GROUP BY path[1:depth], depth),
+kids AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (prefix)),
+above AS (SELECT prefix[1:up] AS prefix, n_convs, n_bytes, n_children FROM (SELECT *, unnest(range(depth + 1)) AS up FROM whole)),
+sums AS (SELECT prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * n_bytes)::BIGINT AS saved_tokens FROM above GROUP BY prefix)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM whole w JOIN sums USING (prefix) LEFT JOIN nodes p ON w.depth > 0 AND p.prefix = w.prefix[1:w.depth - 1]"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op3_jaccard_join": jaccard(),
@@ -122,4 +186,6 @@ def oracles() -> dict[str, str]:
         "op8_warc_chunks": archive(),
         "op9_exact_dedup": exact(),
         "op10_decontaminate": contamination(),
+        "op11_merkle_midstates": merkle(),
+        "op13_prefix_trie": trie(),
     }
