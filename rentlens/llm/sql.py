@@ -128,7 +128,7 @@ def merkle(docs: str = "documents") -> str:
         return "sha256(" + " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
 
     grown = "list_transform(range(1, len(hs) + 1, 2), lambda i: sha256(hs[i] || coalesce(hs[i + 1], '')))"
-    sibling = "coalesce(hs[xor(at, 1) + 1], '')"
+    sibling = "coalesce(hs[xor(place, 1) + 1], '')"
     return f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce('=' || lang, '') AS grp, {leaf("n_chars::VARCHAR")} AS leaf,
@@ -143,10 +143,10 @@ top AS (
   UNION ALL SELECT lvl + 1, {grown} FROM top WHERE len(hs) > 1),
 root AS (SELECT hs[1] AS root, lvl AS height FROM top WHERE len(hs) = 1),
 steps AS (
-  SELECT pos_of.doc_id, low.lvl, pos_of.pos >> low.lvl AS at, low.hs FROM p AS pos_of JOIN low USING (grp) WHERE len(low.hs) > 1
+  SELECT pos_of.doc_id, low.lvl, pos_of.pos >> low.lvl AS place, low.hs FROM p AS pos_of JOIN low USING (grp) WHERE len(low.hs) > 1
   UNION ALL SELECT p.doc_id, sub.depth + top.lvl, sub.nth >> top.lvl, top.hs FROM p JOIN sub USING (grp) CROSS JOIN top WHERE len(top.hs) > 1),
 paths AS (
-  SELECT doc_id, list({{'left': CASE WHEN at & 1 = 1 THEN {sibling} ELSE '' END, 'right': CASE WHEN at & 1 = 0 THEN {sibling} ELSE '' END}} ORDER BY lvl) AS path
+  SELECT doc_id, list({{'left': CASE WHEN place & 1 = 1 THEN {sibling} ELSE '' END, 'right': CASE WHEN place & 1 = 0 THEN {sibling} ELSE '' END}} ORDER BY lvl) AS path
   FROM steps GROUP BY doc_id)
 SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(path, lambda x: x.left || x.right), ''), '')) AS proof_sha256,
        list_reduce(list_prepend(changed, coalesce(list_transform(path, lambda x: x.left || '|' || x.right), [])),
