@@ -53,7 +53,7 @@ from .common import BROADCAST_ROWS, Roller, in_arrow, join_small, saved, text_sl
 #: Fixed value of the contract.
 LENGTH = 200
 ANCHOR = 32
-SHALLOW, HOT = 32, 20_000
+SHALLOW, HOT = 32, 4_000
 #: Segment or span entries in all up to which a table of lists is broadcast.
 BROADCAST_ENTRIES = 2_000_000
 _PLACE_BITS = 22
@@ -114,7 +114,7 @@ def _list_schema(fields) -> StructType:
     return schema
 
 
-def segment_table(located: DataFrame, length: int = LENGTH, block: int = 1 << 21) -> DataFrame:
+def segment_table(located: DataFrame, length: int = LENGTH, block: int = 1 << 19) -> DataFrame:
     """node, loc_file, loc_row and the segments of every row (body, loc_file, loc_row), as lists."""
     schema = _list_schema([StructType().add("node", "long")[0], located.schema["loc_file"], located.schema["loc_row"]])
 
@@ -254,7 +254,7 @@ def repeated_suffixes(raw: np.ndarray, suffix: np.ndarray, depth: int = LENGTH,
     return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def sort_pieces(pieces: DataFrame, length: int, batch_bytes: int = 4 << 20) -> DataFrame:
+def sort_pieces(pieces: DataFrame, length: int, batch_bytes: int = 1 << 20) -> DataFrame:
     """node, first, size of the repeated runs in pieces (key, node, first, n, piece) that are dealt and sorted by key.
 
     Anchors are gathered to about ``batch_bytes`` and sorted together; one anchor is never split over two sorts.
@@ -338,17 +338,18 @@ def _merged(lists: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out = []
+            starts, sizes, cut = [], [], [0]
             for k in range(batch.num_rows):
                 first, size = batch.column(1)[k].values.to_numpy(), batch.column(2)[k].values.to_numpy()
                 order = np.argsort(first, kind="stable")
                 first, end = first[order], (first + size)[order]
                 reach = np.maximum.accumulate(end)
                 head = np.flatnonzero(np.append(True, first[1:] > reach[:-1]))
-                last = reach[np.append(head[1:], len(first)) - 1]
-                out.append([{"start": a, "size": b - a} for a, b in zip(first[head].tolist(), last.tolist(), strict=True)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32())])))],
-                                             names=["node", "spans"])
+                starts.append(first[head].astype(np.int32))
+                sizes.append((reach[np.append(head[1:], len(first)) - 1] - first[head]).astype(np.int32))
+                cut.append(cut[-1] + len(head))
+            runs = pa.StructArray.from_arrays([pa.array(np.concatenate([*x, np.zeros(0, np.int32)])) for x in (starts, sizes)], names=["start", "size"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), runs)], names=["node", "spans"])
 
     return lists.select("node", "first", "size").transform(in_arrow, run, schema)
 
