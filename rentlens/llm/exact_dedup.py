@@ -34,6 +34,8 @@ from .common import LOWER, in_arrow, join_small, located_whole, saved, shared_pa
 
 #: Files of the digest table in one micro-batch.
 FILES_PER_BATCH = 4096
+#: Rows of one digest that are compared with the kept text in one task.
+SALT_ROWS = 256
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -134,11 +136,13 @@ def _differing(located: DataFrame, hits: DataFrame) -> DataFrame | None:
     """Compares every hit with the kept text, byte for byte; the classes of digests that hold different texts, or None."""
     lower = F.translate(F.coalesce(F.col("body"), F.lit("")), _UPPER, _SMALL)
     located = located.select("body", "loc_file", "loc_row")
-    places = hits.select("loc_file", "loc_row", "digest", "id", "sha", "n_bytes", F.col("keep").alias("keep_"))
-    text = saved(join_small(located, places, ["loc_file", "loc_row"]).withColumn("body", lower), "dedup-text")
+    parts = F.ceil(F.col("n") / SALT_ROWS).cast("int")  # a hot digest is dealt to as many tasks, the kept text to each of them
+    places = hits.select("loc_file", "loc_row", "digest", "id", "sha", "n_bytes", F.col("keep").alias("keep_"), parts.alias("parts"))
+    text = join_small(located, places, ["loc_file", "loc_row"]).withColumn("body", lower)
     first = (text.filter((F.col("loc_file") == F.col("keep_.loc_file")) & (F.col("loc_row") == F.col("keep_.loc_row")))
-             .select("digest", F.col("body").alias("kept_body")))
-    bad = saved(text.join(first, "digest").filter("body <> kept_body").select("digest").distinct(), "dedup-differing")
+             .select("digest", F.col("body").alias("kept_body"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")))
+    salted = text.select("digest", "body", F.pmod(F.xxhash64("loc_file", "loc_row"), F.col("parts")).cast("int").alias("salt"))
+    bad = saved(salted.join(first, ["digest", "salt"]).filter("body <> kept_body").select("digest").distinct(), "dedup-differing")
     if not bad.limit(1).count():
         return None
     again = text.join(bad, "digest")
