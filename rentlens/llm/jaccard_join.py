@@ -24,7 +24,8 @@ component under these links.
    d(a, b) > 0.15 + d(x, a) + d(y, b), so the answer of a highly similar set
    settles its neighbours; 256 parities of each set bound d(a, b) from below
    within the join, before any pair is made. Pairs of members are verified only where that bound
-   leaves the question open. No list or group is paired with itself in full.
+   leaves the question open, a few of each group first: groups that these link are one
+   component and need no more. No list or group is paired with itself in full.
 
 Defined results: null and empty texts have an empty set (size 0) and link with
 nothing; a text of one to three words is one shingle; rows with the same id are
@@ -49,10 +50,14 @@ from .common import NOT_SPACE, in_arrow, join_small, located_whole, lowered, mix
 WORDS, PART, WHOLE = 4, 85, 100
 #: A token in more sets than this is a frequent one; so many of them are fetched at a time (8 bytes each).
 LONG_LIST, MOST_FREQUENT = 100, 200_000
+#: Tokens that a task holds before it sums them (8 bytes each).
+FLUSH_TOKENS = 1 << 21
 #: An anchor speaks for its members if it has so many.
 GROUP = 16
 #: So often the entries of long lists are paired with a leader, another one each time.
 ROUNDS = 3
+#: About how many members of a group are compared in each round before all of them are.
+MEMBERS = (16, 128)
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -166,6 +171,27 @@ def _ordered_prefix(frequent, part: int, whole: int):
     return run
 
 
+def token_counts(sets: DataFrame, column: str) -> DataFrame:
+    """token, size (sets that have it): summed in the tasks first, so that tokens of many copies are few rows."""
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            lists = batch.column(0)
+            held.append(np.asarray(lists.flatten()))
+            n += len(held[-1])
+            if n >= FLUSH_TOKENS:
+                yield _summed(held)
+                held, n = [], 0
+        if n:
+            yield _summed(held)
+
+    def _summed(held):
+        token, size = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(size.astype(np.int64))], names=["token", "size"])
+
+    return sets.select(column).transform(in_arrow, run, "token long, size long").groupBy("token").agg(F.sum("size").alias("size"))
+
+
 def _frequent(counts: DataFrame, long_list: int) -> np.ndarray:
     """The most frequent tokens of (token, size) beyond ``long_list``: at most ``MOST_FREQUENT`` are fetched."""
     rows = counts.filter(F.col("size") > long_list).orderBy(F.desc("size"), "token").limit(MOST_FREQUENT).select("token").collect()
@@ -190,8 +216,7 @@ def prefixes(reps: DataFrame, counts: DataFrame, located: DataFrame, words: int,
         full = saved(full_sets(located, places, words), "jaccard-short-sets")
         if again:
             break
-        more = full.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("size"))
-        more = np.union1d(frequent, _frequent(more, long_list))
+        more = np.union1d(frequent, _frequent(token_counts(full, "tokens"), long_list))
         if len(more) == len(frequent):
             break
         frequent = more
@@ -244,6 +269,15 @@ def components(edges: DataFrame) -> DataFrame:
     raise RuntimeError("components did not converge")
 
 
+def _contracted(root: DataFrame, links: DataFrame) -> DataFrame:
+    """``root`` (node, root) after more links (a, b): only the links between components are contracted."""
+    named = links.join(root.toDF("a", "ra"), "a", "left").join(root.toDF("b", "rb"), "b", "left").select(
+        F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    step = components(saved(named.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-crossing"))
+    new = step.select("node", F.col("node").alias("root")).join(root, "node", "left_anti")
+    return saved(root.unionByName(new).join(step.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root")), "jaccard-roots")
+
+
 class _Verifier:
     """Exact intersections of the pairs of nodes that may be near enough.
 
@@ -332,7 +366,7 @@ def _joined(located: DataFrame, words: int = WORDS, part: int = PART, whole: int
 
 def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int, whole: int, long_list: int, group: int) -> DataFrame:
     """node, root of every representative that is linked with another one."""
-    counts = saved(reps.select(F.explode("head").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "jaccard-counts")
+    counts = saved(token_counts(reps, "head").filter("size > 1"), "jaccard-counts")
     normal, reread = prefixes(reps, counts, located, words, part, whole, long_list)
     shared = counts.select("token")
     index = _postings(normal)
@@ -366,7 +400,7 @@ def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int,
         if not more.limit(1).count():
             break
         links = links.unionByName(more)
-        root = components(links)
+        root = _contracted(root, more)
     n_links = links.count()
 
     # anchor: the nearest verified partner; a set without one is its own anchor
@@ -408,24 +442,52 @@ def _component_roots(located: DataFrame, reps: DataFrame, words: int, part: int,
     more = of_pairs.filter(_linked(part, whole)).select("a", "b")
     near = of_pairs.withColumn("far", _distance()).where((F.col("slack") > 0) & (F.col("far") <= limit + F.col("slack") + 1e-9)).select("a", "b", "far")
     near = saved(near, "jaccard-near", pairs.count())
-    if near.limit(1).count():
-        sizes = reps.select("node", "n", "bits")
-        member = saved(member.join(sizes, "node"), "jaccard-member-sizes", 4 * n_links)
-        lone = saved(near.select(F.col("a").alias("x")).unionByName(near.select(F.col("b").alias("x"))).distinct().join(member, "x", "left_anti"), "jaccard-lone")
-        member = member.unionByName(lone.select(F.col("x").alias("node"), "x", F.lit(0.0).alias("d"), F.col("x").alias("c")).join(sizes, "node"))
-        ma = member.select(F.col("x").alias("a"), F.col("node").alias("x_"), F.col("d").alias("dx"), F.col("c").alias("cx"), F.col("n").alias("nx"), F.col("bits").alias("bx"))
-        mb = member.select(F.col("x").alias("b"), F.col("node").alias("y_"), F.col("d").alias("dy"), F.col("c").alias("cy"), F.col("n").alias("ny"), F.col("bits").alias("by"))
-        cross = (near.join(ma, "a").join(mb, "b")
-                 .where((F.col("cx") != F.col("cy")) & (F.col("far") <= limit + F.col("dx") + F.col("dy") + 1e-9)
-                        & (F.least("nx", "ny") * whole >= F.greatest("nx", "ny") * part)
-                        & (_at_least("bx", "by", "nx", "ny") <= limit + 1e-9))
+    if more.limit(1).count():
+        root = _contracted(root, more)
+    return _member_links(near, member, reps, root, verify, tested.unionByName(fresh.select("a", "b")), part, whole)
+
+
+def _member_links(near: DataFrame, member: DataFrame, reps: DataFrame, root: DataFrame, verify: _Verifier, tested: DataFrame, part: int, whole: int) -> DataFrame:
+    """``root`` after the links between members of the near groups (a, b, far) of different components.
+
+    In rounds: of each group first about ``MEMBERS[0]`` members are compared,
+    then more, then all. Components that a round has linked need no more pairs, so
+    the last round only meets groups of which nothing has been found near enough.
+    """
+    limit = 1 - part / whole
+    sizes = reps.select("node", "n", "bits")
+    lone = near.select(F.col("a").alias("x")).unionByName(near.select(F.col("b").alias("x"))).distinct().join(member, "x", "left_anti")
+    member = member.select("x", "node", "d").join(near.select(F.col("a").alias("x")).unionByName(near.select(F.col("b").alias("x"))).distinct(), "x", "left_semi")
+    member = member.unionByName(lone.select("x", F.col("x").alias("node"), F.lit(0.0).alias("d"))).groupBy("x", "node").agg(F.min("d").alias("d"))
+    group = member.groupBy("x").agg(F.count(F.lit(1)).alias("of"), F.max("d").alias("r"))
+    # place: about how many members of the group come before this one, in an order by hash
+    place = F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 30)) / F.lit(1 << 30) * F.col("of")
+    member = saved(member.join(group, "x").join(sizes, "node").withColumn("place", place), "jaccard-member-sizes")
+    about = saved(member.filter("node = x").select("x", "r", "n", "bits"), "jaccard-member-anchors")
+    done = 0.0
+    for upto in (*MEMBERS, None):
+        now = near.join(root.toDF("a", "ca"), "a", "left").join(root.toDF("b", "cb"), "b", "left").where(
+            F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "far")
+        near = saved(now.join(about.toDF("a", "ra", "na", "bita"), "a").join(about.toDF("b", "rb", "nb", "bitb"), "b"), "jaccard-near-open")
+        if not near.limit(1).count():
+            break
+        chosen = member if upto is None else member.filter(F.col("place") < upto)
+        mx = chosen.select(F.col("x").alias("a"), F.col("node").alias("x_"), F.col("d").alias("dx"), F.col("n").alias("nx"), F.col("bits").alias("bx"), F.col("place").alias("px"))
+        my = chosen.select(F.col("x").alias("b"), F.col("node").alias("y_"), F.col("d").alias("dy"), F.col("n").alias("ny"), F.col("bits").alias("by"), F.col("place").alias("py"))
+        # a member is compared with the other anchor first, within the join: the farthest member there is rb off
+        left = near.join(mx, (near["a"] == mx["a"]) & (F.col("far") <= limit + F.col("dx") + F.col("rb") + 1e-9)
+                         & (_at_least("bx", "bitb", "nx", "nb") <= limit + F.col("rb") + 1e-9)).drop(mx["a"])
+        cross = (left.join(my, (left["b"] == my["b"]) & ((F.col("px") >= done) | (F.col("py") >= done))
+                           & (F.col("far") <= limit + F.col("dx") + F.col("dy") + 1e-9) & (F.least("nx", "ny") * whole >= F.greatest("nx", "ny") * part)
+                           & (_at_least("bita", "by", "na", "ny") <= limit + F.col("dx") + 1e-9) & (_at_least("bx", "by", "nx", "ny") <= limit + 1e-9))
                  .select(F.least("x_", "y_").alias("a"), F.greatest("x_", "y_").alias("b")).distinct())
-        cross = saved(cross.join(tested, ["a", "b"], "left_anti").join(fresh, ["a", "b"], "left_anti").withColumn("slack", F.lit(0.0)), "jaccard-cross")
+        cross = saved(cross.join(tested, ["a", "b"], "left_anti").withColumn("slack", F.lit(0.0)), "jaccard-cross")
         if cross.limit(1).count():
-            more = more.unionByName(verify(cross).filter(_linked(part, whole)).select("a", "b"))
-    if not more.limit(1).count():
-        return root
-    return components(links.select("a", "b").unionByName(more))
+            links = saved(verify(cross).filter(_linked(part, whole)).select("a", "b"), "jaccard-member-links")
+            if links.limit(1).count():
+                root = _contracted(root, links)
+        near, done = near.select("a", "b", "far"), float(upto or 0)
+    return root
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
