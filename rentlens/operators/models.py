@@ -12,7 +12,9 @@ from __future__ import annotations
 import json
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -108,53 +110,61 @@ def with_folds(df: DataFrame, k: int = N_FOLDS, seed: int = SEED) -> DataFrame:
     return df.withColumn("fold", FT.fold_column(F.col("listing_id"), k, seed))
 
 
-def cross_validate(frame: DataFrame, kind: str, k: int = N_FOLDS, seed: int = SEED, **kw):
+def cross_validate(frame: DataFrame, kind: str, k: int = N_FOLDS, seed: int = SEED, parallel: int = N_FOLDS, **kw):
     """Per fold: fit on the other folds (features refitted on the training
     part), predict the fold.  Returns (out-of-fold predictions, per-fold
-    metrics rows)."""
+    metrics rows).  ``parallel`` folds are fitted at the same time from driver
+    threads: boosting is a long chain of short jobs, so one fit alone leaves
+    most of the cluster idle."""
     spark = frame.sparkSession
     checkpoint_dir(spark)
     # every fold reads the frame twice (fit, metrics): cut its lineage once,
     # in the shared checkpoint folder (survives executor loss)
     data = with_folds(frame, k, seed).checkpoint(eager=True)
-    preds, rows = [], []
-    for f in range(k):
+    options = {a: b for a, b in kw.items() if a != "room_type_codes"}
+
+    def one(f: int):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fold-{f}")  # fair shares where the cluster has fair scheduling
         tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
         meta = FT.fit_feature_meta(tr, kw.get("room_type_codes", FT.ROOM_TYPE_CODES))
         trf = FT.build_features(tr, meta).cache()
-        tef = FT.build_features(te, meta)
         t0 = time.time()
-        model = fit(kind, trf, meta, **{a: b for a, b in kw.items() if a != "room_type_codes"})
+        model = fit(kind, trf, meta, **options)
         secs = time.time() - t0
-        pte = model.transform(tef)
-        ptr = model.transform(trf)
+        pte = model.transform(FT.build_features(te, meta))
         m_te = regression_metrics(pte).first()
-        m_tr = regression_metrics(ptr).first()
-        rows.append((kind, f, float(m_te["r2"]), float(m_tr["r2"]), float(m_te["mae"]), float(m_te["rmse"]), secs))
-        preds.append(pte.select("listing_id", "fold", "price", "room_type", "neighbourhood_group", "log_price",
-                                "prediction"))
+        m_tr = regression_metrics(model.transform(trf)).first()
         trf.unpersist()
-    out = preds[0]
-    for p in preds[1:]:
+        return (pte.select("listing_id", "fold", "price", "room_type", "neighbourhood_group", "log_price", "prediction"),
+                (kind, f, float(m_te["r2"]), float(m_tr["r2"]), float(m_te["mae"]), float(m_te["rmse"]), secs))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(one), range(k)))
+    out = done[0][0]
+    for p, _ in done[1:]:
         out = out.unionByName(p)
-    metrics = spark.createDataFrame(rows, "model string, fold int, r2 double, r2_train double, mae double, "
-                                          "rmse double, fit_seconds double")
+    metrics = spark.createDataFrame([row for _, row in done], "model string, fold int, r2 double, r2_train double, mae double, "
+                                                              "rmse double, fit_seconds double")
     return out, metrics
 
 
+def summarise_folds(metrics: DataFrame) -> DataFrame:
+    """Mean and sd over folds of R² (test and train), MAE, RMSE and fit time, a row per model."""
+    return metrics.groupBy("model").agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"),
+                                        F.avg("r2_train").alias("r2_train"), F.avg("mae").alias("mae"),
+                                        F.avg("rmse").alias("rmse"), F.sum("fit_seconds").alias("fit_seconds"))
+
+
 def compare_models(frame: DataFrame, kinds=("ridge", "forest", "boosted"), **kw) -> DataFrame:
-    """Mean and sd over folds of R² (test and train), MAE, RMSE and fit time."""
+    """``summarise_folds`` of each kind of model."""
     parts = []
     for kind in kinds:
-        extra = kw.get(kind, {})
-        _, m = cross_validate(frame, kind, room_type_codes=kw.get("room_type_codes", FT.ROOM_TYPE_CODES), **extra)
+        _, m = cross_validate(frame, kind, room_type_codes=kw.get("room_type_codes", FT.ROOM_TYPE_CODES), **kw.get(kind, {}))
         parts.append(m)
     m = parts[0]
     for p in parts[1:]:
         m = m.unionByName(p)
-    return m.groupBy("model").agg(F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_std"),
-                                  F.avg("r2_train").alias("r2_train"), F.avg("mae").alias("mae"),
-                                  F.avg("rmse").alias("rmse"), F.sum("fit_seconds").alias("fit_seconds"))
+    return summarise_folds(m)
 
 
 def residual_analysis(oof: DataFrame) -> DataFrame:

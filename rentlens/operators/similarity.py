@@ -12,14 +12,21 @@ sharing a common amenity has a non-zero score).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentlens.functions import text as TX
+from rentlens.operators import ranking
 from rentlens.operators.warehouse import Warehouse
+from rentlens.session import scratch_path
 
 FRAME_COLUMNS = ["listing_id", "name", "amenities", "neighbourhood", "neighbourhood_group", "room_type",
                  "accommodates", "price", "review_scores_rating", "bedrooms", "bathrooms"]
+#: A best match below this is a weak one; the thresholds by which best matches are looked for.
+LOW_MATCH = 0.5
+MATCH_THRESHOLDS = (0.9, 0.7, 0.5, 0.3)
 
 
 def amenity_frame(wh: Warehouse) -> DataFrame:
@@ -139,3 +146,101 @@ def example_query(tokens: DataFrame, room_type: str, price_range=None, group: st
     if group is not None:
         f = f & (F.col("neighbourhood_group") == group)
     return tokens.where(f).orderBy("listing_id").offset(position).limit(1).select("listing_id")
+
+
+# --- best matches of all listings -----------------------------------------------------
+
+def _token_sets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(listing_id, set_id) and (set_id, n, size, items) of the distinct token sets, tokens from the rarest on."""
+    b = binary_matrix(tokens)
+    freq = b.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
+    listed = (b.join(freq, "token").groupBy("listing_id")
+              .agg(F.transform(F.array_sort(F.collect_list(F.struct("freq", "token"))), lambda x: x["token"]).alias("items")))
+    listed = _kept(listed.select("listing_id", "items", F.sha2(F.to_json("items"), 256).alias("set_id")), "match-listed")
+    sets = listed.groupBy("set_id").agg(F.count(F.lit(1)).alias("size"), F.first("items").alias("items"))
+    return listed.select("listing_id", "set_id"), _kept(sets.withColumn("n", F.size("items").cast("long")), "match-sets")
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _by_one_token(index: DataFrame) -> DataFrame:
+    """set_id, score: the best cosine that one shared token alone gives, from the smallest other set that has it."""
+    first = index.groupBy("token").agg(F.min(F.struct("n", "set_id")).alias("first"))
+    marked = index.join(first, "token")
+    second = marked.where(F.col("set_id") != F.col("first.set_id")).groupBy("token").agg(F.min("n").alias("second"))
+    other = F.when(F.col("set_id") == F.col("first.set_id"), F.col("second")).otherwise(F.col("first.n"))
+    return marked.join(second, "token").groupBy("set_id").agg(F.max(1 / F.sqrt(F.col("n") * other)).alias("score"))
+
+
+def _round(pending: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """set_id, score: the best cosine of at least ``least`` of each pending set with another set.
+
+    Linked sets share ``ceil(least^2 n)`` tokens or more, and so one among the
+    first ``n - ceil(least^2 n) + 1`` of each; at ``least`` 0 all that share
+    two tokens or more do so before the last of each.
+    """
+    n = F.col("n")
+    upto = (n - 1) if least == 0 else n - F.greatest(F.ceil(F.lit(least * least) * n - 1e-9), F.lit(1)) + 1
+    def entries(d):
+        return d.select("set_id", "n", F.explode(F.slice("items", 1, F.greatest(upto, F.lit(0)).cast("int"))).alias("token"))
+    a, b = entries(pending).alias("a"), entries(sets).alias("b")
+    sizes = (F.col("b.n") >= F.lit(least * least) * F.col("a.n") - 1e-9) & (F.col("a.n") >= F.lit(least * least) * F.col("b.n") - 1e-9)
+    # a set that is still open is beaten only by a score above what it has
+    better = F.least("a.n", "b.n") / F.sqrt(F.col("a.n") * F.col("b.n")) > F.lit(least) - 1e-9
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.set_id") != F.col("b.set_id")) & sizes & better).select(
+        F.col("a.set_id").alias("set_id"), F.col("b.set_id").alias("other")).distinct()
+    items = sets.select("set_id", "items", "n")
+    both = pairs.join(items, "set_id").join(items.toDF("other", "items_2", "n_2"), "other")
+    score = F.size(F.array_intersect("items", "items_2")) / F.sqrt(F.col("n") * F.col("n_2"))
+    return both.groupBy("set_id").agg(F.max(score).alias("score")).where(F.col("score") >= least - 1e-9)
+
+
+def best_matches(tokens: DataFrame, thresholds: tuple = MATCH_THRESHOLDS) -> DataFrame:
+    """listing_id, best_score: the highest cosine of every listing with another one (0 if nothing is shared).
+
+    An all-nearest-neighbour join without a pair table. Listings with equal
+    token sets are one set, which has its match (1) if it is shared. The others
+    go through falling thresholds: at each, sets are joined over the rarest
+    tokens only, and a set that has found a match leaves. A token that all
+    listings have is in no prefix until the last round, and not even there:
+    what one shared token gives comes from the smallest set that has it.
+    """
+    of, sets = _token_sets(tokens)
+    found = sets.where("size > 1").select("set_id", F.lit(1.0).alias("score"))
+    pending, done = sets.where("size = 1"), [found]
+    for least in (*thresholds, 0.0):
+        got = _kept(_round(pending, sets, least), "match-round")
+        if least == 0.0:
+            index = sets.select("set_id", "n", F.explode("items").alias("token"))
+            one = _by_one_token(index).join(pending.select("set_id"), "set_id", "left_semi")
+            got = got.unionByName(one).groupBy("set_id").agg(F.max("score").alias("score"))
+        done.append(got)
+        pending = _kept(pending.join(got.select("set_id"), "set_id", "left_anti"), "match-pending")
+        if least and pending.isEmpty():
+            break
+    scores = done[0]
+    for d in done[1:]:
+        scores = scores.unionByName(d)
+    return (tokens.select("listing_id").distinct().join(of.join(scores, "set_id"), "listing_id", "left")
+            .select("listing_id", F.coalesce("score", F.lit(0.0)).alias("best_score")))
+
+
+def best_match_stats(matches: DataFrame) -> DataFrame:
+    """Describe of the best scores and the share of listings below ``LOW_MATCH``, one row."""
+    q = ranking.quantiles(matches, "best_score", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    c = F.col("best_score")
+    rest = matches.agg(F.count(F.lit(1)).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"), F.min(c).alias("min"),
+                       F.max(c).alias("max"), (F.count_if(c < LOW_MATCH) * 100.0 / F.count(F.lit(1))).alias("pct_below_half"))
+    return rest.join(F.broadcast(q))  # one row each
+
+
+def best_match_histogram(matches: DataFrame, bins: int = 50) -> DataFrame:
+    """Listings per bin of equal width between the least and the highest score (the last one closed)."""
+    ends = matches.agg(F.min("best_score").alias("lo"), F.max("best_score").alias("hi"))  # one row
+    width = (F.col("hi") - F.col("lo")) / bins
+    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("best_score") - F.col("lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
+    return matches.join(F.broadcast(ends)).groupBy(at.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n_listings"))

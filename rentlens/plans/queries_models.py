@@ -15,7 +15,7 @@ from rentlens.operators import features as FT
 from rentlens.operators import frames
 from rentlens.operators import models as M
 from rentlens.plans.oracle import q
-from rentlens.plans.registry import register, warehouse
+from rentlens.plans.registry import register, source_state, stored, warehouse
 from rentlens.session import scratch_path
 
 D = 6  # feature values have at most 5 decimals: no rounding ties at 6
@@ -27,10 +27,31 @@ def _frame(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, kind="ridge"):
+    """(model, meta, features); the model is fitted once per state of the source tables and stored in the shared folder."""
     fr = _frame(spark, sf_dir)
-    meta = FT.fit_feature_meta(fr, CODES)
-    feats = FT.build_features(fr, meta)
-    return M.fit(kind, feats, meta), meta, feats
+    path = scratch_path(spark, f"model-{kind}-{source_state(spark, sf_dir)}")
+    model, meta = M.load_model(spark, path)
+    if model is None:
+        meta = FT.fit_feature_meta(fr, CODES)
+        feats = FT.build_features(fr, meta).cache()
+        model = M.fit(kind, feats, meta)
+        M.save_model(spark, model, meta, path, kind)
+        feats.unpersist()
+    return model, meta, FT.build_features(fr, meta)
+
+
+def _folds(spark, sf_dir, kind):
+    """(out-of-fold predictions, metrics by fold) of a kind of model, fitted once per state of the source tables and stored."""
+    made = []
+
+    def part(i):
+        def build():
+            if not made:
+                made.extend(M.cross_validate(_frame(spark, sf_dir), kind, room_type_codes=CODES))
+            return made[i]
+        return build
+
+    return [stored(spark, sf_dir, f"folds-{kind}-{name}", part(i)) for i, name in enumerate(("oof", "metrics"))]
 
 
 _GROUPS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]  # region names of the driver data, sorted
@@ -106,21 +127,20 @@ def kfold(spark, sf_dir):
 @register("compare_models")
 def compare_models(spark, sf_dir):
     """Ridge, forest and boosted trees, 5 folds each: R² (test, train), MAE, RMSE on price (mean and sd over folds)."""
-    return M.compare_models(_frame(spark, sf_dir), room_type_codes=CODES)
+    kinds = [_folds(spark, sf_dir, kind)[1] for kind in ("ridge", "forest", "boosted")]
+    return M.summarise_folds(kinds[0].unionByName(kinds[1]).unionByName(kinds[2]))
 
 
 @register("oof_predictions")
 def oof_predictions(spark, sf_dir):
     """Out-of-fold prediction of every training row by the boosted trees."""
-    oof, _ = M.cross_validate(_frame(spark, sf_dir), "boosted", room_type_codes=CODES)
-    return oof
+    return _folds(spark, sf_dir, "boosted")[0]
 
 
 @register("residual_analysis")
 def residual_analysis(spark, sf_dir):
     """Residual (actual - predicted) and % error by room type and group (boosted trees, out of fold)."""
-    oof, _ = M.cross_validate(_frame(spark, sf_dir), "boosted", room_type_codes=CODES)
-    return M.residual_analysis(oof)
+    return M.residual_analysis(_folds(spark, sf_dir, "boosted")[0])
 
 
 @register("ridge")

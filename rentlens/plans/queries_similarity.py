@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rentlens.operators import similarity as SIM
 from rentlens.plans.oracle import q
-from rentlens.plans.registry import register, warehouse
+from rentlens.plans.registry import register, stored, warehouse
 
 D = 4
 # query listing: the 6th (by id) room type '1-URGENT' listing priced 150k-250k
@@ -132,3 +132,43 @@ def describe_listing(spark, sf_dir):
     """Display lines describing the query listing."""
     t = _tokens(spark, sf_dir)
     return SIM.describe_listing(t, _example_id(t))
+
+
+_MATCHES = _BASE + """
+, pr AS (SELECT x.listing_id, max(x.k / sqrt(CAST(p.n_tok AS DOUBLE) * r.n_tok)) AS s
+         FROM (SELECT l.listing_id, o.listing_id AS other, count(*) AS k FROM bm l JOIN bm o ON l.token = o.token AND l.listing_id <> o.listing_id
+               GROUP BY ALL) x JOIN nt p ON p.listing_id = x.listing_id JOIN nt r ON r.listing_id = x.other GROUP BY x.listing_id),
+best AS (SELECT af.listing_id, coalesce(pr.s, 0) AS best_score FROM af LEFT JOIN pr USING (listing_id))
+"""
+
+
+def _matches(spark, sf_dir):
+    return stored(spark, sf_dir, "best-matches", lambda: SIM.best_matches(_tokens(spark, sf_dir)))
+
+
+@register("best_matches", q(_MATCHES + f"SELECT listing_id, round(best_score, {D}) AS best_score FROM best"))
+def best_matches(spark, sf_dir):
+    """Best cosine similarity of every listing with another one."""
+    return _matches(spark, sf_dir).withColumn("best_score", F.round("best_score", D))
+
+
+@register("best_match_stats", q(_MATCHES + f"""
+SELECT count(*) AS n, round(avg(best_score), {D}) AS mean, round(stddev_samp(best_score), {D}) AS std, round(min(best_score), {D}) AS min,
+       round(max(best_score), {D}) AS max, round(count(*) FILTER (WHERE best_score < 0.5 - 1e-12) * 100.0 / count(*), {D}) AS pct_below_half,
+       round(quantile_cont(best_score, 0.25), {D}) AS p25, round(quantile_cont(best_score, 0.5), {D}) AS p50, round(quantile_cont(best_score, 0.75), {D}) AS p75
+FROM best
+"""))
+def best_match_stats(spark, sf_dir):
+    """Describe of the best match scores and the share of listings without a match of 0.5."""
+    s = SIM.best_match_stats(_matches(spark, sf_dir))
+    return s.select(*[F.col(c) if c == "n" else F.round(c, D).alias(c) for c in s.columns])
+
+
+@register("best_match_histogram", q(_MATCHES + """
+, e AS (SELECT min(best_score) AS lo, max(best_score) AS hi FROM best)
+SELECT CAST(CASE WHEN hi > lo THEN least(floor((best_score - lo) / ((hi - lo) / 50)), 49) ELSE 0 END AS INTEGER) AS bin, count(*) AS n_listings
+FROM best, e GROUP BY 1
+"""))
+def best_match_histogram(spark, sf_dir):
+    """Listings per 50th of the range of best match scores."""
+    return SIM.best_match_histogram(_matches(spark, sf_dir))

@@ -38,22 +38,20 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _version(spark: SparkSession, sf_dir: str) -> str:
-    """Names the state of the source tables: folder, newest file and bytes of each."""
+def source_state(spark: SparkSession, sf_dir: str) -> str:
+    """Names the state of the source tables: folder, and newest file and bytes of each (listed by the driver, no job)."""
     parts = [sf_dir]
     for name in roles.WAREHOUSE_TABLES:
-        files = spark.read.parquet(f"{sf_dir}/{name}.parquet").select("_metadata.file_path", "_metadata.file_modification_time",
-                                                                      "_metadata.file_size").distinct()
-        parts.append(str(tuple(files.agg(F.max("file_modification_time"), F.sum("file_size")).first())))
+        parts.append(str(io.newest_and_bytes(spark, f"{sf_dir}/{name}.parquet")))
     return hashlib.sha1("|".join(parts).encode()).hexdigest()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse over ``sf_dir``, stored once in the shared folder per state of the source tables."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, source_state(spark, sf_dir))
     if key not in _WH_CACHE:
-        path = scratch_path(spark, f"warehouse-{_version(spark, sf_dir)}")
+        path = scratch_path(spark, f"warehouse-{key[1]}")
         if all(io.exists(spark, f"{path}/{name}") for name in ("stg_listings", "stg_calendar", "stg_reviews", *TABLES)):
             _WH_CACHE[key] = Warehouse.from_path(spark, path)
         else:
@@ -61,6 +59,14 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _WH_CACHE[key]
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A result that several queries share, written once to the shared folder per state of the source tables."""
+    path = scratch_path(spark, f"{name}-{source_state(spark, sf_dir)}")
+    if not io.exists(spark, path):  # a write that was cut off is done again
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _load_all():
     # importing the query modules fills REGISTRY
     from rentlens.plans import (queries_gates, queries_market, queries_models, queries_quality, queries_similarity,  # noqa: F401

@@ -130,6 +130,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def newest_and_bytes(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Newest change (ms), bytes and number of the files of a table, from its listing; (0, 0, 0) where there is none."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(at):
+        return 0, 0, 0
+    newest, total, n, files = 0, 0, 0, store.listFiles(at, True)
+    while files.hasNext():
+        f = files.next()
+        newest, total, n = max(newest, f.getModificationTime()), total + f.getLen(), n + 1
+    return newest, total, n
+
+
 def write_clean(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
