@@ -100,5 +100,6 @@ def feature_null_check(features: DataFrame, meta: FeatureMeta) -> DataFrame:
 
 
 def fold_column(key: Column, k: int = 5, seed: int = 42) -> Column:
-    """Repeatable fold number from a seeded hash of the key."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(k)).cast("int")
+    """Repeatable fold number from a seeded hash of the key (the first 32 bits of an MD5)."""
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(k)).cast("int")

@@ -297,7 +297,7 @@ def other_bucket(df: DataFrame, col: str, keep: int = 6) -> DataFrame:
 def random_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a seeded hash of the key: repeatable, and a
     distributed top-n (each partition keeps n, the driver merges)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)).limit(n)
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -118,7 +118,10 @@ def feature_null_check(spark, sf_dir):
     return FT.feature_null_check(FT.build_features(fr, meta, assemble=False), meta)
 
 
-@register("kfold")
+@register("kfold", _FT_SQL + f"""
+SELECT CAST(CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR) || ':{M.SEED}'), 1, 8) AS UBIGINT) % {M.N_FOLDS} AS INTEGER) AS fold, count(*) AS n
+FROM mf GROUP BY 1
+""")
 def kfold(spark, sf_dir):
     """Rows per fold of the seeded 5-fold split."""
     return M.with_folds(_frame(spark, sf_dir)).groupBy("fold").agg(F.count(F.lit(1)).alias("n"))

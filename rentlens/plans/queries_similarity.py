@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rentlens.operators import collaborative as CO
 from rentlens.operators import similarity as SIM
 from rentlens.plans.oracle import q
 from rentlens.plans.registry import register, stored, warehouse
+from rentlens.sources import roles
 
 D = 4
 # query listing: the 6th (by id) room type '1-URGENT' listing priced 150k-250k
@@ -127,7 +129,15 @@ def recommend_other_area(spark, sf_dir):
     return SIM.recommend_similar(t, _example_id(t), n=5, exclude_same_neighbourhood=True, digits=D)
 
 
-@register("describe_listing")
+@register("describe_listing", q(_BASE + """
+, al AS (SELECT string_agg('part ' || CAST(l_partkey AS VARCHAR), ', ' ORDER BY l_partkey) AS t
+         FROM lineitem WHERE l_orderkey = (SELECT listing_id FROM ex))
+SELECT listing_id, printf('#%d %s', listing_id, substr(name, 1, 70)) AS title,
+       printf('%s, %s', neighbourhood, neighbourhood_group) AS area, printf('%s for %d', room_type, accommodates) AS room,
+       printf('%.2f a night, rated %s', price, coalesce(CAST(review_scores_rating AS VARCHAR), '-')) AS price_line,
+       printf('%d amenities, such as %s', n_amenities, substr(t, 1, 120)) AS amenities_line
+FROM af JOIN na USING (listing_id), al WHERE listing_id = (SELECT listing_id FROM ex)
+"""))
 def describe_listing(spark, sf_dir):
     """Display lines describing the query listing."""
     t = _tokens(spark, sf_dir)
@@ -172,3 +182,71 @@ FROM best, e GROUP BY 1
 def best_match_histogram(spark, sf_dir):
     """Listings per 50th of the range of best match scores."""
     return SIM.best_match_histogram(_matches(spark, sf_dir))
+
+
+# --- collaborative (§2.12) -----------------------------------------------------------
+
+def _stays(spark, sf_dir):
+    return CO.interactions(roles.stays(roles.DriverTables(spark, sf_dir)))
+
+
+_COLLAB = _BASE + """
+, it AS (SELECT DISTINCT l_suppkey AS guest, l_orderkey AS listing_id FROM lineitem),
+ng AS (SELECT listing_id, count(*) AS n_guests FROM it GROUP BY 1),
+sh AS (SELECT listing_id, count(*) AS k FROM it WHERE guest IN (SELECT guest FROM it WHERE listing_id = (SELECT listing_id FROM ex)) GROUP BY 1),
+co AS (SELECT ng.listing_id, n_guests, coalesce(k, 0) AS overlap,
+              coalesce(k, 0) / sqrt(CAST(n_guests AS DOUBLE) * (SELECT n_guests FROM ng WHERE listing_id = (SELECT listing_id FROM ex))) AS c
+       FROM ng LEFT JOIN sh USING (listing_id))
+"""
+
+
+@register("co_review_similarity", q(_COLLAB + f"SELECT listing_id, n_guests, overlap, round(c, {D}) AS similarity_score FROM co"))
+def co_review_similarity(spark, sf_dir):
+    """Cosine of the guests of the query listing and of every listing with guests."""
+    r = CO.co_review_similarity(_stays(spark, sf_dir), _example_id(_tokens(spark, sf_dir)))
+    return r.withColumn("similarity_score", F.round("similarity_score", D))
+
+
+@register("hybrid_score", q(_COLLAB + f"""
+, hy AS (SELECT listing_id, coalesce(s, 0) AS s_content, coalesce(c, 0) AS s_collab,
+                CAST({CO.HALF_WEIGHT_REVIEWS} AS DOUBLE) / ({CO.HALF_WEIGHT_REVIEWS} + coalesce(number_of_reviews, 0)) AS alpha
+         FROM (SELECT listing_id, s FROM sc) FULL JOIN (SELECT listing_id, c FROM co) USING (listing_id)
+         LEFT JOIN fact_listing_performance USING (listing_id))
+SELECT listing_id, round(s_content, {D}) AS s_content, round(s_collab, {D}) AS s_collab, round(alpha, {D}) AS alpha,
+       round(alpha * s_content + (1 - alpha) * s_collab, {D}) AS s_final FROM hy
+"""))
+def hybrid_score(spark, sf_dir):
+    """Content and collaborative similarity to the query listing, blended by the number of reviews, for every listing."""
+    t = _tokens(spark, sf_dir)
+    of = _example_id(t)
+    reviews = warehouse(spark, sf_dir).fact_listing_performance.select("listing_id", "number_of_reviews")
+    h = CO.hybrid_score(SIM.similarity_row(t, of), CO.co_review_similarity(_stays(spark, sf_dir), of), reviews)
+    return h.select("listing_id", *[F.round(c, D).alias(c) for c in ("s_content", "s_collab", "alpha", "s_final")])
+
+
+@register("popularity_hit_rate", f"""
+WITH it AS (SELECT DISTINCT l_suppkey AS guest, l_orderkey AS listing_id FROM lineitem),
+nb AS (SELECT *, count(*) OVER (PARTITION BY guest) AS n,
+              row_number() OVER (PARTITION BY guest ORDER BY md5(concat_ws(':', guest, listing_id, '{CO.SEED}')), listing_id) AS nth FROM it),
+held AS (SELECT guest, listing_id FROM nb WHERE n > 1 AND nth = 1),
+train AS (SELECT guest, listing_id FROM nb WHERE NOT (n > 1 AND nth = 1)),
+pop AS (SELECT i.listing_id, coalesce(t.n, 0) AS n FROM (SELECT DISTINCT listing_id FROM it) i
+        LEFT JOIN (SELECT listing_id, count(*) AS n FROM train GROUP BY 1) t USING (listing_id)),
+hp AS (SELECT held.guest, pop.n FROM held JOIN pop USING (listing_id)),
+every AS (SELECT hp.guest, count(*) FILTER (WHERE pop.n > hp.n) AS better FROM hp, pop GROUP BY 1),
+own AS (SELECT hp.guest, count(*) AS better FROM hp JOIN train USING (guest) JOIN pop USING (listing_id) WHERE pop.n > hp.n GROUP BY 1),
+rk AS (SELECT e.guest, e.better - coalesce(own.better, 0) + 1 AS rank FROM every e LEFT JOIN own USING (guest))
+SELECT count(*) AS n_guests, count(*) FILTER (WHERE rank <= 100) AS hits,
+       round(count(*) FILTER (WHERE rank <= 100) / CAST(count(*) AS DOUBLE), {D}) AS hit_rate, round(avg(1.0::DOUBLE / rank), 6) AS mrr FROM rk
+""")
+def popularity_hit_rate(spark, sf_dir):
+    """Leave one out: is the held-out listing of each guest among the 100 most popular ones that are new to the guest."""
+    inter = _stays(spark, sf_dir)
+    r = CO.hit_rate(CO.popularity_ranks(inter, *CO.hold_out(inter)), 100)
+    return r.withColumns({"hit_rate": F.round("hit_rate", D), "mrr": F.round("mrr", 6)})
+
+
+@register("leave_one_out_hit_rate")
+def leave_one_out_hit_rate(spark, sf_dir):
+    """Leave one out over every guest and every listing: hit rate in the first 10 and mean reciprocal rank, factor model and popularity."""
+    return CO.leave_one_out_hit_rate(_stays(spark, sf_dir))

@@ -208,6 +208,12 @@ def raw_reviews(t: DriverTables) -> DataFrame:
             ))
 
 
+def stays(t: DriverTables) -> DataFrame:
+    """Stays for the collaborative queries: a line item is one, its supplier the
+    guest (each reviewer of the review stand-in knows one listing only)."""
+    return t.lineitem.select(F.col("l_suppkey").alias("guest"), F.col("l_orderkey").alias("listing_id"))
+
+
 def boundaries(t: DriverTables) -> DataFrame:
     """Neighbourhood boundary properties stand-in: (neighbourhood, group)."""
     n = t.nation.select("n_name", "n_regionkey")
