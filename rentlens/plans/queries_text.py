@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rentlens.functions import text as TX
 from rentlens.operators import hosts, text
 from rentlens.plans.oracle import q
-from rentlens.plans.registry import register, warehouse
+from rentlens.plans.registry import register, stored, warehouse
 from rentlens.sources import roles
 
 D = 4
@@ -18,7 +18,9 @@ def _r(df, cols):
 
 
 def _scored(spark, sf_dir):
-    return text.score_reviews(text.review_texts(warehouse(spark, sf_dir)))
+    """Scored reviews without their texts, stored once per state of the source tables and shared by the queries."""
+    wh = warehouse(spark, sf_dir)
+    return stored(spark, sf_dir, "scored-reviews", lambda: text.score_reviews(text.review_texts(wh)).drop("comments"))
 
 
 def _sql_str(s: str) -> str:
@@ -121,7 +123,8 @@ SELECT review_id, substr(comments, 1, 200) AS comments FROM scored WHERE compoun
 """))
 def zero_sentiment_sample(spark, sf_dir):
     """Ten reviews (by id) whose compound score is exactly 0."""
-    return text.zero_sentiment_sample(_scored(spark, sf_dir))
+    zero = _scored(spark, sf_dir).where(F.col("compound") == 0).orderBy("review_id").limit(10)
+    return text.zero_sentiment_sample(text.merge_text(zero, warehouse(spark, sf_dir).stg_reviews))
 
 
 @register("detect_language", q(SCORED_SQL + "SELECT review_id, language FROM scored"))
@@ -208,31 +211,66 @@ def sentiment_trend(spark, sf_dir):
 
 CUTOFF = (2024, 1)  # last complete month of the review stand-in
 _PCT = lambda cond: f"CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE) * 100 / count(*)"
+_SEG = lambda name: "demand_segment = " + _sql_str(name)
+_ACT = "FROM lp WHERE demand_segment = 'active' AND price_is_valid"
+_NO_LICENCE = "license IS NULL OR license = ''"
+_EXEMPT = "NOT (license IS NULL OR license = '' OR regexp_matches(license, 'HUTB-?[0-9]+')) AND contains(license, 'Exempt')"
+_AVG = lambda c, like: f"avg({c}) FILTER (WHERE host_is_superhost = '{like}')"
 _FACTS = {
-    ("demand", "listings"): "SELECT count(*) FROM lp", ("demand", "pct_active"): f"SELECT {_PCT('demand_segment = ' + _sql_str('active'))} FROM lp",
-    ("demand", "pct_never_active"): f"SELECT {_PCT('demand_segment = ' + _sql_str('never_active'))} FROM lp",
-    ("demand", "pct_dormant"): f"SELECT {_PCT('demand_segment = ' + _sql_str('dormant_with_history'))} FROM lp",
-    **{("prices", m): f"SELECT quantile_cont(price, {p}) FROM lp WHERE demand_segment = 'active' AND price_is_valid"
+    ("demand", "listings"): "SELECT count(*) FROM lp", ("demand", "active_listings"): f"SELECT count(*) FROM lp WHERE {_SEG('active')}",
+    ("demand", "pct_active"): f"SELECT {_PCT(_SEG('active'))} FROM lp", ("demand", "pct_never_active"): f"SELECT {_PCT(_SEG('never_active'))} FROM lp",
+    ("demand", "pct_dormant"): f"SELECT {_PCT(_SEG('dormant_with_history'))} FROM lp",
+    ("demand", "zero_occupancy_pct"): f"SELECT {_PCT('estimated_occupancy_l365d = 0')} FROM stg_listings",
+    **{("prices", m): f"SELECT quantile_cont(price, {p}) {_ACT}"
        for m, p in (("price_p25_active", 0.25), ("median_price_active", 0.5), ("price_p75_active", 0.75))},
-    ("hosts", "top_10_hosts_pct"): "SELECT (SELECT sum(n) FROM (SELECT n FROM hp ORDER BY n DESC LIMIT 10)) * 100.0 / sum(n) FROM hp",
+    ("prices", "mean_price_active"): f"SELECT avg(price) {_ACT}",
+    ("prices", "room_type_premium_pct"): "SELECT (max(m) / min(m) - 1) * 100 FROM rt_price",
+    ("prices", "least_room_type_skewness"): "SELECT min(skew) FROM rt_price", ("prices", "largest_room_type_skewness"): "SELECT max(skew) FROM rt_price",
+    ("prices", "price_rating_r"): f"SELECT corr(price, review_scores_rating) {_ACT}",
+    **{("hosts", f"top_{k}_hosts_pct"): f"SELECT (SELECT sum(n) FROM (SELECT n FROM hp ORDER BY n DESC LIMIT {k})) * 100.0 / sum(n) FROM hp" for k in (10, 500)},
+    ("hosts", "top_500_of_hosts_pct"): "SELECT least(500, count(*)) * 100.0 / count(*) FROM hp", ("hosts", "hosts"): "SELECT count(*) FROM hp",
+    ("hosts", "single_of_hosts_pct"): f"SELECT {_PCT('n = 1')} FROM hp",
     ("hosts", "single_hosts_pct"): "SELECT count(*) FILTER (WHERE n = 1) * 100.0 / sum(n) FROM hp",
-    ("licences", "without_licence_pct"): f"SELECT {_PCT('license IS NULL OR license = ' + _sql_str(''))} FROM stg_listings",
+    ("hosts", "largest_host_listings"): "SELECT max(n) FROM hp", ("hosts", "largest_host_pct"): "SELECT max(n) * 100.0 / sum(n) FROM hp",
+    ("hosts", "superhost_pct"): "SELECT 100.0 * avg(CASE WHEN host_is_superhost = 't' THEN 1 ELSE 0 END) FROM stg_listings",
+    ("hosts", "superhost_rating"): f"SELECT {_AVG('review_scores_rating', 't')} FROM stg_listings",
+    ("hosts", "other_rating"): f"SELECT {_AVG('review_scores_rating', 'f')} FROM stg_listings",
+    ("hosts", "superhost_reviews_ratio"): f"SELECT {_AVG('number_of_reviews', 't')} / {_AVG('number_of_reviews', 'f')} FROM stg_listings",
+    ("hosts", "superhost_price_ratio"): f"SELECT {_AVG('price', 't')} / {_AVG('price', 'f')} FROM stg_listings",
+    ("licences", "without_licence"): f"SELECT count(*) FROM stg_listings WHERE {_NO_LICENCE}",
+    ("licences", "without_licence_pct"): f"SELECT {_PCT(_NO_LICENCE)} FROM stg_listings",
+    ("licences", "exempt"): f"SELECT count(*) FROM stg_listings WHERE {_EXEMPT}", ("licences", "exempt_pct"): f"SELECT {_PCT(_EXEMPT)} FROM stg_listings",
+    ("licences", "unique_licence_numbers"):
+        "SELECT count(DISTINCT nullif(replace(regexp_extract(license, 'HUTB-?[0-9]+', 0), '-', ''), '')) FROM stg_listings",
     ("season", "peak_month"): "SELECT month FROM se ORDER BY v DESC, month LIMIT 1",
+    ("season", "winter_below_peak_pct"): "SELECT (avg(v) FILTER (WHERE month IN (12, 1)) / max(v) - 1) * 100 FROM se",
+    ("season", "peak_booking_month"): "SELECT m FROM (SELECT month(date) AS m, avg(CAST(available AS INTEGER)) AS a FROM fact_calendar GROUP BY 1) ORDER BY a, m LIMIT 1",
     ("season", "weekend_available_pct"): f"SELECT {_PCT('available')} FROM fact_calendar WHERE dayofweek(date) IN (0, 6)",
     ("season", "weekday_available_pct"): f"SELECT {_PCT('available')} FROM fact_calendar WHERE dayofweek(date) NOT IN (0, 6)",
+    ("season", "weekend_difference_pp"): "SELECT abs(100.0 * avg(CAST(available AS INTEGER)) FILTER (WHERE dayofweek(date) IN (0, 6)) "
+                                         "- 100.0 * avg(CAST(available AS INTEGER)) FILTER (WHERE dayofweek(date) NOT IN (0, 6))) FROM fact_calendar",
     ("reviews", "reviews"): "SELECT count(*) FROM fact_reviews", ("reviews", "mean_compound"): "SELECT avg(compound) FROM scored",
     ("reviews", "positive_pct"): f"SELECT {_PCT(f'compound > {TX.POSITIVE_CUT}')} FROM scored",
     ("reviews", "negative_pct"): f"SELECT {_PCT(f'compound < {TX.NEGATIVE_CUT}')} FROM scored",
+    **{("reviews", f"sentiment_r:{c}"): f"SELECT corr(compound, CAST({c} AS DOUBLE)) FROM scored WHERE language = 'en'"
+       for c in (*text.SCORE_COLS, "comment_length")},
 }
 
 
 @register("briefing_facts", q(SCORED_SQL + f"""
-, lp AS (SELECT f.listing_id, f.price, l.price_is_valid, v.demand_segment, l.neighbourhood_name FROM fact_listing_performance f
+, lp AS (SELECT f.listing_id, f.price, f.review_scores_rating, l.price_is_valid, l.room_type, v.demand_segment, l.neighbourhood_name FROM fact_listing_performance f
          JOIN dim_listing l ON f.listing_id = l.listing_id JOIN v_listing_demand v ON f.listing_id = v.listing_id),
 hp AS (SELECT h.host_id, h.host_is_superhost, count(*) AS n FROM dim_host h JOIN dim_listing l ON h.host_id = l.host_id GROUP BY 1, 2),
 mo AS (SELECT year(date) AS y, month(date) AS month, count(*) AS n FROM fact_reviews GROUP BY 1, 2),
 se AS (SELECT month, round_even(avg(n), 0) AS v FROM mo WHERE y < {CUTOFF[0]} OR (y = {CUTOFF[0]} AND month <= {CUTOFF[1]}) GROUP BY month),
+rt_m AS (SELECT *, avg(price) OVER (PARTITION BY room_type) AS mu FROM lp WHERE demand_segment = 'active' AND price_is_valid AND room_type IS NOT NULL),
+rt_price AS (SELECT room_type, median(price) AS m, avg(pow(price - mu, 3)) / pow(avg(pow(price - mu, 2)), 1.5) AS skew FROM rt_m GROUP BY 1),
 facts AS (""" + " UNION ALL ".join(f"SELECT '{a}' AS section, '{b}' AS metric, CAST(({sql}) AS DOUBLE) AS value" for (a, b), sql in _FACTS.items()) + f"""
+  UNION ALL SELECT 'prices', 'median:' || room_type, m FROM rt_price
+  UNION ALL SELECT 'areas', 'median:' || neighbourhood_group, median(price) FROM lp JOIN dim_neighbourhood USING (neighbourhood_name)
+    WHERE demand_segment = 'active' AND price_is_valid GROUP BY neighbourhood_group
+  UNION ALL SELECT 'languages', 'pct:' || language, pct FROM (
+    SELECT language, count(*) * 100.0 / sum(count(*)) OVER () AS pct, count(*) AS n FROM scored GROUP BY 1 ORDER BY n DESC, language LIMIT 15)
   UNION ALL SELECT section, metric, value FROM (
     SELECT 'areas' AS section, 'top_area_median:' || neighbourhood_name AS metric, median(price) AS value
     FROM lp WHERE demand_segment = 'active' AND price_is_valid AND neighbourhood_name IS NOT NULL
@@ -241,7 +279,7 @@ SELECT section, metric, round(value, {D}) AS value FROM facts
 """))
 def briefing_facts(spark, sf_dir):
     """Numbers quoted by the market briefing, computed: (section, metric, value)."""
-    return text.briefing_facts(warehouse(spark, sf_dir), CUTOFF, D)
+    return text.briefing_facts(warehouse(spark, sf_dir), CUTOFF, D, _scored(spark, sf_dir))
 
 
 # --- licence text -------------------------------------------------------------------
