@@ -1,7 +1,7 @@
 """Price-model features, built the same way for training and scoring.
 
 ``fit_feature_meta`` learns the few numbers scoring needs again (medians of
-six columns, the sorted list of area groups) in one aggregate; they are
+six columns by distributed quantiles, the sorted list of area groups); they are
 small by construction (6 numbers, one entry per group) and kept as
 metadata.  ``build_features`` applies them as column expressions.
 """
@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rentlens.operators.ranking import quantiles
 from rentlens.functions import columns as C
 
 # --- fixed values -----------------------------------------------------------
@@ -57,12 +58,13 @@ class FeatureMeta:
 
 def fit_feature_meta(train: DataFrame, room_type_codes: dict = ROOM_TYPE_CODES) -> FeatureMeta:
     """Training medians (exact, interpolated) and the sorted group list."""
-    row = train.agg(*[F.median(c).alias(c) for c in IMPUTE_COLUMNS],
-                    F.array_sort(F.collect_set("neighbourhood_group")).alias("_groups")).first()  # one entry per group
-    groups = list(row["_groups"] or [])
+    named = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in IMPUTE_COLUMNS])
+    found = quantiles(train.select(F.inline(named)), "x", {"median": 0.5}, ["column"]).collect()  # one row per column
+    medians = {r["column"]: r["median"] for r in found}
+    groups = list(train.agg(F.array_sort(F.collect_set("neighbourhood_group"))).first()[0] or [])  # one entry per group
     # one-hot with the first sorted category dropped (pandas get_dummies(drop_first=True))
     dummies = [f"{DUMMY_PREFIX}{g}" for g in groups[1:]]
-    return FeatureMeta({c: row[c] for c in IMPUTE_COLUMNS}, groups, dict(room_type_codes), dummies)
+    return FeatureMeta({c: medians.get(c) for c in IMPUTE_COLUMNS}, groups, dict(room_type_codes), dummies)
 
 
 def build_features(df: DataFrame, meta: FeatureMeta, assemble: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentlens.functions import columns as C
-from rentlens.operators.ranking import quantiles
+from rentlens.operators.ranking import grouped, quantiles
 from rentlens.operators import frames
 from rentlens.operators.warehouse import Warehouse
 
@@ -23,10 +23,9 @@ def _active_valid(wh: Warehouse) -> DataFrame:
 
 def top_neighbourhoods(wh: Warehouse, min_n: int = 10, top: int = 10, digits: int = 2) -> DataFrame:
     """Top areas by median price among active, valid listings (n >= min_n)."""
-    g = (_active_valid(wh).groupBy("neighbourhood_name")
-         .agg(F.count(F.lit(1)).alias("listing_count"),
-              F.median("price").alias("median_price"), F.avg("price").alias("avg_price"))
-         .where(F.col("listing_count") >= min_n))
+    g = grouped(_active_valid(wh).select("neighbourhood_name", "price"), ["neighbourhood_name"],
+                [F.count(F.lit(1)).alias("listing_count"), F.avg("price").alias("avg_price")],
+                {"price": {"median_price": 0.5}}).where(F.col("listing_count") >= min_n)
     return (g.orderBy(F.desc("median_price"), F.asc("neighbourhood_name")).limit(top)
             .select("neighbourhood_name", "listing_count",
                     F.round("median_price", digits).alias("median_price"),
@@ -79,18 +78,13 @@ def monthly_availability(wh: Warehouse, digits: int = 2) -> DataFrame:
                  F.count_distinct("listing_id").alias("active_listings")))
 
 
-def _describe_aggs(col: str, digits: int) -> list:
-    q = F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return [F.count(col).alias("count"), F.round(F.avg(col), digits).alias("mean"),
-            F.round(F.stddev_samp(col), digits).alias("std"), F.round(F.min(col), digits).alias("min"),
-            F.round(q[0], digits).alias("p25"), F.round(q[1], digits).alias("p50"),
-            F.round(q[2], digits).alias("p75"), F.round(F.max(col), digits).alias("max")]
-
-
 def describe(df: DataFrame, col: str, by: list | None = None, digits: int = 4) -> DataFrame:
     """pandas ``describe``: exact linear-interpolated quartiles, sample std."""
-    aggs = _describe_aggs(col, digits)
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    by = list(by or [])
+    g = grouped(df.select(*by, col), by, [F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
+                                          F.min(col).alias("min"), F.max(col).alias("max")],
+                {col: {"p25": 0.25, "p50": 0.5, "p75": 0.75}})
+    return g.select(*by, "count", *[F.round(c, digits).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 
 def price_describe(wh: Warehouse, digits: int = 4) -> DataFrame:
@@ -122,10 +116,11 @@ def activity_overlap(wh: Warehouse) -> DataFrame:
 
 def neighbourhood_summary(wh: Warehouse, digits: int = 2) -> DataFrame:
     df = _active_valid(wh).join(wh.dim_neighbourhood, "neighbourhood_name")
-    return (df.groupBy("neighbourhood_name", "neighbourhood_group")
-            .agg(F.count(F.lit(1)).alias("listing_count"), F.round(F.avg("price"), digits).alias("avg_price"),
-                 F.round(F.median("price"), digits).alias("median_price"),
-                 F.round(F.avg("review_scores_rating"), digits).alias("avg_rating")))
+    by = ["neighbourhood_name", "neighbourhood_group"]
+    g = grouped(df.select(*by, "price", "review_scores_rating"), by,
+                [F.count(F.lit(1)).alias("listing_count"), F.avg("price").alias("avg_price"), F.avg("review_scores_rating").alias("avg_rating")],
+                {"price": {"median_price": 0.5}})
+    return g.select(*by, "listing_count", *[F.round(c, digits).alias(c) for c in ("avg_price", "median_price", "avg_rating")])
 
 
 def neighbourhood_reliable(wh: Warehouse, min_n: int = 10, top: int = 10, digits: int = 2) -> DataFrame:
@@ -138,9 +133,9 @@ def neighbourhood_reliable(wh: Warehouse, min_n: int = 10, top: int = 10, digits
 
 def room_type_in_area(wh: Warehouse, neighbourhood: str, digits: int = 2) -> DataFrame:
     df = _active_valid(wh).where(F.col("neighbourhood_name") == neighbourhood)
-    return (df.groupBy("room_type")
-            .agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("price"), digits).alias("avg_price"),
-                 F.round(F.median("price"), digits).alias("median_price")))
+    g = grouped(df.select("room_type", "price"), ["room_type"], [F.count(F.lit(1)).alias("n"), F.avg("price").alias("avg_price")],
+                {"price": {"median_price": 0.5}})
+    return g.select("room_type", "n", *[F.round(c, digits).alias(c) for c in ("avg_price", "median_price")])
 
 
 def high_volume_low_score(wh: Warehouse, min_reviews: int = 50, max_rating: float = 4.0) -> DataFrame:
@@ -162,7 +157,7 @@ def group_price_rows(wh: Warehouse) -> DataFrame:
 
 def price_tiers(wh: Warehouse, labels: dict | None = None, digits: int = 2) -> DataFrame:
     """Median price per group with a fixed tier label (unlisted groups: NULL)."""
-    g = group_price_rows(wh).groupBy("neighbourhood_group").agg(F.median("price").alias("median_price"))
+    g = grouped(group_price_rows(wh), ["neighbourhood_group"], [F.count(F.lit(1)).alias("n")], {"price": {"median_price": 0.5}})
     label = F.lit(None).cast("string")
     if labels:
         m = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
@@ -196,10 +191,11 @@ def filter_options(df: DataFrame) -> DataFrame:
 
 def kpi_cards(df: DataFrame, digits: int = 4) -> DataFrame:
     n = F.count(F.lit(1))
-    return df.agg(n.alias("total_listings"), F.round(F.median("price"), digits).alias("median_price"),
-                  F.round(F.avg("review_scores_rating"), digits).alias("avg_rating"),
-                  F.round(F.coalesce(F.count_if(F.col("demand_segment") == "active") * 100.0 / F.nullif(n, F.lit(0)),
-                                     F.lit(0.0)).cast("double"), digits).alias("pct_active"))
+    active = F.coalesce(F.count_if(F.col("demand_segment") == "active") * 100.0 / F.nullif(n, F.lit(0)), F.lit(0.0)).cast("double")
+    g = grouped(df.select("price", "review_scores_rating", "demand_segment"), [],
+                [n.alias("total_listings"), F.avg("review_scores_rating").alias("avg_rating"), active.alias("pct_active")],
+                {"price": {"median_price": 0.5}})
+    return g.select("total_listings", *[F.round(c, digits).alias(c) for c in ("median_price", "avg_rating", "pct_active")])
 
 
 def room_type_share(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -209,15 +205,15 @@ def room_type_share(df: DataFrame, digits: int = 4) -> DataFrame:
 
 
 def group_stats(df: DataFrame, digits: int = 4) -> DataFrame:
-    return (df.where(F.col("neighbourhood_group").isNotNull()).groupBy("neighbourhood_group")
-            .agg(F.count("listing_id").alias("n"), F.round(F.median("price"), digits).alias("median_price"),
-                 F.round(F.avg("review_scores_rating"), digits).alias("avg_rating")))
+    g = grouped(df.where(F.col("neighbourhood_group").isNotNull()).select("neighbourhood_group", "listing_id", "price", "review_scores_rating"),
+                ["neighbourhood_group"], [F.count("listing_id").alias("n"), F.avg("review_scores_rating").alias("avg_rating")],
+                {"price": {"median_price": 0.5}})
+    return g.select("neighbourhood_group", "n", *[F.round(c, digits).alias(c) for c in ("median_price", "avg_rating")])
 
 
 def neighbourhood_extremes(df: DataFrame, min_n: int = 10, top: int = 10, digits: int = 4) -> DataFrame:
-    s = (df.where(F.col("neighbourhood_name").isNotNull()).groupBy("neighbourhood_name")
-         .agg(F.count("listing_id").alias("n"), F.median("price").alias("median_price"))
-         .where(F.col("n") >= min_n))
+    s = grouped(df.where(F.col("neighbourhood_name").isNotNull()).select("neighbourhood_name", "listing_id", "price"), ["neighbourhood_name"],
+                [F.count("listing_id").alias("n")], {"price": {"median_price": 0.5}}).where(F.col("n") >= min_n)
     hi = s.orderBy(F.desc("median_price"), F.asc("neighbourhood_name")).limit(top).withColumn("side", F.lit("most"))
     lo = s.orderBy(F.asc("median_price"), F.asc("neighbourhood_name")).limit(top).withColumn("side", F.lit("least"))
     return hi.unionByName(lo).withColumn("median_price", F.round("median_price", digits))
@@ -226,11 +222,11 @@ def neighbourhood_extremes(df: DataFrame, min_n: int = 10, top: int = 10, digits
 def superhost_dashboard(df: DataFrame, digits: int = 4) -> DataFrame:
     label = F.when(F.col("host_is_superhost") == "t", "Superhost").when(F.col("host_is_superhost") == "f",
                                                                           "Regular Host")
-    return (df.where(F.col("host_is_superhost").isNotNull()).groupBy("host_is_superhost")
-            .agg(F.count("listing_id").alias("n"), F.round(F.median("price"), digits).alias("median_price"),
-                 F.round(F.avg("review_scores_rating"), digits).alias("avg_rating"),
-                 F.round(F.median("number_of_reviews"), digits).alias("median_reviews"))
-            .withColumn("label", label))
+    d = df.where(F.col("host_is_superhost").isNotNull()).select("host_is_superhost", "listing_id", "price", "review_scores_rating", "number_of_reviews")
+    g = grouped(d, ["host_is_superhost"], [F.count("listing_id").alias("n"), F.avg("review_scores_rating").alias("avg_rating")],
+                {"price": {"median_price": 0.5}, "number_of_reviews": {"median_reviews": 0.5}})
+    return g.select("host_is_superhost", "n", *[F.round(c, digits).alias(c) for c in ("median_price", "avg_rating", "median_reviews")],
+                    label.alias("label"))
 
 
 def _bounds(x: DataFrame):

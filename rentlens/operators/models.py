@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentlens.operators import features as FT
-from rentlens.operators import stats
+from rentlens.operators import ranking, stats
 from rentlens.session import checkpoint_dir
 from rentlens.sources import io
 
@@ -172,13 +172,13 @@ def residual_analysis(oof: DataFrame) -> DataFrame:
     d = (oof.withColumn("predicted_price", F.expm1("prediction"))
          .withColumn("residual", F.col("price") - F.col("predicted_price"))
          .withColumn("pct_error", F.col("residual") / F.nullif(F.col("price"), F.lit(0.0)) * 100))
-    def by(c):
-        return (d.groupBy(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value"))
-                .agg(F.count(F.lit(1)).alias("n"), F.median("residual").alias("median_residual"),
-                     F.avg("residual").alias("mean_residual"), F.stddev_samp("residual").alias("std_residual"),
-                     F.median("pct_error").alias("median_pct_error"),
-                     F.avg("pct_error").alias("mean_pct_error"), F.stddev_samp("pct_error").alias("std_pct_error")))
-    return by("room_type").unionByName(by("neighbourhood_group"))
+    of = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in ("room_type", "neighbourhood_group")])
+    d = d.select("residual", "pct_error", F.inline(of))
+    g = ranking.grouped(d, ["dimension", "value"],
+                        [F.count(F.lit(1)).alias("n"), F.avg("residual").alias("mean_residual"), F.stddev_samp("residual").alias("std_residual"),
+                         F.avg("pct_error").alias("mean_pct_error"), F.stddev_samp("pct_error").alias("std_pct_error")],
+                        {"residual": {"median_residual": 0.5}, "pct_error": {"median_pct_error": 0.5}})
+    return g.select("dimension", "value", "n", "median_residual", "mean_residual", "std_residual", "median_pct_error", "mean_pct_error", "std_pct_error")
 
 
 def train_metrics(model, feats: DataFrame) -> DataFrame:
@@ -233,25 +233,34 @@ def linear_contributions(model: RidgeModel, feats: DataFrame) -> DataFrame:
     return feats.select("listing_id", F.array(*cols).alias("contributions"))
 
 
-def importance_ranking(model: RidgeModel, feats: DataFrame) -> DataFrame:
+def rank_contributions(contributions: DataFrame, names: list[str]) -> DataFrame:
     """Mean absolute contribution per feature, largest first (one aggregate row, turned on its side)."""
-    names = model.meta.feature_cols
-    row = linear_contributions(model, feats).agg(*[F.avg(F.abs(F.col("contributions")[i]["contribution"])).alias(f"f{i}") for i in range(len(names))])
+    row = contributions.agg(*[F.avg(F.abs(F.col("contributions")[i]["contribution"])).alias(f"f{i}") for i in range(len(names))])
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"f{i}").alias("mean_abs_contribution")) for i, c in enumerate(names)])
     return row.select(F.inline(pairs)).orderBy(F.desc("mean_abs_contribution"), F.asc("feature"))
 
 
-def top_drivers(model: RidgeModel, feats: DataFrame, n: int = 5) -> DataFrame:
-    """The n largest contributions of each listing, with direction text."""
+def largest_contributions(contributions: DataFrame, n: int = 5) -> DataFrame:
+    """The n largest contributions of each row, with direction text."""
     largest = F.slice(F.array_sort(F.transform("contributions", lambda c: F.struct(
         (-F.abs(c["contribution"])).alias("_order"), c["feature"].alias("feature"), c["value"].alias("value"), c["contribution"].alias("contribution")))), 1, n)
-    r = (linear_contributions(model, feats).select("listing_id", F.posexplode(largest).alias("rank", "c"))
+    r = (contributions.select("listing_id", F.posexplode(largest).alias("rank", "c"))
          .select("listing_id", "c.feature", "c.value", "c.contribution", (F.col("rank") + 1).alias("rank")))
     direction = F.when(F.col("contribution") > 0, "increases").otherwise("decreases")
     return r.withColumn("text", F.format_string("%s = %.1f %s the log price by %.2f", F.col("feature"),
                                                 F.col("value"), direction, F.abs("contribution")))
 
 
+def importance_ranking(model: RidgeModel, feats: DataFrame) -> DataFrame:
+    """Mean absolute contribution per feature of a ridge model, largest first."""
+    return rank_contributions(linear_contributions(model, feats), model.meta.feature_cols)
+
+
+def top_drivers(model: RidgeModel, feats: DataFrame, n: int = 5) -> DataFrame:
+    """The n largest contributions of each listing by a ridge model, with direction text."""
+    return largest_contributions(linear_contributions(model, feats), n)
+
+
 def predict_price(model, meta: FT.FeatureMeta, frame: DataFrame, peers: DataFrame) -> DataFrame:
     """For every listing of ``frame``: predicted fair price, current price,
     peer median (same group and room type, price > 0) and the predicted

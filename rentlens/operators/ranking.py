@@ -88,3 +88,15 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: list[str]
         part = F.max(at - F.floor(at))
         aggs.append((first + (second - first) * part).alias(name))
     return (cum.groupBy(*by) if by else cum).agg(*aggs)
+
+
+def grouped(df: DataFrame, by: list[str], aggs: list[Column], probs: dict[str, dict[str, float]]) -> DataFrame:
+    """``df`` grouped by ``by`` (one row if empty; a null is a group like any other)
+    with ``aggs`` and exact quantiles: ``probs`` names, for each value column, the
+    result columns and their shares. A group without values gets null."""
+    key = F.to_json(F.struct(*by)) if by else F.lit("")
+    d = df.withColumn("_k", key)
+    g = (d.groupBy("_k", *by).agg(*aggs) if by else d.agg(*aggs).withColumn("_k", key))
+    for value, named in probs.items():
+        g = g.join(quantiles(d.select("_k", value), value, named, ["_k"]), "_k", "left")
+    return g.drop("_k")

@@ -183,10 +183,10 @@ def chi_square_2x2(table: DataFrame, a: str, b: str, c: str, d: str, correction:
 
 def group_moments(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
     """n, mean, median, sample sd and population skewness (SciPy ``skew``)."""
-    aggs = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"),
-            F.stddev_samp(value).alias("std"), F.skewness(value).alias("skew")]
-    d = df.where(F.col(value).isNotNull())
-    return d.groupBy(group).agg(*aggs) if group else d.agg(*aggs)
+    by = [group] if group else []
+    aggs = [F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.skewness(value).alias("skew")]
+    g = ranking.grouped(df.where(F.col(value).isNotNull()).select(*by, value), by, aggs, {value: {"median": 0.5}})
+    return g.select(*by, "n", "mean", "median", "std", "skew")
 
 
 def corr_matrix(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from rentlens.operators import explain as X
 from rentlens.operators import features as FT
 from rentlens.operators import frames
 from rentlens.operators import models as M
@@ -198,6 +199,31 @@ def top_drivers(spark, sf_dir):
     return M.top_drivers(model, feats)
 
 
+def _contributions(spark, sf_dir):
+    model, meta, feats = _fitted(spark, sf_dir, "boosted")
+    return stored(spark, sf_dir, "contributions-boosted", lambda: X.tree_contributions(model, feats, meta.feature_cols)), meta
+
+
+@register("price_importance")
+def price_importance(spark, sf_dir):
+    """Mean |contribution| per feature of the boosted trees (the model that predicts), largest first."""
+    contributions, meta = _contributions(spark, sf_dir)
+    return M.rank_contributions(contributions, meta.feature_cols)
+
+
+@register("price_drivers")
+def price_drivers(spark, sf_dir):
+    """Five largest contributions to every listing's predicted price (boosted trees), with direction text."""
+    return M.largest_contributions(_contributions(spark, sf_dir)[0])
+
+
+@register("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    """Rise of the boosted trees' error when the values of a feature are dealt anew, a row per feature."""
+    model, meta, feats = _fitted(spark, sf_dir, "boosted")
+    return X.permutation_importance(model, feats, meta.feature_cols)
+
+
 @register("predict_price")
 def predict_price(spark, sf_dir):
     """Advice for every listing: predicted and current price, peer median, percentile of the prediction (boosted trees)."""
