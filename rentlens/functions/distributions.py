@@ -123,6 +123,21 @@ def f_sf(x: float, d1: float, d2: float) -> float:
     return beta_inc(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * x))
 
 
+def mann_whitney_exact_sf(n1: int, n2: int, u: float) -> float:
+    """P(U >= u) without ties: the splits of n1 + n2 ranks into two groups, counted by their U.
+
+    Their number by U is the Gaussian binomial coefficient: factors (1 - q^(n+i)) /
+    (1 - q^i) for i up to the smaller group, as whole numbers."""
+    k, n = sorted((int(n1), int(n2)))
+    ways = [1] + [0] * (k * n)
+    for i in range(1, k + 1):
+        for j in range(k * n, n + i - 1, -1):
+            ways[j] -= ways[j - n - i]
+        for j in range(i, k * n + 1):
+            ways[j] += ways[j - i]
+    return sum(ways[max(0, math.ceil(u - 1e-9)):]) / math.comb(n + k, k)
+
+
 # --- column wrappers (Arrow batches; used on result frames of a few rows) ---------
 
 @F.pandas_udf(T.DoubleType())
@@ -140,3 +155,8 @@ def chi2_sf_col(x: pd.Series, df: pd.Series) -> pd.Series:
 def f_sf_col(x: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_sf(float(a), float(b), float(c)) if not (pd.isna(a) or pd.isna(b) or pd.isna(c))
                       else float("nan") for a, b, c in zip(x, d1, d2)])
+
+
+@F.pandas_udf(T.DoubleType())
+def mann_whitney_exact_sf_col(n1: pd.Series, n2: pd.Series, u: pd.Series) -> pd.Series:
+    return pd.Series([mann_whitney_exact_sf(a, b, c) if not (pd.isna(a) or pd.isna(b) or pd.isna(c)) else float("nan") for a, b, c in zip(n1, n2, u)])

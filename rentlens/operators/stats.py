@@ -7,7 +7,8 @@ and rank sums are aggregated back per group.  Only the final scalar step
 (a tail probability) runs as a Pandas UDF on the one-row result.
 
 All tests follow SciPy's defaults as used in the reference:
-Mann-Whitney U with tie and continuity correction (normal approximation),
+Mann-Whitney U exact for a small sample without ties, else with tie and
+continuity correction (normal approximation),
 Kruskal-Wallis H with tie correction, Levene with the median as centre,
 chi-square on a 2x2 table with Yates' correction.
 """
@@ -21,6 +22,9 @@ from rentlens.functions import distributions as DIST
 from rentlens.operators import ranking
 from rentlens.operators.ranking import prefix_sum, quantiles
 
+#: Sample sizes up to which Mann-Whitney p-values without ties are counted exactly.
+EXACT_SMALLER, EXACT_LARGER = 8, 10_000
+
 
 def _d(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -45,7 +49,9 @@ def mann_whitney(df: DataFrame, value: str, group: str, g1, g2, alternative: str
                  with_p: bool = True) -> DataFrame:
     """One row: n1, n2, u1 (statistic of the first sample), u2, the U used for
     the test, tie term, z, p, and the rank-biserial effect 1 - 2*U1/(n1*n2)
-    (signed, and its absolute value)."""
+    (signed, and its absolute value).  p is exact (all splits counted) without
+    ties if one sample has at most ``EXACT_SMALLER`` values and the other at most
+    ``EXACT_LARGER``, else the normal approximation."""
     vc = value_counts(df, value, group, [g1, g2])
     r = mid_ranks(vc, ["c0", "c1"])
     s = r.agg(F.sum("c0").cast("double").alias("n1"), F.sum("c1").cast("double").alias("n2"),
@@ -68,7 +74,10 @@ def mann_whitney(df: DataFrame, value: str, group: str, g1, g2, alternative: str
          .withColumn("rank_biserial_abs", F.abs("rank_biserial")))
     cols = ["n1", "n2", "u1", "u2", "u", "tie_term", "z", "rank_biserial", "rank_biserial_abs"]
     if with_p:
-        s = s.withColumn("p_value", F.least(F.greatest(DIST.normal_sf_col(F.col("z")) * f, F.lit(0.0)), F.lit(1.0)))
+        exact = (F.col("tie_term") == 0) & F.least(n1, n2).between(1, EXACT_SMALLER) & (F.greatest(n1, n2) <= EXACT_LARGER)
+        seen = [F.when(exact, F.col(c)) for c in ("n1", "n2", "u")]  # null where the approximation is taken
+        p = F.when(exact, DIST.mann_whitney_exact_sf_col(*seen)).otherwise(DIST.normal_sf_col(F.col("z"))) * f
+        s = s.withColumn("p_value", F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
         cols.append("p_value")
     return s.select(*cols)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rentlens.functions import text as TX
-from rentlens.operators import hosts, text
+from rentlens.operators import hosts, language, text
 from rentlens.plans.oracle import q
 from rentlens.plans.registry import register, stored, warehouse
 from rentlens.sources import roles
@@ -171,6 +171,25 @@ def language_accuracy(spark, sf_dir):
     return text.language_accuracy(roles.review_text(roles.DriverTables(spark, sf_dir)))
 
 
+def _labelled(spark, sf_dir):
+    return roles.review_text(roles.DriverTables(spark, sf_dir)).withColumnRenamed("language_true", "language")
+
+
+@register("language_model_accuracy")
+def language_model_accuracy(spark, sf_dir):
+    """Character n-gram model: right and unknown ones of the documents held out of its training, by language."""
+    docs = _labelled(spark, sf_dir)
+    out = language.held_out(F.col("review_id"))
+    return language.accuracy(language.fit(docs.where(~out)), docs.where(out))
+
+
+@register("detect_language_ngrams")
+def detect_language_ngrams(spark, sf_dir):
+    """Language of every review by the character n-gram model of the labelled documents."""
+    model = language.fit(_labelled(spark, sf_dir))
+    return text.review_texts(warehouse(spark, sf_dir)).select("review_id", language.detect(model, F.col("comments")).alias("language"))
+
+
 @register("sentiment_vs_scores", q(SCORED_SQL + f"""
 , e AS (SELECT * FROM scored WHERE language = 'en')
 SELECT * FROM (

@@ -139,3 +139,21 @@ def test_best_matches_without_pair_tables(spark):
     assert stats.n == len(rows) and abs(stats.pct_below_half - 100 * sum(v < 0.5 for v in got.values()) / len(rows)) < 1e-9
     bins = similarity.best_match_histogram(spark.createDataFrame([(i, i / 8) for i in range(9)], "listing_id long, best_score double"), 4).collect()
     assert sorted((r.bin, r.n_listings) for r in bins) == [(0, 2), (1, 2), (2, 2), (3, 3)]
+
+
+def test_mann_whitney_exact_p_equals_enumeration(spark):
+    from itertools import combinations
+
+    from rentlens.functions import distributions as DIST
+    for n1, n2 in ((1, 1), (1, 5), (3, 4), (5, 3), (4, 8), (6, 6)):
+        us = [sum(r) - n1 * (n1 + 1) / 2 for r in combinations(range(1, n1 + n2 + 1), n1)]
+        for u in range(n1 * n2 + 1):
+            assert math.isclose(DIST.mann_whitney_exact_sf(n1, n2, u), sum(x >= u for x in us) / len(us))
+    x, y = [1.5, 2.5, 9.0], [3.0, 4.0, 5.0, 0.5]
+    u1 = sum(a > b for a in x for b in y)
+    us = [sum(r) - 6 for r in combinations(range(1, 8), 3)]
+    got = {alt: stats.mann_whitney(_frame(spark, x, y), "x", "g", "a", "b", alt).first()["p_value"] for alt in ("greater", "less", "two-sided")}
+    assert math.isclose(got["greater"], sum(v >= u1 for v in us) / len(us)) and math.isclose(got["less"], sum(v <= u1 for v in us) / len(us))
+    assert math.isclose(got["two-sided"], min(1.0, 2 * min(got["greater"], got["less"])))
+    tied = stats.mann_whitney(_frame(spark, x + [3.0], y), "x", "g", "a", "b", "greater").first()
+    assert math.isclose(tied["p_value"], DIST.normal_sf(tied["z"]))  # ties: the approximation
