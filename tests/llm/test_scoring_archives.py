@@ -232,6 +232,79 @@ def test_toxicity_without_positives(spark, nothing, corpus):
     assert toxicity.score(nothing, None).count() == 0
 
 
+def brute_fit_and_score(rows, prior, rounds, rate=0.05, decay=1e-5):
+    """Features, risk, steps and scores of the docstring, number by number; rows are (positive, text)."""
+    sets = []
+    for positive, text in rows:
+        ws = re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").translate(LOWER).encode())
+        signs = set()
+        for w in ws:
+            for k in (None, *toxicity.STEMS):
+                if k is None or len(w) > k:
+                    part = w if k is None else w[:k]
+                    h = int(word_hashes(np.frombuffer(part, np.uint8), np.array([0]), np.array([len(part)]))[0])
+                    signs.add((h ^ (k or 0)) % (1 << toxicity.BUCKET_BITS))
+        sets.append((positive, signs, math.log1p(len(ws)) / 5))
+    n_p = sum(p for p, _, _ in sets)
+    n_u = len(sets) - n_p
+    kept = []
+    for f in set().union(*(x for _, x, _ in sets)):
+        k_p, k_u = sum(p and f in x for p, x, _ in sets), sum(not p and f in x for p, x, _ in sets)
+        pooled = (k_p + k_u + 1) / (n_p + n_u + 2)
+        clear = (k_p / n_p - k_u / n_u) / math.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u))
+        if clear >= toxicity.SIGNIFICANT and k_p >= toxicity.FEWEST and prior * k_p / n_p >= toxicity.PURE * k_u / n_u:
+            kept.append(f)
+    names = [*kept, "length", "bias"]
+    w, m, v = ({f: 0.0 for f in names} for _ in range(3))
+    below = False
+
+    def margin(signs, size):
+        return sum(w[f] for f in kept if f in signs) + w["length"] * size + w["bias"]
+
+    def loss(z):
+        return math.log1p(math.exp(-z))
+
+    for t in range(1, rounds + 1):
+        zs = [margin(x, size) for _, x, size in sets]
+        back_risk = sum(loss(-z) for z, r in zip(zs, sets, strict=True) if not r[0]) / n_u - prior * sum(loss(-z) for z, r in zip(zs, sets, strict=True) if r[0]) / n_p
+        below |= back_risk < 0
+        grad = {f: 0.0 for f in names}
+        for z, (p, x, size) in zip(zs, sets, strict=True):
+            s = 1 / (1 + math.exp(-z))
+            back = -prior * s / n_p if p else s / n_u
+            g = (-prior * (1 - s) / n_p if p else 0.0) + back if back_risk >= 0 else -back
+            for f in kept:
+                grad[f] += g * (f in x)
+            grad["length"] += g * size
+            grad["bias"] += g
+        for f in names:
+            d = grad[f] + (decay * w[f] if f != "bias" else 0)
+            m[f], v[f] = 0.9 * m[f] + 0.1 * d, 0.999 * v[f] + 0.001 * d * d
+            w[f] -= rate * (m[f] / (1 - 0.9**t)) / (math.sqrt(v[f] / (1 - 0.999**t)) + 1e-8)
+    return len(kept), below, [1 / (1 + math.exp(-margin(x, size))) for _, x, size in sets]
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.9])
+def test_toxicity_equals_plain_python(spark, prior):
+    """Features, non-negative risk, steps and scores; the negative part falls below zero on the way."""
+    import pyarrow as pa
+    texts = [(1, f"{words(i, 12)} Vilewretch nastyTHINGS") for i in range(20)] + [(0, words(100 + i, 10 + i)) for i in range(60)]
+    texts += [(0, None), (0, ""), (0, "?!"), (1, "vilewretchling é"), (0, texts[0][1])]
+    column = pa.array([t for _, t in texts])
+    lists, counts = [], []
+    for i, j, data, off in text_slices(column):
+        doc, bucket, n = toxicity._buckets(data, off)
+        lists += [sorted(set(bucket[doc == k].tolist())) for k in range(j - i)]
+        counts += n.tolist()
+    table = pa.table({"positive": pa.array([p for p, _ in texts], pa.int32()), "features": pa.array(lists, pa.list_(pa.int32())), "words": pa.array(counts, pa.int64())})
+    model = toxicity.train(table, prior, rounds=40)
+    n, below, want = brute_fit_and_score(texts, prior, 40)
+    assert n == len(model.weight) > 0 and below
+    assert np.allclose(toxicity.scores(model, column), want, atol=1e-9)
+    got = toxicity.score(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(texts)], "doc_id long, text string"), model).collect()
+    assert np.allclose([r["score"] for r in sorted(got, key=lambda r: r["doc_id"])], want, atol=1e-9)
+
+
 def test_non_negative_risk():
     """With many positives among few unlabelled rows the negative part would go below zero."""
     import pyarrow as pa
