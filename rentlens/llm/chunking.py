@@ -5,7 +5,8 @@ bits at the top, at least ``MIN_BYTES`` and at most ``MAX_BYTES`` apart. A cut
 depends on the bytes before it alone, so an insertion moves the cuts around it
 and the chunks after it are the same again. Chunks are told apart by a 128-bit
 digest; of equal chunks the first one stays (by id, then place) and the others
-are removed.
+are copies. Copies are removed where they follow one another for ``RUN_BYTES`` or
+make up the whole text; shorter runs are common phrases and stay.
 
 The chunk table is written once. Digests are counted with a partial sum before
 the shuffle, so a chunk that a third of the documents share costs a row per
@@ -15,7 +16,9 @@ execution, which broadcasts a side by its measured size or splits hot keys.
 Defined results: null and empty texts have no chunks; a text shorter than
 ``MIN_BYTES`` is one chunk; a last piece is a chunk whatever its length; rows
 with the same id are separate documents; a null id comes first; equal chunks
-within a document count as copies too; an empty table gives an empty result.
+within a document count as copies too; an empty table gives an empty result;
+a very long text is cut like any other, its places counted from its first byte;
+other columns are not read, whatever their names.
 What is left of a text is bytes; where a cut falls within a character, those
 bytes are kept or removed as they are.
 """
@@ -32,7 +35,9 @@ from pyspark.sql.types import StructType
 
 from .common import in_arrow, mix64, saved, text_slices, with_locator
 
-MIN_BYTES, BITS, MAX_BYTES = 32, 6, 512
+MIN_BYTES, BITS, MAX_BYTES = 32, 5, 512
+#: Copies that follow one another for fewer bytes stay, unless they are the whole text.
+RUN_BYTES = 160
 GEAR = (mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
@@ -97,8 +102,10 @@ def chunk_table(located: DataFrame, low: int = MIN_BYTES, bits: int = BITS, high
 
 
 def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: int = MIN_BYTES, bits: int = BITS, high: int = MAX_BYTES,
-                with_kept: bool = True) -> DataFrame:
+                least: int = RUN_BYTES, with_kept: bool = True) -> DataFrame:
     """id, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes), kept_sha: one row per document."""
+    if low < 32:  # the hash before the first cut would reach into the document before
+        raise ValueError("chunks are at least as long as the window of the hash, 32 bytes")
     rows = docs.select(F.col(text_col).alias("body"), F.col(id_col).alias("id"))
     located = with_locator(rows, ["body", "id"], "chunk-rows")
     table = saved(chunk_table(located, low, bits, high), "chunk-table")
@@ -106,11 +113,14 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     several = saved(table.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(me).alias("first")).filter("n > 1").drop("n"), "chunk-several")
     copies = table.join(several, "digest").where(me != F.col("first"))
     removed = saved(copies.groupBy("loc_file", "loc_row").agg(F.array_sort(F.collect_list(F.struct("start", "size"))).alias("spans")), "chunk-removed")
-    return rebuilt(located.join(removed, ["loc_file", "loc_row"], "left"), with_kept)
+    return rebuilt(located.join(removed, ["loc_file", "loc_row"], "left"), with_kept, least)
 
 
-def rebuilt(marked: DataFrame, with_kept: bool = True) -> DataFrame:
-    """Texts less their spans, from rows (body, id, spans); without ``with_kept`` only their digests."""
+def rebuilt(marked: DataFrame, with_kept: bool = True, least: int = 0) -> DataFrame:
+    """Texts less their spans, from rows (body, id, spans); without ``with_kept`` only their digests.
+
+    Runs of spans of fewer than ``least`` bytes stay, unless they are the whole text.
+    """
     source = marked.select("body", "id", F.col("spans.start").alias("starts"), F.col("spans.size").alias("sizes"))
     schema = StructType([source.schema["id"]]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary").add("kept_sha", "binary")
 
@@ -127,8 +137,12 @@ def rebuilt(marked: DataFrame, with_kept: bool = True) -> DataFrame:
                         np.add.at(edge, s, 1)
                         np.add.at(edge, s + n, -1)
                         lost = np.cumsum(edge)[:-1] > 0
-                        gone = int(lost.sum())
-                        runs = int(lost[0]) + int((lost[1:] & ~lost[:-1]).sum())
+                        turns = np.flatnonzero(np.diff(lost, prepend=False, append=False))
+                        first, end = turns[::2], turns[1::2]
+                        short = (end - first < least) & (end - first < b - a)
+                        for x, y in zip(first[short].tolist(), end[short].tolist(), strict=True):
+                            lost[x:y] = False
+                        gone, runs = int(lost.sum()), int((~short).sum())
                         kept = np.frombuffer(kept, np.uint8)[~lost].tobytes()
                     for column, value in zip(out, (b - a, gone, runs, kept if with_kept else None, hashlib.sha256(kept).digest()), strict=True):
                         column.append(value)

@@ -4,10 +4,11 @@ import hashlib
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rentlens.llm.chunking import chunk_dedup, chunks_of, cut_marks
+from rentlens.llm.chunking import RUN_BYTES, chunk_dedup, chunks_of, cut_marks
 from rentlens.llm.exact_dedup import exact_dedup, keep_last
 from rentlens.llm.mixing import mix
 
@@ -100,28 +101,31 @@ def test_state_goes_on(spark, tmp_path):
     assert [(r["n"], r["keep"]["id"]) for r in found] == [(4, 9)]
 
 
-def brute_chunks(texts):
+def brute_chunks(texts, least):
     seen, out = set(), []
     for t in texts:
-        b, cut, kept = t.encode(), 0, b""
-        import numpy as np
+        b, cut, kept, run = t.encode(), 0, b"", b""
         raw = np.frombuffer(b, np.uint8)
         for e in chunks_of(cut_marks(raw).tolist() if len(raw) else [], 0, len(b)):
-            if b[cut:e] not in seen:
-                kept += b[cut:e]
+            if b[cut:e] in seen:
+                run += b[cut:e]
+            else:
+                kept += (run if len(run) < least else b"") + b[cut:e]
+                run = b""
             seen.add(b[cut:e])
             cut = e
-        out.append(kept)
+        out.append(kept + (run if len(run) < least and len(run) < len(b) else b""))
     return out
 
 
-def test_chunks(corpus, nothing):
+@pytest.mark.parametrize("least", [0, 100, RUN_BYTES])
+def test_chunks(corpus, nothing, least):
     rows, df = corpus
     named = [r for r in rows if r[0] is not None]
     order = sorted(range(len(named)), key=lambda i: named[i][0])
-    kept = brute_chunks([named[i][1] or "" for i in order])
+    kept = brute_chunks([named[i][1] or "" for i in order], least)
     got = defaultdict(list)
-    for r in chunk_dedup(df.filter("doc_id is not null")).collect():
+    for r in chunk_dedup(df.filter("doc_id is not null").withColumn("digest", F.lit(1)).withColumn("start", F.lit("x")), least=least).collect():
         got[r["id"]].append(bytes(r["kept"]))
         assert hashlib.sha256(r["kept"]).digest() == r["kept_sha"] and r["n_bytes"] - r["n_removed"] == len(r["kept"])
     want = defaultdict(list)
@@ -136,3 +140,12 @@ def test_chunks_resist_insertions(spark):
     df = spark.createDataFrame([(1, text), (2, text[:2500] + " inserted words " + text[2500:])], "doc_id long, text string")
     got = {r["id"]: r for r in chunk_dedup(df).collect()}
     assert got[1]["n_removed"] == 0 and got[2]["n_removed"] > 0.9 * got[2]["n_bytes"] and got[2]["n_spans"] == 2
+
+
+def test_short_runs_stay(spark):
+    """A phrase that two texts share stays; a short text that is a copy as a whole goes."""
+    phrase = words(7, 15)
+    df = spark.createDataFrame([(1, words(8, 200) + " " + phrase + " " + words(9, 200)), (2, words(10, 200) + " " + phrase + " " + words(11, 200)),
+                                (3, "a short text"), (4, "a short text")], "doc_id long, text string")
+    got = {r["id"]: r for r in chunk_dedup(df).collect()}
+    assert len(phrase) < RUN_BYTES and [got[i]["n_removed"] for i in (1, 2, 3, 4)] == [0, 0, 0, 12] and got[4]["n_spans"] == 1
