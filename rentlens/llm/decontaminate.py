@@ -9,10 +9,11 @@ suffix (each window of each benchmark item) is then binary-searched in every
 shard; the equal range gives all its places, and places that go on from one
 window to the next of the same item make up the longest verbatim matches.
 
-The benchmark is a stated query set: it is read in blocks of at most
-``BLOCK_BYTES`` of text, each broadcast and searched against all documents, and
-the results of several blocks are united per document. The training text is
-never shuffled.
+The benchmark is a stated query set: it is read in blocks of about
+``BLOCK_BYTES`` of text, each broadcast as it is made, so the driver holds one
+block at a time. ``BLOCKS_A_PASS`` of them are searched against all documents in
+one pass and then freed; the results of several passes are united per document.
+The training text is never shuffled.
 
 Defined results: a null or empty text has no words and no hits; an item without
 words has no window; an item of fewer than 13 words is one window; items are
@@ -36,7 +37,9 @@ from .common import WORD_CHAR, in_arrow, located_whole, lowered, saved, text_sli
 #: Fixed values of the contract: words in a window; hit words times this at least the words of a contaminated document.
 WINDOW = 13
 HIT_FACTOR = 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES, BLOCKS_A_PASS = 4 << 20, 8
+#: Suffixes whose keys are made at once.
+_KEY_ROWS = 1 << 17
 _FILTER_BITS = 20
 
 
@@ -60,10 +63,13 @@ class Block:
 
 def _keys(codes: np.ndarray, at: np.ndarray, room: np.ndarray, window: int) -> np.ndarray:
     """Sort keys (big-endian codes) of the suffixes at ``at``, cut off after ``room`` words."""
-    step = np.arange(window)
-    grid = codes[np.minimum(at[:, None] + step, len(codes) - 1)]
-    grid[step >= room[:, None]] = 0
-    return np.ascontiguousarray(grid.astype(">u4")).view(f"S{4 * window}").ravel()
+    step, out = np.arange(window), np.empty((len(at), window), ">u4")
+    for i in range(0, len(at), _KEY_ROWS):
+        part = slice(i, i + _KEY_ROWS)
+        grid = codes[np.minimum(at[part, None] + step, len(codes) - 1)]
+        grid[step >= room[part, None]] = 0
+        out[part] = grid
+    return out.view(f"S{4 * window}").ravel()
 
 
 def make_block(names: list[str], texts: list[str], window: int = WINDOW) -> Block | None:
@@ -89,8 +95,12 @@ def make_block(names: list[str], texts: list[str], window: int = WINDOW) -> Bloc
     order = np.argsort(back, kind="stable")
     size = np.zeros(len(keys), np.int64)
     size[back] = length
-    high = np.array([k.ljust(4 * n, b"\0") + b"\xff" * (4 * (window - n)) for k, n in zip(keys.tolist(), size.tolist(), strict=True)],
-                    dtype=keys.dtype)
+    short = np.flatnonzero(size < window)
+    high = keys  # a whole window is its own last key
+    if len(short):
+        high = keys.copy()
+        grid = high.view(np.uint8).reshape(len(high), 4 * window)
+        grid[short] = np.where(np.arange(4 * window) >= 4 * size[short, None], 255, grid[short])
     inner = left[:-1] > 1
     seen = np.zeros(1 << _FILTER_BITS, bool)
     seen[(vocab & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
@@ -105,14 +115,18 @@ def _member(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
     return sorted_values[np.minimum(np.searchsorted(sorted_values, x), len(sorted_values) - 1)] == x
 
 
-def search_shard(block: Block, data: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words before each document; word places and windows (one pair per occurrence) found in the shard."""
+def shard_words(data: bytes, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a shard, and the words before each document."""
     raw = lowered(data)
     s, e, upto = word_spans(raw, off, WORD_CHAR)
+    return (word_hashes(raw, s, e) if len(s) else np.zeros(0, np.uint64)), upto
+
+
+def search_shard(block: Block, h: np.ndarray, upto: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word places and windows (one pair per occurrence) found among the words of a shard."""
     none = np.zeros(0, np.int64)
-    if not len(s):
-        return upto, none, none
-    h = word_hashes(raw, s, e)
+    if not len(h):
+        return none, none
     maybe = np.flatnonzero(block.seen[(h & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)])
     codes = np.zeros(len(h), np.uint32)
     code = np.minimum(np.searchsorted(block.vocab, h[maybe]), len(block.vocab) - 1)
@@ -123,7 +137,7 @@ def search_shard(block: Block, data: bytes, off: np.ndarray) -> tuple[np.ndarray
         at = at[at + 1 < end[at]]
         at = at[_member(block.pairs, (codes[at].astype(np.uint64) << np.uint64(32)) | codes[at + 1])]
     if not len(at):
-        return upto, none, none
+        return none, none
     keys = _keys(codes, at, np.minimum(end[at] - at, block.window), block.window)
     order = np.argsort(keys, kind="stable")
     keys, suffix = keys[order], at[order]
@@ -131,7 +145,7 @@ def search_shard(block: Block, data: bytes, off: np.ndarray) -> tuple[np.ndarray
     n = hi - lo
     window = np.repeat(np.arange(len(n)), n)
     place = suffix[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)]
-    return upto, place, window
+    return place, window
 
 
 def longest_matches(block: Block, upto: np.ndarray, place: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -162,37 +176,48 @@ def _blocks(bench: DataFrame, id_col: str, text_col: str, block_bytes: int):
         yield names, texts
 
 
-def _search(located: DataFrame, block, keys: list[str]) -> DataFrame:
-    """keys, n_words, spans (packed hit words), items of every row for one broadcast block (None: no window)."""
+def _items_of(block: Block, upto: np.ndarray, place: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(document, item) of every item that has a window at ``place``, each pair once and in order of documents."""
+    pair = np.unique((np.searchsorted(upto, place, "right") - 1) * len(block.low) + window)
+    doc, win = pair // len(block.low), pair % len(block.low)
+    n = np.diff(block.first)[win]
+    held = block.item[np.repeat(block.first[:-1][win], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    pair = np.unique(np.repeat(doc, n) * len(block.names) + held)
+    return pair // len(block.names), pair % len(block.names)
+
+
+def _by_document(doc: np.ndarray):
+    """(document, first place, end) of every run of equal values in the sorted ``doc``."""
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    yield from zip(doc[first].tolist(), first.tolist(), [*first[1:].tolist(), len(doc)], strict=True)
+
+
+def _search(located: DataFrame, blocks: list, keys: list[str]) -> DataFrame:
+    """keys, n_words, spans (packed hit words), items of every row, for broadcast blocks searched in one pass."""
     schema = StructType(located.select(*keys).schema.fields).add("n_words", "long").add("spans", "binary").add("items", ArrayType(StringType()))
 
     def run(batches):
-        b = block.value
+        held = [b.value for b in blocks]
         for batch in batches:
             n_words, spans, items = [], [], []
             for i, j, data, off in text_slices(batch.column(0)):
-                if b is None:
-                    upto, place, window = word_spans(lowered(data), off, WORD_CHAR)[2], (), ()
-                else:
-                    upto, place, window = search_shard(b, data, off)
+                h, upto = shard_words(data, off)
                 n_words += np.diff(upto).tolist()
                 got_spans, got_items = [b""] * (j - i), [()] * (j - i)
-                if len(place):
-                    edge = np.zeros(upto[-1] + 1, np.int64)
-                    np.add.at(edge, place, 1)
-                    np.add.at(edge, place + b.length[window], -1)
+                edge = None
+                for b in held:
+                    place, window = search_shard(b, h, upto)
+                    if len(place):
+                        edge = np.zeros(upto[-1] + 1, np.int64) if edge is None else edge
+                        np.add.at(edge, place, 1)
+                        np.add.at(edge, place + b.length[window], -1)
+                        doc, item = _items_of(b, upto, place, window)
+                        for d, x, y in _by_document(doc):
+                            got_items[d] = sorted({*got_items[d], *b.names[item[x:y]]})
+                if edge is not None:
                     hit = np.flatnonzero(np.cumsum(edge)[:-1] > 0)
-                    owner = np.searchsorted(upto, hit, "right") - 1
-                    for d, at in zip(*np.unique(owner, return_index=True), strict=True):
-                        mine = hit[at:at + np.searchsorted(owner[at:], d, "right")] - upto[d]
-                        got_spans[d] = mine.astype("<u4").tobytes()
-                    pair = np.unique((np.searchsorted(upto, place, "right") - 1) * len(b.low) + window)
-                    doc, win = pair // len(b.low), pair % len(b.low)
-                    n = np.diff(b.first)[win]
-                    held = b.item[np.repeat(b.first[:-1][win], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-                    pair = np.unique(np.repeat(doc, n) * len(b.names) + held)
-                    for d in np.unique(pair // len(b.names)):
-                        got_items[d] = sorted(set(b.names[pair[pair // len(b.names) == d] % len(b.names)]))
+                    for d, x, y in _by_document(np.searchsorted(upto, hit, "right") - 1):
+                        got_spans[d] = (hit[x:y] - upto[d]).astype("<u4").tobytes()
                 spans += got_spans
                 items += got_items
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()),
@@ -201,16 +226,33 @@ def _search(located: DataFrame, block, keys: list[str]) -> DataFrame:
     return located.transform(in_arrow, run, schema)
 
 
+def _passes(bench: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int):
+    """Lists of broadcast blocks, at most ``BLOCKS_A_PASS`` each; blocks without words are left out."""
+    cast, held = bench.sparkSession.sparkContext.broadcast, []
+    for names, texts in _blocks(bench, item_col, item_text_col, block_bytes):
+        block = make_block(names, texts, window)
+        if block is not None:
+            if len(held) == BLOCKS_A_PASS:
+                yield held
+                held = []
+            held.append(cast(block))
+    if held:
+        yield held
+
+
 def _found(located: DataFrame, bench: DataFrame, item_col: str, item_text_col: str, window: int, block_bytes: int) -> DataFrame:
     """id, loc_file, loc_row, n_words, n_hit, items of rows (body, id, loc_file, loc_row), over all blocks of the benchmark."""
     places = ["loc_file", "loc_row"]
     keys = ["id", *places]
-    cast = located.sparkSession.sparkContext.broadcast
-    blocks = [cast(make_block(names, texts, window)) for names, texts in _blocks(bench, item_col, item_text_col, block_bytes)]
-    parts = [_search(located.select("body", *keys), block, keys) for block in blocks or [cast(None)]]
-    if len(parts) == 1:
-        return parts[0].withColumn("n_hit", (F.octet_length("spans") / 4).cast("long"))
-    parts = [saved(p, "decontaminate-block") for p in parts]
+    passes, parts = _passes(bench, item_col, item_text_col, window, block_bytes), []
+    blocks, later = next(passes, []), next(passes, None)
+    if later is None:
+        return _search(located.select("body", *keys), blocks, keys).withColumn("n_hit", (F.octet_length("spans") / 4).cast("long"))
+    while blocks:
+        parts.append(saved(_search(located.select("body", *keys), blocks, keys), "decontaminate-pass"))
+        for block in blocks:
+            block.unpersist()
+        blocks, later = later, next(passes, None)
 
     @F.pandas_udf("long")
     def distinct_words(lists):
@@ -246,18 +288,19 @@ def matches(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col:
     source = docs.select(F.col(text_col).alias("body"), F.col(id_col).alias("id"))
     schema = StructType([source.schema["id"]]).add("word", "long").add("item_id", "string").add("item_word", "long").add("n_words", "long")
     out = None
-    for names, texts in _blocks(bench, item_col, item_text_col, block_bytes):
-        block = spark.sparkContext.broadcast(make_block(names, texts, window))
+    for blocks in _passes(bench, item_col, item_text_col, window, block_bytes):
 
-        def run(batches, block=block):
-            b = block.value
+        def run(batches, blocks=blocks):
+            held = [b.value for b in blocks]
             for batch in batches:
                 for i, _, data, off in text_slices(batch.column(0)):
-                    upto, place, win = search_shard(b, data, off) if b else (None, (), ())
-                    if len(place):
-                        doc, word, item, there, n = longest_matches(b, upto, place, win)
-                        yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(doc + i)), pa.array(word), pa.array(list(b.names[item]), pa.string()),
-                                                          pa.array(there), pa.array(n)], names=schema.names)
+                    h, upto = shard_words(data, off)
+                    for b in held:
+                        place, win = search_shard(b, h, upto)
+                        if len(place):
+                            doc, word, item, there, n = longest_matches(b, upto, place, win)
+                            yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(doc + i)), pa.array(word), pa.array(list(b.names[item]), pa.string()),
+                                                              pa.array(there), pa.array(n)], names=schema.names)
 
         part = source.transform(in_arrow, run, schema)
         out = part if out is None else out.unionByName(part)

@@ -194,7 +194,7 @@ def bench(spark, corpus):
     return items, spark.createDataFrame(items, "item_id long, text string")
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 24, 300])
+@pytest.mark.parametrize("block_bytes", [1 << 24, 300, 1])
 def test_contamination(corpus, bench, block_bytes):
     rows, df = corpus
     items, bdf = bench
