@@ -20,7 +20,7 @@ def _r(df, cols):
 def _scored(spark, sf_dir):
     """Scored reviews without their texts, stored once per state of the source tables and shared by the queries."""
     wh = warehouse(spark, sf_dir)
-    return stored(spark, sf_dir, "scored-reviews", lambda: text.score_reviews(text.review_texts(wh)).drop("comments"))
+    return stored(spark, sf_dir, "reviews-in-context", lambda: text.score_reviews(text.review_texts(wh)).drop("comments"))
 
 
 def _sql_str(s: str) -> str:
@@ -28,39 +28,51 @@ def _sql_str(s: str) -> str:
 
 
 _LEX = ", ".join(f"({_sql_str(w)}, CAST({v} AS DOUBLE))" for w, v in sorted(TX.SENTIMENT_WEIGHTS.items()))
-_NEG = ", ".join(f"({_sql_str(w)})" for w in TX.NEGATIONS)
+_LIST = {name: ", ".join(map(_sql_str, words)) for name, words in (
+    ("neg", TX.NEGATIONS), ("boost", TX.BOOSTERS), ("damp", TX.DAMPENERS), ("contrast", TX.CONTRASTS))}
+_LAGS = ", ".join(f"lag(t, {k}) OVER upto AS t{k}" for k in range(1, len(TX.BOOST_BY_DISTANCE) + 1))
+_CLEAR = ["".join(f" AND t{j} NOT IN ({_LIST['contrast']})" for j in range(1, k + 1)) for k in range(1, len(TX.BOOST_BY_DISTANCE) + 1)]
+_NEGATED = " OR ".join(f"coalesce(t{k} IN ({_LIST['neg']}){clear}, false)" for k, clear in enumerate(_CLEAR, 1))
+_BOOST = " + ".join(f"CASE WHEN t{k} IN ({_LIST['boost']}){clear} THEN {x} WHEN t{k} IN ({_LIST['damp']}){clear} THEN -{x} ELSE 0 END::DOUBLE"
+                    for k, (x, clear) in enumerate(zip(TX.BOOST_BY_DISTANCE, _CLEAR, strict=True), 1))
+_SIGNS, _PLAIN = _sql_str(TX.PARTING + TX.APOSTROPHE), _sql_str(" " * len(TX.PARTING) + "'")
 _LANG_VOTES = ", ".join(
     f"len(list_filter(toks, lambda x: list_contains([{', '.join(_sql_str(w) for w in TX.LANGUAGE_WORDS[lang])}], x))) AS v_{lang}"
     for lang in TX.LANGUAGE_ORDER)
 _BEST = "greatest(" + ", ".join(f"v_{lang}" for lang in TX.LANGUAGE_ORDER) + ")"
 _PICK = "CASE " + " ".join(f"WHEN v_{lang} = {_BEST} THEN '{lang}'" for lang in TX.LANGUAGE_ORDER) + " END"
 
-# Review text -> tokens -> weights (unnest + join + window), an independent
-# formulation of the per-row higher-order-function plan.
+# Review text -> words and end marks -> weights (unnest + join + windows), an
+# independent formulation of the array pass.
 SCORED_SQL = f"""
 , rr AS (SELECT r.review_id, r.listing_id, r.comment_length, f.review_scores_rating, f.review_scores_cleanliness,
                 f.review_scores_location, f.review_scores_value, f.price
          FROM fact_reviews r JOIN fact_listing_performance f ON r.listing_id = f.listing_id
          WHERE f.review_scores_rating IS NOT NULL),
 rt AS (SELECT rr.*, s.comments FROM rr JOIN (SELECT id AS review_id, comments FROM stg_reviews) s USING (review_id)),
-tk AS (SELECT review_id, comments,
-              regexp_replace(replace(replace(coalesce(comments, ''), '<br/>', ' '), '<br>', ' '), '^\\s+|\\s+$', '', 'g') AS clean,
-              list_filter(regexp_split_to_array(lower(replace(replace(replace(coalesce(comments, ''), '<br/>', ' '), '<br>', ' '),
-                                                              '’', '''')), '[^\\p{{L}}'']+'), lambda x: x <> '') AS toks
-       FROM rt),
-ut AS (SELECT review_id, unnest(toks) AS t, generate_subscripts(toks, 1) AS i FROM tk),
+bd AS (SELECT review_id, translate(replace(replace(coalesce(comments, ''), '<br/>', ' '), '<br>', ' '), {_SIGNS}, {_PLAIN}) AS body FROM rt),
+tk AS (SELECT review_id, trim(body, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS clean, regexp_matches(body, '[a-z]') AS has_small,
+              regexp_extract_all(body, '[A-Za-z''\\x{{80}}-\\x{{10FFFF}}]+|[.!?]+') AS marks FROM bd),
+ut AS (SELECT review_id, has_small, unnest(marks) AS x, generate_subscripts(marks, 1) AS i FROM tk),
+um AS (SELECT *, lower(x) AS t, regexp_matches(x, '^[.!?]') AS is_end FROM ut),
+us AS (SELECT *, coalesce(sum(CAST(is_end AS INTEGER)) OVER (PARTITION BY review_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sen FROM um),
+uw AS (SELECT *, {_LAGS}, max(i) FILTER (WHERE t IN ({_LIST['contrast']})) OVER whole AS turn,
+              coalesce(max(length(x) - length(replace(x, '!', ''))) FILTER (WHERE is_end) OVER whole, 0) AS bangs
+       FROM us WINDOW upto AS (PARTITION BY review_id, sen ORDER BY i), whole AS (PARTITION BY review_id, sen)),
 lex(w, v) AS (VALUES {_LEX}),
-neg(w) AS (VALUES {_NEG}),
-wt AS (SELECT ut.review_id, coalesce(lex.v, 0.0::DOUBLE)
-              * CASE WHEN lag(ut.t) OVER (PARTITION BY ut.review_id ORDER BY ut.i) IN (SELECT w FROM neg)
-                     THEN CAST({TX.NEGATION_SCALE} AS DOUBLE) ELSE 1.0::DOUBLE END AS v
-       FROM ut LEFT JOIN lex ON ut.t = lex.w),
+wt AS (SELECT uw.review_id, coalesce(lex.v, 0.0::DOUBLE)
+              * CASE WHEN {_NEGATED} THEN CAST({TX.NEGATION_SCALE} AS DOUBLE) ELSE 1.0::DOUBLE END
+              * (1.0::DOUBLE + {_BOOST})
+              * CASE WHEN turn IS NULL THEN 1.0 WHEN i < turn THEN {TX.BEFORE_CONTRAST} ELSE {TX.AFTER_CONTRAST} END::DOUBLE
+              * CASE WHEN has_small AND x = upper(x) THEN {TX.CAPITALS_SCALE} ELSE 1.0 END::DOUBLE
+              * (1.0::DOUBLE + {TX.BANG_STEP}::DOUBLE * least(bangs, {TX.MOST_BANGS})) AS v
+       FROM uw LEFT JOIN lex ON uw.t = lex.w WHERE NOT is_end),
 ag AS (SELECT review_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS ps,
               sum(CASE WHEN v < 0 THEN v - 1 ELSE 0 END) AS ns, count(*) FILTER (WHERE v = 0) AS nu
        FROM wt GROUP BY review_id),
 sc AS (SELECT tk.review_id, coalesce(s, 0.0) AS s, coalesce(ps, 0.0) AS ps, coalesce(ns, 0.0) AS ns,
               CAST(coalesce(nu, 0) AS DOUBLE) AS nu, clean, {_LANG_VOTES}
-       FROM tk LEFT JOIN ag USING (review_id)),
+       FROM (SELECT *, list_transform(marks, lambda x: lower(x)) AS toks FROM tk) AS tk LEFT JOIN ag USING (review_id)),
 scored AS (
   SELECT rt.*,
          CASE WHEN ps + abs(ns) + nu > 0 THEN abs(ns / (ps + abs(ns) + nu)) ELSE 0.0 END AS neg,

@@ -57,7 +57,8 @@ def test_text_scores(spark):
              "It wasn’t bad at all, the best", "the the the le le le"]
     got = [r["s"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", TX.scores(F.col("t")).alias("s")).orderBy("i").collect()]
     w = TX.SENTIMENT_WEIGHTS
-    s = TX.NEGATION_SCALE * (w["clean"] + w["good"]) + w["great"]
+    # one sentence: two negated words before "but", one in capitals after it, one exclamation mark
+    s = (TX.NEGATION_SCALE * (w["clean"] + w["good"]) * TX.BEFORE_CONTRAST + w["great"] * TX.AFTER_CONTRAST * TX.CAPITALS_SCALE) * (1 + TX.BANG_STEP)
     assert got[0]["compound"] == pytest.approx(s / (s * s + TX.ALPHA) ** 0.5) and got[7]["compound"] > 0
     assert [g["language"] for g in got] == ["unknown", "unknown", "unknown", "unknown", "de", "es", "unknown", "en", "en"]
     assert all(g["neg"] == g["pos"] == g["compound"] == 0 for g in got[1:4]) and got[0]["neg"] + got[0]["neu"] + got[0]["pos"] == pytest.approx(1)

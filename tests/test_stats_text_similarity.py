@@ -1,7 +1,9 @@
 import itertools
 import math
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from rentlens.functions import distributions as DIST
@@ -85,8 +87,48 @@ def test_sentiment_rules(spark):
     assert r[1]["compound"] > 0.05 and r[5]["compound"] < -0.05
     assert r[2]["compound"] < 0  # negated positive word
     assert r[3]["compound"] == 0 and r[4]["compound"] == 0 and r[3]["neu"] == 0
-    # by hand from the project's grades: "great" 2 and "clean" 1, with 20 under the root; "very" has no grade
-    assert abs(r[1]["compound"] - 3 / math.sqrt(3 * 3 + 20)) < 1e-12
+    # by hand from the project's grades: "great" 2; "clean" 1, half more after "very"; an eighth more for "!"; 20 under the root
+    s = (2 + 1.5) * 1.125
+    assert abs(r[1]["compound"] - s / math.sqrt(s * s + 20)) < 1e-12
+
+
+def by_word(text):
+    """neg, neu, pos, compound word by word, from the rules as they are stated."""
+    text = TX._prepared(text)
+    strengths, sentences = [], re.findall(r"([^.!?]*)([.!?]*)", text)
+    for body, end in sentences:
+        found = re.findall("[A-Za-z'\u0080-\U0010ffff]+", body)
+        low = [w.lower() for w in found]
+        turns = [i for i, w in enumerate(low) if w in TX.CONTRASTS]
+        for i, w in enumerate(low):
+            v = TX.SENTIMENT_WEIGHTS.get(w, 0.0)
+            near = list(itertools.takewhile(lambda u: u not in TX.CONTRASTS, low[max(i - 3, 0):i][::-1]))
+            v *= 1 + sum(x * ((u in TX.BOOSTERS) - (u in TX.DAMPENERS)) for u, x in zip(near, TX.BOOST_BY_DISTANCE))
+            v *= TX.NEGATION_SCALE if set(near) & set(TX.NEGATIONS) else 1
+            v *= 1 if not turns else TX.BEFORE_CONTRAST if i < turns[-1] else TX.AFTER_CONTRAST
+            v *= TX.CAPITALS_SCALE if found[i] == found[i].upper() and re.search("[a-z]", text) else 1
+            strengths.append(v * (1 + TX.BANG_STEP * min(end.count("!"), TX.MOST_BANGS)))
+    s, up, down = sum(strengths), sum(v + 1 for v in strengths if v > 0), sum(1 - v for v in strengths if v < 0)
+    none = sum(v == 0 for v in strengths)
+    share = up + down + none or 1
+    return down / share, none / share, up / share, s / math.sqrt(s * s + TX.ALPHA)
+
+
+def test_sentiment_in_context(spark):
+    rules = {"plain": "a good room", "booster": "a very good room", "two before": "so truly good", "three before": "extremely big and good", "four before": "very big and so-called, good",
+             "dampener": "a slightly dirty room", "negation": "never was it good", "too far": "not one of them was good", "other sentence": "Not. Good", "negated booster": "not very good",
+             "contrast": "good room but noisy street", "two contrasts": "good but bad yet nice", "contrast elsewhere": "Good room. But noise", "capitals": "a GOOD room", "all capitals": "A GOOD ROOM",
+             "bangs": "good!!", "many bangs": "good!!!!!!", "mixed end": "good?!. Nice", "no end": "Bad! good", "signs": "good\u2014bad\u2026great", "apostrophe": "wasn\u2019t good", "break": "good<br/>NOT<br>bad"}
+    rng = random.Random(3)
+    some = [*TX.SENTIMENT_WEIGHTS, *TX.NEGATIONS, *TX.BOOSTERS, *TX.DAMPENERS, *TX.CONTRASTS, "room", "\u00c9t\u00e9", "\u0130zmir", "NICE", "GREAT"]
+    texts = [*rules.values(), None, "", "!!!", "...", " ", *("".join(rng.choice(some) + rng.choice([" ", " ", " ", ", ", ". ", "! ", "!!!", "?! ", "1"]) for _ in range(rng.randint(1, 60))) for _ in range(150))]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(3)
+    got = {r["id"]: r for r in TX.add_sentiment(df, "t").collect()}
+    for i, text in enumerate(texts):
+        assert [got[i][k] for k in ("neg", "neu", "pos", "compound")] == pytest.approx(by_word(text), abs=1e-12), text
+    s = {k: got[i]["compound"] for i, k in enumerate(rules)}
+    assert s["booster"] > s["three before"] > s["plain"] == s["too far"] == s["other sentence"] == s["all capitals"]
+    assert s["negation"] < 0 and s["negated booster"] < s["negation"] and s["capitals"] > s["plain"] and s["many bangs"] > s["bangs"] > s["plain"] and s["apostrophe"] < 0
 
 
 def test_language_votes(spark):
