@@ -16,8 +16,8 @@
 
 Defined results: null and empty texts are equal; of rows with equal text and
 equal id the one last in file order stays; a null id is the smallest; an empty
-table gives an empty result. Clashing column names are no matter, since only
-id and text are read.
+table gives an empty result. Very long texts are compared in full. Clashing
+column names are no matter, since only id and text are read.
 """
 
 from __future__ import annotations

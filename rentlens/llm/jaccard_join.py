@@ -30,7 +30,8 @@ component under these links.
 Defined results: null and empty texts have an empty set (size 0) and link with
 nothing; a text of one to three words is one shingle; rows with the same id are
 separate documents; a null id is no candidate for the smallest id; an empty
-table gives an empty result.
+table gives an empty result. A very long text has the set of all its shingles.
+Only id and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -30,7 +30,9 @@ Words are known by 64-bit hashes, and pairs in the last join by a 64-bit hash of
 both. Defined results: a null or empty text has no words, losses and score 0;
 without target documents the target model is the uniform one; ties in the
 vocabulary go by hash; repeated rows count as often as they occur; an empty
-table gives an empty result; labels without id or quality are no labels.
+table gives an empty result; labels without id or quality are no labels. A very
+long text is counted as a whole, like any other. Only id and text are read, so
+other columns may have any names.
 """
 
 from __future__ import annotations

@@ -16,6 +16,7 @@ Defined results: null text has size 0, and so has an empty one; a source of
 size 0 has target 0; rows without id are dealt by a hash of their text; rows
 with the same id are one document and are taken alike; an empty table gives an
 empty result. Columns of the input with the names of the results are replaced.
+A very long text counts with all its words and may exceed a small target.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Defined results: null and empty texts have no n-grams and weight 0; a one-word
 text has one unigram; rows with the same key (the same id and text) stand or
 fall together, so a tie at the bound is taken whole; a null id counts as an
 empty one; without target documents both models differ by smoothing only; an
-empty table gives an empty result.
+empty table gives an empty result. A very long text is weighed as a whole. Only
+id and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations

@@ -33,7 +33,9 @@ distances each time. A part of one window is equal to its name, so this ends.
 Defined results: null is empty; texts shorter than ``LENGTH`` lose nothing;
 overlapping strings count (a run of one byte is repeated within itself); rows
 with the same id are separate documents; repeated rows lose everything if they
-have ``LENGTH`` bytes; an empty table gives an empty result.
+have ``LENGTH`` bytes; an empty table gives an empty result. A very long text is
+cut into segments like any other. Only id and text are read, so other columns
+may have any names.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ Labels, language, source and id are no inputs of a score.
 Defined results: null and empty texts have no words and get the score of the
 bias alone; labels of one id that differ count as toxic; without a toxic
 training row every score is 0; an empty table gives an empty result; columns of
-the input named like the results are replaced.
+the input named like the results are replaced; a very long text is scored as a
+whole; repeated rows get the same score.
 """
 
 from __future__ import annotations
