@@ -151,14 +151,15 @@ def example_query(tokens: DataFrame, room_type: str, price_range=None, group: st
 # --- best matches of all listings -----------------------------------------------------
 
 def _token_sets(tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(listing_id, set_id) and (set_id, n, size, items) of the distinct token sets, tokens from the rarest on."""
+    """(listing_id, set_id) and (set_id, n, size, items) of the distinct token sets, tokens as numbers from the rarest on."""
     b = binary_matrix(tokens)
     freq = b.groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
-    listed = (b.join(freq, "token").groupBy("listing_id")
-              .agg(F.transform(F.array_sort(F.collect_list(F.struct("freq", "token"))), lambda x: x["token"]).alias("items")))
-    listed = _kept(listed.select("listing_id", "items", F.sha2(F.to_json("items"), 256).alias("set_id")), "match-listed")
-    sets = listed.groupBy("set_id").agg(F.count(F.lit(1)).alias("size"), F.first("items").alias("items"))
-    return listed.select("listing_id", "set_id"), _kept(sets.withColumn("n", F.size("items").cast("long")), "match-sets")
+    nth = ranking.row_rank(freq, "freq", "nth", ties=[F.col("token").asc()]).select("token", F.col("nth").cast("int").alias("nth"))
+    listed = _kept(b.join(nth, "token").groupBy("listing_id").agg(F.array_sort(F.collect_list("nth")).alias("items")), "match-listed")
+    sets = listed.groupBy("items").agg(F.count(F.lit(1)).alias("size"))
+    # the numbers hold once they are stored
+    sets = _kept(sets.select(F.monotonically_increasing_id().alias("set_id"), "size", "items", F.size("items").cast("long").alias("n")), "match-sets")
+    return listed.join(sets, "items").select("listing_id", "set_id"), sets
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:
@@ -186,17 +187,15 @@ def _round(pending: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     n = F.col("n")
     upto = (n - 1) if least == 0 else n - F.greatest(F.ceil(F.lit(least * least) * n - 1e-9), F.lit(1)) + 1
     def entries(d):
-        return d.select("set_id", "n", F.explode(F.slice("items", 1, F.greatest(upto, F.lit(0)).cast("int"))).alias("token"))
+        return d.select("set_id", "n", "items", F.explode(F.slice("items", 1, F.greatest(upto, F.lit(0)).cast("int"))).alias("token"))
     a, b = entries(pending).alias("a"), entries(sets).alias("b")
     sizes = (F.col("b.n") >= F.lit(least * least) * F.col("a.n") - 1e-9) & (F.col("a.n") >= F.lit(least * least) * F.col("b.n") - 1e-9)
     # a set that is still open is beaten only by a score above what it has
     better = F.least("a.n", "b.n") / F.sqrt(F.col("a.n") * F.col("b.n")) > F.lit(least) - 1e-9
-    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.set_id") != F.col("b.set_id")) & sizes & better).select(
-        F.col("a.set_id").alias("set_id"), F.col("b.set_id").alias("other")).distinct()
-    items = sets.select("set_id", "items", "n")
-    both = pairs.join(items, "set_id").join(items.toDF("other", "items_2", "n_2"), "other")
-    score = F.size(F.array_intersect("items", "items_2")) / F.sqrt(F.col("n") * F.col("n_2"))
-    return both.groupBy("set_id").agg(F.max(score).alias("score")).where(F.col("score") >= least - 1e-9)
+    # both sets come with their tokens: a pair is scored where it is found and only the best per set leaves the task
+    pairs = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.set_id") != F.col("b.set_id")) & sizes & better)
+    score = F.size(F.array_intersect("a.items", "b.items")) / F.sqrt(F.col("a.n") * F.col("b.n"))
+    return pairs.select("a.set_id", score.alias("score")).groupBy("set_id").agg(F.max("score").alias("score")).where(F.col("score") >= least - 1e-9)
 
 
 def best_matches(tokens: DataFrame, thresholds: tuple = MATCH_THRESHOLDS) -> DataFrame:
