@@ -164,7 +164,7 @@ def orphan_keys(spark, sf_dir):
     """Distinct review listing ids absent from the listings (listing universe
     restricted to non-'P' listings: the stand-in data has no orphans)."""
     wh = warehouse(spark, sf_dir)
-    return cleaning.orphan_keys(wh.stg_reviews, wh.stg_listings.where(F.col("property_type") != "P"))
+    return cleaning.orphan_keys(wh.review_rows, wh.stg_listings.where(F.col("property_type") != "P"))
 
 
 @register("anti_join_orphans", q("""
@@ -173,7 +173,7 @@ SELECT DISTINCT listing_id FROM stg_reviews WHERE listing_id NOT IN (SELECT id F
 def anti_join_orphans(spark, sf_dir):
     """The orphan review listing ids themselves (left anti join)."""
     wh = warehouse(spark, sf_dir)
-    ids = wh.stg_reviews.select("listing_id").distinct()
+    ids = wh.review_rows.select("listing_id").distinct()
     lst = wh.stg_listings.where(F.col("property_type") != "P").select(F.col("id").alias("listing_id"))
     return ids.join(lst, "listing_id", "left_anti")
 
@@ -181,7 +181,7 @@ def anti_join_orphans(spark, sf_dir):
 @register("short_text_check", q("SELECT count(*) FILTER (WHERE comment_length < 10) AS n_short FROM stg_reviews"))
 def short_text_check(spark, sf_dir):
     """Reviews under 10 characters."""
-    return cleaning.short_text_check(warehouse(spark, sf_dir).stg_reviews)
+    return cleaning.short_text_check(warehouse(spark, sf_dir).review_rows)
 
 
 @register("clean_listings", q("""
@@ -211,7 +211,7 @@ SELECT listing_id, id, CAST(date AS VARCHAR) AS date, reviewer_id, comment_lengt
 """))
 def clean_reviews(spark, sf_dir):
     """Cleaned reviews: parsed date, rows without text dropped, first row per id, text length."""
-    s = warehouse(spark, sf_dir).stg_reviews
+    s = warehouse(spark, sf_dir).review_rows
     return s.select("listing_id", "id", F.col("date").cast("string"), "reviewer_id", "comment_length")
 
 
