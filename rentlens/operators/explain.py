@@ -8,6 +8,9 @@ agrees with the path, the share of training rows where the feature is left out.
 The Shapley values of such a product follow from the coefficients of a
 polynomial, and a row picks them by the pattern of features it agrees with:
 a table per leaf of 2^depth patterns, made once in each worker from the nodes.
+The tables of the leaves below one node are added up by the answers to all splits
+above and below it, at most ``GROUP_BITS`` of them: a row looks up once per node
+instead of once per leaf, and answers each split of the ensemble once.
 Scoring is one Arrow pass over the rows.
 """
 
@@ -28,8 +31,10 @@ from rentlens.session import scratch_path
 
 #: Deepest trees that contributions take: a leaf has a table of 2^depth patterns.
 MAX_DEPTH = 8
-#: Numbers that a worker's step holds (rows at once times leaves times depth).
-HELD = 1 << 21
+#: Splits that a group of leaves is looked up by (a table has a place for each of their answers), not below ``MAX_DEPTH``.
+GROUP_BITS = 8
+#: Rows that a worker scores at once.
+ROWS = 4096
 
 
 class Paths:
@@ -41,7 +46,7 @@ class Paths:
     def __init__(self, feature, threshold, left, slot, share, slot_feature, value, n_features: int, bias: float = 0.0):
         self.feature, self.threshold, self.left, self.slot = feature, threshold, left, slot
         self.share, self.slot_feature, self.value, self.n_features, self.bias = share, slot_feature, value, n_features, bias
-        self.table = None
+        self.table = self.grouped = None
 
     def __reduce__(self):  # the tables are made where they are used
         return Paths, (self.feature, self.threshold, self.left, self.slot, self.share, self.slot_feature, self.value, self.n_features, self.bias)
@@ -69,24 +74,58 @@ class Paths:
                     self.table[:, pattern, i] = self.value * (agrees[i] - self.share[:, i]) * np.tensordot(weight, poly, 1)
         return self.table
 
+    def groups(self) -> list[tuple[np.ndarray, np.ndarray, list[int], np.ndarray]]:
+        """(features, thresholds, features that get a share, (those, patterns) contributions) of runs of leaves.
+
+        Leaves come from ``_walk``, so those below a node follow one another; a run ends
+        where its leaves ask more than ``GROUP_BITS`` different splits."""
+        tables, d = self.tables(), self.share.shape[1]
+        asked = [[(int(f), float(t)) for f, t in zip(self.feature[i], self.threshold[i], strict=True) if t < np.inf] for i in range(len(self.value))]
+        runs, run, splits = [], [], {}
+        for i, mine in enumerate(asked):
+            more = [q for q in dict.fromkeys(mine) if q not in splits]
+            if run and len(splits) + len(more) > GROUP_BITS:
+                runs.append((run, splits))
+                run, splits, more = [], {}, list(dict.fromkeys(mine))
+            for q in more:
+                splits[q] = len(splits)
+            run.append(i)
+        if run:
+            runs.append((run, splits))
+        made = []
+        for run, splits in runs:
+            answers = np.arange(1 << len(splits))
+            total: dict[int, np.ndarray] = {}
+            for i in run:
+                differs = np.zeros(len(answers), np.int64)
+                for k, q in enumerate(asked[i]):
+                    differs |= ((answers >> splits[q] & 1) != self.left[i, k]).astype(np.int64) << self.slot[i, k]
+                found = tables[i, ((1 << d) - 1) ^ differs]
+                for j in {int(self.slot[i, k]) for k in range(len(asked[i]))}:
+                    f = int(self.slot_feature[i, j])
+                    total[f] = total.get(f, 0.0) + found[:, j]
+            if splits:
+                made.append((np.array([f for f, _ in splits]), np.array([t for _, t in splits]), list(total), np.stack(list(total.values()))))
+        return made
+
     def contributions(self, x: np.ndarray) -> np.ndarray:
         """(rows, features) of a matrix of rows."""
-        out = np.zeros((len(x), self.n_features))
-        leaves, d = self.share.shape
-        if not leaves or not d:
-            return out
-        table, at = self.tables(), np.arange(leaves)
-        step = max(1, HELD // (leaves * d))
-        for i in range(0, len(x), step):
-            rows = x[i:i + step]
-            differs = np.zeros((len(rows), leaves), np.int64)
-            for k in range(d):
-                other = (rows[:, self.feature[:, k]] <= self.threshold[:, k]) != self.left[:, k]
-                differs |= other.astype(np.int64) << self.slot[:, k]
-            found = table[at, ((1 << d) - 1) ^ differs]  # rows, leaves, depth
-            where = self.slot_feature[None] + self.n_features * np.arange(len(rows))[:, None, None]
-            out[i:i + step] = np.bincount(where.ravel(), weights=found.ravel(), minlength=len(rows) * self.n_features).reshape(len(rows), -1)
-        return out
+        out = np.zeros((self.n_features, len(x)))
+        if not self.share.size:
+            return out.T
+        if self.grouped is None:
+            self.grouped = self.groups()
+            self.table = None
+        for i in range(0, len(x), ROWS):
+            columns, part = np.ascontiguousarray(x[i:i + ROWS].T), out[:, i:i + ROWS]
+            for features, thresholds, shared, table in self.grouped:
+                answers = np.zeros(columns.shape[1], np.uint8)
+                for bit, (f, t) in enumerate(zip(features.tolist(), thresholds.tolist(), strict=True)):
+                    answers |= (columns[f] <= t).view(np.uint8) << np.uint8(bit)
+                at = answers.astype(np.intp)
+                for f, values in zip(shared, table, strict=True):
+                    part[f] += values.take(at)
+        return out.T
 
 
 def _walk(nodes: dict, weight: float) -> Iterator[tuple[list, float]]:
