@@ -12,7 +12,8 @@ null, or without letters is 'unknown'; so is every text if nothing was learnt.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,16 @@ from rentlens.functions.text import BREAKS, MIN_LANG_CHARS, UNKNOWN
 
 BUCKETS = 1 << 16
 LONGEST = 3
-_OTHER = regex.compile(r"[^\p{L}]+")
+
+
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters."""
+    out = np.zeros(0x110000, bool)
+    for low, high in ((0, 0xD800), (0xE000, 0x110000)):  # surrogates are none
+        for run in regex.finditer(r"\p{L}+", "".join(map(chr, range(low, high)))):
+            out[low + run.start():low + run.end()] = True
+    return out
 
 
 def _clean(text: str | None) -> str:
@@ -37,10 +47,15 @@ def _clean(text: str | None) -> str:
 
 def ngram_buckets(text: str) -> np.ndarray:
     """Bucket of every n-gram of a text, nothing if it has no letters."""
-    words = _OTHER.sub(" ", text.lower()).strip()
-    if not words:
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = _letters()[c]
+    if not inside.any():
         return np.zeros(0, np.int64)
-    c = np.frombuffer(f" {words} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    last = inside.copy()  # the last letter of each word
+    last[:-1] &= ~inside[1:]
+    words = np.full(int(inside.sum() + last.sum()) + 1, ord(" "), np.uint64)  # a space before, between and after the words
+    words[np.arange(1, int(inside.sum()) + 1) + (np.cumsum(last) - last)[inside]] = c[inside]
+    c = words
     out, h = [], np.zeros(len(c), np.uint64)
     for n in range(1, LONGEST + 1):
         h = (h[:len(c) - n + 1] * np.uint64(0x100000001B3)) ^ (c[n - 1:] + np.uint64(n << 32))
@@ -70,11 +85,16 @@ def count_ngrams(labelled: DataFrame) -> DataFrame:
 class Model:
     languages: list[str]  # in order
     table: np.ndarray  # (BUCKETS, languages): log probabilities
+    columns: np.ndarray | None = field(default=None, repr=False, compare=False)  # made where texts are scored
 
     def language(self, text: str | None) -> str:
         text = _clean(text)
         at = ngram_buckets(text) if len(text) >= MIN_LANG_CHARS and self.languages else ()
-        return self.languages[int(np.argmax(self.table[at].sum(axis=0)))] if len(at) else UNKNOWN
+        if not len(at):
+            return UNKNOWN
+        if self.columns is None:
+            self.columns = np.ascontiguousarray(self.table.T)  # a language's numbers lie together
+        return self.languages[int(np.argmax([column.take(at).sum() for column in self.columns]))]
 
 
 def fit(labelled: DataFrame, languages: int = 64) -> Model:

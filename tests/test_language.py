@@ -1,7 +1,10 @@
+import time
 from collections import Counter
 
 import numpy as np
+import regex
 
+from rentlens.functions import text as TX
 from rentlens.operators import language as LG
 
 TEXTS = {"aa": "babab abab baba abba", "bb": "xyzzy zyxy yyz xzzy", "cc": "żółć gęśl jaźń łódź"}
@@ -39,3 +42,32 @@ def test_accuracy_counts(spark):
     df, _ = _labelled(spark)
     got = {r["language"]: tuple(r)[1:] for r in LG.accuracy(LG.fit(df), df).collect()}
     assert got["aa"] == (6, 5, 1) and got["bb"] == (6, 5, 1) and got["cc"] == (5, 5, 0)
+
+
+ODD = ["", " ", "a", "7", "a7", "7a", " a  b ", "Été à l'eau — où?", "İstanbul ΣΑΣ ß ŒUVRE", "日本語 テキスト", "a\u0301b", "x\U0001f600y\U00020000", "«Hola» ¿qué\u2026 tal’s\u00a0¡sí!",
+       "\n\tab\u2028cd", "ab<br/>cd", "e" * 1000 + "é" * 1000]
+
+
+def test_letters_found_by_code_point_equal_the_pattern():
+    for text in ODD:
+        words = regex.sub(r"[^\p{L}]+", " ", text.lower()).strip()
+        padded = np.frombuffer(f" {words} ".encode("utf-32-le"), np.uint32) if words else np.zeros(0, np.uint32)
+        n = len(padded)
+        got = LG.ngram_buckets(text)
+        assert len(got) == max(0, 3 * n - 3)
+        assert got[:n].tolist() == [LG.ngram_buckets("a")[0] if c == ord(" ") else LG.ngram_buckets(chr(c))[1] for c in padded.tolist()]
+    model = LG.Model(["p", "q", "r"], np.log(np.random.default_rng(7).random((LG.BUCKETS, 3))))
+    for text in ODD:
+        at = LG.ngram_buckets(LG._clean(text))
+        if len(at) and len(LG._clean(text)) >= LG.MIN_LANG_CHARS:
+            assert model.language(text) == model.languages[int(model.table[at].sum(axis=0).argmax())]
+
+
+def test_signs_are_replaced_without_a_look_up_for_every_character():
+    table = {**{ord(c): " " for c in TX.PARTING}, ord(TX.APOSTROPHE): "'"}
+    for text in ODD:
+        assert TX._prepared(text) == text.replace("<br/>", " ").translate(table)
+    text = "l’été d’où «naît» – " * 200_000  # 4 million characters: one look-up each takes about a second
+    began = time.process_time()
+    TX._prepared(text)
+    assert time.process_time() - began < 0.4
