@@ -51,16 +51,19 @@ def ngram_buckets(text: str) -> np.ndarray:
     inside = _letters()[c]
     if not inside.any():
         return np.zeros(0, np.int64)
-    last = inside.copy()  # the last letter of each word
-    last[:-1] &= ~inside[1:]
-    words = np.full(int(inside.sum() + last.sum()) + 1, ord(" "), np.uint64)  # a space before, between and after the words
-    words[np.arange(1, int(inside.sum()) + 1) + (np.cumsum(last) - last)[inside]] = c[inside]
-    c = words
+    kept = inside.copy()  # letters, and the first of the signs after each word
+    kept[1:] |= inside[:-1]
+    words = np.where(inside, c, ord(" "))[kept]
+    c = np.full(len(words) + 2 - (words[-1] == ord(" ")), ord(" "), np.uint64)  # a space before, between and after the words
+    c[1:len(words) + 1] = words
     out, h = [], np.zeros(len(c), np.uint64)
     for n in range(1, LONGEST + 1):
-        h = (h[:len(c) - n + 1] * np.uint64(0x100000001B3)) ^ (c[n - 1:] + np.uint64(n << 32))
-        out.append((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48))
-    return np.concatenate(out).astype(np.int64)
+        h = h[:len(c) - n + 1] * np.uint64(0x100000001B3)
+        h ^= c[n - 1:] + np.uint64(n << 32)
+        at = h * np.uint64(0x9E3779B97F4A7C15)
+        at >>= np.uint64(48)
+        out.append(at.view(np.int64))
+    return np.concatenate(out)
 
 
 def count_ngrams(labelled: DataFrame) -> DataFrame:
