@@ -149,3 +149,18 @@ def test_short_runs_stay(spark):
                                 (3, "a short text"), (4, "a short text")], "doc_id long, text string")
     got = {r["id"]: r for r in chunk_dedup(df).collect()}
     assert len(phrase) < RUN_BYTES and [got[i]["n_removed"] for i in (1, 2, 3, 4)] == [0, 0, 0, 12] and got[4]["n_spans"] == 1
+
+
+def test_passages_across_documents(spark):
+    """A passage of over 50 words goes whole from later documents; phrases and what a text repeats of itself stay."""
+    passage, phrase, own = words(71, 52), words(72, 40), words(73, 60)
+    spaceless = "".join(chr(0x4E00 + (i * i * 37 + i * 11) % 5003) for i in range(300))
+    rows = [(i, f"{words(500 + i, 90)} {passage} {words(600 + i, 90)}") for i in range(5)]
+    rows += [(10 + i, f"{words(700 + i, 90)} {phrase} {words(800 + i, 90)}") for i in range(5)]
+    rows += [(20, f"{own} {words(74, 30)} {own} {own}"), (30, f"été {spaceless}終"), (31, f"hiver {spaceless}末")]
+    got = {r["id"]: r for r in chunk_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(passage.encode())
+    assert len(phrase.encode()) > RUN_BYTES
+    assert got[0]["n_removed"] == 0 and all(n <= got[i]["n_removed"] <= n + 20 and got[i]["n_spans"] == 1 for i in range(1, 5))
+    assert not any(got[i]["n_removed"] for i in (10, 11, 12, 13, 14, 20, 30)) and got[31]["n_removed"] >= 900
+    assert all(bytes(r["kept"]).decode() is not None for r in got.values())  # no character is cut
