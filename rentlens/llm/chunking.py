@@ -9,7 +9,7 @@ are copies. Copies that follow one another are a run. A chunk begins and ends at
 cut, so a run is shorter than the passage it comes from: the bytes beside it are
 compared with those beside the first one, up to ``CONTEXT`` on each side. What
 they share is the passage. It is removed if it has ``PASSAGE_WORDS`` whole words or
-``PASSAGE_BYTES``, or the run makes up the whole text; shorter ones are common
+``PASSAGE_BYTES`` (a run of so many goes as it is), or the run makes up the whole text; shorter ones are common
 phrases and stay. What a document repeats of itself alone stays as well.
 
 With ``least`` bytes are counted instead: runs of chunks stay if they are shorter,

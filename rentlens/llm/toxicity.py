@@ -18,8 +18,10 @@ Each counts once per document. The logarithm of the number of words is a feature
 too: among many words some signs turn up by chance.
 
 Only the fit is made from a bounded sample, ``n_positive`` and ``n_unlabelled``
-documents of the training rows, dealt by a hash of the id; every whole text is
-scored, in one pass without shuffle. Labels come from training rows only, those
+documents of the training rows, dealt by a hash of the id. Its features are
+counted in the cluster; the driver gets the counts of possible signs and, per
+document, the features that are kept. Every whole text is scored, in one pass
+without shuffle. Labels come from training rows only, those
 whose crc32 of the id as text, modulo ``folds``, is not ``held_out_fold``.
 Labels, language, source and id are no inputs of a score.
 
@@ -113,20 +115,58 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, n_pos
     return texts.transform(in_arrow, run, "positive int, features array<int>, words long"), prior
 
 
-def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 300, rate: float = 0.05, decay: float = 1e-5) -> Model:
-    """Fits the classifier with full-batch Adam on the non-negative risk."""
+def _clearest(k_p: np.ndarray, k_u: np.ndarray, n_p: int, n_u: int, prior: float, n_features: int) -> np.ndarray:
+    """Places of the features to keep, the clearest first, from the documents of P and U that have each."""
+    in_p, in_u, pooled = k_p / max(n_p, 1), k_u / max(n_u, 1), (k_p + k_u + 1) / (n_p + n_u + 2)
+    clear = (in_p - in_u) / np.sqrt(pooled * (1 - pooled) * (1 / max(n_p, 1) + 1 / max(n_u, 1)))
+    best = np.flatnonzero((clear >= SIGNIFICANT) & (k_p >= FEWEST) & (prior * in_p >= PURE * in_u))
+    return best[np.argsort(-clear[best], kind="stable")][:n_features]
+
+
+def choose(rows: DataFrame, prior: float, n_features: int = N_FEATURES) -> np.ndarray:
+    """The buckets of the features to keep, the clearest first, from saved rows (positive, features)."""
+    n_p, n_u = rows.agg(*[F.count(F.when(F.col("positive") == k, 1)) for k in (1, 0)]).first()
+    counts = rows.select("positive", F.explode("features").alias("bucket")).groupBy("bucket").agg(
+        F.sum("positive").alias("p"), F.sum(1 - F.col("positive")).alias("u"))
+    # what cannot be kept stays in the cluster; the margin is for rounding, as the rule itself is applied below
+    signs = counts.filter((F.col("p") >= FEWEST) & (prior * F.col("p") / max(n_p, 1) >= (PURE - 1e-6) * F.col("u") / max(n_u, 1)))
+    found = signs.toArrow().sort_by("bucket")
+    bucket, k_p, k_u = (found.column(c).to_numpy() for c in ("bucket", "p", "u"))
+    return bucket[_clearest(k_p, k_u, n_p, n_u, prior, n_features)]
+
+
+def only(rows: DataFrame, buckets: np.ndarray) -> DataFrame:
+    """The rows with those of their features that are among the buckets."""
+    wanted = np.zeros(1 << BUCKET_BITS, bool)
+    wanted[buckets] = True
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
+    def run(batches):
+        kept = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            lists = batch.column(1)
+            cut = np.asarray(lists.offsets)
+            value = np.asarray(lists.values)[cut[0]:cut[-1]]
+            keep = kept[value]
+            upto = np.concatenate([[0], np.cumsum(keep)])[cut - cut[0]]
+            features = pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(value[keep]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), features, batch.column(2)], names=["positive", "features", "words"])
+
+    return rows.select("positive", "features", "words").transform(in_arrow, run, "positive int, features array<int>, words long")
+
+
+def train(rows: pa.Table, prior: float, n_features: int = N_FEATURES, rounds: int = 300, rate: float = 0.05, decay: float = 1e-5,
+          best: np.ndarray | None = None) -> Model:
+    """Fits the classifier with full-batch Adam on the non-negative risk; ``best`` are its features, if they have been chosen."""
     positive = rows.column("positive").combine_chunks().to_numpy()
     lists = rows.column("features").combine_chunks()
     cut = np.asarray(lists.offsets)
     bucket, row = np.asarray(lists.values)[cut[0]:cut[-1]], np.repeat(np.arange(len(positive)), np.diff(cut))
     size = 1 << BUCKET_BITS
     n_p, n_u = int(positive.sum()), int((1 - positive).sum())
-    k_p = np.bincount(bucket[positive[row] == 1], minlength=size)
-    k_u = np.bincount(bucket[positive[row] == 0], minlength=size)
-    in_p, in_u, pooled = k_p / max(n_p, 1), k_u / max(n_u, 1), (k_p + k_u + 1) / (n_p + n_u + 2)
-    clear = (in_p - in_u) / np.sqrt(pooled * (1 - pooled) * (1 / max(n_p, 1) + 1 / max(n_u, 1)))
-    best = np.flatnonzero((clear >= SIGNIFICANT) & (k_p >= FEWEST) & (prior * in_p >= PURE * in_u))
-    best = best[np.argsort(-clear[best], kind="stable")][:n_features]
+    if best is None:
+        k_p, k_u = (np.bincount(bucket[positive[row] == k], minlength=size) for k in (1, 0))
+        best = _clearest(k_p, k_u, n_p, n_u, prior, n_features)
     slot = np.full(size, -1, np.int32)
     slot[best] = np.arange(len(best), dtype=np.int32)
     feature = slot[bucket]
@@ -152,10 +192,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         n_unlabelled: int = N_UNLABELLED, n_features: int = N_FEATURES) -> Model | None:
     """The classifier; None if no training row is toxic."""
     rows, prior = sample(docs, labels, id_col, text_col, n_positive, n_unlabelled)
-    table = rows.toArrow() if prior else None
-    if table is None or not table.num_rows or not np.asarray(table.column("positive")).any():
+    if not prior:
+        return None
+    rows = saved(rows, "toxicity-rows")
+    best = choose(rows, prior, n_features)
+    table = only(rows, best).toArrow()  # at most n_positive + n_unlabelled rows, of the features that are kept
+    if not table.num_rows or not np.asarray(table.column("positive")).any():
         return None
-    return train(table, prior, n_features)
+    return train(table, prior, n_features, best=best)
 
 
 def scores(model: Model | None, column: pa.Array) -> np.ndarray:

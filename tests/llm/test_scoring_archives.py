@@ -218,6 +218,20 @@ def test_toxicity(spark):
     assert kept.columns == df.columns and kept.count() == sum(not r["predicted"] for r in got)
 
 
+def test_toxicity_driver_gets_kept_features_only(spark, monkeypatch):
+    """The sample's features are counted in the cluster; the model is that of the whole table."""
+    _, df, labels = toxic_corpus(spark)
+    seen, plain = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda rows, *a, **kw: seen.append(rows) or plain(rows, *a, **kw))
+    model = toxicity.fit(df, labels)
+    rows, prior = toxicity.sample(df, labels, "doc_id", "text", toxicity.N_POSITIVE, toxicity.N_UNLABELLED)
+    whole = rows.toArrow()
+    want = plain(whole, prior)
+    got = {x for r in seen[0].column("features").to_pylist() for x in r}
+    assert got == set(np.flatnonzero(want.slot >= 0).tolist()) and seen[0].num_rows == whole.num_rows
+    assert (model.slot == want.slot).all() and np.allclose(model.weight, want.weight, atol=1e-9) and np.isclose(model.bias, want.bias)
+
+
 def test_toxicity_ignores_held_out_labels(spark):
     _, df, labels = toxic_corpus(spark)
     wrong = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
