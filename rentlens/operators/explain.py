@@ -17,6 +17,7 @@ Scoring is one Arrow pass over the rows.
 from __future__ import annotations
 
 import math
+import pickle
 import uuid
 from collections.abc import Iterator
 
@@ -35,6 +36,8 @@ MAX_DEPTH = 8
 GROUP_BITS = 8
 #: Rows that a worker scores at once.
 ROWS = 4096
+#: Rows of a block that permuted values are dealt to.
+DEALT_ROWS = 1 << 17
 
 
 class Paths:
@@ -74,15 +77,15 @@ class Paths:
                     self.table[:, pattern, i] = self.value * (agrees[i] - self.share[:, i]) * np.tensordot(weight, poly, 1)
         return self.table
 
-    def groups(self) -> list[tuple[np.ndarray, np.ndarray, list[int], np.ndarray]]:
-        """(features, thresholds, features that get a share, (those, patterns) contributions) of runs of leaves.
+    def asked(self, i: int) -> list[tuple[int, float]]:
+        """(feature, threshold) of the splits that lead to a leaf."""
+        return [(int(f), float(t)) for f, t in zip(self.feature[i], self.threshold[i], strict=True) if t < np.inf]
 
-        Leaves come from ``_walk``, so those below a node follow one another; a run ends
-        where its leaves ask more than ``GROUP_BITS`` different splits."""
-        tables, d = self.tables(), self.share.shape[1]
-        asked = [[(int(f), float(t)) for f, t in zip(self.feature[i], self.threshold[i], strict=True) if t < np.inf] for i in range(len(self.value))]
+    def runs(self) -> list[tuple[list[int], dict[tuple[int, float], int]]]:
+        """(leaves, place of each split) of runs of leaves that ask at most ``GROUP_BITS`` different splits."""
         runs, run, splits = [], [], {}
-        for i, mine in enumerate(asked):
+        for i in range(len(self.value)):
+            mine = self.asked(i)
             more = [q for q in dict.fromkeys(mine) if q not in splits]
             if run and len(splits) + len(more) > GROUP_BITS:
                 runs.append((run, splits))
@@ -92,16 +95,24 @@ class Paths:
             run.append(i)
         if run:
             runs.append((run, splits))
+        return runs
+
+    def groups(self) -> list[tuple[np.ndarray, np.ndarray, list[int], np.ndarray]]:
+        """(features, thresholds, features that get a share, (those, patterns) contributions) of runs of leaves.
+
+        Leaves come from ``_walk``, so those below a node follow one another; a run ends
+        where its leaves ask more than ``GROUP_BITS`` different splits."""
+        tables, d = self.tables(), self.share.shape[1]
         made = []
-        for run, splits in runs:
+        for run, splits in self.runs():
             answers = np.arange(1 << len(splits))
             total: dict[int, np.ndarray] = {}
             for i in run:
                 differs = np.zeros(len(answers), np.int64)
-                for k, q in enumerate(asked[i]):
+                for k, q in enumerate(self.asked(i)):
                     differs |= ((answers >> splits[q] & 1) != self.left[i, k]).astype(np.int64) << self.slot[i, k]
                 found = tables[i, ((1 << d) - 1) ^ differs]
-                for j in {int(self.slot[i, k]) for k in range(len(asked[i]))}:
+                for j in {int(self.slot[i, k]) for k in range(len(self.asked(i)))}:
                     f = int(self.slot_feature[i, j])
                     total[f] = total.get(f, 0.0) + found[:, j]
             if splits:
@@ -203,28 +214,120 @@ def tree_contributions(model, feats: DataFrame, names: list[str], features: str
         F.struct(F.lit(n).alias("feature"), F.col("x")[i].alias("value"), F.col("c")[i].alias("contribution")) for i, n in enumerate(names)]).alias("contributions"))
 
 
+class Scores:
+    """Predictions of an ensemble, and those with one feature's values replaced by others.
+
+    Leaves are looked up in groups, as in ``Paths.groups``, by their answers to at most ``GROUP_BITS`` splits; a
+    replaced feature changes its own answers only, so groups that do not ask it keep what they add."""
+
+    def __init__(self, paths: Paths):
+        self.n_features, self.bias, self.groups = paths.n_features, paths.bias, []
+        for run, splits in paths.runs():
+            answers, table = np.arange(1 << len(splits)), np.zeros(1 << len(splits))
+            for i in run:
+                agrees = np.ones(len(answers), bool)
+                for q, left in zip(paths.asked(i), paths.left[i], strict=False):
+                    agrees &= (answers >> splits[q] & 1) == left
+                table += agrees * paths.value[i]
+            if splits:
+                masks: dict[int, int] = {}
+                for bit, (f, _) in enumerate(splits):
+                    masks[f] = masks.get(f, 0) | 1 << bit
+                self.groups.append(([f for f, _ in splits], [t for _, t in splits], list(masks.items()), table))
+            else:
+                self.bias += float(table[0])
+
+    @staticmethod
+    def _answers(columns: np.ndarray, features: list[int], thresholds: list[float]) -> np.ndarray:
+        out = np.zeros(columns.shape[1], np.uint8)
+        for bit, (f, t) in enumerate(zip(features, thresholds, strict=True)):
+            out |= (columns[f] <= t).view(np.uint8) << np.uint8(bit)
+        return out
+
+    def replaced(self, x: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows) predictions of ``x``, (features, rows) predictions of ``x`` with a feature's column from ``other``."""
+        whole, changed = np.full(len(x), self.bias), np.zeros((self.n_features, len(x)))
+        for i in range(0, len(x), ROWS):
+            a, b = np.ascontiguousarray(x[i:i + ROWS].T), np.ascontiguousarray(other[i:i + ROWS].T)
+            for features, thresholds, masks, table in self.groups:
+                mine, theirs = self._answers(a, features, thresholds), self._answers(b, features, thresholds)
+                value = table.take(mine)
+                whole[i:i + ROWS] += value
+                mine ^= theirs  # the answers that differ
+                for f, mask in masks:
+                    changed[f, i:i + ROWS] += table.take((mine & np.uint8(~mask & 0xFF)) ^ theirs) - value
+        return whole, changed + whole
+
+
+def _dealt(row: np.ndarray, n: int, salt: int) -> np.ndarray:
+    """Where the values of rows 0 to n - 1 go: a seeded permutation (invertible steps over a power of two, walked until below n)."""
+    bits = max(2, int(n - 1).bit_length())
+    mask, half = np.uint64((1 << bits) - 1), np.uint64(bits // 2)
+    salts = np.random.SeedSequence(salt).generate_state(8, np.uint64)
+    out, open_ = np.empty(len(row), np.uint64), np.arange(len(row))
+    at = row.astype(np.uint64)
+    while len(open_):
+        for a, b in salts.reshape(4, 2):
+            at = (at * (a | np.uint64(1)) + b) & mask
+            at ^= at >> half
+        done = at < np.uint64(n)
+        out[open_[done]] = at[done]
+        open_, at = open_[~done], at[~done]
+    return out.astype(np.int64)
+
+
 def permutation_importance(model, feats: DataFrame, names: list[str], label: str = "log_price", seed: int = 42, features: str = "features") -> DataFrame:
     """feature, rmse (with its values dealt anew), rise (over the model as it is) and r2_drop, a row per feature.
 
-    Values are permuted without collecting them: rows are numbered, every
-    feature's values are ranked by a seeded hash, and the value with rank n goes
-    to row n.  All features are ranked, joined and scored at once."""
-    spark = feats.sparkSession
+    Values are permuted without collecting or sorting them: rows are numbered, and a seeded permutation of the
+    numbers says for every feature and row which row its value goes to. Values travel to blocks of ``DEALT_ROWS``
+    rows, where a block is scored for all features at once and only its sums leave."""
+    spark, width = feats.sparkSession, len(names)
     kept = scratch_path(spark, f"permuted-{uuid.uuid4().hex}")
     base = ranking.row_rank(feats.select("listing_id", F.col(label).cast("double").alias("y"), vector_to_array(features).alias("x")), "listing_id", "row",
                             ties=[F.asc("y"), F.asc("x")])
     base.select("row", "y", "x").write.parquet(kept)
     base = spark.read.parquet(kept)
-    dealt = base.select("row", F.posexplode("x").alias("c", "v")).withColumn("h", F.md5(F.concat_ws(":", "row", "c", F.lit(str(seed)))))
-    dealt = ranking.prefix_sum(dealt.withColumn("_one", F.lit(1).cast("bigint")), "h", "_one", "at", by=["c"])
-    given = dealt.select(F.col("at").alias("row"), "c", "v")
-    changed = base.join(given, "row").select("c", "y", F.transform("x", lambda v, i: F.when(i == F.col("c"), F.col("v")).otherwise(v)).alias("x"))
-    both = base.select(F.lit(-1).alias("c"), "y", "x").unionByName(changed)
-    p = model.transform(both.select("c", "y", array_to_vector("x").alias(features)))
-    n = F.count(F.lit(1))
-    e = F.col("y") - F.col("prediction")
-    by = p.groupBy("c").agg(F.sqrt(F.sum(e * e) / n).alias("rmse"), (1 - F.sum(e * e) / (n * F.var_pop("y"))).alias("r2"))
-    whole = by.where("c = -1").select(F.col("rmse").alias("rmse0"), F.col("r2").alias("r20"))  # one row
+    n, variance = base.agg(F.count(F.lit(1)), F.var_pop("y")).first()
+    shared = spark.sparkContext.broadcast(Scores(tree_paths(model)))
+
+    def deal(batches):
+        for batch in batches:
+            row = batch.column(0).to_numpy() - 1
+            y, x = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            parts: dict[int, list] = {}
+            for c in range(-1, width):  # -1: the row itself
+                to = row if c < 0 else _dealt(row, n, seed * 1000 + c)
+                order = np.argsort(to // DEALT_ROWS, kind="stable")
+                blocks, starts = np.unique(to[order] // DEALT_ROWS, return_index=True)
+                for block, some in zip(blocks.tolist(), np.split(order, starts[1:]), strict=True):
+                    parts.setdefault(block, []).append((c, (to[some] - block * DEALT_ROWS).astype(np.int32), (y[some], x[some]) if c < 0 else x[some, c]))
+            yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([pickle.dumps(p, 5) for p in parts.values()], pa.binary())], names=["block", "b"])
+
+    def score(key, found):
+        block = key[0].as_py()
+        size = min(DEALT_ROWS, n - block * DEALT_ROWS)
+        y, x, other = np.empty(size), np.empty((size, width)), np.empty((size, width))
+        for b in found.column("b"):
+            for c, at, values in pickle.loads(b.as_py()):
+                if c < 0:
+                    y[at], x[at] = values
+                else:
+                    other[at, c] = values
+        whole, changed = shared.value.replaced(x, other)
+        e = [float(((y - p) ** 2).sum()) for p in (whole, *changed)]
+        return pa.table({"c": pa.array(range(-1, width), pa.int32()), "e": e})
+
+    sums = base.mapInArrow(deal, "block long, b binary").groupBy("block").applyInArrow(score, "c int, e double")
+    by = _kept(sums.groupBy("c").agg(F.sum("e").alias("e")), "permuted-errors")
+    rmse, r2 = F.sqrt(F.col("e") / n), 1 - F.col("e") / (F.lit(n) * F.lit(variance))
+    whole = by.where("c = -1").select(rmse.alias("rmse0"), r2.alias("r20"))  # one row
     names_of = F.array(*[F.lit(x) for x in names])
     return by.where("c >= 0").join(F.broadcast(whole)).select(
-        names_of[F.col("c")].alias("feature"), "rmse", (F.col("rmse") - F.col("rmse0")).alias("rise"), (F.col("r20") - F.col("r2")).alias("r2_drop"))
+        names_of[F.col("c")].alias("feature"), rmse.alias("rmse"), (rmse - F.col("rmse0")).alias("rise"), (F.col("r20") - r2).alias("r2_drop"))
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
