@@ -36,6 +36,8 @@ MAX_DEPTH = 8
 GROUP_BITS = 8
 #: Rows that a worker scores at once.
 ROWS = 4096
+#: The same for permuted values, which are compared in fewer bytes.
+SCORED_ROWS = 16384
 #: Rows of a block that permuted values are dealt to.
 DEALT_ROWS = 1 << 17
 
@@ -233,29 +235,40 @@ class Scores:
                 masks: dict[int, int] = {}
                 for bit, (f, _) in enumerate(splits):
                     masks[f] = masks.get(f, 0) | 1 << bit
-                self.groups.append(([f for f, _ in splits], [t for _, t in splits], list(masks.items()), table))
+                self.groups.append((list(splits), [(f, np.uint8(~m & 0xFF)) for f, m in masks.items()], table))
             else:
                 self.bias += float(table[0])
+        # values are compared by their place among the thresholds that the ensemble asks
+        asked = {q for splits, _, _ in self.groups for q in splits}
+        self.cuts = [np.array(sorted(t for g, t in asked if g == f)) for f in range(self.n_features)]
+        self.kind = np.min_scalar_type(max((len(c) for c in self.cuts), default=0))
+        self.groups = [([(f, self.kind.type(np.searchsorted(self.cuts[f], t))) for f, t in splits], masks, table) for splits, masks, table in self.groups]
 
-    @staticmethod
-    def _answers(columns: np.ndarray, features: list[int], thresholds: list[float]) -> np.ndarray:
-        out = np.zeros(columns.shape[1], np.uint8)
-        for bit, (f, t) in enumerate(zip(features, thresholds, strict=True)):
-            out |= (columns[f] <= t).view(np.uint8) << np.uint8(bit)
-        return out
+    def _places(self, x: np.ndarray) -> np.ndarray:
+        return np.array([np.searchsorted(c, x[:, f]) for f, c in enumerate(self.cuts)]).astype(self.kind)
 
     def replaced(self, x: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows) predictions of ``x``, (features, rows) predictions of ``x`` with a feature's column from ``other``."""
         whole, changed = np.full(len(x), self.bias), np.zeros((self.n_features, len(x)))
-        for i in range(0, len(x), ROWS):
-            a, b = np.ascontiguousarray(x[i:i + ROWS].T), np.ascontiguousarray(other[i:i + ROWS].T)
-            for features, thresholds, masks, table in self.groups:
-                mine, theirs = self._answers(a, features, thresholds), self._answers(b, features, thresholds)
-                value = table.take(mine)
-                whole[i:i + ROWS] += value
+        for i in range(0, len(x), SCORED_ROWS):
+            n = len(x[i:i + SCORED_ROWS])
+            both = np.concatenate([self._places(x[i:i + n]), self._places(other[i:i + n])], axis=1)
+            value, found, at = np.empty(n), np.empty(n), np.empty(n, np.intp)
+            said, bit = np.empty(2 * n, np.uint8), np.empty(2 * n, np.bool_)
+            for splits, masks, table in self.groups:
+                said[:] = 0
+                for k, (f, place) in enumerate(splits):
+                    np.less_equal(both[f], place, out=bit)
+                    np.bitwise_or(said, np.left_shift(bit.view(np.uint8), np.uint8(k)), out=said)
+                mine, theirs = said[:n], said[n:]
+                at[:] = mine
+                whole[i:i + n] += table.take(at, out=value, mode="clip")
                 mine ^= theirs  # the answers that differ
-                for f, mask in masks:
-                    changed[f, i:i + ROWS] += table.take((mine & np.uint8(~mask & 0xFF)) ^ theirs) - value
+                for f, others in masks:
+                    at[:] = (mine & others) ^ theirs
+                    table.take(at, out=found, mode="clip")
+                    found -= value
+                    changed[f, i:i + n] += found
         return whole, changed + whole
 
 
