@@ -27,6 +27,8 @@ FRAME_COLUMNS = ["listing_id", "name", "amenities", "neighbourhood", "neighbourh
 #: A best match below this is a weak one; the thresholds by which best matches are looked for.
 LOW_MATCH = 0.5
 MATCH_THRESHOLDS = (0.9, 0.7, 0.5, 0.3)
+#: Sets of at most so many tokens may be matched by their pairs of tokens.
+PAIRED_TOKENS = 64
 
 
 def amenity_frame(wh: Warehouse) -> DataFrame:
@@ -198,6 +200,33 @@ def _round(pending: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return pairs.select("a.set_id", score.alias("score")).groupBy("set_id").agg(F.max("score").alias("score")).where(F.col("score") >= least - 1e-9)
 
 
+def _few_pairs(sets: DataFrame) -> bool:
+    """Whether the sets have fewer pairs of tokens than pairs of sets share a token: short sets, rare tokens."""
+    n = F.col("n").cast("double")
+    longest, pairs = sets.agg(F.max("n"), F.sum(n * (n - 1) / 2)).first()
+    if longest is None or longest > PAIRED_TOKENS:
+        return False
+    shared = sets.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).cast("double").alias("f"))
+    return pairs <= (shared.agg(F.sum(F.col("f") * F.col("f"))).first()[0] or 0.0)
+
+
+def _by_two_tokens(pending: DataFrame, sets: DataFrame, one: DataFrame) -> DataFrame:
+    """set_id, score: the best cosine of each pending set with a set that shares two tokens or more, where it is above ``one``.
+
+    Sets meet at the pairs of tokens that they share; pairs of tokens of one set alone are left out before the sets
+    come with their tokens, and a pair of sets is scored where it is found."""
+    x = F.col("items")
+    keys = F.flatten(F.transform(x, lambda t, i: F.transform(F.slice(x, i + 2, F.size(x)), lambda u: F.shiftleft(t.cast("bigint"), 32) + u)))
+    entries = sets.where("n > 1").select("set_id", F.explode(keys).alias("key"))
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("f")).where("f > 1").select("key")
+    met = _kept(entries.join(shared, "key", "left_semi").join(sets.select("set_id", "n", "items"), "set_id"), "match-met")
+    a = met.join(pending.select("set_id"), "set_id", "left_semi").join(one, "set_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0))).alias("a")
+    b = met.alias("b")
+    root = F.sqrt(F.col("a.n") * F.col("b.n"))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.set_id") != F.col("b.set_id")) & (F.least("a.n", "b.n") / root > F.col("a.score")))
+    return pairs.select("a.set_id", (F.size(F.array_intersect("a.items", "b.items")) / root).alias("score")).groupBy("set_id").agg(F.max("score").alias("score"))
+
+
 def best_matches(tokens: DataFrame, thresholds: tuple = MATCH_THRESHOLDS) -> DataFrame:
     """listing_id, best_score: the highest cosine of every listing with another one (0 if nothing is shared).
 
@@ -206,12 +235,19 @@ def best_matches(tokens: DataFrame, thresholds: tuple = MATCH_THRESHOLDS) -> Dat
     go through falling thresholds: at each, sets are joined over the rarest
     tokens only, and a set that has found a match leaves. A token that all
     listings have is in no prefix until the last round, and not even there:
-    what one shared token gives comes from the smallest set that has it.
+    what one shared token gives comes from the smallest set that has it. Short sets
+    of rare tokens need no thresholds: what two shared tokens or more give comes
+    from the pairs of tokens that sets have in common.
     """
     of, sets = _token_sets(tokens)
     found = sets.where("size > 1").select("set_id", F.lit(1.0).alias("score"))
     pending, done = sets.where("size = 1"), [found]
-    for least in (*thresholds, 0.0):
+    if _few_pairs(sets):
+        index = sets.select("set_id", "n", F.explode("items").alias("token"))
+        one = _kept(_by_one_token(index).join(pending.select("set_id"), "set_id", "left_semi"), "match-one")
+        done.append(one.unionByName(_by_two_tokens(pending, sets, one)).groupBy("set_id").agg(F.max("score").alias("score")))
+        thresholds = None
+    for least in (*thresholds, 0.0) if thresholds is not None else ():
         got = _kept(_round(pending, sets, least), "match-round")
         if least == 0.0:
             index = sets.select("set_id", "n", F.explode("items").alias("token"))
